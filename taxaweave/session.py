@@ -12,7 +12,12 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "taxaweave") -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "taxaweave",
+    checkpoint_dir: str | None = None,
+) -> SparkSession:
     """A local session with the settings the library expects (tests and bench).
 
     On a cluster, build the session with the cluster's own settings instead; the
@@ -30,6 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if checkpoint_dir:
+        builder = builder.config(_CHECKPOINT_KEY, checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -38,23 +45,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``. Only a local-mode session without the
-    setting gets a folder of its own (tests); a cluster must name one, because
-    an executor-local folder does not survive the loss of that executor.
+    Read from ``spark.checkpoint.dir`` (a static setting) or the context's
+    checkpoint folder. Only a local-mode session without either gets a folder
+    of its own (tests); a cluster must name one, because an executor-local
+    folder does not survive the loss of that executor.
     """
-    path = spark.conf.get(_CHECKPOINT_KEY, None)
+    sc = spark.sparkContext
+    path = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(
                 f"{_CHECKPOINT_KEY} is not set; name a shared folder (HDFS/S3/ABFS) for this cluster"
             )
         path = tempfile.mkdtemp(prefix="taxaweave-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 

@@ -11,9 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from taxaweave.session import local_session
 
-    s = local_session(cores="*", shuffle_partitions=8, app="taxaweave-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="taxaweave-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    ckpt = tempfile.mkdtemp(prefix="taxaweave-test-ckpt-")
+    s = local_session(cores="*", shuffle_partitions=8, app="taxaweave-tests", checkpoint_dir=ckpt)
     yield s
