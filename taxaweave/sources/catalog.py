@@ -1 +1,255 @@
-"""Ingest queries registered with the operator catalog (filled in below)."""
+"""Ingest operators (A1-A19) run on the driver's tables.
+
+Each query first writes a driver table out as delimited text into a fresh
+folder below the shared checkpoint folder (a Spark job over the whole table),
+then reads it back through the ingest operator under test. The oracle SQL
+states what the read-back rows must be.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from taxaweave.plans.proxies import T as table
+from taxaweave.plans.proxies import query
+from taxaweave.session import scratch_path
+from taxaweave.sources import ingest as I
+
+c = F.col
+
+_PART_TEXT_SQL = (
+    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size FROM part"
+)
+
+
+def _write_part_csv(spark: SparkSession, sf: str, sep: str = ",") -> str:
+    path = scratch_path(spark, "part-csv")
+    I.write_csv(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), path, sep=sep)
+    return path
+
+
+def _rename_suffix(spark: SparkSession, folder: str, old: str, new: str) -> None:
+    """Rename the written part files' suffix (test-data setup; metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(conf)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.endswith(old):
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(folder + "/" + name[: -len(old)] + new))
+
+
+@query("scan_csv_text", _PART_TEXT_SQL)
+def q_scan_csv(spark, sf):
+    return I.read_delimited(spark, _write_part_csv(spark, sf))
+
+
+@query("write_csv_header", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
+def q_write_csv_header(spark, sf):
+    path = scratch_path(spark, "docs-csv")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+    return I.read_delimited(spark, path, multiline=True)
+
+
+@query(
+    "scan_recursive_files",
+    "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, 'csv' AS suffix FROM customer "
+    "UNION ALL SELECT CAST(n_nationkey AS VARCHAR), n_name, 'tsv' FROM nation",
+)
+def q_scan_recursive(spark, sf):
+    root = scratch_path(spark, "tree")
+    I.write_csv(table(spark, sf, "customer").select("c_custkey", "c_name"), f"{root}/a/Customer-Data")
+    I.write_csv(table(spark, sf, "nation").select("n_nationkey", "n_name"), f"{root}/b/c/Nation List", sep="\t")
+    _rename_suffix(spark, f"{root}/b/c/Nation List", ".csv", ".TSV")
+    table(spark, sf, "region").write.mode("overwrite").json(f"{root}/junk")  # not delimited: must be ignored
+    files = I.list_files(spark, root)
+    paths = [r["path"] for r in files.select("path").toLocalIterator()]  # file names only
+    df = I.read_delimited(spark, paths, with_path=True)
+    return df.select(
+        F.coalesce(c("c_custkey"), c("n_nationkey")).alias("id"),
+        F.coalesce(c("c_name"), c("n_name")).alias("name"),
+        F.lower(F.regexp_extract(c("source_file"), r"\.([^.]+)$", 1)).alias("suffix"),
+    )
+
+
+@query(
+    "source_key_naming",
+    "SELECT 'customer_data' AS source_key, count(*) AS n_rows FROM customer UNION ALL SELECT 'nation_list', count(*) FROM nation",
+)
+def q_source_key(spark, sf):
+    root = scratch_path(spark, "keys")
+    I.write_csv(table(spark, sf, "customer").select("c_custkey", "c_name"), f"{root}/Customer-Data")
+    I.write_csv(table(spark, sf, "nation").select("n_nationkey", "n_name"), f"{root}/Nation List")
+    df = I.read_delimited(spark, [f"{root}/Customer-Data", f"{root}/Nation List"])
+    folder = F.regexp_extract(c("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    keyed = df.select(I.clean_key(F.regexp_replace(folder, "%20", " ")).alias("source_key"))
+    return keyed.groupBy("source_key").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("delimiter_by_suffix", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+def q_delimiter(spark, sf):
+    path = scratch_path(spark, "nation-tsv")
+    I.write_csv(table(spark, sf, "nation"), path, sep="\t")
+    _rename_suffix(spark, path, ".csv", ".tsv")
+    files = [r["path"] for r in I.list_files(spark, path).select("path").toLocalIterator()]
+    return I.read_delimited(spark, files)
+
+
+@query("decode_with_fallback", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents")
+def q_decode(spark, sf):
+    root = scratch_path(spark, "encodings")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    opts = dict(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    docs.where(c("lang").isin("en", "de")).drop("lang").write.mode("overwrite").options(**opts).csv(f"{root}/utf8")
+    docs.where(~c("lang").isin("en", "de")).drop("lang").write.mode("overwrite").options(**opts).option(
+        "encoding", "ISO-8859-1"
+    ).csv(f"{root}/latin1")
+    return I.read_with_fallback(spark, [f"{root}/utf8", f"{root}/latin1"])
+
+
+_LINES_SQL = (
+    "SELECT v AS value FROM (SELECT regexp_replace(regexp_replace(line, '^[ \\t\\r\\n\\f\\x0B]+', ''), '[ \\t\\r\\n\\f\\x0B]+$', '') AS v "
+    "FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) a) b WHERE length(v) > 0"
+)
+
+
+@query("repair_lines", _LINES_SQL)
+def q_repair(spark, sf):
+    path = scratch_path(spark, "dirty-lines")
+    lines = table(spark, sf, "documents").select(F.explode(F.split("text", "\n")).alias("line"))
+    dirty = F.concat(F.lit("\t\u0000"), F.regexp_replace("line", " ", "\u0000 "), F.lit("  \r"))
+    lines.select(dirty.alias("value")).write.mode("overwrite").text(path)
+    repaired = I.repair_lines(spark.read.text(path))
+    return repaired.select("value")
+
+
+def _malformed_lines(spark, sf) -> str:
+    path = scratch_path(spark, "malformed")
+    p = table(spark, sf, "part")
+    line = (
+        F.when(c("p_size") % 9 == 0, F.concat_ws(",", c("p_partkey").cast("string"), "p_name", "p_brand", F.lit("extra")))
+        .when(c("p_size") % 11 == 0, F.concat_ws(",", c("p_partkey").cast("string"), "p_name"))
+        .otherwise(F.concat_ws(",", c("p_partkey").cast("string"), "p_name", "p_brand"))
+    )
+    p.select(line.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+_ABC = T.StructType([T.StructField(n, T.StringType(), True) for n in ("a", "b", "c")])
+
+
+@query(
+    "drop_malformed",
+    "SELECT CAST(p_partkey AS VARCHAR) AS a, p_name AS b, p_brand AS c FROM part WHERE p_size % 9 <> 0 AND p_size % 11 <> 0",
+)
+def q_drop_malformed(spark, sf):
+    df = I.read_delimited(spark, _malformed_lines(spark, sf), sep=",", header=False, schema=_ABC, keep_corrupt=True)
+    good, _bad = I.split_quarantine(df)
+    return good
+
+
+@query(
+    "quarantine_malformed",
+    "SELECT CASE WHEN p_size % 9 = 0 THEN concat_ws(',', CAST(p_partkey AS VARCHAR), p_name, p_brand, 'extra') "
+    "ELSE concat_ws(',', CAST(p_partkey AS VARCHAR), p_name) END AS raw_line FROM part WHERE p_size % 9 = 0 OR p_size % 11 = 0",
+)
+def q_quarantine(spark, sf):
+    df = I.read_delimited(spark, _malformed_lines(spark, sf), sep=",", header=False, schema=_ABC, keep_corrupt=True)
+    _good, bad = I.split_quarantine(df)
+    return bad
+
+
+@query(
+    "null_padding_read",
+    "SELECT CAST(p_partkey AS VARCHAR) AS a, p_name AS b, CASE WHEN p_size % 9 <> 0 AND p_size % 11 = 0 THEN NULL ELSE p_brand END AS c FROM part",
+)
+def q_null_padding(spark, sf):
+    return I.read_delimited(spark, _malformed_lines(spark, sf), sep=",", header=False, schema=_ABC)
+
+
+@query("ingest_filter", _PART_TEXT_SQL + " WHERE p_type = 'SMALL'")
+def q_ingest_filter(spark, sf):
+    return I.apply_filter(I.read_delimited(spark, _write_part_csv(spark, sf)), "P_TYPE = 'SMALL'")
+
+
+@query(
+    "ingest_metrics",
+    "SELECT count(*) AS original_rows, count(*) FILTER (WHERE p_type = 'SMALL') AS kept_rows, "
+    "CAST(count(*) FILTER (WHERE p_type = 'SMALL') AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE) AS kept_pct FROM part",
+)
+def q_ingest_metrics(spark, sf):
+    return I.metrics_frame(I.read_delimited(spark, _write_part_csv(spark, sf)), "p_type = 'SMALL'")
+
+
+@query("write_raw_overwrite", "SELECT count(*) AS written, count(*) AS found FROM part")
+def q_write_raw(spark, sf):
+    path = scratch_path(spark, "raw-part")
+    written, found = I.write_and_count(table(spark, sf, "part"), path)
+    return spark.createDataFrame([(written, found)], "written long, found long")
+
+
+@query("post_load_count", "SELECT count(*) AS n_rows FROM part")
+def q_post_load(spark, sf):
+    path = scratch_path(spark, "raw-part")
+    I.write_raw(table(spark, sf, "part"), path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("write_raw_append", _PART_TEXT_SQL)
+def q_write_append(spark, sf):
+    path = scratch_path(spark, "raw-append")
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    I.write_raw(p.where(c("p_size") <= 25), path, mode="overwrite")
+    I.write_raw(p.where(c("p_size") > 25), path, mode="append")
+    return spark.read.parquet(path)
+
+
+@query(
+    "union_family_folders",
+    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, replace(p_brand, '#', '') AS family_name, "
+    "lpad(regexp_extract(p_brand, '([0-9]+)', 1), 10, '0') AS wfo_id FROM part",
+)
+def q_family_folders(spark, sf):
+    root = scratch_path(spark, "families")
+    p = table(spark, sf, "part").select(
+        "p_partkey", "p_name",
+        F.concat(
+            F.regexp_replace("p_brand", "#", ""), F.lit("_wfo-"), F.lpad(F.regexp_extract("p_brand", r"([0-9]+)", 1), 10, "0")
+        ).alias("folder"),
+    )
+    p.repartition("folder").write.mode("overwrite").partitionBy("folder").option("header", True).csv(root)
+    df = I.read_family_folders(spark, root, file_glob="*.csv")
+    return df.select("p_partkey", "p_name", "family_name", "wfo_id")
+
+
+@query("sanitize_headers", "SELECT CAST(p_partkey AS VARCHAR) AS part_key, p_name AS part_name_full, p_brand AS brandid FROM part")
+def q_sanitize(spark, sf):
+    path = scratch_path(spark, "messy-headers")
+    messy = table(spark, sf, "part").select(c("p_partkey").alias("Part Key"), c("p_name").alias("Part Name (full)"), c("p_brand").alias("Brand-ID"))
+    I.write_csv(messy, path)
+    return I.sanitize_headers(I.read_delimited(spark, path))
+
+
+@query("source_registry", _PART_TEXT_SQL + " WHERE CAST(p_size AS INTEGER) > 40")
+def q_registry(spark, sf):
+    reg = I.SourceRegistry([I.Source("part_text", _write_part_csv(spark, sf), "parts as text", filter="CAST(p_size AS INT) > 40")])
+    return reg.read(spark, "part_text")
+
+
+@query("materialize_table", "SELECT p_partkey, p_name FROM part")
+def q_materialize(spark, sf):
+    return I.materialize(table(spark, sf, "part").select("p_partkey", "p_name"), scratch_path(spark, "model"))
+
+
+@query("decode_lines", "SELECT CAST(c_custkey AS VARCHAR) || ',' || c_name AS value FROM customer")
+def q_decode_lines(spark, sf):
+    path = scratch_path(spark, "latin-lines")
+    cu = table(spark, sf, "customer").select(F.concat_ws(",", c("c_custkey").cast("string"), "c_name").alias("value"))
+    cu.write.mode("overwrite").text(path)
+    return I.decode_lines(spark, path).select("value")
