@@ -1,9 +1,10 @@
 """Preferred-row selection and near-duplicate resolution.
 
-"Keep the first row per key" is written as an aggregate, ``min(struct(order...,
-row...))``: Spark reduces it map-side before the shuffle, so a key holding a
-third of all rows costs one row per map task, never one giant window
-partition. Mixed sort directions are packed into ascending fields first.
+Both selections reduce a hot key map-side before the shuffle: "keep the first
+row per key" is ``row_number() = 1`` (Spark inserts a partial
+``WindowGroupLimit`` ahead of the exchange), and duplicate-group resolution is
+one aggregate ``min(struct(order..., row...))`` with mixed sort directions
+packed into ascending fields.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,6 +71,20 @@ def ordering_struct(df: DataFrame, order: Sequence[Order | Column | str]) -> lis
     return fields
 
 
+def sort_orders(order: Sequence[Order | Column | str]) -> list[Column]:
+    """Spark sort expressions for an ordering."""
+    out = []
+    for raw in order:
+        o = _as_order(raw)
+        c = F.col(o.col) if isinstance(o.col, str) else o.col
+        nulls_first = (not o.descending) if o.nulls_first is None else o.nulls_first
+        if o.descending:
+            out.append(c.desc_nulls_first() if nulls_first else c.desc_nulls_last())
+        else:
+            out.append(c.asc_nulls_first() if nulls_first else c.asc_nulls_last())
+    return out
+
+
 def top1_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,16 +93,15 @@ def top1_per_key(
 ) -> DataFrame:
     """The first row of every key under ``order``.
 
-    Equivalent to ``row_number() OVER (PARTITION BY keys ORDER BY order) = 1``
-    when the order is total within a key. NULL keys form one group, as in SQL.
+    ``row_number() OVER (PARTITION BY keys ORDER BY order) = 1``: Spark plans a
+    partial ``WindowGroupLimit`` before the shuffle, so every map task keeps
+    only its best row per key and a key holding a third of all rows costs one
+    row per task in the exchange. The order should be total within a key
+    (append a unique tie-breaker). NULL keys form one group, as in SQL.
     """
     columns = list(columns or df.columns)
-    payload = F.struct(*[F.col(f"`{c}`").alias(c) for c in columns])
-    best = F.min(F.struct(*ordering_struct(df, order), payload.alias("row")))
-    key_alias = [F.col(f"`{k}`").alias(f"__key{i}") for i, k in enumerate(keys)]
-    return df.groupBy(*key_alias).agg(best.alias("__best")).select(
-        *[F.col("__best.row")[c].alias(c) for c in columns]
-    )
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*sort_orders(order))
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def rank_preference(col: Column | str, preferred: Sequence[str]) -> Column:

@@ -30,18 +30,24 @@ def mode_table(df: DataFrame, lookups: Mapping[str, Sequence[str]]) -> DataFrame
     ``lookups`` maps a level column to the target columns whose mode is wanted
     among rows sharing that level's value. NULL keys and NULL values are
     ignored; a key whose target is always NULL has no row for it.
+
+    Rows are first collapsed to their distinct combinations of the involved
+    columns with a count (a partial aggregate, so a hot combination costs one
+    row per task); only those weighted combinations are melted and summed.
     """
+    involved = sorted({*lookups.keys(), *[t for ts in lookups.values() for t in ts]})
+    paths = df.groupBy(*[_q(c).cast("string").alias(c) for c in involved]).agg(F.count(F.lit(1)).alias("__w"))
     tuples = [
-        F.struct(F.lit(level).alias("level"), _q(level).cast("string").alias("key"), F.lit(t).alias("target"), _q(t).cast("string").alias("value"))
+        F.struct(F.lit(level).alias("level"), _q(level).alias("key"), F.lit(t).alias("target"), _q(t).alias("value"))
         for level, targets in lookups.items()
         for t in targets
     ]
     melted = (
-        df.select(F.explode(F.array(*tuples)).alias("x"))
-        .select("x.*")
+        paths.select(F.explode(F.array(*tuples)).alias("x"), "__w")
+        .select("x.*", "__w")
         .where(F.col("key").isNotNull() & F.col("value").isNotNull())
     )
-    counts = melted.groupBy("level", "key", "target", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = melted.groupBy("level", "key", "target", "value").agg(F.sum("__w").alias("n"))
     return counts.groupBy("level", "key", "target").agg(
         F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("v")))["v"].alias("best")
     )
@@ -84,6 +90,8 @@ def hierarchical_fill(
     only when its row count is within ``max_broadcast_rows``.
     """
     lookups = fill_lookups(order)
+    # df feeds both the modes and the joins: keep it for the duration
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     wide = _wide_modes(df, lookups).persist(StorageLevel.MEMORY_AND_DISK)
     small = wide.count() <= max_broadcast_rows
 

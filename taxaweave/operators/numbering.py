@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,14 +45,18 @@ def dense_id(
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = _sort_exprs(order)
+    # The range partitioner samples its input in a separate pass; keep the
+    # input for the duration of the write so that pass does not recompute it.
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
     positioned = (
-        df.repartitionByRange(n, *sort)
+        source.repartitionByRange(n, *sort)
         .sortWithinPartitions(*sort)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     )
     path = scratch_path(spark, "dense-id")
     positioned.write.mode("overwrite").parquet(path)
+    source.unpersist()
     stored = spark.read.parquet(path)
 
     counts = stored.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))

@@ -811,7 +811,7 @@ def q_dq_not_null_prop(spark, sf):
     "WHERE latest IS NULL OR latest < TIMESTAMP '2030-01-01 00:00:00' - INTERVAL 30 DAY",
 )
 def q_dq_recency(spark, sf):
-    out = QC.recency(T(spark, sf, "events"), "ts", F.to_timestamp(F.lit("2030-01-01 00:00:00")), "30 DAYS")
+    out = QC.recency(T(spark, sf, "events"), "ts", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"), "30 DAYS")
     return out.select(F.date_format("latest", "yyyy-MM-dd HH:mm:ss").alias("latest"))
 
 

@@ -37,6 +37,10 @@ def local_session(
     )
     if checkpoint_dir:
         builder = builder.config(_CHECKPOINT_KEY, checkpoint_dir)
+    event_log = os.environ.get("TAXAWEAVE_EVENT_LOG")
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
