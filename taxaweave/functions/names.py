@@ -122,7 +122,7 @@ def replace_first_marker(col: ColumnOrName, rules: Sequence[tuple[str, str]]) ->
 
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES: name normalisation patterns (must equal the source project's)
+# FIXED VALUES: name normalisation rules (must equal the source project's)
 #   ' subsp. ' -> ' ssp. '
 #   ' fo. '    -> ' f. '
 #   ' sect. <Capitalised word>' -> removed
@@ -136,13 +136,51 @@ NORMALIZE_RULES = [
     (r" subg\. [A-Z][a-z]*", ""),
 ]
 
+_REGEX_META = set("\\^$.|?*+()[]{}")
+
+
+def _literal_of(pattern: str) -> str | None:
+    """The plain text a pattern matches when it is a literal (escaped dots
+    allowed), else None."""
+    text = pattern.replace("\\.", "\x00")
+    if any(ch in _REGEX_META for ch in text):
+        return None
+    return text.replace("\x00", ".")
+
+
+def _regex_prefix(pattern: str) -> str:
+    """Longest literal prefix of a pattern (used as a cheap pre-check)."""
+    out = []
+    i = 0
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "\\" and i + 1 < len(pattern) and pattern[i + 1] == ".":
+            out.append(".")
+            i += 2
+            continue
+        if ch in _REGEX_META:
+            break
+        out.append(ch)
+        i += 1
+    return "".join(out)
+
 
 def normalize_names(col: ColumnOrName, rules: Sequence[tuple[str, str]] = NORMALIZE_RULES) -> Column:
     """Rewrite abbreviation variants and drop section/subgenus parts.
-    ``regexp_replace`` replaces every occurrence, applied rule by rule."""
+
+    Rules apply in order, each to every occurrence. Literal rules use plain
+    ``replace``; a regex rule runs only on values containing its literal
+    prefix, so most names never reach the regex engine.
+    """
     c = _c(col)
     for pattern, rep in rules:
-        c = F.regexp_replace(c, pattern, rep)
+        lit = _literal_of(pattern)
+        if lit is not None:
+            c = F.replace(c, F.lit(lit), F.lit(rep))
+        else:
+            prefix = _regex_prefix(pattern)
+            rx = F.regexp_replace(c, pattern, rep)
+            c = F.when(c.contains(prefix), rx).otherwise(c) if prefix else rx
     return c
 
 
@@ -150,10 +188,13 @@ def extract_rank(col: ColumnOrName, abbreviation: str) -> Column:
     """The capitalised word after `` <abbr>. `` or NULL.
 
     The captured group needs at least one letter, so an empty extraction
-    means "no match" and becomes NULL.
+    means "no match" and becomes NULL. Values without `` <abbr>. `` skip the
+    regex.
     """
+    c = _c(col)
+    marker = " " + abbreviation + ". "
     pattern = " " + abbreviation.replace(".", r"\.") + r"\. ([A-Z][a-z]*)"
-    return F.nullif(F.regexp_extract(_c(col), pattern, 1), F.lit(""))
+    return F.when(c.contains(marker), F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")))
 
 
 def compose_name_by_rank(

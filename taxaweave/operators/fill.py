@@ -77,6 +77,7 @@ def hierarchical_fill(
     order: Mapping[str, Sequence[str]] = FILL_ORDER,
     extra: Mapping[str, Sequence[str]] | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    persist_input: bool = False,
 ) -> DataFrame:
     """Fill NULLs of each column in ``order`` from the modes at related levels,
     trying the row's own value first, then each level in the listed order (K7).
@@ -90,8 +91,8 @@ def hierarchical_fill(
     only when its row count is within ``max_broadcast_rows``.
     """
     lookups = fill_lookups(order)
-    # df feeds both the modes and the joins: keep it for the duration
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if persist_input:  # df feeds both the modes and the joins
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     wide = _wide_modes(df, lookups).persist(StorageLevel.MEMORY_AND_DISK)
     small = wide.count() <= max_broadcast_rows
 

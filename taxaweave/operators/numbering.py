@@ -30,12 +30,15 @@ def dense_id(
     order: Sequence[Column | str],
     out: str = "id",
     num_partitions: int | None = None,
+    persist_input: bool = False,
 ) -> DataFrame:
     """Number rows 1..n in the order given (E4); string keys sort ascending,
     NULLS LAST; pass ``Column`` sort orders for anything else.
 
     The order must be total (append unique tie-breakers), otherwise tied rows
-    get an arbitrary but still gap-free numbering.
+    get an arbitrary but still gap-free numbering. The range partitioner
+    samples its input in a separate pass; ``persist_input`` caches the input
+    for that pass when recomputing it costs more than caching it.
 
     Plan: one range exchange on the sort keys, a sort inside each partition,
     a written intermediate table in the shared folder (fixes positions and cuts
@@ -45,9 +48,7 @@ def dense_id(
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = _sort_exprs(order)
-    # The range partitioner samples its input in a separate pass; keep the
-    # input for the duration of the write so that pass does not recompute it.
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    source = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
     positioned = (
         source.repartitionByRange(n, *sort)
         .sortWithinPartitions(*sort)
@@ -56,7 +57,8 @@ def dense_id(
     )
     path = scratch_path(spark, "dense-id")
     positioned.write.mode("overwrite").parquet(path)
-    source.unpersist()
+    if persist_input:
+        source.unpersist()
     stored = spark.read.parquet(path)
 
     counts = stored.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))

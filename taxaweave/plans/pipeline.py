@@ -137,28 +137,39 @@ def write_outputs(
     wiz: DataFrame,
     out_dir: str,
     num_partitions: int | None = None,
+    persist_sources: bool = False,
 ) -> dict[str, str]:
     """Run the chain and write its published tables under ``out_dir``:
     the filled taxa, the WFO crosswalk and the three coverage checks.
 
-    The conformed sources feed both the merge and the coverage checks, so they
-    are persisted for the run; everything else stays one lazy plan per
-    output. The filled table is written once and the crosswalk and coverage
-    read it back instead of recomputing the chain.
+    The conformed sources feed both the merge and the coverage checks; the
+    coverage checks need only (id, name), so by default they re-derive those
+    two columns (column pruning keeps that cheap) instead of caching the
+    whole conformed tables (``persist_sources=True`` caches them). The filled
+    table is written once and the crosswalk and coverage read it back instead
+    of recomputing the chain.
     """
     from pyspark import StorageLevel
 
     out_dir = out_dir.rstrip("/")
-    sources = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in (("wfo", wfo), ("gbif", gbif), ("wiz", wiz))}
-    res = run_pipeline(sources["wfo"], sources["gbif"], sources["wiz"], num_partitions=num_partitions)
-    paths = {"taxa": f"{out_dir}/taxa_filled"}
-    res.filled.write.mode("overwrite").parquet(paths["taxa"])
+    sources = {"wfo": wfo, "gbif": gbif, "wiz": wiz}
+    if persist_sources:
+        sources = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in sources.items()}
+    merged = merge_sources(sources["wfo"], sources["gbif"], sources["wiz"])
+    taxa = build_taxa(merged, num_partitions=num_partitions)
+    # The deduplicated table feeds the fill twice (modes and joins): write it
+    # once to the shared folder rather than computing it twice.
+    paths = {"taxa_deduplicated": f"{out_dir}/taxa_deduplicated", "taxa": f"{out_dir}/taxa_filled"}
+    deduplicate_taxa(taxa).write.mode("overwrite").parquet(paths["taxa_deduplicated"])
+    filled_plan = fill_taxa(spark.read.parquet(paths["taxa_deduplicated"]))
+    filled_plan.write.mode("overwrite").parquet(paths["taxa"])
     filled = spark.read.parquet(paths["taxa"])
     paths["crosswalk_wfo"] = f"{out_dir}/crosswalk_wfo"
     crosswalk_ids(filled, "wfo-").write.mode("overwrite").parquet(paths["crosswalk_wfo"])
     for key, prefix, label in (("wfo", "wfo-", "WFO"), ("gbif", "gbif-", "GBIF"), ("wiz", "wiz-", "OrchidWiz")):
         paths[f"missing_{key}"] = f"{out_dir}/missing_{key}"
         coverage(sources[key], filled, prefix, label).write.mode("overwrite").parquet(paths[f"missing_{key}"])
-    for v in sources.values():
-        v.unpersist()
+    if persist_sources:
+        for v in sources.values():
+            v.unpersist()
     return paths
