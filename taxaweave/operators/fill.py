@@ -1,9 +1,9 @@
 """Most-frequent-value lookups and hierarchical gap filling.
 
-All modes of all lookup levels are computed in one pass: every row is melted
-into (level, level value, target, target value) tuples, counted with a partial
-aggregate (so the melt never materialises: it is reduced inside the scan
-stage), and the best value per (level, level value, target) is picked as
+All modes of all lookup levels are computed in one pass: rows are collapsed to
+distinct value combinations with a count, each combination is melted into
+(level, level value, target, target value) tuples, the weights are summed,
+and the best value per (level, level value, target) is picked as
 ``min(struct(-count, value))`` - most frequent, ties to the smallest value,
 which is ``mode() WITHIN GROUP (ORDER BY value)`` of SQL.
 """
@@ -24,21 +24,21 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
-def mode_table(df: DataFrame, lookups: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Long table (level, key, target, best) of modes.
-
-    ``lookups`` maps a level column to the target columns whose mode is wanted
-    among rows sharing that level's value. NULL keys and NULL values are
-    ignored; a key whose target is always NULL has no row for it.
+def _path_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct combinations of ``columns`` with their row count (``__w``).
 
-    Rows are first collapsed to their distinct combinations of the involved
-    columns with a count (a partial aggregate, so a hot combination costs one
-    row per task); only those weighted combinations are melted and summed.
+    A partial aggregate: a combination holding a third of all rows costs one
+    row per map task in the shuffle.
     """
-    involved = sorted({*lookups.keys(), *[t for ts in lookups.values() for t in ts]})
-    paths = df.groupBy(*[_q(c).cast("string").alias(c) for c in involved]).agg(F.count(F.lit(1)).alias("__w"))
+    return df.groupBy(*[_q(c) for c in columns]).agg(F.count(F.lit(1)).alias("__w"))
+
+
+def _modes_from_paths(paths: DataFrame, lookups: Mapping[str, Sequence[str]]) -> DataFrame:
     tuples = [
-        F.struct(F.lit(level).alias("level"), _q(level).alias("key"), F.lit(t).alias("target"), _q(t).alias("value"))
+        F.struct(
+            F.lit(level).alias("level"), _q(level).cast("string").alias("key"),
+            F.lit(t).alias("target"), _q(t).cast("string").alias("value"),
+        )
         for level, targets in lookups.items()
         for t in targets
     ]
@@ -53,6 +53,21 @@ def mode_table(df: DataFrame, lookups: Mapping[str, Sequence[str]]) -> DataFrame
     )
 
 
+def mode_table(df: DataFrame, lookups: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Long table (level, key, target, best) of modes.
+
+    ``lookups`` maps a level column to the target columns whose mode is wanted
+    among rows sharing that level's value. NULL keys and NULL values are
+    ignored; a key whose target is always NULL has no row for it.
+
+    Rows are first collapsed to their distinct combinations of the involved
+    columns with a count; only those weighted combinations are melted and
+    summed.
+    """
+    involved = sorted({*lookups.keys(), *[t for ts in lookups.values() for t in ts]})
+    return _modes_from_paths(_path_counts(df, involved), lookups)
+
+
 def mode_by_key(df: DataFrame, key: str, targets: Sequence[str], prefix: str = "best_") -> DataFrame:
     """One row per non-NULL ``key`` with the mode of each target."""
     long = mode_table(df, {key: list(targets)})
@@ -64,20 +79,11 @@ def mode_by_key(df: DataFrame, key: str, targets: Sequence[str], prefix: str = "
     return keys.join(wide, key, "left")
 
 
-def _wide_modes(df: DataFrame, lookups: Mapping[str, Sequence[str]]) -> DataFrame:
-    all_targets = sorted({t for ts in lookups.values() for t in ts})
-    long = mode_table(df, lookups)
-    return long.groupBy("level", "key").agg(
-        *[F.max(F.when(F.col("target") == t, F.col("best"))).alias(f"best_{t}") for t in all_targets]
-    )
-
-
 def hierarchical_fill(
     df: DataFrame,
     order: Mapping[str, Sequence[str]] = FILL_ORDER,
     extra: Mapping[str, Sequence[str]] | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    persist_input: bool = False,
 ) -> DataFrame:
     """Fill NULLs of each column in ``order`` from the modes at related levels,
     trying the row's own value first, then each level in the listed order (K7).
@@ -86,32 +92,56 @@ def hierarchical_fill(
     non-NULL value are preserved. ``extra`` maps a column to plain fallback
     columns of the same row (e.g. generic_name -> genus).
 
-    Plan: one scan + shuffle for all modes, one small reshape, and one left join
-    per level against a slice of the same persisted lookup table, broadcast
-    only when its row count is within ``max_broadcast_rows``.
+    Plan: every lookup depends only on a row's *path* (its values of the
+    involved columns). So (1) collapse the rows to distinct paths with a count
+    (partial aggregate), (2) compute all modes from the weighted paths in one
+    melt + aggregate, (3) fill the small path table with one left join per
+    level, and (4) join the rows back to their filled path ONCE (null-safe on
+    the path). The big table is scanned twice and joined once; the path table
+    is broadcast only when its row count is within ``max_broadcast_rows``.
     """
     lookups = fill_lookups(order)
-    if persist_input:  # df feeds both the modes and the joins
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    wide = _wide_modes(df, lookups).persist(StorageLevel.MEMORY_AND_DISK)
-    small = wide.count() <= max_broadcast_rows
+    involved = sorted({*order.keys(), *lookups.keys(), *[t for ts in lookups.values() for t in ts]})
+    paths = _path_counts(df, involved).persist(StorageLevel.MEMORY_AND_DISK)
+    wide_cols = sorted({t for ts in lookups.values() for t in ts})
+    wide = (
+        _modes_from_paths(paths, lookups)
+        .groupBy("level", "key")
+        .agg(*[F.max(F.when(F.col("target") == t, F.col("best"))).alias(f"best_{t}") for t in wide_cols])
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    small_wide = wide.count() <= max_broadcast_rows
 
-    out = df
+    filled_paths = paths
     for level, targets in lookups.items():
         slice_ = wide.where(F.col("level") == level).select(
             F.col("key").alias(f"__k_{level}"),
             *[F.col(f"best_{t}").alias(f"__{level}__{t}") for t in targets],
         )
-        if small:
+        if small_wide:
             slice_ = F.broadcast(slice_)
-        out = out.join(slice_, _q(level).cast("string") == F.col(f"__k_{level}"), "left").drop(f"__k_{level}")
-
-    filled = {}
-    for target, levels in order.items():
-        filled[target] = F.coalesce(_q(target), *[F.col(f"__{lv}__{target}") for lv in levels])
+        filled_paths = filled_paths.join(
+            slice_, _q(level).cast("string") == F.col(f"__k_{level}"), "left"
+        ).drop(f"__k_{level}")
+    filled_paths = filled_paths.select(
+        *[_q(c).alias(f"__p_{c}") for c in involved],
+        *[
+            F.coalesce(_q(t), *[F.col(f"__{lv}__{t}").cast(df.schema[t].dataType) for lv in levels]).alias(f"__f_{t}")
+            for t, levels in order.items()
+        ],
+    )
+    if paths.count() <= max_broadcast_rows:
+        filled_paths = F.broadcast(filled_paths)
+
+    cond = None
+    for c in involved:
+        e = df[f"`{c}`"].eqNullSafe(filled_paths[f"__p_{c}"])
+        cond = e if cond is None else (cond & e)
+    out = df.join(filled_paths, cond, "left")
+    filled = {t: F.col(f"__f_{t}") for t in order}
     for target, cols in (extra or {}).items():
-        filled[target] = F.coalesce(_q(target), *[_q(c) for c in cols])
-    return out.select(*[filled.get(c, _q(c)).alias(c) for c in df.columns])
+        filled[target] = F.coalesce(df[f"`{target}`"], *[df[f"`{c}`"] for c in cols])
+    return out.select(*[filled.get(c, df[f"`{c}`"]).alias(c) for c in df.columns])
 
 
 def fill_from_mode(
