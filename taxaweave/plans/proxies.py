@@ -581,6 +581,25 @@ def q_union_same(spark, sf):
     return M.union_conform([a, b], ["o_orderkey", "part"], cast=None)
 
 
+@query(
+    "union_all_keep_and_rest",
+    "WITH o AS (SELECT o_orderkey, o_custkey, o_orderpriority, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS st, "
+    "['o-' || CAST(o_orderkey AS VARCHAR)] AS ids FROM orders), "
+    "cand AS (SELECT *, count(*) OVER (PARTITION BY o_custkey, st) AS n, row_number() OVER (PARTITION BY o_custkey, st ORDER BY o_orderpriority, o_orderkey) AS rn "
+    "FROM o WHERE st IS NOT NULL), m AS (SELECT o_custkey, st, list_sort(list_distinct(flatten(list(ids)))) AS mi FROM cand GROUP BY o_custkey, st) "
+    "SELECT c.o_orderkey, c.o_custkey, c.st, array_to_string(CASE WHEN c.n > 1 THEN m.mi ELSE c.ids END, ',') AS ids "
+    "FROM cand c JOIN m ON c.o_custkey = m.o_custkey AND c.st = m.st WHERE c.rn = 1 "
+    "UNION ALL SELECT o_orderkey, o_custkey, st, array_to_string(ids, ',') FROM o WHERE st IS NULL",
+)
+def q_keep_and_rest(spark, sf):
+    o = T(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", nulled("o_orderstatus", "o_orderkey", 5).alias("st"),
+        F.array(F.concat(F.lit("o-"), c("o_orderkey").cast("string"))).alias("ids"),
+    )
+    out = D.resolve_duplicates(o, ["o_custkey", "st"], [D.asc("o_orderpriority"), D.asc("o_orderkey")], ids_col="ids")
+    return render_arrays(out.select("o_orderkey", "o_custkey", "st", "ids"))
+
+
 # ---------------------------------------------------------------------------
 # Scalar functions (H)
 # ---------------------------------------------------------------------------
@@ -992,6 +1011,20 @@ def q_pipe_coverage(spark, sf):
     return pipeline.coverage(wfo, filled, "wfo-", "WFO")
 
 
+@query(
+    "dq_all_sources_present",
+    OT.with_stages("filled")
+    + """SELECT s.source_id, s.source_name, s.src || ' source record missing from final dataset' AS error_message
+  FROM (SELECT DISTINCT id AS source_id, name AS source_name, 'GBIF' AS src FROM gbif_conf WHERE id IS NOT NULL AND id LIKE 'gbif-%'
+        UNION ALL SELECT DISTINCT id, name, 'OrchidWiz' FROM wiz_conf WHERE id IS NOT NULL AND id LIKE 'wiz-%') s
+  WHERE s.source_id NOT IN (SELECT e FROM (SELECT unnest(external_ids) AS e FROM filled) z WHERE e IS NOT NULL)""",
+)
+def q_all_sources_present(spark, sf):
+    wfo, gbif, wiz = _conformed(spark, sf)
+    filled = pipeline.fill_taxa(pipeline.deduplicate_taxa(pipeline.build_taxa(pipeline.merge_sources(wfo, gbif, wiz))))
+    return pipeline.coverage(gbif, filled, "gbif-", "GBIF").unionByName(pipeline.coverage(wiz, filled, "wiz-", "OrchidWiz"))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """The whole chain: derived sources -> conform -> merge -> taxa -> dedupe -> fill."""
     return _stage(spark, sf, "filled")[0]

@@ -253,3 +253,19 @@ def q_decode_lines(spark, sf):
     cu = table(spark, sf, "customer").select(F.concat_ws(",", c("c_custkey").cast("string"), "c_name").alias("value"))
     cu.write.mode("overwrite").text(path)
     return I.decode_lines(spark, path).select("value")
+
+
+@query(
+    "path_derived_columns",
+    "SELECT DISTINCT replace(p_brand, '#', '') AS family_name, lpad(regexp_extract(p_brand, '([0-9]+)', 1), 10, '0') AS wfo_id FROM part",
+)
+def q_path_columns(spark, sf):
+    root = scratch_path(spark, "families")
+    p = table(spark, sf, "part").select(
+        "p_partkey",
+        F.concat(
+            F.regexp_replace("p_brand", "#", ""), F.lit("_wfo-"), F.lpad(F.regexp_extract("p_brand", r"([0-9]+)", 1), 10, "0")
+        ).alias("folder"),
+    )
+    p.repartition("folder").write.mode("overwrite").partitionBy("folder").option("header", True).csv(root)
+    return I.read_family_folders(spark, root, file_glob="*.csv").select("family_name", "wfo_id").distinct()
