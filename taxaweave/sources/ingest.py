@@ -271,8 +271,10 @@ def decode_lines(spark: SparkSession, paths: str | Sequence[str], fallback: str
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
         F.col("_metadata.file_path").alias("path"), "value"
     )
-    enc = file_encodings(spark, paths, fallback).withColumnRenamed("path", "__p")
-    joined = lines.join(F.broadcast(enc), lines["path"] == enc["__p"])  # one row per file
+    from taxaweave.operators.joins import bounded_broadcast
+
+    enc = bounded_broadcast(file_encodings(spark, paths, fallback).withColumnRenamed("path", "__p"))  # one row per file
+    joined = lines.join(enc, lines["path"] == enc["__p"])
     decoded = F.when(F.col("encoding") == "UTF-8", F.col("value")).otherwise(
         F.decode(F.col("value").cast("binary"), fallback)
     )
