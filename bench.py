@@ -77,21 +77,31 @@ def main() -> None:
 
     def stage(name, fn):
         t = time.perf_counter()
-        write(fn(), name)
+        out = fn()
+        if isinstance(out, pipeline.LinkedTaxa):
+            for part in ("attrs", "ids", "sources"):
+                write(getattr(out, part), f"{name}_{part}")
+        else:
+            write(out, name)
         timings[name] = round(time.perf_counter() - t, 3)
 
+    def linked(name):
+        return pipeline.LinkedTaxa(tbl(f"{name}_attrs"), tbl(f"{name}_ids"), tbl(f"{name}_sources"))
+
     stage("conform_gbif", lambda: conform.conform_gbif(tbl("raw_gbif")))
     stage("conform_wfo", lambda: conform.conform_wfo(tbl("raw_wfo")))
     stage("conform_wiz", lambda: conformed("")[2])
     stage("merge_normalise", lambda: pipeline.merge_sources(tbl("conform_wfo"), tbl("conform_gbif"), tbl("conform_wiz")))
     stage("taxa_group_id", lambda: pipeline.build_taxa(tbl("merge_normalise")))
-    stage("dedupe", lambda: pipeline.deduplicate_taxa(tbl("taxa_group_id")))
-    stage("fill", lambda: pipeline.fill_taxa(tbl("dedupe")))
-    stage("crosswalk_ids", lambda: pipeline.crosswalk_ids(tbl("fill"), "wfo-"))
-    stage("coverage_wfo", lambda: pipeline.coverage(tbl("conform_wfo"), tbl("fill"), "wfo-", "WFO"))
+    stage("dedupe", lambda: pipeline.deduplicate_taxa(linked("taxa_group_id")))
+    stage("fill", lambda: pipeline.fill_taxa(linked("dedupe")))
+    stage("crosswalk_ids", lambda: pipeline.crosswalk_ids(linked("fill"), "wfo-"))
+    stage("coverage_wfo", lambda: pipeline.coverage(tbl("conform_wfo"), linked("fill"), "wfo-", "WFO"))
+    stage("reference_arrays", lambda: linked("fill").arrays())
     staged_total = round(sum(timings.values()), 3)
 
-    rows = {name: tbl(name).count() for name in ("conform_gbif", "conform_wfo", "conform_wiz", "merge_normalise", "taxa_group_id", "dedupe", "fill")}
+    rows = {name: tbl(name).count() for name in ("conform_gbif", "conform_wfo", "conform_wiz", "merge_normalise")}
+    rows.update({name: tbl(f"{name}_attrs").count() for name in ("taxa_group_id", "dedupe", "fill")})
     rows["published_taxa"] = spark.read.parquet(paths["taxa"]).count()
     queries = {"chain_end_to_end": chain, "chain_first_run": runs[0], **timings, "staged_total": staged_total}
 

@@ -1,6 +1,13 @@
 """Merge, taxa, dedupe, fill, crosswalk and coverage (K4-K9), and the whole
-chain. Every step is a lazy ``DataFrame -> DataFrame`` function; only the
-dense id writes an intermediate table (to fix its numbering)."""
+chain. Every step is a lazy DataFrame function; only the dense id writes an
+intermediate table (to fix its numbering).
+
+Taxa are kept in long form (:class:`LinkedTaxa`): attributes one row per
+taxon, external ids and source records as link tables. Nothing is collected
+per taxon inside the chain, so a name that holds a third of all records is a
+skewed join/aggregate key (split by AQE or reduced map-side), never one giant
+array in one task. The source project's array columns are a view
+(``LinkedTaxa.arrays``) for callers that need that format."""
 
 from __future__ import annotations
 
@@ -10,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxaweave.functions.names import extract_rank, normalize_names
-from taxaweave.operators.crosswalk import crosswalk_from_ids, crosswalk_join, missing_source_records
-from taxaweave.operators.dedupe import asc, desc, rank_preference, resolve_duplicates
+from taxaweave.operators.crosswalk import crosswalk_join
+from taxaweave.operators.dedupe import asc, desc, rank_preference, top1_per_key
 from taxaweave.operators.fill import hierarchical_fill
-from taxaweave.operators.merge import merge_records, union_conform
+from taxaweave.operators.merge import union_conform
 from taxaweave.operators.numbering import dense_id
 from taxaweave.schemas import (
     CONFORMED_COLUMNS,
@@ -49,16 +56,80 @@ def merge_sources(*conformed: DataFrame) -> DataFrame:
     return ranked.select(*[cols.get(x, c(f"`{x}`")).alias(x) for x in MERGED_COLUMNS])
 
 
-def build_taxa(merged: DataFrame, ranks=RANKS_SPECIFIC, num_partitions: int | None = None) -> DataFrame:
-    """One row per (name, rank) of the listed ranks with MAX attributes and the
-    collected ids/sources, numbered 1..n by the rank path (K5).
+def _null_safe_on(left: DataFrame, right: DataFrame, pairs) -> "F.Column":
+    cond = None
+    for a, b in pairs:
+        e = left[a].eqNullSafe(right[b])
+        cond = e if cond is None else (cond & e)
+    return cond
+
+
+@dataclass
+class LinkedTaxa:
+    """Taxa in long form: nothing is collected per taxon.
+
+    * ``attrs``: one row per taxon - ``id``, name, rank, the merged attributes
+      and ``source_count`` (how many source records it merged).
+    * ``ids``: (taxon_id, external_id, merged) - the taxon's external ids;
+      ``merged`` marks ids that a near-duplicate winner took over (distinct).
+    * ``sources``: (taxon_id, external_id, data_source) - the taxon's own
+      source records (what the source semantics keep as ``data_sources``).
+
+    ``arrays()`` renders the source project's array columns
+    (``external_ids``/``data_sources``); that view collects per taxon, so use
+    it only where that format is required.
+    """
+
+    attrs: DataFrame
+    ids: DataFrame
+    sources: DataFrame
+
+    def arrays(self) -> DataFrame:
+        c = F.col
+        ids = self.ids.groupBy(c("taxon_id").alias("__tid")).agg(
+            F.max(c("merged").cast("int")).alias("__m"),
+            F.sort_array(F.collect_list(F.struct(c("external_id").alias("i")))).alias("__ids"),
+        )
+        ids = ids.select(
+            "__tid",
+            F.when(c("__m") == 1, F.array_sort(F.transform("__ids", lambda x: x["i"])))
+            .otherwise(F.transform("__ids", lambda x: x["i"]))
+            .alias("external_ids"),
+        )
+        srcs = self.sources.groupBy(c("taxon_id").alias("__sid")).agg(
+            F.sort_array(F.collect_list(F.struct(c("external_id").alias("i"), c("data_source").alias("s")))).alias("__p")
+        ).select("__sid", F.transform("__p", lambda x: x["s"]).alias("data_sources"))
+        out = self.attrs.join(ids, self.attrs["id"] == ids["__tid"], "left").join(
+            srcs, self.attrs["id"] == srcs["__sid"], "left"
+        )
+        return out.select(*[c(f"`{x}`") for x in TAXA_COLUMNS])
+
+
+def build_taxa(merged: DataFrame, ranks=RANKS_SPECIFIC, num_partitions: int | None = None) -> LinkedTaxa:
+    """One row per (name, rank) of the listed ranks with MAX attributes and a
+    source count, numbered 1..n by the rank path (K5); its source records as
+    links.
 
     The rank filter is on a grouping key, so Catalyst applies it before the
-    aggregate. Numbering is the distributed dense id (no single-task window).
+    aggregate (partial aggregation map-side). Numbering is the distributed
+    dense id (no single-task window). Links are keyed by taxon id with one
+    join on (name, rank): a hot name is a skewed join key, which AQE splits.
     """
-    grouped = merge_records(merged.where(F.col("rank").isin(list(ranks))), ["name", "rank"], MERGED_ATTRIBUTES)
+    c = F.col
+    m = merged.where(c("rank").isin(list(ranks)))
+    grouped = m.groupBy("name", "rank").agg(
+        *[F.max(c(f"`{a}`")).alias(a) for a in MERGED_ATTRIBUTES],
+        F.count(F.lit(1)).alias("source_count"),
+    )
     numbered = dense_id(grouped, TAXA_ID_ORDER, out="id", num_partitions=num_partitions)
-    return numbered.select(*[F.col(f"`{x}`") for x in TAXA_COLUMNS])
+    attrs = numbered.select(*[c(f"`{x}`") for x in TAXA_COLUMNS[:-2]], "source_count")
+    keys = attrs.select(c("id").alias("taxon_id"), c("name").alias("__n"), c("rank").alias("__r"))
+    recs = m.select("name", "rank", c("id").alias("external_id"), "data_source")
+    sources = recs.join(keys, _null_safe_on(recs, keys, [("name", "__n"), ("rank", "__r")])).select(
+        "taxon_id", "external_id", "data_source"
+    )
+    ids = sources.select("taxon_id", "external_id", F.lit(False).alias("merged"))
+    return LinkedTaxa(attrs, ids, sources)
 
 
 def rank_slice(taxa: DataFrame, ranks) -> DataFrame:
@@ -66,25 +137,58 @@ def rank_slice(taxa: DataFrame, ranks) -> DataFrame:
     return taxa.where(F.col("rank").isin(list(ranks)))
 
 
-def deduplicate_taxa(taxa: DataFrame) -> DataFrame:
-    """Collapse rows sharing (generic, specific, infra) names (K6): most
-    sources first, then subspecies < variety < form < other, then name."""
-    return resolve_duplicates(
-        taxa,
-        ["generic_name", "specific_name", "infra_name"],
-        [
-            desc(F.size("data_sources")),
-            asc(rank_preference("rank", DEDUPE_RANK_PREFERENCE)),
-            asc("name"),
-            asc("rank"),
-            asc("id"),
-        ],
+DEDUPE_KEYS = ["generic_name", "specific_name", "infra_name"]
+
+
+def deduplicate_taxa(taxa: LinkedTaxa) -> LinkedTaxa:
+    """Collapse taxa sharing (generic, specific, infra) names (K6): most source
+    records first, then subspecies < variety < form < other, then name.
+
+    NULL keys never form duplicate groups. The winner keeps its attributes and
+    its own sources; the group's external ids move to it (distinct). Plan:
+    winners by ``row_number() = 1`` (partial group limit before the shuffle),
+    group sizes by a partial aggregate, losers removed with an anti join, ids
+    re-keyed with one join and a distinct on (winner, id) - a hot group is
+    spread by id, never collected.
+    """
+    c = F.col
+    attrs = taxa.attrs
+    eligible = None
+    for k in DEDUPE_KEYS:
+        e = c(k).isNotNull()
+        eligible = e if eligible is None else (eligible & e)
+    cand = attrs.where(eligible)
+    order = [
+        desc("source_count"),
+        asc(rank_preference("rank", DEDUPE_RANK_PREFERENCE)),
+        asc("name"),
+        asc("rank"),
+        asc("id"),
+    ]
+    winners = top1_per_key(cand, DEDUPE_KEYS, order, columns=DEDUPE_KEYS + ["id"]).withColumnRenamed("id", "winner_id")
+    sizes = cand.groupBy(*DEDUPE_KEYS).agg(F.count(F.lit(1)).alias("__n")).where(c("__n") > 1)
+    groups = winners.join(sizes, DEDUPE_KEYS)
+    mapping = cand.select("id", *DEDUPE_KEYS).join(groups, DEDUPE_KEYS).select(c("id").alias("member_id"), "winner_id")
+
+    losers = mapping.where(c("member_id") != c("winner_id")).select(c("member_id").alias("id"))
+    new_attrs = attrs.join(losers, "id", "left_anti")
+
+    ids = taxa.ids
+    moved = (
+        ids.join(mapping, ids["taxon_id"] == mapping["member_id"])
+        .select(c("winner_id").alias("taxon_id"), "external_id")
+        .distinct()
+        .withColumn("merged", F.lit(True))
     )
+    kept = ids.join(mapping, ids["taxon_id"] == mapping["member_id"], "left_anti").select("taxon_id", "external_id", "merged")
+    new_sources = taxa.sources.join(losers, taxa.sources["taxon_id"] == losers["id"], "left_anti")
+    return LinkedTaxa(new_attrs, moved.unionByName(kept), new_sources)
 
 
-def fill_taxa(deduplicated: DataFrame) -> DataFrame:
+def fill_taxa(taxa: LinkedTaxa) -> LinkedTaxa:
     """Hierarchical gap fill (K7) with generic_name falling back to genus."""
-    return hierarchical_fill(deduplicated, FILL_ORDER, extra={"generic_name": ["genus"]})
+    filled = hierarchical_fill(taxa.attrs, FILL_ORDER, extra={"generic_name": ["genus"]})
+    return LinkedTaxa(filled, taxa.ids, taxa.sources)
 
 
 def crosswalk_literal(taxa: DataFrame, merged: DataFrame, source: str = "WFO") -> DataFrame:
@@ -98,16 +202,25 @@ def crosswalk_literal(taxa: DataFrame, merged: DataFrame, source: str = "WFO") -
     )
 
 
-def crosswalk_ids(taxa: DataFrame, prefix: str = "wfo-") -> DataFrame:
-    """(taxon id, source id) from the collected ids of one source."""
-    return crosswalk_from_ids(taxa, prefix=prefix)
+def crosswalk_ids(taxa: LinkedTaxa, prefix: str = "wfo-") -> DataFrame:
+    """(taxon id, source id) for one source, straight from the id links."""
+    return taxa.ids.where(F.col("external_id").startswith(prefix)).select(
+        F.col("taxon_id").alias("id"), "external_id"
+    )
 
 
-def coverage(source_conformed: DataFrame, final: DataFrame, prefix: str, label: str) -> DataFrame:
-    """Source records absent from the final table (K9)."""
-    return missing_source_records(
-        source_conformed, final, id_prefix=prefix, message=f"{label} source record missing from final dataset"
+def coverage(source_conformed: DataFrame, final: LinkedTaxa, prefix: str, label: str) -> DataFrame:
+    """Distinct source (id, name) whose id is linked to no final taxon (K9):
+    a distinct and one anti join against the id links."""
+    c = F.col
+    src = (
+        source_conformed.select(c("id").alias("source_id"), c("name").alias("source_name"))
+        .where(c("source_id").isNotNull() & c("source_id").startswith(prefix))
+        .distinct()
     )
+    present = final.ids.select("external_id").where(c("external_id").isNotNull() & c("external_id").startswith(prefix))
+    missing = src.join(present, src["source_id"] == present["external_id"], "left_anti")
+    return missing.select("source_id", "source_name", F.lit(f"{label} source record missing from final dataset").alias("error_message"))
 
 
 @dataclass
@@ -116,9 +229,9 @@ class PipelineResult:
     gbif: DataFrame
     wiz: DataFrame
     merged: DataFrame
-    taxa: DataFrame
-    deduplicated: DataFrame
-    filled: DataFrame
+    taxa: LinkedTaxa
+    deduplicated: LinkedTaxa
+    filled: LinkedTaxa
 
 
 def run_pipeline(wfo: DataFrame, gbif: DataFrame, wiz: DataFrame, num_partitions: int | None = None) -> PipelineResult:
@@ -137,39 +250,45 @@ def write_outputs(
     wiz: DataFrame,
     out_dir: str,
     num_partitions: int | None = None,
-    persist_sources: bool = False,
+    reference_arrays: bool = False,
 ) -> dict[str, str]:
     """Run the chain and write its published tables under ``out_dir``:
-    the filled taxa, the WFO crosswalk and the three coverage checks.
-
-    The conformed sources feed both the merge and the coverage checks; the
-    coverage checks need only (id, name), so by default they re-derive those
-    two columns (column pruning keeps that cheap) instead of caching the
-    whole conformed tables (``persist_sources=True`` caches them). The filled
-    table is written once and the crosswalk and coverage read it back instead
-    of recomputing the chain.
-    """
-    from pyspark import StorageLevel
+    ``taxa_filled`` (attributes), ``taxa_external_ids`` and ``taxa_sources``
+    (links), ``crosswalk_wfo`` and ``missing_{wfo,gbif,wiz}``; with
+    ``reference_arrays`` also ``taxa_filled_arrays`` in the source project's
+    array format.
 
+    The deduplicated attributes and id links feed several outputs, so they
+    are written once to ``out_dir`` and read back (no recomputation); the
+    conformed sources are re-derived for the coverage checks, which need only
+    (id, name) - column pruning keeps that cheap.
+    """
     out_dir = out_dir.rstrip("/")
-    sources = {"wfo": wfo, "gbif": gbif, "wiz": wiz}
-    if persist_sources:
-        sources = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in sources.items()}
-    merged = merge_sources(sources["wfo"], sources["gbif"], sources["wiz"])
-    taxa = build_taxa(merged, num_partitions=num_partitions)
-    # The deduplicated table feeds the fill twice (modes and joins): write it
-    # once to the shared folder rather than computing it twice.
-    paths = {"taxa_deduplicated": f"{out_dir}/taxa_deduplicated", "taxa": f"{out_dir}/taxa_filled"}
-    deduplicate_taxa(taxa).write.mode("overwrite").parquet(paths["taxa_deduplicated"])
-    filled_plan = fill_taxa(spark.read.parquet(paths["taxa_deduplicated"]))
-    filled_plan.write.mode("overwrite").parquet(paths["taxa"])
-    filled = spark.read.parquet(paths["taxa"])
+    merged = merge_sources(wfo, gbif, wiz)
+    dedup = deduplicate_taxa(build_taxa(merged, num_partitions=num_partitions))
+    paths = {
+        "taxa_deduplicated": f"{out_dir}/taxa_deduplicated",
+        "taxa_external_ids": f"{out_dir}/taxa_external_ids",
+        "taxa_sources": f"{out_dir}/taxa_sources",
+        "taxa": f"{out_dir}/taxa_filled",
+    }
+    dedup.attrs.write.mode("overwrite").parquet(paths["taxa_deduplicated"])
+    dedup.ids.write.mode("overwrite").parquet(paths["taxa_external_ids"])
+    dedup.sources.write.mode("overwrite").parquet(paths["taxa_sources"])
+    stored = LinkedTaxa(
+        spark.read.parquet(paths["taxa_deduplicated"]),
+        spark.read.parquet(paths["taxa_external_ids"]),
+        spark.read.parquet(paths["taxa_sources"]),
+    )
+    filled = fill_taxa(stored)
+    filled.attrs.write.mode("overwrite").parquet(paths["taxa"])
+    final = LinkedTaxa(spark.read.parquet(paths["taxa"]), stored.ids, stored.sources)
     paths["crosswalk_wfo"] = f"{out_dir}/crosswalk_wfo"
-    crosswalk_ids(filled, "wfo-").write.mode("overwrite").parquet(paths["crosswalk_wfo"])
-    for key, prefix, label in (("wfo", "wfo-", "WFO"), ("gbif", "gbif-", "GBIF"), ("wiz", "wiz-", "OrchidWiz")):
+    crosswalk_ids(final, "wfo-").write.mode("overwrite").parquet(paths["crosswalk_wfo"])
+    for key, src, prefix, label in (("wfo", wfo, "wfo-", "WFO"), ("gbif", gbif, "gbif-", "GBIF"), ("wiz", wiz, "wiz-", "OrchidWiz")):
         paths[f"missing_{key}"] = f"{out_dir}/missing_{key}"
-        coverage(sources[key], filled, prefix, label).write.mode("overwrite").parquet(paths[f"missing_{key}"])
-    if persist_sources:
-        for v in sources.values():
-            v.unpersist()
+        coverage(src, final, prefix, label).write.mode("overwrite").parquet(paths[f"missing_{key}"])
+    if reference_arrays:
+        paths["taxa_arrays"] = f"{out_dir}/taxa_filled_arrays"
+        final.arrays().write.mode("overwrite").parquet(paths["taxa_arrays"])
     return paths

@@ -965,39 +965,39 @@ def q_pipe_merge(spark, sf):
 
 @query("pipe_taxa", _SQL["pipe_taxa"])
 def q_pipe_taxa(spark, sf):
-    return render_arrays(_stage(spark, sf, "taxa")[0])
+    return render_arrays(_stage(spark, sf, "taxa")[0].arrays())
 
 
 @query("rank_slice_genera", _SQL["rank_slice_genera"])
 def q_genera(spark, sf):
-    return render_arrays(pipeline.rank_slice(_stage(spark, sf, "taxa")[0], ["genus"]))
+    return render_arrays(pipeline.rank_slice(_stage(spark, sf, "taxa")[0].arrays(), ["genus"]))
 
 
 @query("rank_slice_species", _SQL["rank_slice_species"])
 def q_species(spark, sf):
-    return render_arrays(pipeline.rank_slice(_stage(spark, sf, "taxa")[0], ["species", "subspecies", "variety", "form"]))
+    return render_arrays(pipeline.rank_slice(_stage(spark, sf, "taxa")[0].arrays(), ["species", "subspecies", "variety", "form"]))
 
 
 @query("pipe_dedupe", _SQL["pipe_dedupe"])
 def q_pipe_dedupe(spark, sf):
-    return render_arrays(_stage(spark, sf, "dedup").select(*TAXA_COLUMNS))
+    return render_arrays(_stage(spark, sf, "dedup").arrays().select(*TAXA_COLUMNS))
 
 
 @query("pipe_fill", _SQL["pipe_fill"])
 def q_pipe_fill(spark, sf):
-    return render_arrays(_stage(spark, sf, "filled")[0].select(*TAXA_COLUMNS))
+    return render_arrays(_stage(spark, sf, "filled")[0].arrays().select(*TAXA_COLUMNS))
 
 
 @query("pipe_crosswalk", _SQL["pipe_crosswalk"])
 def q_pipe_crosswalk(spark, sf):
     taxa, merged = _stage(spark, sf, "taxa")
-    return pipeline.crosswalk_literal(taxa, merged, "WFO")
+    return pipeline.crosswalk_literal(taxa.attrs, merged, "WFO")
 
 
 @query("pipe_crosswalk_gbif", _SQL["pipe_crosswalk_gbif"])
 def q_pipe_crosswalk_gbif(spark, sf):
     taxa, merged = _stage(spark, sf, "taxa")
-    return pipeline.crosswalk_literal(taxa, merged, "GBIF")
+    return pipeline.crosswalk_literal(taxa.attrs, merged, "GBIF")
 
 
 @query("crosswalk_from_ids", _SQL["crosswalk_from_ids"])
@@ -1026,5 +1026,6 @@ def q_all_sources_present(spark, sf):
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole chain: derived sources -> conform -> merge -> taxa -> dedupe -> fill."""
-    return _stage(spark, sf, "filled")[0]
+    """The whole chain: derived sources -> conform -> merge -> taxa -> dedupe ->
+    fill, rendered in the source project's array format."""
+    return _stage(spark, sf, "filled")[0].arrays()

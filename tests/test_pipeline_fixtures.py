@@ -56,20 +56,20 @@ def test_downstream(spark):
     assert res.merged.count() == 16
     w7 = res.merged.where(F.col("id") == "wfo-0000000007").first()
     assert w7["name"] == "Cattleya" and w7["section"] == "Hadrolaelia"
-    taxa = res.taxa.cache()
+    taxa = res.taxa.arrays().cache()
     assert taxa.count() == 9
     assert taxa.select(F.explode("external_ids")).count() == 14
     assert sorted(r["id"] for r in taxa.collect()) == list(range(1, 10))
     assert pipeline.rank_slice(taxa, ["genus"]).count() == 0
     assert pipeline.rank_slice(taxa, ["species", "subspecies", "variety", "form"]).count() == 9
 
-    dedup = res.deduplicated.cache()
+    dedup = res.deduplicated.arrays().cache()
     assert dedup.count() == 8
     winner = dedup.where((F.col("specific_name") == "labiata") & (F.col("infra_name") == "alba")).collect()
     assert len(winner) == 1 and winner[0]["rank"] == "subspecies"
     assert winner[0]["external_ids"] == ["gbif-2", "gbif-3", "wfo-0000000008", "wiz-101", "wiz-infra-10-3"]
 
-    filled = {r["name"]: r for r in res.filled.collect()}
+    filled = {r["name"]: r for r in res.filled.arrays().collect()}
     assert len(filled) == 8
     dr = filled["Drosera regia"]
     assert dr["generic_name"] == "Drosera" and dr["order"] == "Caryophyllales"
@@ -79,7 +79,7 @@ def test_downstream(spark):
     g7 = filled[" x f. y"]
     assert g7["phylum"] == "Tracheophyta" and g7["class"] is None
 
-    assert pipeline.crosswalk_literal(taxa, res.merged).count() == 0
+    assert pipeline.crosswalk_literal(res.taxa.attrs, res.merged).count() == 0
     cw = {r["external_id"] for r in pipeline.crosswalk_ids(res.filled, "wfo-").collect()}
     assert cw == {"wfo-0000000001", "wfo-0000000004", "wfo-0000000008"}
     assert {r["source_id"] for r in pipeline.coverage(wfo, res.filled, "wfo-", "WFO").collect()} == {
