@@ -21,6 +21,7 @@ from taxaweave.operators.crosswalk import crosswalk_join
 from taxaweave.operators.dedupe import asc, desc, rank_preference, top1_per_key
 from taxaweave.operators.fill import hierarchical_fill
 from taxaweave.operators.merge import union_conform
+from taxaweave.operators.joins import bounded_broadcast
 from taxaweave.operators.numbering import dense_id
 from taxaweave.schemas import (
     CONFORMED_COLUMNS,
@@ -68,40 +69,46 @@ def _null_safe_on(left: DataFrame, right: DataFrame, pairs) -> "F.Column":
 class LinkedTaxa:
     """Taxa in long form: nothing is collected per taxon.
 
-    * ``attrs``: one row per taxon - ``id``, name, rank, the merged attributes
-      and ``source_count`` (how many source records it merged).
-    * ``ids``: (taxon_id, external_id, merged) - the taxon's external ids;
-      ``merged`` marks ids that a near-duplicate winner took over (distinct).
-    * ``sources``: (taxon_id, external_id, data_source) - the taxon's own
+    * ``attrs``: one row per taxon - ``id``, ``name``, ``rank`` (the taxon's
+      natural key, unique after the merge), the merged attributes and
+      ``source_count`` (how many source records it merged).
+    * ``ids``: (name, rank, external_id, merged) - the taxon's external ids;
+      ``merged`` marks ids a near-duplicate winner took over (distinct).
+    * ``sources``: (name, rank, external_id, data_source) - the taxon's own
       source records (what the source semantics keep as ``data_sources``).
 
-    ``arrays()`` renders the source project's array columns
-    (``external_ids``/``data_sources``); that view collects per taxon, so use
-    it only where that format is required.
+    Links use the natural key, so building them is a projection of the merged
+    records (no shuffle). ``arrays()`` renders the source project's array
+    columns; that view collects per taxon, so use it only where the format is
+    required.
     """
 
     attrs: DataFrame
     ids: DataFrame
     sources: DataFrame
 
+    def _keyed(self, links: DataFrame, cols) -> DataFrame:
+        keys = self.attrs.select(F.col("id").alias("taxon_id"), F.col("name").alias("__n"), F.col("rank").alias("__r"))
+        return links.join(keys, _null_safe_on(links, keys, [("name", "__n"), ("rank", "__r")])).select("taxon_id", *cols)
+
     def arrays(self) -> DataFrame:
         c = F.col
-        ids = self.ids.groupBy(c("taxon_id").alias("__tid")).agg(
+        ids = self.ids.groupBy(c("name").alias("__in"), c("rank").alias("__ir")).agg(
             F.max(c("merged").cast("int")).alias("__m"),
             F.sort_array(F.collect_list(F.struct(c("external_id").alias("i")))).alias("__ids"),
         )
         ids = ids.select(
-            "__tid",
+            "__in", "__ir",
             F.when(c("__m") == 1, F.array_sort(F.transform("__ids", lambda x: x["i"])))
             .otherwise(F.transform("__ids", lambda x: x["i"]))
             .alias("external_ids"),
         )
-        srcs = self.sources.groupBy(c("taxon_id").alias("__sid")).agg(
+        srcs = self.sources.groupBy(c("name").alias("__sn"), c("rank").alias("__sr")).agg(
             F.sort_array(F.collect_list(F.struct(c("external_id").alias("i"), c("data_source").alias("s")))).alias("__p")
-        ).select("__sid", F.transform("__p", lambda x: x["s"]).alias("data_sources"))
-        out = self.attrs.join(ids, self.attrs["id"] == ids["__tid"], "left").join(
-            srcs, self.attrs["id"] == srcs["__sid"], "left"
-        )
+        ).select("__sn", "__sr", F.transform("__p", lambda x: x["s"]).alias("data_sources"))
+        a = self.attrs
+        out = a.join(ids, _null_safe_on(a, ids, [("name", "__in"), ("rank", "__ir")]), "left")
+        out = out.join(srcs, _null_safe_on(out, srcs, [("name", "__sn"), ("rank", "__sr")]), "left")
         return out.select(*[c(f"`{x}`") for x in TAXA_COLUMNS])
 
 
@@ -112,8 +119,7 @@ def build_taxa(merged: DataFrame, ranks=RANKS_SPECIFIC, num_partitions: int | No
 
     The rank filter is on a grouping key, so Catalyst applies it before the
     aggregate (partial aggregation map-side). Numbering is the distributed
-    dense id (no single-task window). Links are keyed by taxon id with one
-    join on (name, rank): a hot name is a skewed join key, which AQE splits.
+    dense id (no single-task window). The links are a projection.
     """
     c = F.col
     m = merged.where(c("rank").isin(list(ranks)))
@@ -123,12 +129,8 @@ def build_taxa(merged: DataFrame, ranks=RANKS_SPECIFIC, num_partitions: int | No
     )
     numbered = dense_id(grouped, TAXA_ID_ORDER, out="id", num_partitions=num_partitions)
     attrs = numbered.select(*[c(f"`{x}`") for x in TAXA_COLUMNS[:-2]], "source_count")
-    keys = attrs.select(c("id").alias("taxon_id"), c("name").alias("__n"), c("rank").alias("__r"))
-    recs = m.select("name", "rank", c("id").alias("external_id"), "data_source")
-    sources = recs.join(keys, _null_safe_on(recs, keys, [("name", "__n"), ("rank", "__r")])).select(
-        "taxon_id", "external_id", "data_source"
-    )
-    ids = sources.select("taxon_id", "external_id", F.lit(False).alias("merged"))
+    sources = m.select("name", "rank", c("id").alias("external_id"), "data_source")
+    ids = sources.select("name", "rank", "external_id", F.lit(False).alias("merged"))
     return LinkedTaxa(attrs, ids, sources)
 
 
@@ -147,8 +149,10 @@ def deduplicate_taxa(taxa: LinkedTaxa) -> LinkedTaxa:
     NULL keys never form duplicate groups. The winner keeps its attributes and
     its own sources; the group's external ids move to it (distinct). Plan:
     winners by ``row_number() = 1`` (partial group limit before the shuffle),
-    group sizes by a partial aggregate, losers removed with an anti join, ids
-    re-keyed with one join and a distinct on (winner, id) - a hot group is
+    group sizes by a partial aggregate, and a member -> winner mapping that
+    covers duplicate-group members only; it is the small side of the joins
+    that drop losers and re-key their ids (broadcast behind a row-count
+    check). Re-keyed ids are made distinct on (winner, id), so a hot group is
     spread by id, never collected.
     """
     c = F.col
@@ -165,23 +169,30 @@ def deduplicate_taxa(taxa: LinkedTaxa) -> LinkedTaxa:
         asc("rank"),
         asc("id"),
     ]
-    winners = top1_per_key(cand, DEDUPE_KEYS, order, columns=DEDUPE_KEYS + ["id"]).withColumnRenamed("id", "winner_id")
+    winners = top1_per_key(cand, DEDUPE_KEYS, order, columns=DEDUPE_KEYS + ["id", "name", "rank"]).select(
+        *DEDUPE_KEYS, c("id").alias("winner_id"), c("name").alias("w_name"), c("rank").alias("w_rank")
+    )
     sizes = cand.groupBy(*DEDUPE_KEYS).agg(F.count(F.lit(1)).alias("__n")).where(c("__n") > 1)
     groups = winners.join(sizes, DEDUPE_KEYS)
-    mapping = cand.select("id", *DEDUPE_KEYS).join(groups, DEDUPE_KEYS).select(c("id").alias("member_id"), "winner_id")
-
-    losers = mapping.where(c("member_id") != c("winner_id")).select(c("member_id").alias("id"))
-    new_attrs = attrs.join(losers, "id", "left_anti")
+    mapping = bounded_broadcast(
+        cand.select(c("id").alias("member_id"), c("name").alias("m_name"), c("rank").alias("m_rank"), *DEDUPE_KEYS)
+        .join(groups, DEDUPE_KEYS)
+        .select("member_id", "m_name", "m_rank", "winner_id", "w_name", "w_rank")
+    )
+    losers = mapping.where(c("member_id") != c("winner_id"))
+    new_attrs = attrs.join(losers, attrs["id"] == losers["member_id"], "left_anti")
 
     ids = taxa.ids
+    on_member = _null_safe_on(ids, mapping, [("name", "m_name"), ("rank", "m_rank")])
     moved = (
-        ids.join(mapping, ids["taxon_id"] == mapping["member_id"])
-        .select(c("winner_id").alias("taxon_id"), "external_id")
+        ids.join(mapping, on_member)
+        .select(c("w_name").alias("name"), c("w_rank").alias("rank"), "external_id")
         .distinct()
         .withColumn("merged", F.lit(True))
     )
-    kept = ids.join(mapping, ids["taxon_id"] == mapping["member_id"], "left_anti").select("taxon_id", "external_id", "merged")
-    new_sources = taxa.sources.join(losers, taxa.sources["taxon_id"] == losers["id"], "left_anti")
+    kept = ids.join(mapping, on_member, "left_anti")
+    src = taxa.sources
+    new_sources = src.join(losers, _null_safe_on(src, losers, [("name", "m_name"), ("rank", "m_rank")]), "left_anti")
     return LinkedTaxa(new_attrs, moved.unionByName(kept), new_sources)
 
 
@@ -203,10 +214,10 @@ def crosswalk_literal(taxa: DataFrame, merged: DataFrame, source: str = "WFO") -
 
 
 def crosswalk_ids(taxa: LinkedTaxa, prefix: str = "wfo-") -> DataFrame:
-    """(taxon id, source id) for one source, straight from the id links."""
-    return taxa.ids.where(F.col("external_id").startswith(prefix)).select(
-        F.col("taxon_id").alias("id"), "external_id"
-    )
+    """(taxon id, source id) for one source: that source's id links joined to
+    the taxon ids on the natural key."""
+    links = taxa.ids.where(F.col("external_id").startswith(prefix))
+    return taxa._keyed(links, ["external_id"]).withColumnRenamed("taxon_id", "id")
 
 
 def coverage(source_conformed: DataFrame, final: LinkedTaxa, prefix: str, label: str) -> DataFrame:
@@ -252,43 +263,39 @@ def write_outputs(
     num_partitions: int | None = None,
     reference_arrays: bool = False,
 ) -> dict[str, str]:
-    """Run the chain and write its published tables under ``out_dir``:
-    ``taxa_filled`` (attributes), ``taxa_external_ids`` and ``taxa_sources``
-    (links), ``crosswalk_wfo`` and ``missing_{wfo,gbif,wiz}``; with
-    ``reference_arrays`` also ``taxa_filled_arrays`` in the source project's
-    array format.
-
-    The deduplicated attributes and id links feed several outputs, so they
-    are written once to ``out_dir`` and read back (no recomputation); the
-    conformed sources are re-derived for the coverage checks, which need only
-    (id, name) - column pruning keeps that cheap.
+    """Run the chain and publish its tables under ``out_dir``.
+
+    Published, like the source project's models: the conformed sources
+    (``wfo``, ``gbif``, ``wiz``), ``taxonomy_merged``, ``taxa_deduplicated``
+    with its link tables ``taxa_external_ids`` / ``taxa_sources``,
+    ``taxa_filled``, ``crosswalk_wfo`` and ``missing_{wfo,gbif,wiz}``; with
+    ``reference_arrays`` also ``taxa_filled_arrays`` (array format).
+
+    Every table that feeds more than one later step is written once and read
+    back, so no part of the chain runs twice; each later read prunes to the
+    columns it needs.
     """
     out_dir = out_dir.rstrip("/")
-    merged = merge_sources(wfo, gbif, wiz)
+    paths: dict[str, str] = {}
+
+    def publish(df: DataFrame, name: str) -> DataFrame:
+        paths[name] = f"{out_dir}/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+        return spark.read.parquet(paths[name])
+
+    conformed = {k: publish(v, k) for k, v in (("wfo", wfo), ("gbif", gbif), ("wiz", wiz))}
+    merged = publish(merge_sources(conformed["wfo"], conformed["gbif"], conformed["wiz"]), "taxonomy_merged")
     dedup = deduplicate_taxa(build_taxa(merged, num_partitions=num_partitions))
-    paths = {
-        "taxa_deduplicated": f"{out_dir}/taxa_deduplicated",
-        "taxa_external_ids": f"{out_dir}/taxa_external_ids",
-        "taxa_sources": f"{out_dir}/taxa_sources",
-        "taxa": f"{out_dir}/taxa_filled",
-    }
-    dedup.attrs.write.mode("overwrite").parquet(paths["taxa_deduplicated"])
-    dedup.ids.write.mode("overwrite").parquet(paths["taxa_external_ids"])
-    dedup.sources.write.mode("overwrite").parquet(paths["taxa_sources"])
     stored = LinkedTaxa(
-        spark.read.parquet(paths["taxa_deduplicated"]),
-        spark.read.parquet(paths["taxa_external_ids"]),
-        spark.read.parquet(paths["taxa_sources"]),
+        publish(dedup.attrs, "taxa_deduplicated"),
+        publish(dedup.ids, "taxa_external_ids"),
+        publish(dedup.sources, "taxa_sources"),
     )
-    filled = fill_taxa(stored)
-    filled.attrs.write.mode("overwrite").parquet(paths["taxa"])
-    final = LinkedTaxa(spark.read.parquet(paths["taxa"]), stored.ids, stored.sources)
-    paths["crosswalk_wfo"] = f"{out_dir}/crosswalk_wfo"
-    crosswalk_ids(final, "wfo-").write.mode("overwrite").parquet(paths["crosswalk_wfo"])
-    for key, src, prefix, label in (("wfo", wfo, "wfo-", "WFO"), ("gbif", gbif, "gbif-", "GBIF"), ("wiz", wiz, "wiz-", "OrchidWiz")):
-        paths[f"missing_{key}"] = f"{out_dir}/missing_{key}"
-        coverage(src, final, prefix, label).write.mode("overwrite").parquet(paths[f"missing_{key}"])
+    final = LinkedTaxa(publish(fill_taxa(stored).attrs, "taxa_filled"), stored.ids, stored.sources)
+    paths["taxa"] = paths["taxa_filled"]
+    publish(crosswalk_ids(final, "wfo-"), "crosswalk_wfo")
+    for key, prefix, label in (("wfo", "wfo-", "WFO"), ("gbif", "gbif-", "GBIF"), ("wiz", "wiz-", "OrchidWiz")):
+        publish(coverage(conformed[key], final, prefix, label), f"missing_{key}")
     if reference_arrays:
-        paths["taxa_arrays"] = f"{out_dir}/taxa_filled_arrays"
-        final.arrays().write.mode("overwrite").parquet(paths["taxa_arrays"])
+        publish(final.arrays(), "taxa_filled_arrays")
     return paths
