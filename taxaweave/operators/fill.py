@@ -68,12 +68,20 @@ def mode_table(df: DataFrame, lookups: Mapping[str, Sequence[str]]) -> DataFrame
     return _modes_from_paths(_path_counts(df, involved), lookups)
 
 
-def mode_by_key(df: DataFrame, key: str, targets: Sequence[str], prefix: str = "best_") -> DataFrame:
-    """One row per non-NULL ``key`` with the mode of each target."""
+def mode_by_key(
+    df: DataFrame, key: str, targets: Sequence[str], prefix: str = "best_", all_keys: bool = True
+) -> DataFrame:
+    """One row per non-NULL ``key`` with the mode of each target.
+
+    ``all_keys=False`` omits keys whose targets are all NULL (they would carry
+    only NULL modes), saving the distinct-keys pass and its join.
+    """
     long = mode_table(df, {key: list(targets)})
     wide = long.groupBy(F.col("key").alias(key)).agg(
         *[F.max(F.when(F.col("target") == t, F.col("best"))).alias(f"{prefix}{t}") for t in targets]
     )
+    if not all_keys:
+        return wide
     # keys whose targets are all NULL still form a group in SQL
     keys = df.where(_q(key).isNotNull()).select(_q(key).cast("string").alias(key)).distinct()
     return keys.join(wide, key, "left")
@@ -152,7 +160,7 @@ def fill_from_mode(
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Add ``prefix+target = coalesce(target, mode of target for this key)``."""
-    modes = mode_by_key(df, key, targets, prefix="__best_").persist(StorageLevel.MEMORY_AND_DISK)
+    modes = mode_by_key(df, key, targets, prefix="__best_", all_keys=False).persist(StorageLevel.MEMORY_AND_DISK)
     if modes.count() <= max_broadcast_rows:
         modes = F.broadcast(modes)
     modes = modes.withColumnRenamed(key, "__mkey")

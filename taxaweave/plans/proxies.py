@@ -1025,6 +1025,29 @@ def q_all_sources_present(spark, sf):
     return pipeline.coverage(gbif, filled, "gbif-", "GBIF").unionByName(pipeline.coverage(wiz, filled, "wiz-", "OrchidWiz"))
 
 
+_GAP_RANKS = ["family", "order", "class", "phylum", "kingdom", "subfamily", "tribe", "subtribe"]
+
+
+def _gap_sql() -> str:
+    joins = []
+    sels = []
+    for i, r in enumerate(_GAP_RANKS):
+        joins.append(
+            f"LEFT JOIN (SELECT k, v FROM (SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY n DESC, v) AS rn FROM "
+            f'(SELECT genus AS k, "{r}" AS v, count(*) AS n FROM merged WHERE genus IS NOT NULL AND "{r}" IS NOT NULL '
+            f'GROUP BY genus, "{r}") a) b WHERE rn = 1) m{i} ON t.genus = m{i}.k'
+        )
+        sels.append(f'coalesce(t."{r}", m{i}.v) AS filled_{r}')
+    return OT.with_stages("merged") + f"SELECT t.id, t.genus, {', '.join(sels)} FROM merged t " + " ".join(joins)
+
+
+@query("fill_taxonomy_gaps", _gap_sql())
+def q_fill_gaps(spark, sf):
+    merged = _stage(spark, sf, "merged")
+    out = FL.fill_from_mode(merged, "genus", _GAP_RANKS, prefix="filled_")
+    return out.select("id", "genus", *[f"filled_{r}" for r in _GAP_RANKS])
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """The whole chain: derived sources -> conform -> merge -> taxa -> dedupe ->
     fill, rendered in the source project's array format."""
