@@ -34,7 +34,7 @@ def main() -> None:
 
     n_cpu = int(cpus) if cpus.isdigit() else os.cpu_count() or 8
     spark = local_session(
-        cores=cpus, shuffle_partitions=max(8, 2 * n_cpu), app="taxaweave-bench", checkpoint_dir=f"{scratch}/ckpt"
+        cores=cpus, shuffle_partitions=n_cpu, app="taxaweave-bench", checkpoint_dir=f"{scratch}/ckpt"
     )
     n_files = max(8, 2 * n_cpu)
 

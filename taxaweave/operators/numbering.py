@@ -56,7 +56,7 @@ def dense_id(
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     )
     path = scratch_path(spark, "dense-id")
-    positioned.write.mode("overwrite").parquet(path)
+    positioned.write.mode("overwrite").option("compression", "lz4").parquet(path)  # scratch only
     if persist_input:
         source.unpersist()
     stored = spark.read.parquet(path)
