@@ -111,14 +111,17 @@ def hierarchical_fill(
     lookups = fill_lookups(order)
     involved = sorted({*order.keys(), *lookups.keys(), *[t for ts in lookups.values() for t in ts]})
     paths = _path_counts(df, involved).persist(StorageLevel.MEMORY_AND_DISK)
+    n_paths = paths.count()
     wide_cols = sorted({t for ts in lookups.values() for t in ts})
     wide = (
         _modes_from_paths(paths, lookups)
         .groupBy("level", "key")
         .agg(*[F.max(F.when(F.col("target") == t, F.col("best"))).alias(f"best_{t}") for t in wide_cols])
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    small_wide = wide.count() <= max_broadcast_rows
+    # every (level, key) comes from some path: at most len(lookups) x n_paths rows
+    small_wide = len(lookups) * n_paths <= max_broadcast_rows
+    if small_wide:
+        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
 
     filled_paths = paths
     for level, targets in lookups.items():
@@ -138,7 +141,7 @@ def hierarchical_fill(
             for t, levels in order.items()
         ],
     )
-    if paths.count() <= max_broadcast_rows:
+    if n_paths <= max_broadcast_rows:
         filled_paths = F.broadcast(filled_paths)
 
     cond = None

@@ -220,6 +220,27 @@ def crosswalk_ids(taxa: LinkedTaxa, prefix: str = "wfo-") -> DataFrame:
     return taxa._keyed(links, ["external_id"]).withColumnRenamed("taxon_id", "id")
 
 
+def coverage_all(sources: dict[str, tuple[DataFrame, str, str]], final: LinkedTaxa) -> DataFrame:
+    """Coverage of several sources in one pass: (source_id, source_name,
+    error_message) for every distinct source record whose id is linked to no
+    final taxon. ``sources`` maps a key to (conformed frame, id prefix, label).
+    One union, one distinct, one anti join."""
+    c = F.col
+    parts = []
+    for _key, (frame, prefix, label) in sources.items():
+        parts.append(
+            frame.select(c("id").alias("source_id"), c("name").alias("source_name"))
+            .where(c("source_id").isNotNull() & c("source_id").startswith(prefix))
+            .withColumn("error_message", F.lit(f"{label} source record missing from final dataset"))
+        )
+    src = parts[0]
+    for p in parts[1:]:
+        src = src.unionByName(p)
+    src = src.distinct()
+    present = final.ids.select("external_id").where(c("external_id").isNotNull())
+    return src.join(present, src["source_id"] == present["external_id"], "left_anti")
+
+
 def coverage(source_conformed: DataFrame, final: LinkedTaxa, prefix: str, label: str) -> DataFrame:
     """Distinct source (id, name) whose id is linked to no final taxon (K9):
     a distinct and one anti join against the id links."""
@@ -267,9 +288,11 @@ def write_outputs(
 
     Published, like the source project's models: the conformed sources
     (``wfo``, ``gbif``, ``wiz``), ``taxonomy_merged``, ``taxa_deduplicated``
-    with its link tables ``taxa_external_ids`` / ``taxa_sources``,
-    ``taxa_filled``, ``crosswalk_wfo`` and ``missing_{wfo,gbif,wiz}``; with
-    ``reference_arrays`` also ``taxa_filled_arrays`` (array format).
+    with its id links ``taxa_external_ids``, ``taxa_filled``,
+    ``crosswalk_wfo`` and ``missing_records`` (all three sources' coverage
+    failures, labelled); with ``reference_arrays`` also ``taxa_filled_arrays``
+    (array format). A taxon's own source records are the merged records of
+    the surviving taxa (a semi join), derived only when needed.
 
     Every table that feeds more than one later step is written once and read
     back, so no part of the chain runs twice; each later read prunes to the
@@ -286,16 +309,29 @@ def write_outputs(
     conformed = {k: publish(v, k) for k, v in (("wfo", wfo), ("gbif", gbif), ("wiz", wiz))}
     merged = publish(merge_sources(conformed["wfo"], conformed["gbif"], conformed["wiz"]), "taxonomy_merged")
     dedup = deduplicate_taxa(build_taxa(merged, num_partitions=num_partitions))
-    stored = LinkedTaxa(
-        publish(dedup.attrs, "taxa_deduplicated"),
-        publish(dedup.ids, "taxa_external_ids"),
-        publish(dedup.sources, "taxa_sources"),
+    attrs = publish(dedup.attrs, "taxa_deduplicated")
+    ids = publish(dedup.ids, "taxa_external_ids")
+    # a taxon's own source records: the merged records of the surviving taxa
+    recs = merged.where(F.col("rank").isin(list(RANKS_SPECIFIC))).select(
+        "name", "rank", F.col("id").alias("external_id"), "data_source"
     )
-    final = LinkedTaxa(publish(fill_taxa(stored).attrs, "taxa_filled"), stored.ids, stored.sources)
+    keys = attrs.select(F.col("name").alias("__n"), F.col("rank").alias("__r"))
+    sources = recs.join(keys, _null_safe_on(recs, keys, [("name", "__n"), ("rank", "__r")]), "left_semi")
+    stored = LinkedTaxa(attrs, ids, sources)
+    final = LinkedTaxa(publish(fill_taxa(stored).attrs, "taxa_filled"), ids, sources)
     paths["taxa"] = paths["taxa_filled"]
     publish(crosswalk_ids(final, "wfo-"), "crosswalk_wfo")
-    for key, prefix, label in (("wfo", "wfo-", "WFO"), ("gbif", "gbif-", "GBIF"), ("wiz", "wiz-", "OrchidWiz")):
-        publish(coverage(conformed[key], final, prefix, label), f"missing_{key}")
+    publish(
+        coverage_all(
+            {
+                "wfo": (conformed["wfo"], "wfo-", "WFO"),
+                "gbif": (conformed["gbif"], "gbif-", "GBIF"),
+                "wiz": (conformed["wiz"], "wiz-", "OrchidWiz"),
+            },
+            final,
+        ),
+        "missing_records",
+    )
     if reference_arrays:
         publish(final.arrays(), "taxa_filled_arrays")
     return paths

@@ -86,3 +86,20 @@ def test_downstream(spark):
         "wfo-0000000007", "wfo-0000000009"}
     assert {r["source_id"] for r in pipeline.coverage(gbif, res.filled, "gbif-", "GBIF").collect()} == {"gbif-6"}
     assert pipeline.coverage(wiz, res.filled, "wiz-", "OrchidWiz").count() == 0
+
+
+def test_write_outputs(spark):
+    import tempfile
+
+    wfo, gbif, wiz = _build(spark)
+    out = tempfile.mkdtemp(prefix="tw-out-")
+    paths = pipeline.write_outputs(spark, wfo, gbif, wiz, out, reference_arrays=True)
+    assert spark.read.parquet(paths["taxa_filled"]).count() == 8
+    missing = {(r["source_id"], r["error_message"].split(" ")[0]) for r in spark.read.parquet(paths["missing_records"]).collect()}
+    assert missing == {("wfo-0000000007", "WFO"), ("wfo-0000000009", "WFO"), ("gbif-6", "GBIF")}
+    assert {r["external_id"] for r in spark.read.parquet(paths["crosswalk_wfo"]).collect()} == {
+        "wfo-0000000001", "wfo-0000000004", "wfo-0000000008"}
+    arrays = {r["name"]: r for r in spark.read.parquet(paths["taxa_filled_arrays"]).collect()}
+    alba = arrays["Cattleya labiata ssp. alba"]
+    assert alba["external_ids"] == ["gbif-2", "gbif-3", "wfo-0000000008", "wiz-101", "wiz-infra-10-3"]
+    assert sorted(alba["data_sources"]) == ["GBIF", "OrchidWiz", "WFO"]
