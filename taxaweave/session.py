@@ -22,6 +22,7 @@ def local_session(
 
     On a cluster, build the session with the cluster's own settings instead; the
     library only relies on AQE being on and the session time zone being UTC.
+    ``checkpoint_dir`` is used only when ``spark.checkpoint.dir`` is unset.
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -35,14 +36,17 @@ def local_session(
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if checkpoint_dir:
-        builder = builder.config(_CHECKPOINT_KEY, checkpoint_dir)
     event_log = os.environ.get("TAXAWEAVE_EVENT_LOG")
     if event_log:
         os.makedirs(event_log, exist_ok=True)
         builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # The cluster's shared folder wins; ``checkpoint_dir`` is only a fallback
+    # for sessions where none is configured (tests, local runs).
+    sc = spark.sparkContext
+    if checkpoint_dir and not spark.conf.get(_CHECKPOINT_KEY, None) and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(checkpoint_dir)
     return spark
 
 
