@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from taxaweave.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
 from taxaweave.schemas import FILL_ORDER, fill_lookups
+from taxaweave.session import track
 
 
 def _q(c: str):
@@ -110,7 +111,7 @@ def hierarchical_fill(
     """
     lookups = fill_lookups(order)
     involved = sorted({*order.keys(), *lookups.keys(), *[t for ts in lookups.values() for t in ts]})
-    paths = _path_counts(df, involved).persist(StorageLevel.MEMORY_AND_DISK)
+    paths = track(_path_counts(df, involved).persist(StorageLevel.MEMORY_AND_DISK))
     n_paths = paths.count()
     wide_cols = sorted({t for ts in lookups.values() for t in ts})
     wide = (
@@ -121,7 +122,7 @@ def hierarchical_fill(
     # every (level, key) comes from some path: at most len(lookups) x n_paths rows
     small_wide = len(lookups) * n_paths <= max_broadcast_rows
     if small_wide:
-        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
+        wide = track(wide.persist(StorageLevel.MEMORY_AND_DISK))
 
     filled_paths = paths
     for level, targets in lookups.items():
@@ -163,7 +164,7 @@ def fill_from_mode(
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Add ``prefix+target = coalesce(target, mode of target for this key)``."""
-    modes = mode_by_key(df, key, targets, prefix="__best_", all_keys=False).persist(StorageLevel.MEMORY_AND_DISK)
+    modes = track(mode_by_key(df, key, targets, prefix="__best_", all_keys=False).persist(StorageLevel.MEMORY_AND_DISK))
     if modes.count() <= max_broadcast_rows:
         modes = F.broadcast(modes)
     modes = modes.withColumnRenamed(key, "__mkey")

@@ -8,6 +8,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from taxaweave.session import track
+
 # Rows above which a lookup side is never broadcast, whatever its width.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
@@ -19,7 +21,7 @@ def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_RO
 
     The side is persisted first, so the count and the later join read it once.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    small = track(small.persist(StorageLevel.MEMORY_AND_DISK))
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small
 

@@ -298,8 +298,11 @@ def write_outputs(
     back, so no part of the chain runs twice; each later read prunes to the
     columns it needs.
     """
+    from taxaweave.session import release_tracked, tracked_mark
+
     out_dir = out_dir.rstrip("/")
     paths: dict[str, str] = {}
+    mark = tracked_mark()
 
     def publish(df: DataFrame, name: str) -> DataFrame:
         paths[name] = f"{out_dir}/{name}"
@@ -334,4 +337,5 @@ def write_outputs(
     )
     if reference_arrays:
         publish(final.arrays(), "taxa_filled_arrays")
+    release_tracked(mark)  # everything is written: drop the chain's cached helpers
     return paths

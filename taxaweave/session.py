@@ -87,3 +87,25 @@ def local_fs_path(path: str) -> str:
 def ensure_parent(path: str) -> None:
     if "://" not in path:
         os.makedirs(os.path.dirname(local_fs_path(path)), exist_ok=True)
+
+
+# Frames the library persists for reuse inside one plan (size-checked
+# broadcast sides, fill path tables). Callers that run a whole chain release
+# them when the chain's outputs are written.
+_TRACKED: list = []
+
+
+def track(df):
+    """Remember a frame the library persisted; returns it unchanged."""
+    _TRACKED.append(df)
+    return df
+
+
+def tracked_mark() -> int:
+    return len(_TRACKED)
+
+
+def release_tracked(since: int = 0) -> None:
+    """Unpersist frames tracked after ``since`` (a value of tracked_mark())."""
+    while len(_TRACKED) > since:
+        _TRACKED.pop().unpersist()
