@@ -190,8 +190,17 @@ def q_array_equals(spark, sf):
     return T(spark, sf, "part").select("p_partkey", N.array_equals(F.split("p_name", " "), ["small", "ring"]).alias("is_small_ring"))
 
 
-# FIXED group table for the tagging proxy (a category may list a value twice)
-_TYPE_GROUPS = {"sized": ["SMALL", "MEDIUM", "LARGE"], "sales": ["PROMO", "ECONOMY"], "budget": ["ECONOMY"]}
+# Group configuration for the tagging proxy: part types in groups; a type may
+# sit in two groups (one-to-many join).
+_TYPE_GROUPS_YAML = """
+sized:
+  description: by size
+  families: [SMALL, MEDIUM, LARGE]
+sales:
+  families: [PROMO, ECONOMY]
+budget:
+  families: [ECONOMY]
+"""
 
 
 @query(
@@ -200,8 +209,10 @@ _TYPE_GROUPS = {"sized": ["SMALL", "MEDIUM", "LARGE"], "sales": ["PROMO", "ECONO
     "('sales', 'PROMO'), ('sales', 'ECONOMY'), ('budget', 'ECONOMY')) g(grp, member) ON p.p_type = g.member",
 )
 def q_tag_groups(spark, sf):
-    dim = spark.createDataFrame([(g, m) for g, ms in _TYPE_GROUPS.items() for m in ms], "grp string, member string")
-    return J.lookup_join(T(spark, sf, "part"), dim, "p_type", "member").select("p_partkey", "grp")
+    from taxaweave.sources.groups import load_family_groups, tag_family_group
+
+    groups = load_family_groups(spark, _TYPE_GROUPS_YAML)
+    return tag_family_group(T(spark, sf, "part"), groups, "p_type").select("p_partkey", c("group").alias("grp"))
 
 
 # ---------------------------------------------------------------------------

@@ -139,3 +139,24 @@ def test_line_repair(spark):
 
 def test_source_key_rule():
     assert I.clean_key_py("My-Source file") == "my_source_file"
+
+
+def test_family_groups(spark):
+    from taxaweave.sources.groups import load_family_groups, tag_family_group
+
+    text = """
+a:
+  description: first
+  families: [F1, F2]
+b:
+  groups:
+    sub: [F2, F3]
+meta:
+  description: not a group
+  notes: [x]
+"""
+    groups = load_family_groups(spark, text)
+    assert groups.count() == 4
+    df = spark.createDataFrame([("t1", "F2"), ("t2", "F9")], "id string, family string")
+    out = sorted((r["id"], r["group"], r["subgroup"]) for r in tag_family_group(df, groups).collect())
+    assert out == [("t1", "a", None), ("t1", "b", "sub"), ("t2", None, None)]
