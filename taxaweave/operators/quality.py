@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -60,9 +60,11 @@ def expression_is_true(df: DataFrame, expr: str | Column, null_fails: bool = Tru
 
 
 def _count_pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    ca = a.agg(F.count(F.lit(1)).alias("n_left"))
-    cb = b.agg(F.count(F.lit(1)).alias("n_right"))
-    return ca.crossJoin(cb)  # two one-row aggregates
+    """One row (n_left, n_right): two one-row aggregates stacked and summed."""
+    zero = F.lit(0).cast("long")
+    ca = a.agg(F.count(F.lit(1)).alias("n_left")).select("n_left", zero.alias("n_right"))
+    cb = b.agg(F.count(F.lit(1)).alias("n_right")).select(zero.alias("n_left"), "n_right")
+    return ca.unionByName(cb).agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
 
 
 def equal_rowcount(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -110,19 +112,37 @@ def recency(df: DataFrame, col: str, reference: Column, interval: str) -> DataFr
     return latest.where(F.col("latest").isNull() | (F.col("latest") < threshold))
 
 
+def _with_neighbour(
+    df: DataFrame, partition_by: Sequence[str], order: Sequence[str], value: str, offset: int, out: str
+) -> DataFrame:
+    """``lag``/``lead`` of ``value`` by ``offset`` rows within each partition,
+    without putting a partition into one task: rows are numbered per
+    partition by the distributed ``sequence_in_group`` and joined to their
+    neighbour on (partition, number + offset), a key that spreads a hot
+    partition over many tasks."""
+    from taxaweave.operators.numbering import sequence_in_group
+
+    numbered = sequence_in_group(df, list(partition_by), [_q(o).asc_nulls_first() for o in order], out="__seq")
+    nb = numbered.select(
+        *[_q(p).alias(f"__nb_{i}") for i, p in enumerate(partition_by)],
+        (F.col("__seq") - offset).alias("__nb_seq"),
+        _q(value).alias(out),
+    )
+    cond = numbered["__seq"] == nb["__nb_seq"]
+    for i, p in enumerate(partition_by):
+        cond = cond & numbered[f"`{p}`"].eqNullSafe(nb[f"__nb_{i}"])
+    return numbered.join(nb, cond, "left").drop("__seq", "__nb_seq", *[f"__nb_{i}" for i in range(len(partition_by))])
+
+
 def sequential_values(df: DataFrame, col: str, partition_by: Sequence[str], interval=1, order_by: Sequence[str] | None = None) -> DataFrame:
     """Rows whose value is not the previous value + ``interval`` within
-    their partition. A partition key is required: an unpartitioned ``lag``
-    would put the whole table into one task.
-    """
+    their partition (ordered by ``order_by``, default the value itself).
+    The previous value comes from :func:`_with_neighbour`, so a partition
+    holding a third of all rows is still spread over many tasks."""
     if not partition_by:
         raise ValueError("sequential_values needs partition_by columns")
-    order = [_q(c) for c in (order_by or [col])]
-    w = Window.partitionBy(*[_q(p) for p in partition_by]).orderBy(*order)
-    prev = F.lag(_q(col)).over(w)
-    return df.withColumn("previous_value", prev).where(
-        F.col("previous_value").isNotNull() & (_q(col) != F.col("previous_value") + interval)
-    )
+    prev = _with_neighbour(df, partition_by, list(order_by or [col]), col, -1, "previous_value")
+    return prev.where(F.col("previous_value").isNotNull() & (_q(col) != F.col("previous_value") + interval))
 
 
 def cardinality_equality(a: DataFrame, col_a: str, b: DataFrame, col_b: str) -> DataFrame:
@@ -139,11 +159,10 @@ def cardinality_equality(a: DataFrame, col_a: str, b: DataFrame, col_b: str) ->
 
 def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str, partition_by: Sequence[str]) -> DataFrame:
     """Rows whose [lower, upper) range overlaps the next range of the same
-    partition (ordered by lower, upper)."""
-    w = Window.partitionBy(*[_q(p) for p in partition_by]).orderBy(_q(lower), _q(upper))
-    return df.withColumn("next_lower", F.lead(_q(lower)).over(w)).where(
-        F.col("next_lower").isNotNull() & (F.col("next_lower") < _q(upper))
-    )
+    partition (ordered by lower, upper); the next range comes from
+    :func:`_with_neighbour` (skew-safe)."""
+    nxt = _with_neighbour(df, partition_by, [lower, upper], lower, 1, "next_lower")
+    return nxt.where(F.col("next_lower").isNotNull() & (F.col("next_lower") < _q(upper)))
 
 
 def equality(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -454,8 +454,14 @@ def q_distinct_unnest(spark, sf):
     "SELECT (SELECT count(*) FROM lineitem) AS n_lineitem, (SELECT count(*) FROM orders) AS n_orders, (SELECT count(*) FROM part) AS n_part",
 )
 def q_global_count(spark, sf):
-    counts = [T(spark, sf, t).agg(F.count(F.lit(1)).alias(f"n_{t}")) for t in ("lineitem", "orders", "part")]
-    return counts[0].crossJoin(counts[1]).crossJoin(counts[2])
+    names = ("lineitem", "orders", "part")
+    zero = F.lit(0).cast("long")
+    parts = [
+        T(spark, sf, t).agg(F.count(F.lit(1)).alias(f"n_{t}")).select(*[(c(f"n_{u}") if u == t else zero.alias(f"n_{u}")) for u in names])
+        for t in names
+    ]
+    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return stacked.agg(*[F.sum(f"n_{u}").alias(f"n_{u}") for u in names])
 
 
 @query(

@@ -160,3 +160,29 @@ meta:
     df = spark.createDataFrame([("t1", "F2"), ("t2", "F9")], "id string, family string")
     out = sorted((r["id"], r["group"], r["subgroup"]) for r in tag_family_group(df, groups).collect())
     assert out == [("t1", "a", None), ("t1", "b", "sub"), ("t2", None, None)]
+
+
+def test_sequential_and_ranges_match_brute_force(spark):
+    import random
+
+    rng = random.Random(7)
+    rows = []
+    for i in range(600):
+        p = "hot" if i % 3 == 0 else f"p{i % 11}"
+        rows.append((p, i * 2 + (1 if rng.random() < 0.2 else 0), i * 10, i * 10 + rng.choice([5, 10, 45, 200])))
+    df = spark.createDataFrame(rows, "p string, v long, lo long, hi long")
+    got = sorted((r["p"], r["v"], r["previous_value"]) for r in QC.sequential_values(df, "v", ["p"], interval=6).collect())
+    exp = []
+    by = {}
+    for p, v, lo, hi in rows:
+        by.setdefault(p, []).append((v, lo, hi))
+    for p, vals in by.items():
+        vs = sorted(v for v, _, _ in vals)
+        exp += [(p, b, a) for a, b in zip(vs, vs[1:]) if b != a + 6]
+    assert got == sorted(exp)
+    got_r = sorted((r["p"], r["lo"], r["next_lower"]) for r in QC.mutually_exclusive_ranges(df, "lo", "hi", ["p"]).collect())
+    exp_r = []
+    for p, vals in by.items():
+        rs = sorted((lo, hi) for _, lo, hi in vals)
+        exp_r += [(p, a[0], b[0]) for a, b in zip(rs, rs[1:]) if b[0] < a[1]]
+    assert got_r == sorted(exp_r) and len(exp_r) > 0
