@@ -60,6 +60,7 @@ def main() -> None:
         )
 
     load_raw(sf_dir, "")
+    raw_rows = {k: tbl(f"raw_{k}").count() for k in ("wfo", "gbif", "wiz_species_names", "wiz_infras")}
 
     # --- headline: the chain, raw tables -> published tables --------------
     # Run twice: the first run pays JVM JIT / codegen compilation; timings on
@@ -103,6 +104,9 @@ def main() -> None:
     rows.update({name: tbl(f"{name}_attrs").count() for name in ("taxa_group_id", "dedupe", "fill")})
     rows["published_taxa"] = spark.read.parquet(paths["taxa"]).count()
     queries = {"chain_end_to_end": chain, "chain_run_1": runs[0], "chain_run_2": runs[1], **timings, "staged_total": staged_total}
+    # rows out per second per stage, comparable with the baseline's derived rows/s
+    throughput = {k: round(rows[k] / timings[k]) for k in rows if k in timings and timings[k] > 0}
+    throughput["chain_raw_rows_per_s"] = round(sum(raw_rows.values()) / chain)
 
     print(
         json.dumps(
@@ -112,6 +116,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": queries,
                 "rows": rows,
+                "raw_rows": raw_rows,
+                "rows_per_sec": throughput,
                 "sf": os.path.basename(sf_dir).replace("sf", ""),
                 "cpus": cpus,
                 "runs": "value = best of two chain runs in one session (both in queries.chain_run_1/2)",
