@@ -26,6 +26,18 @@ def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_RO
     return F.broadcast(small) if n <= max_rows else small
 
 
+def bounded_broadcast_many(frames: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> list[DataFrame]:
+    """:func:`bounded_broadcast` for several lookup sides with ONE counting job
+    (a union of one-row counts), each marked for broadcast only if proven small."""
+    kept = [track(f.persist(StorageLevel.MEMORY_AND_DISK)) for f in frames]
+    counts = None
+    for i, f in enumerate(kept):
+        part = f.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+        counts = part if counts is None else counts.unionByName(part)
+    sizes = {r["i"]: r["n"] for r in counts.collect()}  # one row per frame
+    return [F.broadcast(f) if sizes[i] <= max_rows else f for i, f in enumerate(kept)]
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -34,12 +46,15 @@ def lookup_join(
     how: str = "left",
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     cast_keys_to: str | None = None,
+    checked: bool = False,
 ) -> DataFrame:
     """Left (or inner) join to a lookup table.
 
     ``cast_keys_to="string"`` compares the keys as text on both sides (the
     int-to-text key join). The lookup side is broadcast only behind a row-count
-    check. A lookup key that repeats fans the left row out, as in SQL.
+    check (``checked=True``: the caller already applied one, e.g. with
+    :func:`bounded_broadcast_many`). A lookup key that repeats fans the left
+    row out, as in SQL.
     """
     lefts = [left_on] if not isinstance(left_on, (list, tuple)) else list(left_on)
     rights = [right_on] if not isinstance(right_on, (list, tuple)) else list(right_on)
@@ -48,7 +63,7 @@ def lookup_join(
     if cast_keys_to:
         lk = [c.cast(cast_keys_to) for c in lk]
         rk = [c.cast(cast_keys_to) for c in rk]
-    right = bounded_broadcast(lookup, max_broadcast_rows)
+    right = lookup if checked else bounded_broadcast(lookup, max_broadcast_rows)
     cond = None
     for a, b in zip(lk, rk):
         e = a == b

@@ -25,7 +25,7 @@ from taxaweave.functions.names import (
     unguarded_prefix,
 )
 from taxaweave.operators.dedupe import asc, desc, top1_per_key
-from taxaweave.operators.joins import lookup_join
+from taxaweave.operators.joins import bounded_broadcast_many, lookup_join
 from taxaweave.operators.numbering import sequence_in_group
 from taxaweave.schemas import (
     CONFORMED_COLUMNS,
@@ -210,8 +210,22 @@ def conform_wiz(
         c("Subgenus").alias("c_subgenus"),
         c("Section").alias("c_section"),
     )
-    joined = lookup_join(all_taxa, g, "genus_abbrev", "__g_abbrev")
-    joined = lookup_join(joined, cl, c("species_id").cast("string"), "__c_species")
+    species_rows = main.where(c("determined_rank") == "species").select(
+        "species_id", "genus_abbrev", "species_epithet", "spname_id", F.lit(1).alias("__hit")
+    )
+    parents = species_rows.groupBy("species_id", "genus_abbrev", "species_epithet").agg(
+        F.min("spname_id").alias("__parent_spname"), F.max("__hit").alias("__parent_hit")
+    ).select(
+        c("species_id").alias("__p_sid"),
+        c("genus_abbrev").alias("__p_genus"),
+        c("species_epithet").alias("__p_epithet"),
+        c("__parent_spname").alias("__parent_id"),
+        c("__parent_hit").alias("__has_parent"),
+    )
+    # the three lookup sides are size-checked together (one job)
+    g, cl, parents = bounded_broadcast_many([g, cl, parents])
+    joined = lookup_join(all_taxa, g, "genus_abbrev", "__g_abbrev", checked=True)
+    joined = lookup_join(joined, cl, c("species_id").cast("string"), "__c_species", checked=True)
 
     numbered = sequence_in_group(
         joined,
@@ -230,24 +244,12 @@ def conform_wiz(
         out="__seq",
     )
 
-    species_rows = main.where(c("determined_rank") == "species").select(
-        "species_id", "genus_abbrev", "species_epithet", "spname_id", F.lit(1).alias("__hit")
-    )
-    parents = species_rows.groupBy("species_id", "genus_abbrev", "species_epithet").agg(
-        F.min("spname_id").alias("__parent_spname"), F.max("__hit").alias("__parent_hit")
-    )
-    parents = parents.select(
-        c("species_id").alias("__p_sid"),
-        c("genus_abbrev").alias("__p_genus"),
-        c("species_epithet").alias("__p_epithet"),
-        c("__parent_spname").alias("__parent_id"),
-        c("__parent_hit").alias("__has_parent"),
-    )
     with_parent = lookup_join(
         numbered,
         parents,
         ["species_id", "genus_abbrev", "species_epithet"],
         ["__p_sid", "__p_genus", "__p_epithet"],
+        checked=True,
     )
 
     genus = F.coalesce(c("g_name"), c("genus_abbrev"))
