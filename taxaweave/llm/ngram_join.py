@@ -1,11 +1,14 @@
 """N-gram Jaccard self-join of whole texts with a count-vector R-tree.
 
-Two documents link when ``100 * overlap >= 90 * union`` of their distinct
-3-word shingles. Documents of equal sets are one node (they link trivially).
-
-1. Deal: every node's set is cut into hash groups; two linked sets always have
-   a group in common (``ngram_sets.signatures``), so nodes that share one are
-   brought into one cluster. No frequent shingle, line or passage does that.
+Two documents link when ``100 * overlap >= near * union`` of their distinct
+word shingles. Documents of equal sets are one node (they link trivially).
+
+0. Count: all shingles of the corpus are counted in fixed hash slots.
+1. Deal: every set is cut into hash groups; two linked sets always have one of
+   their keyed group contents in common (``ngram_sets.bucket_keys``; contents rare by
+   those counts are keyed first, so common passages bring nothing together). Documents
+   that share a key are chained, and the chains' components are the clusters:
+   no linked pair lies across two of them.
 2. Index: a cluster's nodes are points of counts by hash group in an R-tree;
    a synchronous traversal keeps the pairs whose summed coordinate minima allow
    the overlap. A cluster of over ``tile`` shingles is cut into tiles by set
@@ -32,12 +35,17 @@ from pyspark.sql import functions as F
 
 from taxaweave.llm.common import query, ranked, table, written
 from taxaweave.llm.graphs import components
-from taxaweave.llm.ngram_sets import point, set_id, shingle_sets, signatures
+from taxaweave.llm.ngram_sets import SLOTS, bucket_keys, level, point, set_id, shingle_sets, slots
 from taxaweave.llm.rtree import RTree, joined
 
-NEAR = 90
+#: Words of a shingle and per cent of overlap to union, unless told otherwise.
+N_WORDS, NEAR = 5, 80
 #: Shingles of a cluster that one tile holds, about.
 TILE = 200_000
+#: Rows that a task's slot counts take.
+PARTS = 64
+#: Sets whose keys a task remembers to have given already.
+SEEN = 200_000
 #: Bytes of text that are hashed at a time.
 CHUNK_BYTES = 1 << 20
 
@@ -54,35 +62,82 @@ def _chunks(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
         yield own
 
 
-def shingled(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node (id of the set; 0 for the empty one), keys."""
+def shingled(docs: DataFrame, n_words: int) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, n, node): size and id of each document's set, 0 for the empty
+    one; and how many shingles of the corpus fall into each hash slot, on a
+    logarithmic scale. A task leaves its counts in ``PARTS`` rows."""
+    width = SLOTS // PARTS
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
         for b in batches:
             at = 0
             for own in _chunks(b.column(1).to_pylist()):
-                sets = shingle_sets(own)
-                keys = [signatures(s).view(np.int64) for s in sets]
-                ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-                flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
+                sets = shingle_sets(own, n_words)
+                counts += np.bincount(slots(np.concatenate(sets)), minlength=SLOTS)
                 n = pa.array([len(s) for s in sets], pa.int64())
                 node = pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(own)), n, node, flat], names=["doc_id", "n", "node", "keys"])
+                none = [pa.nulls(len(own), t) for t in (pa.int32(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(own)), n, node, *none], names=["doc_id", "n", "node", "part", "counts"])
+                at += len(own)
+        if counts.any():
+            arrays = [pa.nulls(PARTS, pa.int64())] * 3 + [pa.array(range(PARTS), pa.int32()), pa.array([counts[k * width : (k + 1) * width].tobytes() for k in range(PARTS)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "node", "part", "counts"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for part, counts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                total[part] = total.get(part, 0) + np.frombuffer(counts, np.int64)
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["part", "counts"])
+
+    done = written(_narrow(docs).mapInArrow(hashed, "doc_id long, n long, node long, part int, counts binary"), "shingles")
+    parts = done.where("part is not null").select("part", "counts").repartition("part").mapInArrow(summed, "part int, counts binary").collect()  # PARTS rows of fixed size
+    counts = np.zeros(SLOTS, np.int64)
+    for r in parts:
+        counts[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["counts"], np.int64)
+    return done.where("part is null").select("doc_id", "n", "node"), level(counts)
+
+
+def _narrow(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+
+
+def keyed(docs: DataFrame, n_words: int, near: int, levels: np.ndarray) -> DataFrame:
+    """doc_id, key. A task gives the keys of equal sets once."""
+    held = docs.sparkSession.sparkContext.broadcast(levels)  # SLOTS bytes
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in batches:
+            at = 0
+            for own in _chunks(b.column(1).to_pylist()):
+                ids, made = [], []
+                for doc, s in zip(b.column(0).slice(at, len(own)).to_pylist(), shingle_sets(own, n_words), strict=True):
+                    node = set_id(s) if len(s) else 0
+                    if len(s) and node not in seen:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(node)
+                        made.append(bucket_keys(s, near, held.value))
+                        ids.append(doc)
                 at += len(own)
+                if made:
+                    docs_ = np.repeat(np.array(ids, np.int64), [len(m) for m in made])
+                    yield pa.RecordBatch.from_arrays([pa.array(docs_), pa.array(np.concatenate(made).view(np.int64))], names=["doc_id", "key"])
 
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    return narrow.mapInArrow(hashed, "doc_id long, n long, node long, keys array<long>")
+    return _narrow(docs).where("doc_id is not null").mapInArrow(keys, "doc_id long, key long")
 
 
-def clusters(sets: DataFrame) -> DataFrame:
-    """(node, root): nodes that share keys, directly or through others."""
-    keyed = sets.select("node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other")).where("centre < other").select("key", "centre")
-    star = keyed.join(shared, "key").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    return components(star)
+def clusters(keys: DataFrame) -> DataFrame:
+    """(node, root) of doc_ids that share keys, directly or through others."""
+    chain = F.lag("doc_id").over(Window.partitionBy("key").orderBy("doc_id"))
+    edges = keys.withColumn("a", chain).where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    return components(edges)
 
 
-def tiles(nodes: DataFrame, tile: int) -> DataFrame:
+def tiles(nodes: DataFrame, tile: int, near: int) -> DataFrame:
     """Adds ``own`` (the node's tile) and ``left``, ``right``: the two tiles that
     meet in a task, one row for each. Nodes: root, node, n, rep."""
     cut = ranked(nodes, "root", ["n", "node"], weight="n").withColumn("own", F.floor(F.col("before") / tile)).drop("pos", "before")
@@ -93,17 +148,17 @@ def tiles(nodes: DataFrame, tile: int) -> DataFrame:
     # far to the right as their sizes can link
     sized = sizes.join(many, "root")
     after = sized.select("root", F.col("own").alias("right"), F.col("small").alias("their"))
-    meet = sized.join(after, "root").where((F.col("right") >= F.col("own")) & (100 * F.col("large") >= NEAR * F.col("their"))).select("root", F.col("own").alias("left"), "right")
+    meet = sized.join(after, "root").where((F.col("right") >= F.col("own")) & (100 * F.col("large") >= near * F.col("their"))).select("root", F.col("own").alias("left"), "right")
     ends = F.explode(F.array_distinct(F.array("left", "right"))).alias("own")
     return cut.join(meet.select("root", "left", "right", ends), ["root", "own"], "left").withColumns({c: F.coalesce(c, F.col("own")) for c in ("left", "right")})
 
 
-def verified(a: list[np.ndarray], b: list[np.ndarray] | None) -> Iterator[tuple[int, int]]:
+def verified(a: list[np.ndarray], b: list[np.ndarray] | None, near: int) -> Iterator[tuple[int, int]]:
     """Linked (i, j): within ``a``, or between ``a`` and ``b``."""
     left = RTree(np.array([point(s) for s in a]))
     right = left if b is None else RTree(np.array([point(s) for s in b]))
     b = a if b is None else b
-    for i, j in joined(left, right, NEAR):
+    for i, j in joined(left, right, near):
         order = np.argsort(i, kind="stable")
         i, j = i[order], j[order]
         for x, at in zip(*np.unique(i, return_index=True), strict=True):
@@ -113,11 +168,11 @@ def verified(a: list[np.ndarray], b: list[np.ndarray] | None) -> Iterator[tuple[
             where = np.searchsorted(a[x], flat)
             met = a[x][np.minimum(where, len(a[x]) - 1)] == flat
             overlap = np.add.reduceat(met.astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
-            for y in others[(100 + NEAR) * overlap >= NEAR * (sizes + len(a[x]))]:
+            for y in others[(100 + near) * overlap >= near * (sizes + len(a[x]))]:
                 yield int(x), int(y)
 
 
-def linked(met: DataFrame) -> DataFrame:
+def linked(met: DataFrame, n_words: int, near: int) -> DataFrame:
     """Rows (root, left, right, own, node, copies, text) dealt by task -> (a, b,
     links): forest edges, and per node (b null) the documents it links with."""
 
@@ -127,7 +182,7 @@ def linked(met: DataFrame) -> DataFrame:
         for (_, left, right), group in groupby(rows, key=lambda r: r[:3]):
             sides: dict[int, list] = {left: [], right: []}
             for _, _, _, own, node, copies, text in group:
-                s = shingle_sets([text])[0]
+                s = shingle_sets([text], n_words)[0]
                 if set_id(s) == node:  # a repeated doc_id may bring another text
                     sides[own].append((node, copies, s))
             sides = {k: list({r[0]: r for r in v}.values()) for k, v in sides.items()}
@@ -141,7 +196,7 @@ def linked(met: DataFrame) -> DataFrame:
                     x = above[x]
                 return x
 
-            for i, j in verified([r[2] for r in a], None if left == right else [r[2] for r in b]):
+            for i, j in verified([r[2] for r in a], None if left == right else [r[2] for r in b], near):
                 x, y = a[i], b[j]
                 count[x[0]] += y[1]
                 count[y[0]] += x[1]
@@ -162,17 +217,17 @@ def _edges(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b", "links"])
 
 
-def ngram_join(docs: DataFrame, tile: int = TILE) -> DataFrame:
+def ngram_join(docs: DataFrame, n_words: int = N_WORDS, near: int = NEAR, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (other documents linked)."""
-    sets = written(shingled(docs), "shingles")
+    sets, levels = shingled(docs, n_words)
     known = sets.where("doc_id is not null and n > 0")
     node = written(known.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies")), "nodes")
-    near = written(clusters(known).join(node, "node"), "clusters")
-    met = tiles(near.select("root", "node", "n", "rep", "copies"), tile)
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("binary").alias("text"))
-    tasks = met.join(texts, "rep").select("root", "left", "right", "own", "node", "copies", "text")
+    by_doc = clusters(keyed(docs, n_words, near, levels)).select(F.col("node").alias("doc_id"), "root")
+    near_by = by_doc.join(known, "doc_id").groupBy("node").agg(F.min("root").alias("root"))
+    met = tiles(written(near_by.join(node, "node").select("root", "node", "n", "rep", "copies"), "clusters"), tile, near)
+    tasks = met.join(_narrow(docs).withColumnRenamed("doc_id", "rep"), "rep").select("root", "left", "right", "own", "node", "copies", "text")
     dealt = tasks.repartition("root", "left", "right").sortWithinPartitions("root", "left", "right", "node")
-    links = written(linked(dealt), "links")
+    links = written(linked(dealt, n_words, near), "links")
     # the smallest doc_id of the component: of its nodes' smallest ones
     joined_ = components(links.where("b is not null"))
     small = joined_.join(node.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -226,4 +281,4 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.x = w.doc_id LEFT JOIN l ON l
 
 @query("op1_ngram_jaccard_join", ORACLE)
 def op1_ngram_jaccard_join(spark, sf_dir):
-    return ngram_join(table(spark, sf_dir, "documents"))
+    return ngram_join(table(spark, sf_dir, "documents"), n_words=3, near=90)

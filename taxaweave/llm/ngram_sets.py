@@ -1,9 +1,9 @@
-"""Shingle sets of texts, their count vectors and their bucket signatures, as
-numpy arrays over many texts at once. Helpers of ``ngram_join``.
+"""Shingle sets of texts, their count vectors and their bucket keys, as numpy
+arrays over many texts at once. Helpers of ``ngram_join``.
 
-Shingles stand as 64-bit hashes. A pair is linked when
-``100 * overlap >= 90 * union``, so two linked sets differ (symmetric
-difference) in at most ``smaller // 9`` shingles.
+Shingles stand as 64-bit hashes. A pair is linked when ``100 * overlap >=
+near * union``, so two linked sets differ (symmetric difference) in at most
+``smaller * (100 - near) / near`` shingles.
 """
 
 from __future__ import annotations
@@ -11,13 +11,12 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-N_WORDS = 3
 #: Coordinates of a point: shingles are counted in so many hash groups.
 GROUPS = 64
+#: Slots of the corpus-wide count of shingles.
+SLOTS = 1 << 18
 #: Size classes: a class ends where the sizes have grown by this factor.
 CLASS_GROWTH = 1.5
-#: The smallest set that another set of a different content can link with.
-LEAST = 9
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.zeros(256, bool)
@@ -69,23 +68,27 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.concatenate([[0], upto]))
 
 
-def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text: of every 3 words, of
-    all words where there are fewer, of nothing where there are none."""
+def shingle_sets(texts: list[bytes | None], n_words: int) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text: of every ``n_words``
+    words, of all words where there are fewer, of nothing where there are none."""
     hashes, counts = word_hashes([t or b"" for t in texts])
-    padded = np.concatenate([hashes, np.zeros(2, U)])
-    three = mix(padded[:-2] * U(3) + mix(padded[1:-1] + U(1)) * U(5) + mix(padded[2:] + U(2)) * U(7))
+    padded = np.concatenate([hashes, np.zeros(n_words, U)])
+    chained = padded
+    for k in range(1, n_words):
+        chained = mix(chained[:-1] * U(2 * k + 1) + padded[k : len(chained) - 1 + k])
     out, at = [], 0
     for n in counts.tolist():
-        if n >= N_WORDS:
-            own = np.sort(three[at : at + n - 2])
+        if n >= n_words:
+            own = np.sort(chained[at : at + n - n_words + 1])
             keep = np.empty(len(own), bool)
             keep[0] = True
             np.not_equal(own[1:], own[:-1], out=keep[1:])
             out.append(own[keep])
         elif n:
-            own = hashes[at : at + n]
-            out.append(mix(np.array([int(own[0]) * 11 + int(own[-1]) * 13 * (n == 2) + n & (1 << 64) - 1], U)))
+            whole = hashes[at : at + 1]
+            for k in range(1, n):
+                whole = mix(whole * U(2 * k + 1) + hashes[at + k : at + k + 1])
+            out.append(mix(whole + U(n)))
         else:
             out.append(np.zeros(0, U))
         at += n
@@ -102,9 +105,9 @@ def point(s: np.ndarray) -> np.ndarray:
     return np.bincount((s & U(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
 
 
-def size_class(n: int) -> tuple[int, int]:
+def size_class(n: int, least: int) -> tuple[int, int]:
     """(first, last) size of the class of size ``n``."""
-    lo = LEAST
+    lo = least
     while True:
         hi = int(lo * CLASS_GROWTH)
         if n <= hi:
@@ -112,46 +115,46 @@ def size_class(n: int) -> tuple[int, int]:
         lo = hi + 1
 
 
-def _groups(s: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Content hash and size of each of ``m`` hash groups of a sorted set."""
-    group = ((s >> U(32)) * U(m)) >> U(32)
-    count = np.bincount(group.astype(np.int64), minlength=m)
-    upto = np.concatenate([np.zeros(1, U), np.cumsum(mix(s), dtype=U)])
-    ends = np.cumsum(count)
-    return upto[ends] - upto[ends - count], count
+def level(counts: np.ndarray) -> np.ndarray:
+    """Slot counts on a fine logarithmic scale, a byte each."""
+    return np.minimum(4 * np.log2(counts + 1.0), 255).astype(np.uint8)
+
 
+def slots(s: np.ndarray) -> np.ndarray:
+    return (s & U(SLOTS - 1)).astype(np.int64)
 
-def signatures(s: np.ndarray) -> np.ndarray:
+
+def bucket_keys(s: np.ndarray, near: int, levels: np.ndarray) -> np.ndarray:
     """Bucket keys such that any two different linked sets share one.
 
-    For the smaller set's size class, up to ``k = last // 9`` shingles differ.
-    Both sets are cut by hash into ``m = k + 1 + spare`` groups; at least
-    ``spare + 1`` groups are then equal in both. A key is the content of a
-    group. Groups of under two shingles would be shared by chance: a set with
-    at most ``spare`` of them leaves them out (another equal group remains); a
-    set with more keeps them, each joined with the content of the ``k + 1``
-    groups that a second hash makes of the whole set, one of which is equal too.
+    In the smaller set's size class at most ``k = last * (100 - near) / near``
+    shingles differ. Both sets are cut by hash into ``m = 2 * (k + 1)`` groups;
+    each differing shingle spoils one group, so at least ``m - k`` group
+    contents are equal in both. By the prefix principle it is enough to key
+    each set by its first ``k + 1`` contents in any common order. The order is
+    by the count of the content's rarest shingle in the corpus (``levels`` by
+    slot), so that what many documents share comes last, then by falling size.
     A set is keyed in its own class and, where a smaller partner may be in the
     class below, in that one too.
     """
     n = len(s)
-    if n < LEAST:
+    least = -(-near // (100 - near))  # smaller sets link with equal ones only
+    if n < least:
         return np.zeros(0, U)
-    lo, hi = size_class(n)
+    lo, hi = size_class(n, least)
     classes = [(lo, hi)]
-    if lo > LEAST and 9 * n <= 10 * (lo - 1):
-        classes.append(size_class(lo - 1))
+    if lo > least and near * n <= 100 * (lo - 1):
+        classes.append(size_class(lo - 1, least))
+    upto = np.concatenate([np.zeros(1, U), np.cumsum(mix(s), dtype=U)])
+    rare = np.append(levels[slots(s)], np.uint8(255))
     out = []
     for lo, hi in classes:
-        k = hi // 9
-        spare = 1 + k // 10 if k >= 4 else 0
-        m = k + 1 + spare
-        content, count = _groups(s, m)
-        keys = mix(content + mix(np.arange(m, dtype=U) + U(lo << 32)))
-        dull = count < 2
-        out.append(keys[~dull])
-        if dull.sum() > spare:
-            again = np.sort(mix(s ^ U(0xD6E8FEB86659FD93)))
-            more = mix(_groups(again, k + 1)[0] + mix(np.arange(k + 1, dtype=U) + U(hi << 32)))
-            out.append(mix(keys[dull][:, None] + more[None, :] * U(3)).ravel())
-    return np.unique(np.concatenate(out))
+        k = hi * (100 - near) // near
+        m = 2 * (k + 1)
+        group = ((s >> U(32)) * U(m)) >> U(32)
+        count = np.bincount(group.astype(np.int64), minlength=m)
+        ends = np.cumsum(count)
+        keys = mix(upto[ends] - upto[ends - count] + mix(np.arange(m, dtype=U) + U(lo << 32)))
+        common = np.where(count > 0, np.minimum.reduceat(rare, ends - count), 255)
+        out.append(keys[np.lexsort((keys, -count, common))[: k + 1]])
+    return np.unique(np.concatenate(out)) if len(out) > 1 else out[0]
