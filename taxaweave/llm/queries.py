@@ -1,6 +1,6 @@
 """Registered queries of the subpackage: importing the operators fills ``QUERIES``."""
 
-from taxaweave.llm import decontamination, ngram_join, packing, token_files, toxicity  # noqa: F401
+from taxaweave.llm import decontamination, ngram_join, packing, sharding, token_files, toxicity  # noqa: F401
 from taxaweave.llm.common import QUERIES
 
 __all__ = ["QUERIES"]
