@@ -1,9 +1,10 @@
 """Document fingerprints after SpotSigs, in DataFrame expressions only.
 
 A spot is a common word (anchor); its signature is the anchor with the chain of
-the next ``CHAIN`` content words. A text of under ``FEW`` anchors has each of its
-content words as a signature besides; a text without words but with other
-characters has the hash of the whole as its only signature, an empty text none. The fingerprint is the
+the next ``CHAIN`` content words. A content word before any anchor, or over
+``FAR`` words behind the last one, is a signature itself. A text without words
+but with other characters has the hash of the whole as its only signature, an
+empty text none. The fingerprint is the
 sorted set of 32-bit signature hashes; equal texts have equal fingerprints.
 
 Two fingerprints are compared by Jaccard likeness (1 where both are empty). A
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from taxaweave.llm.common import query, table, written
 
 CHAIN = 2
-#: Texts of fewer anchors have their content words as signatures too.
-FEW = 4
+#: A content word over so many words behind the last anchor is a signature itself.
+FAR = 8
 
 # Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -50,17 +51,18 @@ def fingerprint(text: Column, chain: int = CHAIN) -> Column:
     anchors = sorted(set(ANCHORS))
 
     def spots(words: Column) -> Column:
+        places = lambda here: F.filter(F.transform(words, lambda w, i: F.when(here(w), i).otherwise(-1)), lambda i: i >= 0)
         content = F.filter(words, lambda w: ~w.isin(anchors))
-        where = F.filter(F.transform(words, lambda w, i: F.when(w.isin(anchors), i).otherwise(-1)), lambda i: i >= 0)
 
-        def chains(content: Column) -> Column:
-            # the j-th anchor at word i has i - j content words before it
-            at_anchor = lambda i, j: F.hash(F.get(words, i), *[F.get(content, i - j + k) for k in range(chain)])
-            at_word = lambda w: F.hash(F.lit(""), w)
-            few = lambda a: F.when(F.size(a) < FEW, F.transform(content, at_word)).otherwise(F.array().cast("array<int>"))
-            return let(where, lambda a: F.concat(F.transform(a, at_anchor), few(a)))
+        def signatures(content: Column, anchor_at: Column) -> Column:
+            # the j-th anchor at word i has i - j content words before it, the
+            # j-th content word at word i has i - j anchors before it
+            chains = F.transform(anchor_at, lambda i, j: F.hash(F.get(words, i), *[F.get(content, i - j + k) for k in range(chain)]))
+            far = lambda i, j: (i == j) | (i - F.get(anchor_at, i - j - 1) > FAR)
+            lone = F.transform(places(lambda w: ~w.isin(anchors)), lambda i, j: F.when(far(i, j), F.hash(F.lit(""), F.get(words, i))))
+            return F.concat(chains, F.array_compact(lone))
 
-        return let(content, chains)
+        return let(content, lambda c: let(places(lambda w: w.isin(anchors)), lambda a: signatures(c, a)))
 
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     none = F.when(F.length(text) > 0, F.array(F.hash(text))).otherwise(F.array().cast("array<int>"))
