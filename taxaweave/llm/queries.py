@@ -1,6 +1,6 @@
 """Registered queries of the subpackage: importing the operators fills ``QUERIES``."""
 
-from taxaweave.llm import decontamination, html_text, ngram_join, packing, sharding, spotsigs, token_files, toxicity  # noqa: F401
+from taxaweave.llm import chat_format, decontamination, html_text, licences, ngram_join, packing, sharding, spotsigs, token_files, toxicity  # noqa: F401
 from taxaweave.llm.common import QUERIES
 
 __all__ = ["QUERIES"]
