@@ -46,7 +46,7 @@ def joined(a: RTree, b: RTree, near: int = 90) -> Iterator[tuple[np.ndarray, np.
     """Row pairs (of a, of b) whose bound allows ``near`` per cent of overlap to
     union. With ``a is b`` each unordered pair comes once."""
     same = a is b
-    if not len(a.points) or not len(b.points):
+    if not len(a.points) or not len(b.points) or same and len(a.points) == 1:
         return
     depth = max(len(a.levels), len(b.levels)) - 1
     stack = [(depth, np.zeros(1, np.int64), np.zeros(1, np.int64))]

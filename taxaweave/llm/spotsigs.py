@@ -126,9 +126,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return both.select(doc, F.col("n").alias("n_chars"), "edited", fingerprint(F.col("text")).alias("print"), fingerprint(F.col("edited")).alias("edited_print"), "next_print")
 
 
-@query("op7_spotsigs_fingerprints")
-def op7_spotsigs_fingerprints(spark, sf_dir):
-    f = fingerprints(table(spark, sf_dir, "documents"))
+def op7_columns(f: DataFrame) -> DataFrame:
     return f.select(
         "doc_id",
         "n_chars",
@@ -138,3 +136,8 @@ def op7_spotsigs_fingerprints(spark, sf_dir):
         likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
         likeness(F.col("print"), F.col("next_print")).alias("near_next"),
     )
+
+
+@query("op7_spotsigs_fingerprints")
+def op7_spotsigs_fingerprints(spark, sf_dir):
+    return op7_columns(fingerprints(table(spark, sf_dir, "documents")))
