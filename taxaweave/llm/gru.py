@@ -17,6 +17,12 @@ WINDOW, STRIDE = 48, 32
 WORDS, WORD_DIM = 1 << 14, 16
 TRIGRAMS, CHAR_DIM = 1 << 12, 8
 HIDDEN, ATTENTION = 8, 8
+#: Words in fewer training texts share one vector: alone they could only be learnt by heart.
+MIN_TEXTS = 4
+#: Decay of all parameters per step, as a share of the rate.
+DECAY = 0.02
+#: Share of words hidden from each training step.
+DROPPED = 0.3
 F32 = np.float32
 
 #: ASCII letters to lower case, other ASCII but digits to a space.
@@ -70,8 +76,8 @@ def start(seed: int = 7) -> dict[str, np.ndarray]:
     r = np.random.default_rng(seed)
     wide = WORD_DIM + CHAR_DIM
     p = {
-        "word": r.normal(0, 0.1, (WORDS, WORD_DIM)),
-        "char": r.normal(0, 0.1, (TRIGRAMS, CHAR_DIM)),
+        "word": r.normal(0, 0.03, (WORDS, WORD_DIM)),
+        "char": r.normal(0, 0.03, (TRIGRAMS, CHAR_DIM)),
         "w": r.normal(0, wide**-0.5, (2, wide, 3 * HIDDEN)),
         "b": np.zeros((2, 1, 3 * HIDDEN)),
         "u": r.normal(0, HIDDEN**-0.5, (2, HIDDEN, 3 * HIDDEN)),
@@ -81,7 +87,7 @@ def start(seed: int = 7) -> dict[str, np.ndarray]:
         "o": r.normal(0, 0.3, 2 * HIDDEN),
         "ob": np.full(1, -2.0),
     }
-    return {k: v.astype(F32) for k, v in p.items()}
+    return {k: v.astype(F32) for k, v in p.items()} | {"row": np.arange(WORDS)}
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -90,7 +96,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def inputs(p: dict, x: Windows) -> np.ndarray:
     sums = np.add.reduceat(p["char"][x.trigram], x.ends - x.size, axis=0) / x.size[:, None].astype(F32)
-    return np.concatenate([p["word"][x.word], sums], axis=1)
+    return np.concatenate([p["word"][p["row"][x.word]], sums], axis=1)
 
 
 def forward(p: dict, x: Windows, rows: slice = slice(None), vectors: np.ndarray | None = None, keep: bool = False):
@@ -164,7 +170,7 @@ def backward(p: dict, x: Windows, kept: tuple, dlogit: np.ndarray) -> dict[str,
     g["w"] = vectors.T @ ddrive
     dvectors = (ddrive @ p["w"].transpose(0, 2, 1)).sum(axis=0)
     g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
-    np.add.at(g["word"], x.word, dvectors[:, :WORD_DIM])
+    np.add.at(g["word"], p["row"][x.word], dvectors[:, :WORD_DIM])
     np.add.at(g["char"], x.trigram, np.repeat(dvectors[:, WORD_DIM:] / x.size[:, None].astype(F32), x.size, axis=0))
     return g
 
@@ -181,11 +187,15 @@ def pooled(logit: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return out, weight
 
 
-def train(texts: list[bytes], labels: np.ndarray, steps: int, batch: int = 24, rate: float = 0.01, seed: int = 7) -> dict[str, np.ndarray]:
+def train(texts: list[bytes], labels: np.ndarray, steps: int, batch: int = 24, rate: float = 0.02, seed: int = 7) -> dict[str, np.ndarray]:
     """Adam on the documents' cross entropy, texts whole."""
     p = start(seed)
     r = np.random.default_rng(seed)
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
+    seen = np.zeros(WORDS, np.int64)
+    for text in texts:
+        seen[np.unique(Windows([text]).word)] += 1
+    p["row"] = np.where(seen >= MIN_TEXTS, np.arange(WORDS), 0)
     order: list[int] = []
     for step in range(1, steps + 1):
         if len(order) < batch:
@@ -194,6 +204,7 @@ def train(texts: list[bytes], labels: np.ndarray, steps: int, batch: int = 24, r
         x = Windows([texts[i] for i in rows])
         if not len(x.doc):
             continue
+        x.mask &= r.random(x.mask.shape) >= DROPPED
         y = labels[rows].astype(float)
         logit, kept = forward(p, x, keep=True)
         doc, weight = pooled(logit.astype(float), x.doc, len(rows))
@@ -203,6 +214,7 @@ def train(texts: list[bytes], labels: np.ndarray, steps: int, batch: int = 24, r
         for k, grad in backward(p, x, kept, dlogit).items():
             m[k] += F32(0.1) * (grad - m[k])
             v[k] += F32(0.01) * (grad * grad - v[k])
+            p[k] *= F32(1 - slow * DECAY)
             p[k] -= F32(slow) * (m[k] / F32(1 - 0.9**step)) / (np.sqrt(v[k] / F32(1 - 0.99**step)) + F32(1e-6))
     return p
 

@@ -14,11 +14,12 @@ from taxaweave.llm.html_render import parse, render
 from tests.llm.cases import documents, empty, frame
 
 SMALL = "/root/testdata/sf0.01"
+LARGER = "/root/testdata/sf0.1"  # a hundredth has too few toxic labels to learn from
 
 
 def test_gradients_are_right(monkeypatch):
     monkeypatch.setattr(gru, "F32", np.float64)
-    p = {k: v.astype(float) for k, v in gru.start().items()}
+    p = {k: v if k == "row" else v.astype(float) for k, v in gru.start().items()}
     x = gru.Windows([b"some words repeat some words " * 20, b"few words", b"", b"x"])
     weight = np.arange(1, len(x.doc) + 1.0)
     _, kept = gru.forward(p, x, keep=True)
@@ -40,14 +41,15 @@ def test_windows_cover_every_word():
 
 
 def test_toxicity_on_held_out_documents(spark):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
-    model = toxicity.fit(docs, labels, steps=120)
-    out = toxicity.score(docs, model).withColumn("held", toxicity.held_out()).join(labels, "doc_id").toPandas()
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    some = docs.join(labels.select("doc_id"), "doc_id").where("doc_id % 3 = 0")
+    out = toxicity.score(some, model).withColumn("held", toxicity.held_out()).join(labels, "doc_id").toPandas()
     assert {r.doc_id for r in out.itertuples() if r.held} == {d for d in out.doc_id if crc32(str(d).encode()) % 4 == 2}
     own = out[out.held]
     bad, fine = own[own.toxic == 1], own[own.toxic == 0]
-    assert bad.predicted.mean() > 0.6 and fine.predicted.mean() < 0.15
+    assert len(bad) > 25 and bad.predicted.mean() > 0.8 and fine.predicted.mean() < 0.03
     assert out.score.between(0, 1).all()
 
 
