@@ -113,47 +113,55 @@ def rank_preference(col: Column | str, preferred: Sequence[str]) -> Column:
     return F.lit(len(preferred) + 1) if expr is None else expr.otherwise(F.lit(len(preferred) + 1))
 
 
-def resolve_duplicates(
+def duplicate_members(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Order | Column | str],
-    ids_col: str = "external_ids",
+    columns: Sequence[str],
     require: Column | None = None,
 ) -> DataFrame:
-    """Collapse every duplicate group to its best row (K6: D3, C4, E3, C6, C5, G3).
+    """Rows of duplicate groups with ``best``: the winner's ``columns`` (a struct).
 
     A duplicate group is a key occurring more than once with every key column
     non-NULL (NULL never equals NULL in the equality join of the source
-    semantics, so NULL-key rows always pass through). ``require`` restricts
-    which rows can be duplicates at all (e.g. ``infra_name IS NOT NULL``).
-    The winner keeps its own columns; its ``ids_col`` becomes the sorted,
-    distinct union of the group's arrays. Rows outside duplicate groups are
-    returned unchanged.
-
-    Plan: rows that cannot be duplicates skip the shuffle entirely; the others
-    go through ONE aggregate (count, winner, merged ids), partially reduced
-    map-side.
+    semantics). ``require`` restricts which rows can be duplicates at all.
+    Winner and group size come from ONE aggregate, reduced map-side; only
+    members of groups of two and more come back from the join.
     """
-    cols = df.columns
     eligible = F.lit(True)
     for k in keys:
-        eligible = eligible & F.col(k).isNotNull()
+        eligible = eligible & F.col(f"`{k}`").isNotNull()
     if require is not None:
         eligible = eligible & require
-    flagged = df.withColumn("__eligible", eligible)
-    passthrough = flagged.where(~F.col("__eligible")).drop("__eligible")
-    candidates = flagged.where(F.col("__eligible")).drop("__eligible")
-
-    payload = F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])
-    agg = candidates.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.min(F.struct(*ordering_struct(candidates, order), payload.alias("row"))).alias("__best"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.col(ids_col))))).alias("__merged"),
-    )
-    resolved = agg.select(
-        *[
-            (F.when(F.col("__n") > 1, F.col("__merged")).otherwise(F.col("__best.row")[c]) if c == ids_col else F.col("__best.row")[c]).alias(c)
-            for c in cols
-        ]
+    candidates = df.where(eligible)
+    payload = F.struct(*[F.col(f"`{c}`").alias(c) for c in columns])
+    groups = (
+        candidates.groupBy(*[F.col(f"`{k}`").alias(f"__k_{k}") for k in keys])
+        .agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct(*ordering_struct(candidates, order), payload.alias("row")))["row"].alias("best"))
+        .where("__n > 1")
+        .drop("__n")
     )
-    return resolved.unionByName(passthrough)
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & (candidates[f"`{k}`"] == groups[f"__k_{k}"])
+    return candidates.join(groups, cond).drop(*[f"__k_{k}" for k in keys])
+
+
+def resolve_duplicates(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Order | Column | str],
+    id_col: str,
+    require: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Collapse every duplicate group to its best row (K6: D3, C4, E3, C5, G3).
+
+    Returns (rows, links): all rows but the losers, unchanged, and the ids that
+    each winner takes over as (``winner``, ``member``) links, one per member of
+    a group, the winner's own included. A link per row: nothing is collected
+    per group. ``id_col`` must be unique.
+    """
+    members = duplicate_members(df, keys, order, [id_col], require)
+    links = members.select(F.col("best")[id_col].alias("winner"), F.col(f"`{id_col}`").alias("member"))
+    losers = links.where("winner <> member").select("member")
+    return df.join(losers, df[f"`{id_col}`"] == losers["member"], "left_anti"), links

@@ -12,13 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaweave.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
 from taxaweave.schemas import FILL_ORDER, fill_lookups
-from taxaweave.session import track
+from taxaweave.session import scratch_table
 
 
 def _q(c: str):
@@ -92,7 +90,6 @@ def hierarchical_fill(
     df: DataFrame,
     order: Mapping[str, Sequence[str]] = FILL_ORDER,
     extra: Mapping[str, Sequence[str]] | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Fill NULLs of each column in ``order`` from the modes at related levels,
     trying the row's own value first, then each level in the listed order (K7).
@@ -101,28 +98,25 @@ def hierarchical_fill(
     non-NULL value are preserved. ``extra`` maps a column to plain fallback
     columns of the same row (e.g. generic_name -> genus).
 
-    Plan: every lookup depends only on a row's *path* (its values of the
-    involved columns). So (1) collapse the rows to distinct paths with a count
-    (partial aggregate), (2) compute all modes from the weighted paths in one
-    melt + aggregate, (3) fill the small path table with one left join per
-    level, and (4) join the rows back to their filled path ONCE (null-safe on
-    the path). The big table is scanned twice and joined once; the path table
-    is broadcast only when its row count is within ``max_broadcast_rows``.
+    Plan, the same at every size: every lookup depends only on a row's *path*
+    (its values of the involved columns). So (1) collapse the rows to distinct
+    paths with a count, (2) compute all modes from the weighted paths in one
+    melt + aggregate, (3) fill the path table with one left join per level, and
+    (4) join the rows back to their filled path ONCE (null-safe on the path).
+    The paths and the mode table are written once to scratch (the modes by
+    level, so that each join reads its own slice); join strategies are left to
+    AQE's measured bytes.
     """
     lookups = fill_lookups(order)
     involved = sorted({*order.keys(), *lookups.keys(), *[t for ts in lookups.values() for t in ts]})
-    paths = track(_path_counts(df, involved).persist(StorageLevel.MEMORY_AND_DISK))
-    n_paths = paths.count()
+    paths = scratch_table(_path_counts(df, involved), "fill-paths")
     wide_cols = sorted({t for ts in lookups.values() for t in ts})
     wide = (
         _modes_from_paths(paths, lookups)
         .groupBy("level", "key")
         .agg(*[F.max(F.when(F.col("target") == t, F.col("best"))).alias(f"best_{t}") for t in wide_cols])
     )
-    # every (level, key) comes from some path: at most len(lookups) x n_paths rows
-    small_wide = len(lookups) * n_paths <= max_broadcast_rows
-    if small_wide:
-        wide = track(wide.persist(StorageLevel.MEMORY_AND_DISK))
+    wide = scratch_table(wide.repartition("level", "key"), "fill-modes", partition_by=["level"])
 
     filled_paths = paths
     for level, targets in lookups.items():
@@ -130,8 +124,6 @@ def hierarchical_fill(
             F.col("key").alias(f"__k_{level}"),
             *[F.col(f"best_{t}").alias(f"__{level}__{t}") for t in targets],
         )
-        if small_wide:
-            slice_ = F.broadcast(slice_)
         filled_paths = filled_paths.join(
             slice_, _q(level).cast("string") == F.col(f"__k_{level}"), "left"
         ).drop(f"__k_{level}")
@@ -142,8 +134,6 @@ def hierarchical_fill(
             for t, levels in order.items()
         ],
     )
-    if n_paths <= max_broadcast_rows:
-        filled_paths = F.broadcast(filled_paths)
 
     cond = None
     for c in involved:
@@ -161,13 +151,9 @@ def fill_from_mode(
     key: str,
     targets: Sequence[str],
     prefix: str = "filled_",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Add ``prefix+target = coalesce(target, mode of target for this key)``."""
-    modes = track(mode_by_key(df, key, targets, prefix="__best_", all_keys=False).persist(StorageLevel.MEMORY_AND_DISK))
-    if modes.count() <= max_broadcast_rows:
-        modes = F.broadcast(modes)
-    modes = modes.withColumnRenamed(key, "__mkey")
+    modes = mode_by_key(df, key, targets, prefix="__best_", all_keys=False).withColumnRenamed(key, "__mkey")
     joined = df.join(modes, _q(key).cast("string") == F.col("__mkey"), "left")
     return joined.select(
         *[_q(c) for c in df.columns],

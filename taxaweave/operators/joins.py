@@ -1,42 +1,16 @@
-"""Join helpers: size-checked broadcast, lookups, anti joins, unnesting."""
+"""Join helpers: lookups, anti joins, unnesting.
+
+No side is hinted: Catalyst and AQE pick broadcast or shuffle (with skew
+splitting) from measured bytes, so a plan has the same form at every size.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaweave.session import track
-
-# Rows above which a lookup side is never broadcast, whatever its width.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``small`` marked for broadcast only when its row count is proven
-    to be at most ``max_rows``; otherwise return it unmarked so the planner
-    falls back to a shuffle join (with AQE skew handling).
-
-    The side is persisted first, so the count and the later join read it once.
-    """
-    small = track(small.persist(StorageLevel.MEMORY_AND_DISK))
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
-def bounded_broadcast_many(frames: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> list[DataFrame]:
-    """:func:`bounded_broadcast` for several lookup sides with ONE counting job
-    (a union of one-row counts), each marked for broadcast only if proven small."""
-    kept = [track(f.persist(StorageLevel.MEMORY_AND_DISK)) for f in frames]
-    counts = None
-    for i, f in enumerate(kept):
-        part = f.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
-        counts = part if counts is None else counts.unionByName(part)
-    sizes = {r["i"]: r["n"] for r in counts.collect()}  # one row per frame
-    return [F.broadcast(f) if sizes[i] <= max_rows else f for i, f in enumerate(kept)]
-
 
 def lookup_join(
     df: DataFrame,
@@ -44,17 +18,13 @@ def lookup_join(
     left_on: Sequence[Column | str] | Column | str,
     right_on: Sequence[Column | str] | Column | str,
     how: str = "left",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     cast_keys_to: str | None = None,
-    checked: bool = False,
 ) -> DataFrame:
     """Left (or inner) join to a lookup table.
 
     ``cast_keys_to="string"`` compares the keys as text on both sides (the
-    int-to-text key join). The lookup side is broadcast only behind a row-count
-    check (``checked=True``: the caller already applied one, e.g. with
-    :func:`bounded_broadcast_many`). A lookup key that repeats fans the left
-    row out, as in SQL.
+    int-to-text key join). A lookup key that repeats fans the left row out, as
+    in SQL.
     """
     lefts = [left_on] if not isinstance(left_on, (list, tuple)) else list(left_on)
     rights = [right_on] if not isinstance(right_on, (list, tuple)) else list(right_on)
@@ -63,12 +33,11 @@ def lookup_join(
     if cast_keys_to:
         lk = [c.cast(cast_keys_to) for c in lk]
         rk = [c.cast(cast_keys_to) for c in rk]
-    right = lookup if checked else bounded_broadcast(lookup, max_broadcast_rows)
     cond = None
     for a, b in zip(lk, rk):
         e = a == b
         cond = e if cond is None else (cond & e)
-    return df.join(right, cond, how)
+    return df.join(lookup, cond, how)
 
 
 def missing_from(df: DataFrame, reference: DataFrame, df_key: str, ref_key: str) -> DataFrame:

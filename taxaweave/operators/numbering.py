@@ -14,8 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from taxaweave.operators.joins import bounded_broadcast
-from taxaweave.session import scratch_path
+from taxaweave.session import scratch_table
 
 _PID = "__pid"
 _POS = "__pos"
@@ -55,11 +54,9 @@ def dense_id(
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     )
-    path = scratch_path(spark, "dense-id")
-    positioned.write.mode("overwrite").option("compression", "lz4").parquet(path)  # scratch only
+    stored = scratch_table(positioned, "dense-id")
     if persist_input:
         source.unpersist()
-    stored = spark.read.parquet(path)
 
     counts = stored.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     # At most n_partitions rows: a single-partition window is fine here.
@@ -93,7 +90,6 @@ def sequence_in_group(
     starts = numbered.groupBy(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)]).agg(
         F.min(gid).alias("__start")
     )
-    starts = bounded_broadcast(starts)
     cond = None
     for i, g in enumerate(group):
         e = numbered[g].eqNullSafe(starts[f"__g{i}"])

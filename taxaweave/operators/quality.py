@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -115,23 +115,25 @@ def recency(df: DataFrame, col: str, reference: Column, interval: str) -> DataFr
 def _with_neighbour(
     df: DataFrame, partition_by: Sequence[str], order: Sequence[str], value: str, offset: int, out: str
 ) -> DataFrame:
-    """``lag``/``lead`` of ``value`` by ``offset`` rows within each partition,
-    without putting a partition into one task: rows are numbered per
-    partition by the distributed ``sequence_in_group`` and joined to their
-    neighbour on (partition, number + offset), a key that spreads a hot
-    partition over many tasks."""
-    from taxaweave.operators.numbering import sequence_in_group
-
-    numbered = sequence_in_group(df, list(partition_by), [_q(o).asc_nulls_first() for o in order], out="__seq")
-    nb = numbered.select(
-        *[_q(p).alias(f"__nb_{i}") for i, p in enumerate(partition_by)],
-        (F.col("__seq") - offset).alias("__nb_seq"),
-        _q(value).alias(out),
-    )
-    cond = numbered["__seq"] == nb["__nb_seq"]
-    for i, p in enumerate(partition_by):
-        cond = cond & numbered[f"`{p}`"].eqNullSafe(nb[f"__nb_{i}"])
-    return numbered.join(nb, cond, "left").drop("__seq", "__nb_seq", *[f"__nb_{i}" for i in range(len(partition_by))])
+    """``value`` of the row before (-1) or after (1) within each partition,
+    without putting a partition into one task: one range exchange on
+    (partition, order), the neighbour inside each range, and across its end
+    only the first or last row of the next range (a row per range)."""
+    from taxaweave.session import scratch_table
+
+    keys = [_q(k) for k in (*partition_by, *order)]
+    ranged = df.repartitionByRange(*[k.asc_nulls_first() for k in keys]).withColumn("__range", F.spark_partition_id())
+    laid = scratch_table(ranged, "ranges")
+    step = F.lag if offset < 0 else F.lead
+    group = F.struct(*[_q(p).alias(f"p{i}") for i, p in enumerate(partition_by)])
+    near = step(F.struct(group.alias("group"), _q(value).alias("value")))
+    row = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)], group.alias("group"), _q(value).alias("value"))
+    ends = laid.groupBy("__range").agg((F.max if offset < 0 else F.min)(row).alias("__end"))
+    ends = ends.select(F.col("__range").alias("__r"), step("__end").over(Window.orderBy("__range")).alias("__end"))  # a row per range
+    inside = laid.withColumn("__near", near.over(Window.partitionBy("__range").orderBy(*[k.asc_nulls_first() for k in keys])))
+    joined = inside.join(F.broadcast(ends), F.col("__range") == F.col("__r"))
+    there = F.coalesce("__near", F.struct(F.col("__end.group").alias("group"), F.col("__end.value").alias("value")))
+    return joined.withColumn(out, F.when(there["group"].eqNullSafe(group), there["value"])).drop("__range", "__r", "__near", "__end")
 
 
 def sequential_values(df: DataFrame, col: str, partition_by: Sequence[str], interval=1, order_by: Sequence[str] | None = None) -> DataFrame:

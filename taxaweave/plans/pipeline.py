@@ -1,6 +1,6 @@
 """Merge, taxa, dedupe, fill, crosswalk and coverage (K4-K9), and the whole
-chain. Every step is a lazy DataFrame function; only the dense id writes an
-intermediate table (to fix its numbering).
+chain. Steps are lazy DataFrame functions; the dense id and the gap fill write
+scratch tables when they are called (to fix a numbering, to compute modes once).
 
 Taxa are kept in long form (:class:`LinkedTaxa`): attributes one row per
 taxon, external ids and source records as link tables. Nothing is collected
@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 
 from taxaweave.functions.names import extract_rank, normalize_names
 from taxaweave.operators.crosswalk import crosswalk_join
-from taxaweave.operators.dedupe import asc, desc, rank_preference, top1_per_key
+from taxaweave.operators.dedupe import asc, desc, duplicate_members, rank_preference
 from taxaweave.operators.fill import hierarchical_fill
 from taxaweave.operators.merge import union_conform
-from taxaweave.operators.joins import bounded_broadcast
 from taxaweave.operators.numbering import dense_id
 from taxaweave.schemas import (
     CONFORMED_COLUMNS,
@@ -147,21 +146,14 @@ def deduplicate_taxa(taxa: LinkedTaxa) -> LinkedTaxa:
     records first, then subspecies < variety < form < other, then name.
 
     NULL keys never form duplicate groups. The winner keeps its attributes and
-    its own sources; the group's external ids move to it (distinct). Plan:
-    winners by ``row_number() = 1`` (partial group limit before the shuffle),
-    group sizes by a partial aggregate, and a member -> winner mapping that
-    covers duplicate-group members only; it is the small side of the joins
-    that drop losers and re-key their ids (broadcast behind a row-count
-    check). Re-keyed ids are made distinct on (winner, id), so a hot group is
-    spread by id, never collected.
+    its own sources; the group's external ids move to it (distinct). Plan: one
+    aggregate per key yields winner and group size; the member -> winner map
+    covers duplicate-group members only and is the small side of the joins that
+    drop losers and re-key their ids. Re-keyed ids are made distinct on
+    (winner, id), so a hot group is spread by id, never collected.
     """
     c = F.col
     attrs = taxa.attrs
-    eligible = None
-    for k in DEDUPE_KEYS:
-        e = c(k).isNotNull()
-        eligible = e if eligible is None else (eligible & e)
-    cand = attrs.where(eligible)
     order = [
         desc("source_count"),
         asc(rank_preference("rank", DEDUPE_RANK_PREFERENCE)),
@@ -169,15 +161,10 @@ def deduplicate_taxa(taxa: LinkedTaxa) -> LinkedTaxa:
         asc("rank"),
         asc("id"),
     ]
-    winners = top1_per_key(cand, DEDUPE_KEYS, order, columns=DEDUPE_KEYS + ["id", "name", "rank"]).select(
-        *DEDUPE_KEYS, c("id").alias("winner_id"), c("name").alias("w_name"), c("rank").alias("w_rank")
-    )
-    sizes = cand.groupBy(*DEDUPE_KEYS).agg(F.count(F.lit(1)).alias("__n")).where(c("__n") > 1)
-    groups = winners.join(sizes, DEDUPE_KEYS)
-    mapping = bounded_broadcast(
-        cand.select(c("id").alias("member_id"), c("name").alias("m_name"), c("rank").alias("m_rank"), *DEDUPE_KEYS)
-        .join(groups, DEDUPE_KEYS)
-        .select("member_id", "m_name", "m_rank", "winner_id", "w_name", "w_rank")
+    members = duplicate_members(attrs, DEDUPE_KEYS, order, ["id", "name", "rank"])
+    mapping = members.select(
+        c("id").alias("member_id"), c("name").alias("m_name"), c("rank").alias("m_rank"),
+        c("best.id").alias("winner_id"), c("best.name").alias("w_name"), c("best.rank").alias("w_rank"),
     )
     losers = mapping.where(c("member_id") != c("winner_id"))
     new_attrs = attrs.join(losers, attrs["id"] == losers["member_id"], "left_anti")
@@ -298,11 +285,11 @@ def write_outputs(
     back, so no part of the chain runs twice; each later read prunes to the
     columns it needs.
     """
-    from taxaweave.session import release_tracked, tracked_mark
+    from taxaweave.session import delete_scratch, scratch_mark
 
     out_dir = out_dir.rstrip("/")
     paths: dict[str, str] = {}
-    mark = tracked_mark()
+    mark = scratch_mark()
 
     def publish(df: DataFrame, name: str) -> DataFrame:
         paths[name] = f"{out_dir}/{name}"
@@ -337,5 +324,5 @@ def write_outputs(
     )
     if reference_arrays:
         publish(final.arrays(), "taxa_filled_arrays")
-    release_tracked(mark)  # everything is written: drop the chain's cached helpers
+    delete_scratch(spark, mark)  # everything is written
     return paths

@@ -290,15 +290,20 @@ def _part_ids(spark, sf):
 
 @query(
     "correlated_array_collect",
-    f"WITH pi AS {_PART_IDS} SELECT p_name, brand, array_to_string(list_sort(list_distinct(flatten(list(ids)))), ',') AS merged_ids "
+    f"WITH pi AS {_PART_IDS} SELECT p_name, brand, unnest(list_distinct(flatten(list(ids)))) AS id "
     "FROM pi WHERE p_name IS NOT NULL AND brand IS NOT NULL GROUP BY p_name, brand HAVING count(*) > 1",
 )
 def q_array_collect(spark, sf):
-    pi = _part_ids(spark, sf).where(c("p_name").isNotNull() & c("brand").isNotNull())
-    g = pi.groupBy("p_name", "brand").agg(
-        F.count(F.lit(1)).alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("merged")
-    )
-    return g.where(c("n") > 1).select("p_name", "brand", F.array_join("merged", ",").alias("merged_ids"))
+    members = D.duplicate_members(_part_ids(spark, sf), ["p_name", "brand"], [D.asc("p_partkey")], ["p_partkey"])
+    return members.select("p_name", "brand", F.explode("ids").alias("id")).distinct()
+
+
+def _with_taken_ids(rows, links, ids, key):
+    """``rows`` with one line per id: a winner's are the distinct ids of all
+    members it stands for, any other row's its own."""
+    taken = links.join(ids, links["member"] == ids[key]).select(c("winner").alias("__row"), "id").distinct()
+    own = ids.join(links, ids[key] == links["member"], "left_anti").select(c(key).alias("__row"), "id")
+    return rows.join(taken.unionByName(own), rows[key] == c("__row")).drop("__row")
 
 
 _PART_FILL_ORDER = {"brand": ["p_name", "p_type"], "ptype": ["p_name", "brand"]}
@@ -516,19 +521,16 @@ def q_sequence_in_group(spark, sf):
     "row_number() OVER (PARTITION BY p_name, brand ORDER BY p_size DESC, CASE p_type WHEN 'SMALL' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'LARGE' THEN 3 ELSE 4 END, p_partkey) AS rn "
     "FROM pi WHERE p_name IS NOT NULL AND brand IS NOT NULL), "
     "merged AS (SELECT p_name, brand, list_sort(list_distinct(flatten(list(ids)))) AS m FROM cand GROUP BY p_name, brand) "
-    "SELECT c.p_partkey, c.p_name, c.brand, c.p_type, c.p_size, array_to_string(CASE WHEN c.n > 1 THEN m.m ELSE c.ids END, ',') AS ids "
+    "SELECT c.p_partkey, c.p_name, c.brand, c.p_type, c.p_size, unnest(CASE WHEN c.n > 1 THEN m.m ELSE c.ids END) AS id "
     "FROM cand c JOIN merged m ON c.p_name = m.p_name AND c.brand = m.brand WHERE c.rn = 1 "
-    "UNION ALL SELECT p_partkey, p_name, brand, p_type, p_size, array_to_string(ids, ',') AS ids FROM pi WHERE p_name IS NULL OR brand IS NULL",
+    "UNION ALL SELECT p_partkey, p_name, brand, p_type, p_size, unnest(ids) AS id FROM pi WHERE p_name IS NULL OR brand IS NULL",
 )
 def q_rank_duplicates(spark, sf):
     pi = _part_ids(spark, sf)
-    out = D.resolve_duplicates(
-        pi,
-        ["p_name", "brand"],
-        [D.desc("p_size"), D.asc(D.rank_preference("p_type", ["SMALL", "MEDIUM", "LARGE"])), D.asc("p_partkey")],
-        ids_col="ids",
-    )
-    return render_arrays(out.select("p_partkey", "p_name", "brand", "p_type", "p_size", "ids"))
+    order = [D.desc("p_size"), D.asc(D.rank_preference("p_type", ["SMALL", "MEDIUM", "LARGE"])), D.asc("p_partkey")]
+    rows, links = D.resolve_duplicates(pi, ["p_name", "brand"], order, "p_partkey")
+    ids = pi.select("p_partkey", F.explode("ids").alias("id"))
+    return _with_taken_ids(rows.select("p_partkey", "p_name", "brand", "p_type", "p_size"), links, ids, "p_partkey")
 
 
 @query(
@@ -549,10 +551,12 @@ def q_sort_multi_key(spark, sf):
     return R.dense_id(o, ["pr", "o_orderdate", "o_orderkey"]).select("o_orderkey", "id")
 
 
-@query("sort_output", "SELECT p_partkey, p_name FROM part")
+@query("sort_output", "SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name, p_partkey) AS nth FROM part")
 def q_sort_output(spark, sf):
+    """Sorted over all partitions; each row also carries its place, so that the
+    order itself is checked."""
     p = T(spark, sf, "part").select("p_partkey", "p_name")
-    return p.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_name", "p_partkey").sortWithinPartitions("p_name", "p_partkey")
+    return R.dense_id(p, ["p_name", "p_partkey"], out="nth").orderBy("nth")
 
 
 @query("sort_array_elements", "SELECT p_partkey, array_to_string(list_sort(string_split(p_name, ' ')), ',') AS words FROM part")
@@ -604,17 +608,18 @@ def q_union_same(spark, sf):
     "['o-' || CAST(o_orderkey AS VARCHAR)] AS ids FROM orders), "
     "cand AS (SELECT *, count(*) OVER (PARTITION BY o_custkey, st) AS n, row_number() OVER (PARTITION BY o_custkey, st ORDER BY o_orderpriority, o_orderkey) AS rn "
     "FROM o WHERE st IS NOT NULL), m AS (SELECT o_custkey, st, list_sort(list_distinct(flatten(list(ids)))) AS mi FROM cand GROUP BY o_custkey, st) "
-    "SELECT c.o_orderkey, c.o_custkey, c.st, array_to_string(CASE WHEN c.n > 1 THEN m.mi ELSE c.ids END, ',') AS ids "
+    "SELECT c.o_orderkey, c.o_custkey, c.st, unnest(CASE WHEN c.n > 1 THEN m.mi ELSE c.ids END) AS id "
     "FROM cand c JOIN m ON c.o_custkey = m.o_custkey AND c.st = m.st WHERE c.rn = 1 "
-    "UNION ALL SELECT o_orderkey, o_custkey, st, array_to_string(ids, ',') FROM o WHERE st IS NULL",
+    "UNION ALL SELECT o_orderkey, o_custkey, st, unnest(ids) FROM o WHERE st IS NULL",
 )
 def q_keep_and_rest(spark, sf):
     o = T(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", nulled("o_orderstatus", "o_orderkey", 5).alias("st"),
         F.array(F.concat(F.lit("o-"), c("o_orderkey").cast("string"))).alias("ids"),
     )
-    out = D.resolve_duplicates(o, ["o_custkey", "st"], [D.asc("o_orderpriority"), D.asc("o_orderkey")], ids_col="ids")
-    return render_arrays(out.select("o_orderkey", "o_custkey", "st", "ids"))
+    rows, links = D.resolve_duplicates(o, ["o_custkey", "st"], [D.asc("o_orderpriority"), D.asc("o_orderkey")], "o_orderkey")
+    ids = o.select("o_orderkey", F.explode("ids").alias("id"))
+    return _with_taken_ids(rows.select("o_orderkey", "o_custkey", "st"), links, ids, "o_orderkey")
 
 
 # ---------------------------------------------------------------------------
@@ -791,9 +796,10 @@ def q_dq_accepted(spark, sf):
     return QC.accepted_values(T(spark, sf, "orders"), "o_orderstatus", ["F", "O"]).select("o_orderkey", "o_orderstatus")
 
 
-@query("dq_relationships", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)")
+@query("dq_relationships", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)")
 def q_dq_relationships(spark, sf):
-    return QC.relationships(T(spark, sf, "orders"), "o_custkey", T(spark, sf, "customer"), "c_custkey").select("o_orderkey", "o_custkey")
+    # customers without a tenth of them, so that their orders are orphans
+    return QC.relationships(T(spark, sf, "orders"), "o_custkey", T(spark, sf, "customer").where("c_custkey % 10 <> 0"), "c_custkey").select("o_orderkey", "o_custkey")
 
 
 @query("dq_not_empty_string", f"SELECT c_custkey, name_v FROM (SELECT c_custkey, {_BLANKED_NAME} AS name_v FROM customer) x WHERE name_v IS NULL OR trim(name_v) = ''")
@@ -854,10 +860,11 @@ def q_dq_recency(spark, sf):
 @query(
     "dq_sequential_values",
     "SELECT conv_id, turn, previous_value FROM (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS previous_value "
-    "FROM conversations) x WHERE previous_value IS NOT NULL AND turn <> previous_value + 1",
+    "FROM conversations WHERE (conv_id + turn) % 5 <> 0) x WHERE previous_value IS NOT NULL AND turn <> previous_value + 1",
 )
 def q_dq_sequential(spark, sf):
-    return QC.sequential_values(T(spark, sf, "conversations"), "turn", ["conv_id"]).select("conv_id", "turn", "previous_value")
+    # without some turns, so that there are gaps
+    return QC.sequential_values(T(spark, sf, "conversations").where("(conv_id + turn) % 5 <> 0"), "turn", ["conv_id"]).select("conv_id", "turn", "previous_value")
 
 
 @query(

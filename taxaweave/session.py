@@ -73,10 +73,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def local_fs_path(path: str) -> str:
@@ -89,23 +86,31 @@ def ensure_parent(path: str) -> None:
         os.makedirs(os.path.dirname(local_fs_path(path)), exist_ok=True)
 
 
-# Frames the library persists for reuse inside one plan (size-checked
-# broadcast sides, fill path tables). Callers that run a whole chain release
-# them when the chain's outputs are written.
-_TRACKED: list = []
+# Scratch tables written inside a plan. Callers that run a whole chain delete
+# them when the chain's outputs are written; the others leave them to the
+# shared folder's own clean-up, as their lazy result still reads them.
+_SCRATCH: list[str] = []
 
 
-def track(df):
-    """Remember a frame the library persisted; returns it unchanged."""
-    _TRACKED.append(df)
-    return df
+def scratch_table(df, name: str, partition_by=()):
+    """``df`` written once to the shared folder and read back: it is computed
+    once however often the plan uses it, and an executor's loss cannot change
+    it. LZ4, as it is read back soon."""
+    path = scratch_path(df.sparkSession, name)
+    _SCRATCH.append(path)
+    writer = df.write.mode("overwrite").option("compression", "lz4")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def tracked_mark() -> int:
-    return len(_TRACKED)
+def scratch_mark() -> int:
+    return len(_SCRATCH)
 
 
-def release_tracked(since: int = 0) -> None:
-    """Unpersist frames tracked after ``since`` (a value of tracked_mark())."""
-    while len(_TRACKED) > since:
-        _TRACKED.pop().unpersist()
+def delete_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables written after ``since`` (a scratch_mark())."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_SCRATCH) > since:
+        path = hadoop.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)

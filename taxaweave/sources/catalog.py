@@ -30,6 +30,17 @@ def _write_part_csv(spark: SparkSession, sf: str, sep: str = ",") -> str:
     return path
 
 
+def _write_one(spark: SparkSession, df, path: str, sep: str = ",") -> None:
+    """``df`` as one CSV file of that name (test-data setup)."""
+    I.write_csv(df.coalesce(1), f"{path}.parts", sep=sep)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    parts = hadoop.Path(f"{path}.parts")
+    fs = parts.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    own = next(st.getPath() for st in fs.listStatus(parts) if st.getPath().getName().startswith("part-"))
+    fs.rename(own, hadoop.Path(path))
+    fs.delete(parts, True)
+
+
 def _rename_suffix(spark: SparkSession, folder: str, old: str, new: str) -> None:
     """Rename the written part files' suffix (test-data setup; metadata only)."""
     jvm = spark.sparkContext._jvm
@@ -47,13 +58,11 @@ def q_scan_csv(spark, sf):
     return I.read_delimited(spark, _write_part_csv(spark, sf))
 
 
-@query("write_csv_header", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
+@query("write_csv_header", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, '  ' || text || ' \t' AS text, lang FROM documents")
 def q_write_csv_header(spark, sf):
     path = scratch_path(spark, "docs-csv")
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    docs.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False
-    ).csv(path)
+    padded = F.concat(F.lit("  "), "text", F.lit(" \t"))
+    I.write_csv(table(spark, sf, "documents").select("doc_id", padded.alias("text"), "lang"), path)
     return I.read_delimited(spark, path, multiline=True)
 
 
@@ -68,9 +77,7 @@ def q_scan_recursive(spark, sf):
     I.write_csv(table(spark, sf, "nation").select("n_nationkey", "n_name"), f"{root}/b/c/Nation List", sep="\t")
     _rename_suffix(spark, f"{root}/b/c/Nation List", ".csv", ".TSV")
     table(spark, sf, "region").write.mode("overwrite").json(f"{root}/junk")  # not delimited: must be ignored
-    files = I.list_files(spark, root)
-    paths = [r["path"] for r in files.select("path").toLocalIterator()]  # file names only
-    df = I.read_delimited(spark, paths, with_path=True)
+    df = I.read_delimited(spark, root, with_path=True)
     return df.select(
         F.coalesce(c("c_custkey"), c("n_nationkey")).alias("id"),
         F.coalesce(c("c_name"), c("n_name")).alias("name"),
@@ -80,16 +87,31 @@ def q_scan_recursive(spark, sf):
 
 @query(
     "source_key_naming",
-    "SELECT 'customer_data' AS source_key, count(*) AS n_rows FROM customer UNION ALL SELECT 'nation_list', count(*) FROM nation",
+    "SELECT 'my_source_customer_data' AS source_key, count(*) AS n_rows FROM customer UNION ALL SELECT 'my_source_nation_list', count(*) FROM nation "
+    "UNION ALL SELECT 'alone', count(*) FROM region",
 )
 def q_source_key(spark, sf):
     root = scratch_path(spark, "keys")
-    I.write_csv(table(spark, sf, "customer").select("c_custkey", "c_name"), f"{root}/Customer-Data")
-    I.write_csv(table(spark, sf, "nation").select("n_nationkey", "n_name"), f"{root}/Nation List")
-    df = I.read_delimited(spark, [f"{root}/Customer-Data", f"{root}/Nation List"])
-    folder = F.regexp_extract(c("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
-    keyed = df.select(I.clean_key(F.regexp_replace(folder, "%20", " ")).alias("source_key"))
-    return keyed.groupBy("source_key").agg(F.count(F.lit(1)).alias("n_rows"))
+    for name, to in (("customer", "many/Customer-Data.csv"), ("nation", "many/Nation List.csv"), ("region", "one/Region.csv")):
+        _write_one(spark, table(spark, sf, name), f"{root}/{to}")
+    tables = I.read_sources(spark, "My-Source", f"{root}/many") | I.read_sources(spark, "Alone", f"{root}/one")
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(k).alias("source_key"), "n_rows") for k, df in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "columns_by_header",
+    "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CASE WHEN n_nationkey % 3 = 2 THEN NULL ELSE CAST(n_regionkey AS VARCHAR) END AS n_regionkey FROM nation",
+)
+def q_columns_by_header(spark, sf):
+    """Files with swapped and with missing columns, one of them tab-separated."""
+    root = scratch_path(spark, "headers")
+    n = table(spark, sf, "nation")
+    part = lambda k: n.where(c("n_nationkey") % 3 == k)
+    _write_one(spark, part(0).select("n_nationkey", "n_name", "n_regionkey"), f"{root}/a.csv")
+    _write_one(spark, part(1).select("n_regionkey", "n_name", "n_nationkey"), f"{root}/sub/b.TSV", sep="\t")
+    _write_one(spark, part(2).select("n_name", "n_nationkey"), f"{root}/c.csv")
+    return I.read_delimited(spark, root).select("n_nationkey", "n_name", "n_regionkey")
 
 
 @query("delimiter_by_suffix", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
@@ -97,20 +119,18 @@ def q_delimiter(spark, sf):
     path = scratch_path(spark, "nation-tsv")
     I.write_csv(table(spark, sf, "nation"), path, sep="\t")
     _rename_suffix(spark, path, ".csv", ".tsv")
-    files = [r["path"] for r in I.list_files(spark, path).select("path").toLocalIterator()]
-    return I.read_delimited(spark, files)
+    return I.read_delimited(spark, path)
 
 
 @query("decode_with_fallback", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents")
 def q_decode(spark, sf):
     root = scratch_path(spark, "encodings")
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    opts = dict(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    docs.where(c("lang").isin("en", "de")).drop("lang").write.mode("overwrite").options(**opts).csv(f"{root}/utf8")
-    docs.where(~c("lang").isin("en", "de")).drop("lang").write.mode("overwrite").options(**opts).option(
-        "encoding", "ISO-8859-1"
-    ).csv(f"{root}/latin1")
-    return I.read_with_fallback(spark, [f"{root}/utf8", f"{root}/latin1"])
+    encodings = {"fr": "ISO-8859-1", "es": "UTF-16"}
+    I.write_csv(docs.where(~c("lang").isin(*encodings)).drop("lang"), f"{root}/utf8")
+    for lang, encoding in encodings.items():
+        I.write_csv(docs.where(c("lang") == lang).drop("lang"), f"{root}/{lang}", encoding=encoding)
+    return I.read_with_fallback(spark, [f"{root}/utf8", *[f"{root}/{x}" for x in encodings]])
 
 
 _LINES_SQL = (
@@ -210,22 +230,30 @@ def q_write_append(spark, sf):
     return spark.read.parquet(path)
 
 
+def _family_tree(spark, sf) -> str:
+    """``<Family>_wfo-<digits>/classification.csv`` per brand: folder names with
+    blanks and plus signs, swapped columns, a file that lacks one, and a folder
+    of another name."""
+    root = scratch_path(spark, "families")
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
+    brands = sorted(r["p_brand"] for r in p.select("p_brand").distinct().collect())  # a folder each
+    for k, brand in enumerate(brands):
+        own = p.where(c("p_brand") == brand)
+        own = own.select("p_partkey") if brand == "Brand#1" else own.select(*(["p_partkey", "p_name"] if k % 2 else ["p_name", "p_partkey"]))
+        folder = f"{brand.replace('#', ' + ')}_wfo-{brand.split('#')[1].zfill(10)}"
+        _write_one(spark, own, f"{root}/{folder}/classification.csv")
+    _write_one(spark, p.select("p_partkey"), f"{root}/junk/classification.csv")
+    return root
+
+
 @query(
     "union_family_folders",
-    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, replace(p_brand, '#', '') AS family_name, "
+    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, CASE WHEN p_brand = 'Brand#1' THEN NULL ELSE p_name END AS p_name, "
+    "replace(p_brand, '#', ' + ') AS family_name, "
     "lpad(regexp_extract(p_brand, '([0-9]+)', 1), 10, '0') AS wfo_id FROM part",
 )
 def q_family_folders(spark, sf):
-    root = scratch_path(spark, "families")
-    p = table(spark, sf, "part").select(
-        "p_partkey", "p_name",
-        F.concat(
-            F.regexp_replace("p_brand", "#", ""), F.lit("_wfo-"), F.lpad(F.regexp_extract("p_brand", r"([0-9]+)", 1), 10, "0")
-        ).alias("folder"),
-    )
-    p.repartition("folder").write.mode("overwrite").partitionBy("folder").option("header", True).csv(root)
-    df = I.read_family_folders(spark, root, file_glob="*.csv")
-    return df.select("p_partkey", "p_name", "family_name", "wfo_id")
+    return I.read_family_folders(spark, _family_tree(spark, sf))
 
 
 @query("sanitize_headers", "SELECT CAST(p_partkey AS VARCHAR) AS part_key, p_name AS part_name_full, p_brand AS brandid FROM part")
@@ -247,25 +275,19 @@ def q_materialize(spark, sf):
     return I.materialize(table(spark, sf, "part").select("p_partkey", "p_name"), scratch_path(spark, "model"))
 
 
-@query("decode_lines", "SELECT CAST(c_custkey AS VARCHAR) || ',' || c_name AS value FROM customer")
+@query("decode_lines", "SELECT CAST(c_custkey AS VARCHAR) || ';é' || c_name AS value FROM customer")
 def q_decode_lines(spark, sf):
-    path = scratch_path(spark, "latin-lines")
-    cu = table(spark, sf, "customer").select(F.concat_ws(",", c("c_custkey").cast("string"), "c_name").alias("value"))
-    cu.write.mode("overwrite").text(path)
-    return I.decode_lines(spark, path).select("value")
+    root = scratch_path(spark, "latin-lines")
+    cu = table(spark, sf, "customer")
+    line = F.concat(c("c_custkey").cast("string"), F.lit(";é"), "c_name").alias("value")
+    I.write_csv(cu.where("c_custkey % 2 = 0").select(line), f"{root}/latin1", header=False, encoding="ISO-8859-1")
+    cu.where("c_custkey % 2 = 1").select(line).write.text(f"{root}/utf8")
+    return I.decode_lines(spark, [f"{root}/latin1", f"{root}/utf8"]).select("value")
 
 
 @query(
     "path_derived_columns",
-    "SELECT DISTINCT replace(p_brand, '#', '') AS family_name, lpad(regexp_extract(p_brand, '([0-9]+)', 1), 10, '0') AS wfo_id FROM part",
+    "SELECT DISTINCT replace(p_brand, '#', ' + ') AS family_name, lpad(regexp_extract(p_brand, '([0-9]+)', 1), 10, '0') AS wfo_id FROM part",
 )
 def q_path_columns(spark, sf):
-    root = scratch_path(spark, "families")
-    p = table(spark, sf, "part").select(
-        "p_partkey",
-        F.concat(
-            F.regexp_replace("p_brand", "#", ""), F.lit("_wfo-"), F.lpad(F.regexp_extract("p_brand", r"([0-9]+)", 1), 10, "0")
-        ).alias("folder"),
-    )
-    p.repartition("folder").write.mode("overwrite").partitionBy("folder").option("header", True).csv(root)
-    return I.read_family_folders(spark, root, file_glob="*.csv").select("family_name", "wfo_id").distinct()
+    return I.read_family_folders(spark, _family_tree(spark, sf)).select("family_name", "wfo_id").distinct()

@@ -20,8 +20,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaweave.operators.joins import bounded_broadcast
-
 
 def flatten_groups(tree: Mapping) -> list[tuple[str, str | None, str]]:
     """(group, subgroup, family) rows; entries without families are metadata."""
@@ -40,19 +38,19 @@ def flatten_groups(tree: Mapping) -> list[tuple[str, str | None, str]]:
 
 
 def load_family_groups(spark: SparkSession, path_or_text: str) -> DataFrame:
-    """Read a group file (a small configuration file, parsed on the driver)."""
-    import os
-
+    """Read a group file (one small configuration file) from any store Spark
+    reads; text with a line break is taken as the configuration itself."""
     import yaml
 
-    text = open(path_or_text).read() if os.path.exists(path_or_text) else path_or_text
+    text = path_or_text
+    if "\n" not in path_or_text:
+        text = spark.read.text(path_or_text, wholetext=True).first()["value"]
     rows = flatten_groups(yaml.safe_load(text) or {})
     return spark.createDataFrame(rows, "group string, subgroup string, family string")
 
 
 def tag_family_group(df: DataFrame, groups: DataFrame, family_col: str = "family") -> DataFrame:
     """Left join of the group table on the family column: one output row per
-    (row, matching group); rows of unlisted families get NULL groups. The
-    group table is broadcast behind a row-count check."""
-    g = bounded_broadcast(groups.select(F.col("family").alias("__family"), "group", "subgroup"))
+    (row, matching group); rows of unlisted families get NULL groups."""
+    g = groups.select(F.col("family").alias("__family"), "group", "subgroup")
     return df.join(g, df[family_col] == g["__family"], "left").drop("__family")

@@ -1,21 +1,22 @@
 """Robust delimited-file ingest (A1-A19) on Spark readers and writers.
 
 The unit of parallelism is the input split, not a hand-made chunk: large
-files are read by many tasks, small files are packed together. Nothing is
-read on the driver; only file *names* (metadata) ever reach it, for the
-per-file encoding choice.
+files are read by many tasks, small files are packed together. Of the data
+only file names and header lines (a small row per file) reach the driver, to
+read files of one form together and to match their columns by name.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from taxaweave.session import scratch_table
+
 CORRUPT_COL = "_corrupt_record"
 
 # FIXED VALUES: suffixes treated as delimited text, and the encoding tried
@@ -38,20 +39,34 @@ def _glob_for(suffixes: Sequence[str]) -> str:
 # ---------------------------------------------------------------------------
 
 
+def _status(spark: SparkSession, path: str) -> str:
+    """``file``, ``folder`` (also for a pattern that matches) or ``missing``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    if not found:
+        return "missing"
+    return "file" if len(found) == 1 and found[0].isFile() else "folder"
+
+
+FILES = "path string, file_name string, stem string, suffix string, length long"
+
+
 def list_files(spark: SparkSession, path: str, suffixes: Sequence[str] = DELIMITED_SUFFIXES) -> DataFrame:
     """Delimited files below ``path`` (recursive, suffix compared case-insensitively)
-    as a DataFrame (path, file_name, stem, suffix, length) (A1).
+    as a DataFrame (path, file_name, stem, suffix, length) (A1). A path that is
+    itself a file is listed whatever its suffix; a missing path lists nothing.
 
     Uses the binary-file source with only metadata columns selected, so file
     contents are not read; listing runs on the cluster.
     """
-    df = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", _glob_for(suffixes))
-        .load(path)
-        .select("path", "length")
-    )
+    status = _status(spark, path)
+    if status == "missing":
+        return spark.createDataFrame([], FILES)
+    reader = spark.read.format("binaryFile")
+    if status == "folder":
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", _glob_for(suffixes))
+    df = reader.load(path).select("path", "length")
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     return df.select(
         "path",
@@ -75,8 +90,17 @@ def source_key(key: str, stem: Column | str, n_files: Column | int) -> Column:
     return clean_key(F.when(n == 1, F.lit(key)).otherwise(F.concat(F.lit(key + "_"), stem_c)))
 
 
-def clean_key_py(name: str) -> str:
-    return name.lower().replace("-", "_").replace(" ", "_")
+def read_sources(spark: SparkSession, key: str, path: str, **options) -> dict[str, DataFrame]:
+    """One table per file of a source, named by :func:`source_key` (A2): ``key``
+    for a single file, ``key_<stem>`` for each of several."""
+    files = list_files(spark, path)
+    n = files.count()
+    named = files.select("path", source_key(key, "stem", n).alias("table")).orderBy("table", "path").collect()  # a row per file
+    tables: dict[str, DataFrame] = {}
+    for r in named:
+        own = read_delimited(spark, [r["path"]], **options)
+        tables[r["table"]] = tables[r["table"]].unionByName(own, allowMissingColumns=True) if r["table"] in tables else own
+    return tables
 
 
 @dataclass(frozen=True)
@@ -118,22 +142,28 @@ class SourceRegistry:
 # ---------------------------------------------------------------------------
 
 
-def _reader(spark: SparkSession, sep: str, header: bool, encoding: str | None, multiline: bool, schema: T.StructType | None, corrupt: bool):
-    r = (
-        spark.read.option("header", header)
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-        .option("inferSchema", False)
-        .option("multiLine", multiline)
-        .option("escape", '"')
-    )
+def reader_options(sep: str = ",", header: bool = True, encoding: str | None = None, multiline: bool = False, corrupt: bool = False) -> dict:
+    """The options of every delimited read, batch or stream."""
+    options = {"header": header, "sep": sep, "mode": "PERMISSIVE", "inferSchema": False, "multiLine": multiline, "quote": '"', "escape": '"'}
     if encoding:
-        r = r.option("encoding", encoding)
+        options["encoding"] = encoding
     if corrupt:
-        r = r.option("columnNameOfCorruptRecord", CORRUPT_COL)
-    if schema is not None:
-        r = r.schema(schema)
-    return r
+        options["columnNameOfCorruptRecord"] = CORRUPT_COL
+    return options
+
+
+def _header_lines(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
+    """(path, first line) per file, one small row each; only first blocks are read."""
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+    first = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "n").alias("line"))
+    return [(r["path"], (r["line"] or "").strip("\ufeff\r")) for r in first.collect()]
+
+
+def _stacked(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 def read_delimited(
@@ -149,45 +179,45 @@ def read_delimited(
 ) -> DataFrame:
     """Read delimited text with every column as text (A3).
 
-    ``sep=None`` picks the delimiter by suffix: tab for ``.tsv``, comma
-    otherwise (A5); the two groups are read separately and stacked by name.
-    ``with_path`` adds the source file as ``source_file``.
-    Short rows are padded with NULL and blank lines skipped (A6). With a
-    ``schema`` and ``keep_corrupt=True`` malformed rows are flagged in
+    Folders are expanded to their delimited files. ``sep=None`` picks the
+    delimiter by each file's suffix: tab for ``.tsv``, comma otherwise (A5).
+    Files are read together with those of the same delimiter and header line,
+    and the groups stacked by column name (a column that a file lacks is NULL
+    there). ``with_path`` adds the source file as ``source_file``. Short rows
+    are padded with NULL and blank lines skipped (A6). With a ``schema`` columns
+    go by position; with ``keep_corrupt=True`` malformed rows are flagged in
     ``_corrupt_record`` instead of being dropped silently (A7).
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    if sep is None:
-        tsv = [p for p in paths if p.lower().endswith(".tsv")]
-        other = [p for p in paths if not p.lower().endswith(".tsv")]
-        parts = []
-        if tsv:
-            parts.append(read_delimited(spark, tsv, "\t", header, encoding, multiline, schema, keep_corrupt, with_path))
-        if other:
-            parts.append(read_delimited(spark, other, ",", header, encoding, multiline, schema, keep_corrupt, with_path))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        return out
+    files = [r["path"] for p in ([paths] if isinstance(paths, str) else paths) for r in list_files(spark, p).select("path").collect()]
+    if not files:
+        raise FileNotFoundError(f"no delimited files under {paths}")
+    groups: dict[tuple[str, str], list[str]] = {}
+    # a header is compared only where it names the columns and there are several files
+    named = header and schema is None and len(files) > 1 and not encoding
+    for path, line in _header_lines(spark, files) if named else [(p, "") for p in files]:
+        own = sep or ("\t" if path.lower().endswith(".tsv") else ",")
+        groups.setdefault((own, line), []).append(path)
     if schema is not None and keep_corrupt and CORRUPT_COL not in schema.fieldNames():
         schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
-    df = _reader(spark, sep, header, encoding, multiline, schema, keep_corrupt).csv(list(paths))
-    if with_path:
-        df = df.withColumn("source_file", F.col("_metadata.file_path"))
-    return df
+    parts = []
+    for (own, _line), group in sorted(groups.items()):
+        reader = spark.read.options(**reader_options(own, header, encoding, multiline, keep_corrupt))
+        df = (reader.schema(schema) if schema is not None else reader).csv(group)
+        parts.append(df.withColumn("source_file", F.col("_metadata.file_path")) if with_path else df)
+    return _stacked(parts)
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined raw lines) from a read with ``keep_corrupt``.
 
-    Caches the parsed rows first: Spark forbids queries that reference only
-    the corrupt-record column of an uncached CSV scan.
+    The flagged rows are written once to scratch: Spark forbids queries that
+    reference only the corrupt-record column of a CSV scan, and a cache would
+    hold the whole raw input.
     """
-    df = df.cache()
-    good = df.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
-    bad = df.where(F.col(CORRUPT_COL).isNotNull()).select(F.col(CORRUPT_COL).alias("raw_line"))
-    return good, bad
+    bad = F.col(CORRUPT_COL).isNotNull()
+    flagged = scratch_table(df.withColumn("__bad", bad), "quarantine", partition_by=["__bad"])
+    good = flagged.where("not __bad").drop(CORRUPT_COL, "__bad")
+    return good, flagged.where("__bad").select(F.col(CORRUPT_COL).alias("raw_line"))
 
 
 def apply_filter(df: DataFrame, condition: str | Column | None) -> DataFrame:
@@ -227,16 +257,24 @@ def metrics_frame(df: DataFrame, condition: str | Column) -> DataFrame:
 
 
 def file_encodings(spark: SparkSession, paths: str | Sequence[str], fallback: str = FALLBACK_ENCODING) -> DataFrame:
-    """(path, encoding) per file: UTF-8 when every line is valid UTF-8, else
-    ``fallback`` (A4). One distributed pass; the text source keeps raw bytes,
-    so invalid sequences are visible to ``is_valid_utf8``."""
+    """(path, encoding, multiline) per file (A4): UTF-16 by its byte-order mark,
+    UTF-8 when every line is valid UTF-8, else ``fallback``; ``multiline`` when
+    a line's quotes do not balance (a quoted line break) or the file is UTF-16.
+    One distributed pass; the text source keeps raw bytes, so marks and invalid
+    sequences are visible."""
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    return (
-        lines.select(F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("ok"))
-        .groupBy("path")
-        .agg(F.bool_and("ok").alias("utf8"))
-        .select("path", F.when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit(fallback)).alias("encoding"))
+    raw = F.col("value").cast("binary")
+    mark = F.when(F.col("_metadata.file_block_start") == 0, F.hex(F.substring(raw, 1, 2)))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    per_line = lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.is_valid_utf8("value").alias("ok"),
+        F.coalesce(mark.isin("FFFE", "FEFF"), F.lit(False)).alias("utf16"),
+        (quotes % 2 == 1).alias("open"),
     )
+    by = per_line.groupBy("path").agg(F.bool_and("ok").alias("utf8"), F.bool_or("utf16").alias("utf16"), F.bool_or("open").alias("open"))
+    encoding = F.when(F.col("utf16"), "UTF-16").when(F.col("utf8"), "UTF-8").otherwise(fallback)
+    return by.select("path", encoding.alias("encoding"), (F.col("open") | F.col("utf16")).alias("multiline"))
 
 
 def read_with_fallback(
@@ -244,26 +282,21 @@ def read_with_fallback(
     paths: str | Sequence[str],
     sep: str = ",",
     header: bool = True,
-    multiline: bool = True,
     fallback: str = FALLBACK_ENCODING,
 ) -> DataFrame:
     """Read delimited files, each decoded with its own detected encoding (A4).
 
-    Files are grouped by encoding and each group is one Spark read (multi-line
-    CSV, so quoted newlines survive); only the list of file names reaches the
-    driver. Unlike a first-success loop, no file loses its non-UTF-8 rows.
+    Files are grouped by encoding and by whether they need the multi-line
+    reader (a whole file per task); all others are split into many tasks. Only
+    a row per file reaches the driver. Unlike a first-success loop, no file
+    loses its non-UTF-8 rows.
     """
-    enc = file_encodings(spark, paths, fallback)
-    groups: dict[str, list[str]] = {}
-    for row in enc.toLocalIterator():  # one row per file: metadata only
-        groups.setdefault(row["encoding"], []).append(row["path"])
-    out = None
-    for encoding, files in sorted(groups.items()):
-        part = read_delimited(spark, files, sep=sep, header=header, encoding=encoding, multiline=multiline)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for row in file_encodings(spark, paths, fallback).toLocalIterator():
+        groups.setdefault((row["encoding"], row["multiline"]), []).append(row["path"])
+    if not groups:
         raise FileNotFoundError(f"no files under {paths}")
-    return out
+    return _stacked([read_delimited(spark, files, sep=sep, header=header, encoding=e, multiline=m) for (e, m), files in sorted(groups.items())])
 
 
 def decode_lines(spark: SparkSession, paths: str | Sequence[str], fallback: str = FALLBACK_ENCODING) -> DataFrame:
@@ -271,9 +304,7 @@ def decode_lines(spark: SparkSession, paths: str | Sequence[str], fallback: str
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
         F.col("_metadata.file_path").alias("path"), "value"
     )
-    from taxaweave.operators.joins import bounded_broadcast
-
-    enc = bounded_broadcast(file_encodings(spark, paths, fallback).withColumnRenamed("path", "__p"))  # one row per file
+    enc = file_encodings(spark, paths, fallback).select(F.col("path").alias("__p"), "encoding")
     joined = lines.join(enc, lines["path"] == enc["__p"])
     decoded = F.when(F.col("encoding") == "UTF-8", F.col("value")).otherwise(
         F.decode(F.col("value").cast("binary"), fallback)
@@ -300,7 +331,7 @@ def parse_lines(lines: DataFrame, columns: Sequence[str], sep: str = ",", col: s
 # Folder trees and headers
 # ---------------------------------------------------------------------------
 
-FAMILY_FOLDER_PATTERN = r"(?:[^/=]+=)?([^/]+?)_wfo-(\d+)/[^/]+$"
+FAMILY_FOLDER_PATTERN = r"([^/]+)_wfo-(\d+)/[^/]+$"
 
 
 def read_family_folders(
@@ -310,24 +341,36 @@ def read_family_folders(
     pattern: str = FAMILY_FOLDER_PATTERN,
     sep: str = ",",
 ) -> DataFrame:
-    """Concatenate one CSV per ``<Family>_wfo-<digits>`` folder and add
-    ``family_name`` and ``wfo_id`` from the folder name (A14, A15).
-
-    Folders without the file are skipped by the glob; files whose folder name
-    does not match get NULLs (filter them if they must be skipped).
-    """
-    df = read_delimited(spark, f"{root.rstrip('/')}/*/{file_glob}", sep=sep)
-    fp = F.col("_metadata.file_path")
+    """Concatenate the CSV files of the ``<Family>_wfo-<digits>`` folders under
+    ``root``, columns by name, and add ``family_name`` and ``wfo_id`` from the
+    folder name (A14, A15). Folders without the file and folders of another
+    name are skipped."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", file_glob).load(root)
+    matched = [r["path"] for r in files.select("path").where(F.col("path").rlike(pattern)).collect()]  # file names
+    if not matched:
+        raise FileNotFoundError(f"no {file_glob} in family folders under {root}")
+    df = read_delimited(spark, matched, sep=sep, with_path=True)
+    # the path column is URL-encoded, but for plus signs
+    path = F.url_decode(F.replace("source_file", F.lit("+"), F.lit("%2B")))
     return df.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.nullif(F.regexp_extract(fp, pattern, 1), F.lit("")).alias("family_name"),
-        F.nullif(F.regexp_extract(fp, pattern, 2), F.lit("")).alias("wfo_id"),
+        *[F.col(f"`{c}`") for c in df.columns if c != "source_file"],
+        F.regexp_extract(path, pattern, 1).alias("family_name"),
+        F.regexp_extract(path, pattern, 2).alias("wfo_id"),
     )
 
 
+_HEADER_CHARACTERS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789_")
+
+
 def sanitize_name(name: str) -> str:
-    """strip, lower, space -> ``_``, drop anything outside ``[a-z0-9_]``."""
-    return re.sub(r"[^a-z0-9_]", "", name.strip().lower().replace(" ", "_"))
+    """A column name of lower-case ASCII letters, digits and underscores: blanks
+    at the ends go, inner ones become underscores, all else is left out (A16)."""
+    kept = []
+    for ch in name.strip().lower():
+        ch = "_" if ch == " " else ch
+        if ch in _HEADER_CHARACTERS:
+            kept.append(ch)
+    return "".join(kept)
 
 
 def sanitize_headers(df: DataFrame) -> DataFrame:
@@ -370,8 +413,9 @@ def write_and_count(df: DataFrame, path: str, mode: str = "overwrite") -> tuple[
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True, encoding: str | None = None, mode: str = "overwrite") -> None:
-    """CSV with a header row (A17); ``encoding`` writes another charset."""
-    w = df.write.mode(mode).option("header", header).option("sep", sep).option("escape", '"')
+    """CSV with a header row (A17), blanks kept; ``encoding`` writes another charset."""
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    w = df.write.mode(mode).options(header=header, sep=sep, quote='"', escape='"', **blanks)
     if encoding:
         w = w.option("encoding", encoding)
     w.csv(path)
@@ -381,7 +425,3 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """Full-refresh a model table and return a reader of it."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def registry_from_paths(paths: Mapping[str, str]) -> SourceRegistry:
-    return SourceRegistry(Source(name=k, path=v) for k, v in paths.items())

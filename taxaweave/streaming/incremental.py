@@ -20,6 +20,16 @@ from taxaweave.session import scratch_path
 from taxaweave.sources import ingest as I
 
 
+def _last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last committed batch, -1 before the first (file names of
+    the checkpoint's commit log)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(folder)] if fs.exists(folder) else []
+    return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
 def load_increment(
     spark: SparkSession,
     source_dir: str,
@@ -32,20 +42,19 @@ def load_increment(
     max_files_per_trigger: int | None = None,
 ) -> int:
     """Append every not-yet-loaded file under ``source_dir`` to ``target``;
-    returns the number of micro-batches run. Safe to re-run."""
-    reader = (
-        spark.readStream.schema(schema)
-        .option("header", header)
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-    )
+    returns the number of micro-batches run. Safe to re-run. Malformed rows are
+    written in the same pass to the table's quarantine partition."""
+    flagged = T.StructType([*schema.fields, T.StructField(I.CORRUPT_COL, T.StringType(), True)])
+    reader = spark.readStream.schema(flagged).options(**I.reader_options(sep, header, corrupt=True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source_dir)
+    stream = reader.csv(source_dir).withColumn("quarantined", F.col(I.CORRUPT_COL).isNotNull())
     if condition:
-        stream = stream.where(F.expr(condition))
+        stream = stream.where(F.col("quarantined") | F.expr(condition))
+    before = _last_batch(spark, checkpoint)
     q = (
         stream.writeStream.format("parquet")
+        .partitionBy("quarantined")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
@@ -53,27 +62,55 @@ def load_increment(
         .start()
     )
     q.awaitTermination()
-    return len(q.recentProgress)
+    return _last_batch(spark, checkpoint) - before
+
+
+def _stored(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    extra = [T.StructField(I.CORRUPT_COL, T.StringType(), True), T.StructField("quarantined", T.BooleanType(), True)]
+    return spark.read.schema(T.StructType([*schema.fields, *extra])).parquet(target)
 
 
 def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(target)
+    return _stored(spark, target, schema).where("not quarantined").select(schema.fieldNames())
+
+
+def read_quarantine(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    return _stored(spark, target, schema).where("quarantined").select(F.col(I.CORRUPT_COL).alias("raw_line"))
 
 
 _PART_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in ("p_partkey", "p_name", "p_brand", "p_type", "p_size")])
 
 
+# names with doubled quotes and blanks at the ends, which a load must keep
+_QUOTED = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit('  he said ""hi"", '), F.col("p_name"), F.lit(" "))).otherwise(F.col("p_name"))
+_QUOTED_SQL = "CASE WHEN p_partkey % 3 = 0 THEN '  he said \"\"hi\"\", ' || p_name || ' ' ELSE p_name END"
+
+
 @query(
     "incremental_ingest",
-    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size FROM part",
+    f"SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, {_QUOTED_SQL} AS p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size FROM part",
 )
 def q_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Two arrivals of part files, two availableNow runs, one raw table."""
+    """Two arrivals of part files, three availableNow runs, one raw table."""
     root = scratch_path(spark, "incremental")
-    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    p = table(spark, sf, "part").select("p_partkey", _QUOTED.alias("p_name"), "p_brand", "p_type", "p_size")
     I.write_csv(p.where(F.col("p_size") <= 25), f"{root}/in/batch1")
     load_increment(spark, f"{root}/in/*", _PART_SCHEMA, f"{root}/raw", f"{root}/ckpt")
     I.write_csv(p.where(F.col("p_size") > 25), f"{root}/in/batch2")
     load_increment(spark, f"{root}/in/*", _PART_SCHEMA, f"{root}/raw", f"{root}/ckpt")
     load_increment(spark, f"{root}/in/*", _PART_SCHEMA, f"{root}/raw", f"{root}/ckpt")  # no new files: no-op
     return read_target(spark, f"{root}/raw", _PART_SCHEMA)
+
+
+@query(
+    "incremental_quarantine",
+    "SELECT concat_ws(',', CAST(p_partkey AS VARCHAR), p_name) AS raw_line FROM part WHERE p_size % 9 = 0",
+)
+def q_incremental_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of two fields among rows of five: kept apart as raw lines."""
+    root = scratch_path(spark, "incremental")
+    whole = F.concat_ws(",", F.col("p_partkey").cast("string"), "p_name", "p_brand", "p_type", F.col("p_size").cast("string"))
+    short = F.concat_ws(",", F.col("p_partkey").cast("string"), "p_name")
+    table(spark, sf, "part").select(F.when(F.col("p_size") % 9 == 0, short).otherwise(whole).alias("value")).write.text(f"{root}/in")
+    load_increment(spark, f"{root}/in", _PART_SCHEMA, f"{root}/raw", f"{root}/ckpt", header=False)
+    return read_quarantine(spark, f"{root}/raw", _PART_SCHEMA)

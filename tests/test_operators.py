@@ -28,9 +28,9 @@ def test_null_keys_are_never_duplicates(spark):
         [(1, None, "s", "i", ["x"]), (2, None, "s", "i", ["y"]), (3, "g", "s", "i", ["b"]), (4, "g", "s", "i", ["a"])],
         "id int, g string, s string, i string, ids array<string>",
     )
-    out = D.resolve_duplicates(df, ["g", "s", "i"], [D.asc("id")], ids_col="ids")
-    rows = {r["id"]: r["ids"] for r in out.collect()}
-    assert rows == {1: ["x"], 2: ["y"], 3: ["a", "b"]}
+    rows, links = D.resolve_duplicates(df, ["g", "s", "i"], [D.asc("id")], "id")
+    assert sorted(r["id"] for r in rows.collect()) == [1, 2, 3]
+    assert sorted(map(tuple, links.collect())) == [(3, 3), (3, 4)]
 
 
 def test_top1_null_created_wins(spark):
@@ -137,8 +137,76 @@ def test_line_repair(spark):
     assert out == ["ab", "c"]
 
 
-def test_source_key_rule():
-    assert I.clean_key_py("My-Source file") == "my_source_file"
+def test_source_key_rule(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("My file",)], "stem string")
+    assert tuple(df.select(I.source_key("A-Key", "stem", 1), I.source_key("A-Key", "stem", 2)).first()) == ("a_key", "a_key_my_file")
+    assert df.select(I.clean_key(F.lit("My-Source file"))).first()[0] == "my_source_file"
+
+
+def _put(folder, name, data):
+    path = os.path.join(folder, name)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as f:
+        f.write(data.encode() if isinstance(data, str) else data)
+    return path
+
+
+def test_single_odd_suffix_and_missing_path(spark):
+    d = _tmp()
+    odd = _put(d, "table.dat", "a,b\n1,2\n")
+    assert [r["file_name"] for r in I.list_files(spark, odd).collect()] == ["table.dat"]
+    assert I.list_files(spark, d).count() == 0 and I.list_files(spark, d + "/none").count() == 0
+    assert [tuple(r) for r in I.read_delimited(spark, odd).collect()] == [("1", "2")]
+
+
+def test_columns_go_by_header_and_delimiter_by_suffix(spark):
+    d = _tmp()
+    _put(d, "x.csv", "a,b\n1,2\n")
+    _put(d, "y.csv", "b,a\n4,3\n")
+    _put(d, "deep/z.TSV", "a\tc\n5\t6\n")
+    rows = {tuple(r) for r in I.read_delimited(spark, d).select("a", "b", "c").collect()}
+    assert rows == {("1", "2", None), ("3", "4", None), ("5", None, "6")}
+
+
+def test_utf16_and_quoted_line_breaks(spark):
+    d = _tmp()
+    _put(d, "le.csv", "k,v\n1,é\n".encode("utf-16"))
+    _put(d, "plain.csv", "k,v\n2,b\n")
+    _put(d, "quoted.csv", 'k,v\n3,"two\nlines"\n')
+    kinds = {r["path"].rsplit("/")[-1]: (r["encoding"], r["multiline"]) for r in I.file_encodings(spark, d).collect()}
+    assert kinds == {"le.csv": ("UTF-16", True), "plain.csv": ("UTF-8", False), "quoted.csv": ("UTF-8", True)}
+    assert sorted(map(tuple, I.read_with_fallback(spark, d).collect())) == [("1", "é"), ("2", "b"), ("3", "two\nlines")]
+
+
+def test_csv_keeps_blanks_and_quotes(spark):
+    d = _tmp() + "/out"
+    rows = [("  a ", 'he said ""hi"", ok'), ("b", '"'), ("\tc", "x")]
+    I.write_csv(spark.createDataFrame(rows, "k string, v string"), d)
+    assert sorted(map(tuple, I.read_delimited(spark, d).collect())) == sorted(rows)
+
+
+def test_stream_counts_batches_and_quarantines(spark):
+    from taxaweave.streaming import incremental as S
+
+    d = _tmp()
+    schema = I.T.StructType([I.T.StructField(x, I.T.StringType()) for x in "ab"])
+    for k in range(3):
+        _put(d, f"in/{k}.csv", f'a,b\n{k},"he said ""hi"", ok"\n{k},x,extra\n')
+    run = lambda: S.load_increment(spark, d + "/in", schema, d + "/raw", d + "/ckpt", max_files_per_trigger=1)
+    assert (run(), run()) == (3, 0)
+    assert sorted(map(tuple, S.read_target(spark, d + "/raw", schema).collect())) == [(str(k), 'he said "hi", ok') for k in range(3)]
+    assert sorted(r[0] for r in S.read_quarantine(spark, d + "/raw", schema).collect()) == [f"{k},x,extra" for k in range(3)]
+
+
+def test_neighbours_across_ranges(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 2).alias("v")).where("v <> 500").repartition(7)
+    bad = QC.sequential_values(df, "v", ["g"], interval=6).collect()
+    assert [(r["g"], r["v"], r["previous_value"]) for r in bad] == [(1, 506, 494)]
+    assert QC.mutually_exclusive_ranges(df.withColumn("w", F.col("v") + 1), "v", "w", ["g"]).count() == 0
 
 
 def test_family_groups(spark):

@@ -43,21 +43,28 @@ def test_top1_reduces_hot_key_before_shuffle(spark):
     assert best.count() == 998
 
 
-def test_merge_aggregates_partially(spark):
-    df = _hot(spark).select(F.col("k").alias("name"), F.lit("species").alias("rank"), F.col("id").cast("string").alias("id"),
-                            F.lit("WFO").alias("data_source"), "genus", "family")
-    merged = df.select(*[F.col(c) for c in df.columns])
-    grouped = merged.groupBy("name", "rank").agg(F.max("genus").alias("genus"), F.count(F.lit(1)).alias("n"))
-    plan = _plan(grouped)
-    assert "partial_max" in plan and "partial_count" in plan
-
-
-def test_fill_with_hot_path_keeps_rows(spark):
+def test_build_taxa_aggregates_partially(spark, monkeypatch):
+    cols = {"name": F.col("k"), "rank": F.lit("species"), "id": F.col("id").cast("string"), "data_source": F.lit("WFO"), "genus": F.col("genus"), "family": F.col("family")}
+    merged = _hot(spark).select(*[cols.get(x, F.lit(None).cast("string")).alias(x) for x in pipeline.MERGED_COLUMNS])
+    seen = []
+    plain = pipeline.dense_id
+    monkeypatch.setattr(pipeline, "dense_id", lambda df, *a, **b: seen.append(_plan(df)) or plain(df, *a, **b))
+    taxa = pipeline.build_taxa(merged)
+    assert "partial_max" in seen[0] and "partial_count" in seen[0]
+    hot = taxa.attrs.where("name = 'hot'").first()
+    assert hot["source_count"] == 10000 and taxa.attrs.count() == 998
+
+
+def test_fill_explodes_once_and_fills_the_hot_path(spark):
     df = _hot(spark).select("id", "genus", "family", F.lit(None).cast("string").alias("order"))
     out = FL.hierarchical_fill(df, {"family": ["genus"], "order": ["genus", "family"]})
+    assert "Generate" not in _plan(out)  # the mode table is read, not recomputed
     assert out.count() == df.count()
-    hot = out.where(F.col("genus") == "G").select("family").distinct().collect()
-    assert len(hot) > 1 or hot[0]["family"] is not None  # NULL families of the hot genus were filled
+    best = sorted(df.where("genus = 'G' and family is not null").groupBy("family").count().collect(), key=lambda r: (-r["count"], r["family"]))[0]["family"]
+    was = df.select("id", F.col("family").alias("own"))
+    assert out.join(was, "id").where(f"genus = 'G' and own is null and family <> '{best}'").count() == 0
+    assert out.join(was, "id").where("own is not null and own <> family").count() == 0
+    assert out.where("genus = 'G' and family is null").count() == 0
 
 
 def test_dense_id_with_hot_prefix_is_gap_free(spark):
