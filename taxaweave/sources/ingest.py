@@ -152,9 +152,14 @@ def reader_options(sep: str = ",", header: bool = True, encoding: str | None = N
     return options
 
 
+def plain_path(encoded: Column) -> Column:
+    """The metadata column's file path as readers take it: not URL-encoded."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def _header_lines(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
     """(path, first line) per file, one small row each; only first blocks are read."""
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+    lines = spark.read.text(list(paths)).select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
     first = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "n").alias("line"))
     return [(r["path"], (r["line"] or "").strip("\ufeff\r")) for r in first.collect()]
 
@@ -203,7 +208,7 @@ def read_delimited(
     for (own, _line), group in sorted(groups.items()):
         reader = spark.read.options(**reader_options(own, header, encoding, multiline, keep_corrupt))
         df = (reader.schema(schema) if schema is not None else reader).csv(group)
-        parts.append(df.withColumn("source_file", F.col("_metadata.file_path")) if with_path else df)
+        parts.append(df.withColumn("source_file", plain_path(F.col("_metadata.file_path"))) if with_path else df)
     return _stacked(parts)
 
 
@@ -267,7 +272,7 @@ def file_encodings(spark: SparkSession, paths: str | Sequence[str], fallback: st
     mark = F.when(F.col("_metadata.file_block_start") == 0, F.hex(F.substring(raw, 1, 2)))
     quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     per_line = lines.select(
-        F.col("_metadata.file_path").alias("path"),
+        plain_path(F.col("_metadata.file_path")).alias("path"),
         F.is_valid_utf8("value").alias("ok"),
         F.coalesce(mark.isin("FFFE", "FEFF"), F.lit(False)).alias("utf16"),
         (quotes % 2 == 1).alias("open"),
@@ -302,7 +307,7 @@ def read_with_fallback(
 def decode_lines(spark: SparkSession, paths: str | Sequence[str], fallback: str = FALLBACK_ENCODING) -> DataFrame:
     """Lines of text files as (path, value) with per-file decoding (A4, line form)."""
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
-        F.col("_metadata.file_path").alias("path"), "value"
+        plain_path(F.col("_metadata.file_path")).alias("path"), "value"
     )
     enc = file_encodings(spark, paths, fallback).select(F.col("path").alias("__p"), "encoding")
     joined = lines.join(enc, lines["path"] == enc["__p"])
@@ -350,8 +355,7 @@ def read_family_folders(
     if not matched:
         raise FileNotFoundError(f"no {file_glob} in family folders under {root}")
     df = read_delimited(spark, matched, sep=sep, with_path=True)
-    # the path column is URL-encoded, but for plus signs
-    path = F.url_decode(F.replace("source_file", F.lit("+"), F.lit("%2B")))
+    path = F.col("source_file")
     return df.select(
         *[F.col(f"`{c}`") for c in df.columns if c != "source_file"],
         F.regexp_extract(path, pattern, 1).alias("family_name"),

@@ -82,7 +82,6 @@ _PART_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in ("p
 
 
 # names with doubled quotes and blanks at the ends, which a load must keep
-_QUOTED = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit('  he said ""hi"", '), F.col("p_name"), F.lit(" "))).otherwise(F.col("p_name"))
 _QUOTED_SQL = "CASE WHEN p_partkey % 3 = 0 THEN '  he said \"\"hi\"\", ' || p_name || ' ' ELSE p_name END"
 
 
@@ -93,7 +92,8 @@ _QUOTED_SQL = "CASE WHEN p_partkey % 3 = 0 THEN '  he said \"\"hi\"\", ' || p_na
 def q_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Two arrivals of part files, three availableNow runs, one raw table."""
     root = scratch_path(spark, "incremental")
-    p = table(spark, sf, "part").select("p_partkey", _QUOTED.alias("p_name"), "p_brand", "p_type", "p_size")
+    quoted = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit('  he said ""hi"", '), F.col("p_name"), F.lit(" "))).otherwise(F.col("p_name"))
+    p = table(spark, sf, "part").select("p_partkey", quoted.alias("p_name"), "p_brand", "p_type", "p_size")
     I.write_csv(p.where(F.col("p_size") <= 25), f"{root}/in/batch1")
     load_increment(spark, f"{root}/in/*", _PART_SCHEMA, f"{root}/raw", f"{root}/ckpt")
     I.write_csv(p.where(F.col("p_size") > 25), f"{root}/in/batch2")
