@@ -236,6 +236,7 @@ def ngram_join(docs: DataFrame, n_words: int = N_WORDS, near: int = NEAR, tile:
     facts = node.join(group, "node", "left").join(number, "node", "left").select(
         "node", F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
+    facts = written(facts, "facts")  # so that a node of many copies is a skewed join that Spark can split
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
         sets.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("node")).alias("node"))
