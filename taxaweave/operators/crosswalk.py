@@ -1,4 +1,5 @@
-"""Id crosswalks and source coverage."""
+"""Id crosswalks (C8, K8). A key that repeats on both sides gives the product of
+its rows, as the equality join of the source semantics does."""
 
 from __future__ import annotations
 
@@ -33,48 +34,3 @@ def crosswalk_join(
         e = t[k].eqNullSafe(r[f"__r_{k}"]) if null_safe else (t[k] == r[f"__r_{k}"])
         cond = e if cond is None else (cond & e)
     return t.join(r, cond, "inner").select(F.col("__taxon_id").alias("id"), "external_id")
-
-
-def crosswalk_from_ids(
-    taxa: DataFrame,
-    ids_col: str = "external_ids",
-    taxa_id: str = "id",
-    prefix: str | None = None,
-) -> DataFrame:
-    """(taxon id, external id) by unnesting the collected ids (exact by construction).
-
-    ``prefix`` keeps ids of one source (e.g. ``wfo-``). Narrow: no shuffle.
-    """
-    out = taxa.select(F.col(taxa_id).alias("id"), F.explode(F.col(ids_col)).alias("external_id"))
-    if prefix is not None:
-        out = out.where(F.col("external_id").startswith(prefix))
-    return out
-
-
-def missing_source_records(
-    source: DataFrame,
-    final: DataFrame,
-    source_id: str = "id",
-    source_name: str = "name",
-    ids_col: str = "external_ids",
-    id_prefix: str | None = None,
-    message: str = "source record missing from final dataset",
-) -> DataFrame:
-    """Distinct source (id, name) pairs whose id occurs in no final row's id
-    array (K9, L19). Failing rows; zero rows means every record is covered.
-
-    Plan: distinct on the source, explode + distinct ids of the final table,
-    one anti join.
-    """
-    src = source.select(F.col(source_id).alias("source_id"), F.col(source_name).alias("source_name")).where(
-        F.col("source_id").isNotNull()
-    )
-    if id_prefix is not None:
-        src = src.where(F.col("source_id").startswith(id_prefix))
-    src = src.distinct()
-    present = final.select(F.explode(F.col(ids_col)).alias("external_id")).where(F.col("external_id").isNotNull())
-    if id_prefix is not None:
-        present = present.where(F.col("external_id").startswith(id_prefix))
-    present = present.distinct()
-    missing = src.join(present, src["source_id"] == present["external_id"], "left_anti")
-    return missing.select("source_id", "source_name", F.lit(message).alias("error_message"))

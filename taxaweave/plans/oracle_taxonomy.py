@@ -8,7 +8,29 @@ oracle; array columns are rendered with ``array_to_string(.., ',')``.
 
 from __future__ import annotations
 
-from taxaweave.schemas import FILL_ORDER, MERGED_ATTRIBUTES, TAXA_ID_ORDER, fill_lookups
+# FIXED VALUES, stated here again on purpose: a wrong value in the library must
+# not pass by being wrong on both sides.
+MERGED_ATTRIBUTES = ["generic_name", "specific_name", "infra_name", "section", "subgenus", "genus", "subtribe", "tribe", "subfamily",
+ "family", "order", "class", "phylum", "kingdom"]
+TAXA_ID_ORDER = ["kingdom", "phylum", "class", "order", "family", "subfamily", "tribe", "subtribe", "genus", "subgenus", "section",
+ "generic_name", "specific_name", "infra_name", "name", "rank"]
+FILL_ORDER = {"subtribe": ["genus", "subfamily", "tribe"],
+ "tribe": ["genus", "subtribe", "subfamily"],
+ "subfamily": ["genus", "subtribe", "tribe", "family"],
+ "family": ["genus", "subtribe", "tribe", "subfamily", "order"],
+ "order": ["genus", "subtribe", "tribe", "subfamily", "family", "class"],
+ "class": ["genus", "subtribe", "tribe", "subfamily", "family", "order", "phylum"],
+ "phylum": ["genus", "subtribe", "tribe", "subfamily", "family", "order", "class", "kingdom"],
+ "kingdom": ["genus", "subtribe", "tribe", "subfamily", "family", "order", "class", "phylum"]}
+WIZ_MAIN_RANK_RULES = [([" var. ", " v. ", " nv. ", " Br. fol. "], "variety"), ([" ssp. ", " subsp. "], "subspecies"),
+ ([" f. ", " forma ", " nm. ", " monstr. "], "form"), ([" h.v. "], "variety"), ([" h.f. "], "form"),
+ ([" sp. "], "species")]
+WIZ_MAIN_SPLIT_MARKERS = [" var. ", " ssp. ", " subsp. ", " f. ", " h.v. ", " h.f. "]
+WIZ_INFRA_RANK_RULES = [([" var. "], "variety"), ([" ssp. ", " subsp. "], "subspecies"), ([" f. ", " forma "], "form"),
+ ([" nothovar. "], "variety")]
+WIZ_INFRA_SPLIT_MARKERS = [" var. ", " ssp. ", " subsp. ", " nothovar. ", " f. "]
+WIZ_NAME_REWRITES = [(" h.v. ", " var. "), (" h.f. ", " f. "), (" v. ", " var. "), (" nm. ", " f. "), (" nv. ", " var. "),
+ (" monstr. ", " f. "), (" subsp. ", " ssp. "), (" sp. ", " "), (" Br. fol. ", " var. ")]
 
 
 def W(x: str) -> str:
@@ -195,14 +217,6 @@ def _wiz_part_sql(src: str, spname: str, rank_rules, markers, default_rank: str)
 
 
 def _wiz_conf() -> str:
-    from taxaweave.plans.conform import (
-        WIZ_INFRA_RANK_RULES,
-        WIZ_INFRA_SPLIT_MARKERS,
-        WIZ_MAIN_RANK_RULES,
-        WIZ_MAIN_SPLIT_MARKERS,
-        WIZ_NAME_REWRITES,
-    )
-
     main = _wiz_part_sql("wiz_sn", "CAST(SpName AS INTEGER)", WIZ_MAIN_RANK_RULES, WIZ_MAIN_SPLIT_MARKERS, "species")
     infra = _wiz_part_sql("wiz_inf", "CAST(NULL AS INTEGER)", WIZ_INFRA_RANK_RULES, WIZ_INFRA_SPLIT_MARKERS, "subspecies")
     rewrite = "CASE " + " ".join(
@@ -314,7 +328,8 @@ dedup AS (
 
 
 def _fill() -> str:
-    lookups = fill_lookups(FILL_ORDER)
+    levels = dict.fromkeys(lv for chain in FILL_ORDER.values() for lv in chain)
+    lookups = {lv: [target for target, chain in FILL_ORDER.items() if lv in chain] for lv in levels}
     ctes = []
     for level, targets in lookups.items():
         counts = " UNION ALL ".join(

@@ -1002,6 +1002,24 @@ def q_species(spark, sf):
     return render_arrays(pipeline.rank_slice(_stage(spark, sf, "taxa")[0].arrays(), ["species", "subspecies", "variety", "form"]))
 
 
+@query(
+    "rank_slice_grouped",
+    OT.with_stages("merged") + "SELECT name, rank, count(*) AS source_count FROM merged WHERE rank IN ('genus', 'form') GROUP BY name, rank",
+)
+def q_rank_slice_grouped(spark, sf):
+    """Genera and forms of the grouped merge (the published taxa hold no genera)."""
+    every = pipeline.build_taxa(_stage(spark, sf, "merged"), ranks=[*pipeline.RANKS_SPECIFIC, "genus"])
+    return pipeline.rank_slice(every.attrs, ["genus", "form"]).select("name", "rank", "source_count")
+
+
+@query("load_stamp", OT.with_stages("conf") + "SELECT id, name, true AS stamped FROM gbif_conf")
+def q_load_stamp(spark, sf):
+    raw = derived.raw_sources(spark, sf)["gbif"]
+    stamped = conform.conform_gbif(raw, loaded_at=True)
+    recent = c("dbt_loaded_at") > F.current_timestamp() - F.expr("INTERVAL 1 DAY")
+    return stamped.select("id", "name", F.coalesce(recent, F.lit(False)).alias("stamped"))
+
+
 @query("pipe_dedupe", _SQL["pipe_dedupe"])
 def q_pipe_dedupe(spark, sf):
     return render_arrays(_stage(spark, sf, "dedup").arrays().select(*TAXA_COLUMNS))

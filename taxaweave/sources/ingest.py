@@ -325,13 +325,6 @@ def repair_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return lines.withColumn(col, v).where(F.length(col) > 0)
 
 
-def parse_lines(lines: DataFrame, columns: Sequence[str], sep: str = ",", col: str = "value") -> DataFrame:
-    """Parse repaired single-line records into text columns (A3 on text)."""
-    schema = ", ".join(f"`{c}` STRING" for c in columns)
-    parsed = F.from_csv(F.col(col), schema, {"sep": sep, "mode": "PERMISSIVE"})
-    return lines.select(parsed.alias("__r")).select(*[F.col("__r")[c].alias(c) for c in columns])
-
-
 # ---------------------------------------------------------------------------
 # Folder trees and headers
 # ---------------------------------------------------------------------------
