@@ -247,9 +247,16 @@ def ngram_join(docs: DataFrame, n_words: int = N_WORDS, near: int = NEAR, tile:
 
 def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The documents without those that another one of their component stands
-    for; one row where a doc_id repeats. Rows of null doc_id all stay."""
+    for; one row where a doc_id repeats. Rows of null doc_id all stay.
+
+    Texts move only if Spark shuffles them for the anti join, or where the
+    narrow ``groups`` show that a doc_id repeats.
+    """
     gone = groups.where("component_id < doc_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    twice = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    if not twice.limit(1).count():
+        return kept
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
     return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").withColumn("_nth", nth).where("_nth = 1").drop("_nth"))
 
