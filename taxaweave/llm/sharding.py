@@ -38,10 +38,11 @@ def propagated(state: DataFrame, capacity: list[int]) -> DataFrame:
         room = [c - held.get(k, 0) for k, c in enumerate(capacity)]
         free = F.element_at(F.array(*[F.lit(r) for r in room]), F.col("shard") + 1)
         of_group = Window.partitionBy("group")
-        # where most of the group is and more can come; what is in a full shard stays
-        best = F.max(F.when(free > 0, F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard"))).over(of_group)["shard"]
-        wishes = written(state.withColumn("to", best), "wishes")
-        asking = wishes.where("`to` <> shard")
+        # where most of the group is and more can come; a part never moves to a
+        # smaller one, nor out of a full shard to one of its own size
+        best = F.max(F.when(free > 0, F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard"))).over(of_group)
+        wishes = written(state.withColumn("free", free).withColumn("best", best), "wishes")
+        asking = wishes.where("best.shard <> shard and (best.n > n or best.n = n and free > 0)").select("group", "shard", "n", F.col("best.shard").alias("to"))
         lined = ranked(asking, "to", ["n", "group", "shard"], weight="n", before="ahead")
         left = F.element_at(F.array(*[F.lit(max(r, 0)) for r in room]), F.col("to") + 1)
         goes = F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), left - F.col("ahead")))
