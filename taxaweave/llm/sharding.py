@@ -1,10 +1,11 @@
 """Balanced label propagation over documents linked by equal texts.
 
 Law ``rows``: shard sizes differ by one row at most. Linked documents start in
-shards by hash; in each round every group's documents ask to move to the open
-shard that holds most of the group, and as many may move as the shard's capacity
-leaves room for. Documents without a link fill what is left, so no link is cut
-for balance alone. A group larger than a shard fills as few shards as it can.
+shards by hash; in each round every part of a group wishes to move to the shard
+that holds most of the group, and as many may as quotas by pair of shards allow:
+a shard's room plus what leaves it. Documents without a link fill what is left,
+so no link is cut for balance alone. Groups of over a quarter of a shard (at most
+a few for each shard) are placed first, in as few shards as they can be.
 
 Copies of a text in one shard are alike, so the propagation works on (group,
 shard, count) rows, at most one per shard and group; documents are told apart
@@ -17,42 +18,72 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaweave.llm.common import query, ranked, table, written
 
 SHARDS = 8
-#: Rounds without end are impossible (each must move a document); rounds that
-#: move under this share of the linked documents are not worth another one.
+#: A group of over this part of a shard is placed before the propagation.
+GIANT = 4
+#: A round that may move at most this share of the linked documents is the last,
+#: unless it closes a shard.
 WORTH = 0.0005
 
 
+def quotas(wished: np.ndarray, held: np.ndarray, capacity: np.ndarray) -> np.ndarray:
+    """How many may move from each shard to each: at most as many as wish to,
+    and into a shard as many as its room and those that leave it allow."""
+    grant = wished.copy()
+    changed = True
+    while changed:
+        changed = False
+        for k in range(len(held)):
+            coming = int(grant[:, k].sum())
+            over = held[k] + coming - grant[k].sum() - capacity[k]
+            if over > 0 and coming:
+                grant[:, k] = grant[:, k] * max(coming - over, 0) // coming
+                changed = True
+    return grant
+
+
 def propagated(state: DataFrame, capacity: list[int]) -> DataFrame:
     """Moves documents of (group, shard, n) rows until no round is worth it.
-    Rows of a group: at most one per shard, before and after."""
-    moved, total = 1, None
-    while moved:
-        held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # a row per shard
-        total = total or sum(held.values())
-        room = [c - held.get(k, 0) for k, c in enumerate(capacity)]
-        free = F.element_at(F.array(*[F.lit(r) for r in room]), F.col("shard") + 1)
+    Rows of a group: at most one per shard, before and after.
+
+    Each round every part of a group wishes to move to the shard of the group's
+    largest part. The wishes by pair of shards (a small matrix) give the quotas;
+    documents swap places where both sides wish to. A shard that could let
+    nobody in is closed: what is in it stays, others look elsewhere.
+    """
+    shards = len(capacity)
+    closed: list[int] = []
+    while True:
         of_group = Window.partitionBy("group")
-        # where most of the group is and more can come; a part never moves to a
-        # smaller one, nor out of a full shard to one of its own size
-        best = F.max(F.when(free > 0, F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard"))).over(of_group)
-        wishes = written(state.withColumn("free", free).withColumn("best", best), "wishes")
-        asking = wishes.where("best.shard <> shard and (best.n > n or best.n = n and free > 0)").select("group", "shard", "n", F.col("best.shard").alias("to"))
-        lined = ranked(asking, "to", ["n", "group", "shard"], weight="n", before="ahead")
-        left = F.element_at(F.array(*[F.lit(max(r, 0)) for r in room]), F.col("to") + 1)
-        goes = F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), left - F.col("ahead")))
+        is_open = ~F.col("shard").isin(closed) if closed else F.lit(True)
+        best = F.max(F.when(is_open, F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard"))).over(of_group)["shard"]
+        wishes = written(state.withColumn("to", best).withColumn("move", is_open & (F.col("to") != F.col("shard"))), "wishes")
+        held, wished, total = np.zeros(shards, np.int64), np.zeros((shards, shards), np.int64), 0
+        for r in wishes.groupBy("shard", "to", "move").agg(F.sum("n").alias("n")).collect():  # a row per pair of shards
+            held[r["shard"]] += r["n"]
+            total += r["n"]
+            if r["move"]:
+                wished[r["shard"], r["to"]] += r["n"]
+        grant = quotas(wished, held, np.array(capacity, np.int64))
+        shut = [k for k in range(shards) if wished[:, k].sum() and not grant[:, k].sum()]
+        if grant.sum() <= WORTH * total and not shut:
+            return state
+        closed += shut
+        if not grant.any():
+            continue
+        pair = (F.col("shard") * shards + F.col("to")).cast("int")
+        lined = ranked(wishes.where("move").select("group", "shard", "to", "n", pair.alias("pair")), "pair", ["n", "group"], weight="n", before="ahead")
+        quota = F.element_at(F.array(*[F.lit(int(q)).cast("long") for q in grant.ravel()]), F.col("pair") + 1)
+        goes = F.greatest(F.lit(0).cast("long"), F.least(F.col("n"), quota - F.col("ahead")))
         granted = written(lined.withColumn("goes", goes).where("goes > 0").select("group", "shard", "to", "goes"), "granted")
-        moved = granted.agg(F.sum("goes")).first()[0] or 0
         change = granted.select("group", "shard", (-F.col("goes")).alias("n")).unionByName(granted.select("group", F.col("to").alias("shard"), F.col("goes").alias("n")))
         state = written(state.unionByName(change).groupBy("group", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "state")
-        if moved < WORTH * total:
-            break
-    return state
 
 
 def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -67,9 +98,10 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     capacity = [total // shards + (k < total % shards) for k in range(shards)]
     start = base.groupBy("group", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard")).agg(F.count("*").alias("n"))
     whole = F.sum("n").over(Window.partitionBy("group"))
-    # groups that overfill a shard by chance of the first deal are moved like others
-    state = propagated(written(start.withColumn("all", whole).where("all > 1").drop("all"), "state"), capacity)
-    state = settled(state, capacity)
+    start = written(start.withColumn("all", whole).where("all > 1"), "state")
+    giants, room = placed_first(start, capacity)
+    others = start.where("all <= " + str(min(capacity) // GIANT)).drop("all")
+    state = settled(propagated(others, room), room).unionByName(giants)
     held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
     upto = Window.partitionBy("group").orderBy("shard")
     ends = state.withColumn("end", F.sum("n").over(upto)).groupBy("group").agg(F.sort_array(F.collect_list(F.struct("end", "shard"))).alias("ends"))  # <= shards entries
@@ -87,6 +119,23 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     return ranked(dealt, "shard", ["doc_id"], at="slot")
 
 
+def placed_first(start: DataFrame, capacity: list[int]) -> tuple[DataFrame, list[int]]:
+    """Groups of over a ``GIANT``-th of a shard (there are at most GIANT times
+    the shards) get their places before all others, each in one shard where it
+    fits and else in as few as it can; returns them and the room that is left."""
+    big = start.where("all > " + str(min(capacity) // GIANT)).groupBy("group").agg(F.max("all").alias("all")).collect()
+    room, rows = list(capacity), []
+    for r in sorted(big, key=lambda r: (-r["all"], r["group"])):
+        n = r["all"]
+        while n:
+            fits = [k for k, free in enumerate(room) if free >= n]
+            k = min(fits, key=lambda k: room[k]) if fits else max(range(len(room)), key=lambda k: room[k])
+            take = min(n, room[k])
+            rows.append((r["group"], k, take))
+            room[k], n = room[k] - take, n - take
+    return start.sparkSession.createDataFrame(rows, "group long, shard int, n long"), room
+
+
 def settled(state: DataFrame, capacity: list[int]) -> DataFrame:
     """Linked documents beyond a shard's capacity (left there by the first deal)
     go to shards with room, whole rows as far as the cut allows."""
