@@ -901,11 +901,12 @@ def q_dq_equality(spark, sf):
 
 @query(
     "dq_single_word_names",
-    f"SELECT p_partkey, bname FROM {_BOTANICAL} b WHERE coalesce(split_part(bname, ' ', 2) LIKE '% %', false) OR coalesce(bname LIKE '%subsp%', false)",
+    f"SELECT p_partkey, bname FROM {_BOTANICAL} b WHERE regexp_replace(bname, '^[^ ]+ ', '') LIKE '% %'",
 )
 def q_dq_single_word(spark, sf):
-    b = _botanical(spark, sf).withColumn("sp2", N.split_part("bname", " ", 2)).withColumn("sub", F.when(c("bname").contains("subsp"), F.lit("x y")))
-    return QC.single_word(b, ["sp2", "sub"]).select("p_partkey", "bname")
+    """Name parts: the first word, and the rest, which should be one word too."""
+    parts = _botanical(spark, sf).withColumn("first", N.split_part("bname", " ", 1)).withColumn("rest", F.regexp_replace("bname", "^[^ ]+ ", ""))
+    return QC.single_word(parts, ["first", "rest"]).select("p_partkey", "bname")
 
 
 @query(
