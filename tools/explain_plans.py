@@ -51,9 +51,9 @@ def main() -> None:
         ("K4 merge + normalise: union of three scans, no shuffle", pipeline.merge_sources(t("wfo"), t("gbif"), t("wiz"))),
         ("K5 taxa attributes: partial aggregate, range exchange for the dense id already written; offsets broadcast (one row per partition)", taxa.attrs),
         ("K5 links: a projection of the merged records", taxa.ids),
-        ("K6 dedupe attributes: winners (partial group limit), group sizes (partial aggregate), losers removed by anti join", dedup.attrs),
-        ("K6 dedupe id links: member->winner mapping is the size-checked broadcast side", dedup.ids),
-        ("K7 fill (on the published deduplicated table): distinct rank paths (partial aggregate), lookups on the path table, one join back", pipeline.fill_taxa(stored).attrs),
+        ("K6 dedupe attributes: winner and group size from one aggregate per key, losers removed by anti join", dedup.attrs),
+        ("K6 dedupe id links: member->winner map joined to the links, distinct on (winner, id)", dedup.ids),
+        ("K7 fill (on the published deduplicated table): path and mode tables written once, one slice join per level, one join back", pipeline.fill_taxa(stored).attrs),
         ("K9 coverage: distinct source ids, one anti join against the id links", pipeline.coverage(t("wfo"), stored, "wfo-", "WFO")),
     ]
     out = ["# Physical plans of the chain's key steps", "",
