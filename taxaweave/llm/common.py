@@ -20,6 +20,10 @@ from taxaweave.session import shared_dir
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
+#: For bytes.translate: ASCII letters to lower case, other ASCII but digits to a space.
+NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+
+
 def query(name: str, sql: str | None = None):
     def put(fn):
         QUERIES[name] = (fn, sql)
@@ -111,9 +115,3 @@ def ranked(df: DataFrame, key: str, order: list[str], weight: str | None = None,
     led = (F.col("_run") == 0) & F.col("_key").eqNullSafe(F.col(key))
     on = on.withColumn(at, F.col(at) + F.when(led, F.col("_n")).otherwise(0)).withColumn(before, F.col(before) + F.when(led, F.col("_w")).otherwise(0))
     return on.select(*names, at, *([before] if weight else []))
-
-
-def unsigned_crc32(data: bytes) -> int:
-    import zlib
-
-    return zlib.crc32(data) & 0xFFFFFFFF

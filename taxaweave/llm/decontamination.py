@@ -26,15 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from taxaweave.llm.common import query, table
+from taxaweave.llm.common import NORMAL, query, table
 
 WINDOW = 10
 #: Words of benchmark items one automaton holds at most, about (some 4 kB each).
 AUTOMATON_WORDS = 50_000
 
-#: ASCII letters to lower case, other ASCII but digits to a space.
-NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-
 _AUTOMATA: dict[str, object] = {}
 
 

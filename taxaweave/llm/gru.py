@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
+from taxaweave.llm.common import NORMAL
 from taxaweave.llm.ngram_sets import mix, word_hashes
 
 WINDOW, STRIDE = 48, 32
@@ -25,9 +26,6 @@ DECAY = 0.02
 DROPPED = 0.3
 F32 = np.float32
 
-#: ASCII letters to lower case, other ASCII but digits to a space.
-NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-
 
 class Windows:
     """All overlapping windows of some texts: ``word`` and ``trigrams`` describe
