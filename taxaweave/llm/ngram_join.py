@@ -5,10 +5,10 @@ word shingles. Documents of equal sets are one node (they link trivially).
 
 0. Count: all shingles of the corpus are counted in fixed hash slots.
 1. Deal: every set is cut into hash groups; two linked sets always have one of
-   their keyed group contents in common (``ngram_sets.bucket_keys``; contents rare by
-   those counts are keyed first, so common passages bring nothing together). Documents
-   that share a key are chained, and the chains' components are the clusters:
-   no linked pair lies across two of them.
+   their keyed group contents in common (``ngram_sets.bucket_keys``; contents
+   rare by those counts are keyed first, so common passages bring nothing
+   together). Documents that share a key are tied to the first of them, and the
+   ties' components are the clusters: no linked pair lies across two of them.
 2. Index: a cluster's nodes are points of counts by hash group in an R-tree;
    a synchronous traversal keeps the pairs whose summed coordinate minima allow
    the overlap. A cluster of over ``tile`` shingles is cut into tiles by set
@@ -132,8 +132,8 @@ def keyed(docs: DataFrame, n_words: int, near: int, levels: np.ndarray) -> DataF
 
 def clusters(keys: DataFrame) -> DataFrame:
     """(node, root) of doc_ids that share keys, directly or through others."""
-    chain = F.lag("doc_id").over(Window.partitionBy("key").orderBy("doc_id"))
-    edges = keys.withColumn("a", chain).where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    first = F.first("doc_id").over(Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    edges = keys.withColumn("a", first).where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     return components(edges)
 
 

@@ -125,3 +125,18 @@ def test_decontamination_in_passes_equals_one(spark):
     assert decontamination.decontaminate(empty(spark), bench).count() == 0
     none = decontamination.decontaminate(docs, empty(spark, BENCH))
     assert none.where("size(hit_runs) > 0").count() == 0 and none.count() == docs.count()
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    from taxaweave.llm.graphs import components
+
+    path = [(k, k + 1) for k in range(0, 400)]
+    star = [(1000, 1000 + k) for k in range(1, 200)]
+    ring = [(2000 + k, 2000 + (k + 1) % 30) for k in range(30)]
+    edges = spark.createDataFrame(path + star + ring + [(5001, 5000), (5001, 5000)], "a long, b long")
+    out = {r["node"]: r["root"] for r in components(edges).collect()}
+    groups = [range(401), range(1000, 1200), range(2000, 2030), (5000, 5001)]
+    assert sorted(out) == sorted(n for g in groups for n in g)
+    roots = [{out[n] for n in g} for g in groups]
+    assert all(len(r) == 1 for r in roots) and len(set.union(*roots)) == 4
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
