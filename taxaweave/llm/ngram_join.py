@@ -30,6 +30,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,20 +47,19 @@ TILE = 200_000
 PARTS = 64
 #: Sets whose keys a task remembers to have given already.
 SEEN = 200_000
-#: Bytes of text that are hashed at a time.
-CHUNK_BYTES = 1 << 20
+#: Texts that are hashed at a time: about so many bytes, so many rows at most.
+CHUNK_BYTES, CHUNK_ROWS = 1 << 20, 512
 
 
-def _chunks(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
-    own, size = [], 0
-    for t in texts:
-        own.append(t)
-        size += len(t or b"")
-        if size >= CHUNK_BYTES:
-            yield own
-            own, size = [], 0
-    if own:
-        yield own
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes | None]]]:
+    """(doc_ids, texts) of a few rows at a time, few enough to be hashed at once."""
+    for b in batches:
+        size = pc.cumulative_sum(pc.fill_null(pc.binary_length(b.column(1)), 0).cast(pa.int64())).to_numpy() // CHUNK_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            for at in range(lo, hi, CHUNK_ROWS):
+                own = b.slice(at, min(CHUNK_ROWS, hi - at))
+                yield own.column(0), own.column(1).to_pylist()
 
 
 def shingled(docs: DataFrame, n_words: int) -> tuple[DataFrame, np.ndarray]:
@@ -70,16 +70,13 @@ def shingled(docs: DataFrame, n_words: int) -> tuple[DataFrame, np.ndarray]:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
-        for b in batches:
-            at = 0
-            for own in _chunks(b.column(1).to_pylist()):
-                sets = shingle_sets(own, n_words)
-                counts += np.bincount(slots(np.concatenate(sets)), minlength=SLOTS)
-                n = pa.array([len(s) for s in sets], pa.int64())
-                node = pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())
-                none = [pa.nulls(len(own), t) for t in (pa.int32(), pa.binary())]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(own)), n, node, *none], names=["doc_id", "n", "node", "part", "counts"])
-                at += len(own)
+        for ids, texts in _parts(batches):
+            sets = shingle_sets(texts, n_words)
+            counts += np.bincount(slots(np.concatenate(sets)), minlength=SLOTS)
+            n = pa.array([len(s) for s in sets], pa.int64())
+            node = pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())
+            none = [pa.nulls(len(texts), t) for t in (pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([ids, n, node, *none], names=["doc_id", "n", "node", "part", "counts"])
         if counts.any():
             arrays = [pa.nulls(PARTS, pa.int64())] * 3 + [pa.array(range(PARTS), pa.int32()), pa.array([counts[k * width : (k + 1) * width].tobytes() for k in range(PARTS)], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "node", "part", "counts"])
@@ -110,22 +107,19 @@ def keyed(docs: DataFrame, n_words: int, near: int, levels: np.ndarray) -> DataF
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for b in batches:
-            at = 0
-            for own in _chunks(b.column(1).to_pylist()):
-                ids, made = [], []
-                for doc, s in zip(b.column(0).slice(at, len(own)).to_pylist(), shingle_sets(own, n_words), strict=True):
-                    node = set_id(s) if len(s) else 0
-                    if len(s) and node not in seen:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(node)
-                        made.append(bucket_keys(s, near, held.value))
-                        ids.append(doc)
-                at += len(own)
-                if made:
-                    docs_ = np.repeat(np.array(ids, np.int64), [len(m) for m in made])
-                    yield pa.RecordBatch.from_arrays([pa.array(docs_), pa.array(np.concatenate(made).view(np.int64))], names=["doc_id", "key"])
+        for docs_, texts in _parts(batches):
+            ids, made = [], []
+            for doc, s in zip(docs_.to_pylist(), shingle_sets(texts, n_words), strict=True):
+                node = set_id(s) if len(s) else 0
+                if len(s) and node not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(node)
+                    made.append(bucket_keys(s, near, held.value))
+                    ids.append(doc)
+            if made:
+                by = np.repeat(np.array(ids, np.int64), [len(m) for m in made])
+                yield pa.RecordBatch.from_arrays([pa.array(by), pa.array(np.concatenate(made).view(np.int64))], names=["doc_id", "key"])
 
     return _narrow(docs).where("doc_id is not null").mapInArrow(keys, "doc_id long, key long")
 
