@@ -18,6 +18,8 @@ WINDOW, STRIDE = 48, 32
 WORDS, WORD_DIM = 1 << 14, 16
 TRIGRAMS, CHAR_DIM = 1 << 12, 8
 HIDDEN, ATTENTION = 8, 8
+#: Texts of more bytes are scored in parts; bytes by which the parts overlap.
+LONG_BYTES, OVERLAP_BYTES = 4 << 20, 4 << 10
 #: Words in fewer training texts share one vector: alone they could only be learnt by heart.
 MIN_TEXTS = 4
 #: Decay of all parameters per step, as a share of the rate.
@@ -217,12 +219,35 @@ def train(texts: list[bytes], labels: np.ndarray, steps: int, batch: int = 24, r
     return p
 
 
-def scores(p: dict, texts: list[bytes | None], windows_at_once: int = 4096) -> np.ndarray:
-    """Probability of label 1 of each whole text; a text without words has 0."""
-    x = Windows(texts)
-    if not len(x.doc):
-        return np.zeros(len(texts))
+def logits(p: dict, x: Windows, windows_at_once: int = 4096) -> np.ndarray:
     vectors = inputs(p, x)
-    logit = np.concatenate([forward(p, x, slice(at, at + windows_at_once), vectors) for at in range(0, len(x.doc), windows_at_once)])
-    doc, _ = pooled(logit.astype(float), x.doc, len(texts))
-    return np.where(x.n_words > 0, _sigmoid(doc), 0.0)
+    return np.concatenate([forward(p, x, slice(at, at + windows_at_once), vectors) for at in range(0, len(x.doc), windows_at_once)]).astype(float)
+
+
+def pieces(text: bytes) -> list[bytes]:
+    """A very long text in parts that overlap, cut at blanks where there are any."""
+    out, lo = [], 0
+    while len(text) - lo > LONG_BYTES:
+        cut = text.rfind(b" ", lo + LONG_BYTES // 2, lo + LONG_BYTES)
+        cut = cut if cut > 0 else lo + LONG_BYTES
+        out.append(text[lo:cut])
+        back = text.find(b" ", cut - OVERLAP_BYTES, cut)
+        lo = back if back > 0 else cut
+    return [*out, text[lo:]]
+
+
+def scores(p: dict, texts: list[bytes | None]) -> np.ndarray:
+    """Probability of label 1 of each whole text; a text without words has 0.
+    A text of over ``LONG_BYTES`` is run part by part, its windows pooled as one."""
+    out = np.zeros(len(texts))
+    long = [k for k, t in enumerate(texts) if t and len(t) > LONG_BYTES]
+    for k in long:
+        own = [logits(p, x) for x in (Windows([t]) for t in pieces(texts[k])) if len(x.doc)]
+        if own:
+            every = np.concatenate(own)
+            out[k] = _sigmoid(pooled(every, np.zeros(len(every), np.int64), 1)[0])[0]
+    x = Windows([None if k in long else t for k, t in enumerate(texts)])
+    if len(x.doc):
+        doc, _ = pooled(logits(p, x), x.doc, len(texts))
+        out = np.where(x.n_words > 0, _sigmoid(doc), out)
+    return out

@@ -40,6 +40,20 @@ def test_windows_cover_every_word():
         assert seen == set(x.word.tolist()) and set(x.doc) == {1}
 
 
+def test_very_long_texts_are_scored_in_parts(monkeypatch):
+    monkeypatch.setattr(gru, "LONG_BYTES", 6000)
+    monkeypatch.setattr(gru, "OVERLAP_BYTES", 500)
+    text = " ".join(f"word{k}" for k in range(3000)).encode()
+    parts = gru.pieces(text)
+    assert len(parts) > 4 and all(len(x) <= 6000 for x in parts)
+    assert set(b" ".join(parts).split()) == set(text.split()) and gru.pieces(b"x" * 20000)[0] == b"x" * 6000
+    p = gru.start()
+    one, two, none = gru.scores(p, [text, b"short text", None])
+    assert two == pytest.approx(gru.scores(p, [b"short text"])[0]) and none == 0
+    monkeypatch.setattr(gru, "LONG_BYTES", 1 << 20)
+    assert one == pytest.approx(gru.scores(p, [text])[0], rel=0.05)
+
+
 def test_toxicity_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{LARGER}/labels.parquet")
