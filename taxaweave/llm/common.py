@@ -3,6 +3,7 @@ folder and positions inside a sorted key without bringing a key together."""
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -24,6 +25,21 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
+#: Very long texts are taken apart at blanks, about so many bytes at a time.
+PIECE_BYTES = 4 << 20
+_BLANK = re.compile(rb"[ \t-\r]")
+
+
+def cut_at_blanks(text: bytes, size: int | None = None) -> list[bytes]:
+    """The text in pieces that part no word (of ASCII white space between words)."""
+    size = size or PIECE_BYTES
+    out, lo = [], 0
+    while len(text) - lo > size and (blank := _BLANK.search(text, lo + size)):
+        out.append(text[lo : blank.start()])
+        lo = blank.start()
+    return [*out, text[lo:]]
+
+
 def query(name: str, sql: str | None = None):
     def put(fn):
         QUERIES[name] = (fn, sql)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from taxaweave.llm.common import cut_at_blanks
+
 U = np.uint64
 #: Coordinates of a point: shingles are counted in so many hash groups.
 GROUPS = 64
@@ -50,7 +52,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of ``texts`` in order, and the number of words of
-    each text. A word's hash is a polynomial in its bytes, read off prefix sums."""
+    each text. Very long texts are hashed piece by piece."""
+    pieces = [cut_at_blanks(t) for t in texts]
+    if all(len(p) == 1 for p in pieces):
+        return _hashed(texts)
+    parts = [_hashed(p[:1]) if len(p) == 1 else tuple(map(np.concatenate, zip(*(_hashed([x]) for x in p), strict=True))) for p in pieces]
+    return np.concatenate([h for h, _ in parts]), np.array([int(c.sum()) for _, c in parts], np.int64)
+
+
+def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """As above. A word's hash is a polynomial in its bytes, read off prefix sums."""
     data = b"\n".join(texts) + b"\n"
     raw = np.frombuffer(data.translate(_LOWER), np.uint8)
     ends_at = np.cumsum([len(t) + 1 for t in texts])

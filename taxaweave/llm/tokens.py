@@ -12,6 +12,8 @@ import os
 from array import array
 from unicodedata import is_normalized
 
+from taxaweave.llm.common import cut_at_blanks
+
 
 #: Words whose ids a worker keeps at most (about 200 bytes each).
 KEPT_WORDS = 1_000_000
@@ -75,9 +77,12 @@ class Encoder(dict):
             return b""
         if b"<|" in text:
             return self.whole(text)
-        if len(self) > self.kept:
-            self.clear()
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        out = []
+        for piece in cut_at_blanks(text):
+            if len(self) > self.kept:
+                self.clear()
+            out.append(b"".join(map(self.__getitem__, piece.lower().split())))
+        return out[0] if len(out) == 1 else b"".join(out)
 
 
 def encoder(path: str, kept: int = KEPT_WORDS) -> Encoder:

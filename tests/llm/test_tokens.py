@@ -29,6 +29,18 @@ def test_words_in_turn_equal_whole_texts(library):
         assert np.frombuffer(e.ids(t.encode()), "<u4").tolist() == library(t), t
 
 
+def test_very_long_texts_go_piece_by_piece(monkeypatch):
+    from taxaweave.llm import common, ngram_sets
+
+    texts = [" ".join(f"w{k}\tx,\n" for k in range(400)).encode(), b"", b"one", b" ", b"y" * 900]
+    e = Encoder(public_path())
+    want = [e.ids(t) for t in texts], ngram_sets.shingle_sets(texts, 3), ngram_sets.word_hashes(texts)[1].tolist()
+    monkeypatch.setattr(common, "PIECE_BYTES", 100)
+    assert len(common.cut_at_blanks(texts[0])) > 20 and b"".join(common.cut_at_blanks(texts[0])) == texts[0]
+    assert [e.ids(t) for t in texts] == want[0] and ngram_sets.word_hashes(texts)[1].tolist() == want[2]
+    assert all(np.array_equal(a, b) for a, b in zip(ngram_sets.shingle_sets(texts, 3), want[1], strict=True))
+
+
 def test_packing_is_whole_and_tight(spark, library):
     docs = frame(spark)
     cut = packing.pieces(docs, public_path(), with_ids=True).cache()
