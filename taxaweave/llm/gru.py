@@ -219,7 +219,7 @@ def train(texts: list[bytes], labels: np.ndarray, steps: int, batch: int = 24, r
     return p
 
 
-def logits(p: dict, x: Windows, windows_at_once: int = 4096) -> np.ndarray:
+def logits(p: dict, x: Windows, windows_at_once: int = 2048) -> np.ndarray:
     vectors = inputs(p, x)
     return np.concatenate([forward(p, x, slice(at, at + windows_at_once), vectors) for at in range(0, len(x.doc), windows_at_once)]).astype(float)
 

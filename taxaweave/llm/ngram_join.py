@@ -48,7 +48,7 @@ PARTS = 64
 #: Sets whose keys a task remembers to have given already.
 SEEN = 200_000
 #: Texts that are hashed at a time: about so many bytes, so many rows at most.
-CHUNK_BYTES, CHUNK_ROWS = 1 << 20, 512
+CHUNK_BYTES, CHUNK_ROWS = 1 << 19, 512
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes | None]]]:

@@ -29,7 +29,7 @@ TRAIN_DOCS = 2_500
 STEPS = 300
 THRESHOLD = 0.3
 #: Bytes of text scored at a time.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def held_out() -> F.Column:
