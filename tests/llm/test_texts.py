@@ -169,6 +169,33 @@ def test_licences_of_planted_lines(spark):
     assert licences.scan(nothing, *licences.fit(nothing)).count() == 0
 
 
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+MIT = """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights"""
+
+
+def test_licences_over_line_ends(spark):
+    rows = [(k, f"Some plain prose number {k}, of and in the text,\nwith no meaning at all.\nmore of it for this work") for k in range(300)]
+    narrow = re.sub(r"(\w+ \w+ \w+) ", r"\1\n", BSD.replace("\n", " "))
+    rows += [(500, GPL), (501, BSD), (502, MIT), (503, f"plain words before\n{narrow}"), (504, " * " + GPL.replace("\n", "\n * "))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = defaultdict(dict)
+    for r in licences.scan(docs, *licences.fit(docs)).collect():
+        assert r["paragraph"] not in found[r["doc_id"]]
+        found[r["doc_id"]][r["paragraph"]] = r["family"]
+    named = {d: {f for f in own.values() if f != "unknown"} for d, own in found.items()}
+    assert {d: f for d, f in named.items() if f} == {500: {"gpl"}, 501: {"bsd"}, 502: {"mit"}, 503: {"bsd"}, 504: {"gpl"}}
+    assert [found[d].get(k) for d, k in ((500, 0), (501, 0), (502, 0), (502, 2), (503, 1), (504, 0))] == ["gpl", "bsd", "mit", "mit", "bsd", "gpl"]
+
+
 PAGE = """<title>t</title><p>Hello <b>big</b>   world<p>two<br>lines &amp; more&nbsp;x<ul><li>a<li>b<ol start=3><li>c<li>d</ol></ul>
 <table><tr><th>Name<th>N<tr><td>long name<td>1<tr><td rowspan=2>r<td>x<tr><td>y</table>after<blockquote><p>q1<p>q2</blockquote><pre>
  a  b
