@@ -11,10 +11,11 @@ Two fingerprints are compared by Jaccard likeness (1 where both are empty). A
 least likeness prunes by set length alone: sets whose lengths differ by more
 than it allows are not intersected and count as 0.
 
-Nulls: a null text is an empty one. A null doc_id is one document that sorts
-first. Rows that repeat a doc_id are one document, the one of the smallest text
-hash. An empty table gives no rows; the next document of a single one is
-itself. Other columns are ignored.
+Nulls: a null text is an empty one. Rows of a null doc_id sort first. Every row
+is returned: those that repeat a doc_id are in the order of their text hashes,
+equal ones (of one doc_id and text) have the same next document, the first one
+unlike them. An empty table gives no rows; the next document of a single one
+is itself. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from taxaweave.llm.common import query, table, written
 
@@ -103,27 +105,33 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(key, text): no nulls, a row per doc_id."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    """(key, doc_id, text), key and text without nulls. The key is the doc_id, or
+    where rows repeat one (doc_id, text hash), which equal rows share."""
+    doc = F.col("doc_id").cast("long")
+    rows = docs.select(F.coalesce(doc, F.lit(NO_ID)).alias("key"), doc.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     twice = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     if not twice.limit(1).count():
         return rows
-    first = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("text"), "text"))
-    return rows.withColumn("nth", first).where("nth = 1").drop("nth")
+    return rows.withColumn("key", F.struct(F.col("doc_id").isNotNull().alias("named"), F.col("key").alias("id"), F.xxhash64("text").alias("hash")))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited (the text whose last quarter is the start of the
     next document), print, edited_print, next_print."""
     rows = keyed(docs)
-    around = written(with_neighbours(rows), "neighbours")
+    repeated = isinstance(rows.schema["key"].dataType, T.StructType)
+    places = rows.dropDuplicates(["key"]) if repeated else rows
+    around = written(with_neighbours(places), "neighbours")
     own = rows.join(around, "key")
     start = F.substring("text", F.lit(1), F.floor(F.col("before_n") / 4).cast("int"))
-    given = own.select(F.col("before").alias("key"), start.alias("start"), fingerprint(F.col("text")).alias("next_print"))
+    if repeated:  # one of equal rows, written so that a key of many is a skewed join that Spark can split
+        first = own.select("before", start.alias("start"), "text").dropDuplicates(["before"])
+        given = written(first.select(F.col("before").alias("key"), "start", fingerprint(F.col("text")).alias("next_print")), "given")
+    else:
+        given = own.select(F.col("before").alias("key"), start.alias("start"), fingerprint(F.col("text")).alias("next_print"))
     keep = (F.col("n") - F.floor(F.col("n") / 4)).cast("int")
-    both = own.select("key", "n", "text").join(given, "key").withColumn("edited", F.concat(F.substring("text", F.lit(1), keep), "start"))
-    doc = F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id")
-    return both.select(doc, F.col("n").alias("n_chars"), "edited", fingerprint(F.col("text")).alias("print"), fingerprint(F.col("edited")).alias("edited_print"), "next_print")
+    both = own.select("key", "doc_id", "n", "text").join(given, "key").withColumn("edited", F.concat(F.substring("text", F.lit(1), keep), "start"))
+    return both.select("doc_id", F.col("n").alias("n_chars"), "edited", fingerprint(F.col("text")).alias("print"), fingerprint(F.col("edited")).alias("edited_print"), "next_print")
 
 
 def op7_columns(f: DataFrame) -> DataFrame:

@@ -151,6 +151,18 @@ def test_fingerprints_against_brute_force(spark):
     assert len(one) == 1 and one[0]["print"] == one[0]["next_print"]
 
 
+def test_fingerprints_of_every_row(spark):
+    texts = [(None, f"the row {k} has no id of its own and is one of many") for k in range(9)] + [(4, f"one id for the text {k}") for k in range(5)]
+    texts += [(4, "one id for the text 0"), (None, None), (spotsigs.NO_ID, "the least id there is"), (5, "the last")]
+    rows = [(d, t, None, None, 0) for d, t in texts]
+    out = spotsigs.fingerprints(frame(spark, rows)).select("doc_id", "n_chars", "edited").collect()
+    hashed = {r["text"]: r["h"] for r in frame(spark, rows).select(F.coalesce("text", F.lit("")).alias("text")).select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted({(d, t or "") for d, t in texts}, key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]]))
+    after = {r: order[(k + 1) % len(order)][1] for k, r in enumerate(order)}
+    want = [(d, len(t), t[: len(t) - len(t) // 4] + after[d, t][: len(t) // 4]) for d, t in ((d, t or "") for d, t in texts)]
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, want))
+
+
 def test_likeness_prunes_by_length(spark):
     df = spark.createDataFrame([([1, 2, 3, 4], [1, 2]), ([], []), ([1], [])], "a array<int>, b array<int>")
     plain = [r[0] for r in df.select(spotsigs.likeness(F.col("a"), F.col("b"))).collect()]
