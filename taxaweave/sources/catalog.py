@@ -127,10 +127,14 @@ def q_decode(spark, sf):
     root = scratch_path(spark, "encodings")
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     encodings = {"fr": "ISO-8859-1", "es": "UTF-16"}
-    I.write_csv(docs.where(~c("lang").isin(*encodings)).drop("lang"), f"{root}/utf8")
-    for lang, encoding in encodings.items():
-        I.write_csv(docs.where(c("lang") == lang).drop("lang"), f"{root}/{lang}", encoding=encoding)
-    return I.read_with_fallback(spark, [f"{root}/utf8", *[f"{root}/{x}" for x in encodings]])
+    paths = []
+    for lang, encoding in {None: None, **encodings}.items():
+        own = docs.where(c("lang") == lang if lang else ~c("lang").isin(*encodings))
+        # files of one encoding with swapped and with missing columns
+        for k, columns in enumerate((["doc_id", "text"], ["lang", "text", "doc_id"])):
+            paths.append(f"{root}/{lang or 'utf8'}{k}")
+            I.write_csv(own.where(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(2)) == k).select(columns), paths[-1], encoding=encoding)
+    return I.read_with_fallback(spark, paths).select("doc_id", "text")
 
 
 _LINES_SQL = (

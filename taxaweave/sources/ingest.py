@@ -157,13 +157,21 @@ def plain_path(encoded: Column) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def _header_lines(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
-    """(path, first line) per file, one small row each; only first blocks are read."""
+def _header_lines(spark: SparkSession, paths: Sequence[str], encoded: bool = False) -> list[tuple[str, str]]:
+    """(path, first line) per file, one small row each; only first blocks are
+    read. Of ``encoded`` files the line's bytes are compared, in hex."""
     lines = spark.read.text(list(paths)).select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
-    first = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "n").alias("line"))
+    line = F.hex(F.col("value").cast("binary")) if encoded else F.col("value")
+    first = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by(line, "n").alias("line"))
     return [(r["path"], (r["line"] or "").strip("\ufeff\r")) for r in first.collect()]
 
 
+def _own_header(spark: SparkSession, path: str, options: dict) -> tuple[str, str]:
+    """(path, column names) as the reader sees them, for encodings and quoted
+    headers whose first line does not end at the first line-end byte."""
+    return path, "\n".join(spark.read.options(**options).csv(path).columns)
+
+
 def _stacked(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -198,10 +206,14 @@ def read_delimited(
         raise FileNotFoundError(f"no delimited files under {paths}")
     groups: dict[tuple[str, str], list[str]] = {}
     # a header is compared only where it names the columns and there are several files
-    named = header and schema is None and len(files) > 1 and not encoding
-    for path, line in _header_lines(spark, files) if named else [(p, "") for p in files]:
-        own = sep or ("\t" if path.lower().endswith(".tsv") else ",")
-        groups.setdefault((own, line), []).append(path)
+    named = header and schema is None and len(files) > 1
+    delimiter = lambda path: sep or ("\t" if path.lower().endswith(".tsv") else ",")
+    if named and encoding and multiline:
+        lines = [_own_header(spark, p, reader_options(delimiter(p), header, encoding, multiline)) for p in files]
+    else:
+        lines = _header_lines(spark, files, bool(encoding)) if named else [(p, "") for p in files]
+    for path, line in lines:
+        groups.setdefault((delimiter(path), line), []).append(path)
     if schema is not None and keep_corrupt and CORRUPT_COL not in schema.fieldNames():
         schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
     parts = []

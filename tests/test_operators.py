@@ -254,3 +254,13 @@ def test_sequential_and_ranges_match_brute_force(spark):
         rs = sorted((lo, hi) for _, lo, hi in vals)
         exp_r += [(p, a[0], b[0]) for a, b in zip(rs, rs[1:]) if b[0] < a[1]]
     assert got_r == sorted(exp_r) and len(exp_r) > 0
+
+
+def test_fallback_encodings_match_columns_by_name(spark, tmp_path):
+    for encoding in ("utf-8", "latin-1", "utf-16"):
+        for name, text in (("a", "k,größe\n1,é\n"), ("b", "größe,k,more\nü,2,x\n"), ("c", "k\n3\n")):
+            (tmp_path / f"{encoding}-{name}.csv").write_bytes(text.encode(encoding))
+    out = I.read_with_fallback(spark, str(tmp_path))
+    assert sorted(out.columns) == ["größe", "k", "more"]
+    rows = sorted(out.select("k", "größe", "more").collect(), key=str)
+    assert [tuple(r) for r in rows] == [("1", "é", None)] * 3 + [("2", "ü", "x")] * 3 + [("3", None, None)] * 3
