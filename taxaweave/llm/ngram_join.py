@@ -7,7 +7,7 @@ word shingles. Documents of equal sets are one node (they link trivially).
 1. Deal: every set is cut into hash groups; two linked sets always have one of
    their keyed group contents in common (``ngram_sets.bucket_keys``; contents
    rare by those counts are keyed first, so common passages bring nothing
-   together). Documents that share a key are tied to the first of them, and the
+   together). Nodes that share a key are tied to the first of them, and the
    ties' components are the clusters: no linked pair lies across two of them.
 2. Index: a cluster's nodes are points of counts by hash group in an R-tree;
    a synchronous traversal keeps the pairs whose summed coordinate minima allow
@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from taxaweave.llm.common import query, ranked, table, written
 from taxaweave.llm.graphs import components
@@ -102,32 +103,32 @@ def _narrow(docs: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame, n_words: int, near: int, levels: np.ndarray) -> DataFrame:
-    """doc_id, key. A task gives the keys of equal sets once."""
+    """node, key. A task gives the keys of equal sets once."""
     held = docs.sparkSession.sparkContext.broadcast(levels)  # SLOTS bytes
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for docs_, texts in _parts(batches):
+        for _, texts in _parts(batches):
             ids, made = [], []
-            for doc, s in zip(docs_.to_pylist(), shingle_sets(texts, n_words), strict=True):
+            for s in shingle_sets(texts, n_words):
                 node = set_id(s) if len(s) else 0
                 if len(s) and node not in seen:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(node)
                     made.append(bucket_keys(s, near, held.value))
-                    ids.append(doc)
+                    ids.append(node)
             if made:
                 by = np.repeat(np.array(ids, np.int64), [len(m) for m in made])
-                yield pa.RecordBatch.from_arrays([pa.array(by), pa.array(np.concatenate(made).view(np.int64))], names=["doc_id", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(by), pa.array(np.concatenate(made).view(np.int64))], names=["node", "key"])
 
-    return _narrow(docs).where("doc_id is not null").mapInArrow(keys, "doc_id long, key long")
+    return _narrow(docs).where("doc_id is not null").mapInArrow(keys, "node long, key long")
 
 
 def clusters(keys: DataFrame) -> DataFrame:
-    """(node, root) of doc_ids that share keys, directly or through others."""
-    first = F.first("doc_id").over(Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    edges = keys.withColumn("a", first).where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    """(node, root) of nodes that share keys, directly or through others."""
+    first = F.first("node").over(Window.partitionBy("key").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    edges = keys.withColumn("a", first).where("a < node").select("a", F.col("node").alias("b")).distinct()
     return components(edges)
 
 
@@ -213,11 +214,16 @@ def _edges(rows: list[tuple]) -> pa.RecordBatch:
 
 def ngram_join(docs: DataFrame, n_words: int = N_WORDS, near: int = NEAR, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (other documents linked)."""
+    return grouped(docs, n_words, near, tile).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def grouped(docs: DataFrame, n_words: int = N_WORDS, near: int = NEAR, tile: int = TILE) -> DataFrame:
+    """As :func:`ngram_join`, with each row's node and its component's root node,
+    both null where it links with nothing."""
     sets, levels = shingled(docs, n_words)
     known = sets.where("doc_id is not null and n > 0")
     node = written(known.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies")), "nodes")
-    by_doc = clusters(keyed(docs, n_words, near, levels)).select(F.col("node").alias("doc_id"), "root")
-    near_by = by_doc.join(known, "doc_id").groupBy("node").agg(F.min("root").alias("root"))
+    near_by = clusters(keyed(docs, n_words, near, levels))
     met = tiles(written(near_by.join(node, "node").select("root", "node", "n", "rep", "copies"), "clusters"), tile, near)
     tasks = met.join(_narrow(docs).withColumnRenamed("doc_id", "rep"), "rep").select("root", "left", "right", "own", "node", "copies", "text")
     dealt = tasks.repartition("root", "left", "right").sortWithinPartitions("root", "left", "right", "node")
@@ -225,34 +231,62 @@ def ngram_join(docs: DataFrame, n_words: int = N_WORDS, near: int = NEAR, tile:
     # the smallest doc_id of the component: of its nodes' smallest ones
     joined_ = components(links.where("b is not null"))
     small = joined_.join(node.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("component_id"))
-    group = joined_.join(small, "root").select("node", "component_id")
+    group = joined_.join(small, "root").select("node", "component_id", "root")
     number = links.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     facts = node.join(group, "node", "left").join(number, "node", "left").select(
-        "node", F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     facts = written(facts, "facts")  # so that a node of many copies is a skewed join that Spark can split
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
         sets.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("node")).alias("node"))
         .join(facts, "node", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "node", "root")
     )
 
 
-def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+def noded(docs: DataFrame, n_words: int) -> DataFrame:
+    """``docs`` with the node of each text, 0 for the empty set."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("node", T.LongType())])
+    names = docs.columns
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = pa.RecordBatch.from_arrays([pa.nulls(b.num_rows), b.column(names.index("text")).cast(pa.binary())], names=["none", "text"])
+            node = [set_id(s) if len(s) else 0 for _, own in _parts([texts]) for s in shingle_sets(own, n_words)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(node, pa.int64())], names=[*names, "node"])
+
+    return docs.mapInArrow(add, schema)
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame, n_words: int = N_WORDS, near: int = NEAR) -> DataFrame:
     """The documents without those that another one of their component stands
-    for; one row where a doc_id repeats. Rows of null doc_id all stay.
+    for: the one of the smallest doc_id stays, of several of that id the one of
+    the smallest text hash. Rows of null doc_id all stay, and of rows without
+    words those that differ in doc_id or text.
 
     Texts move only if Spark shuffles them for the anti join, or where the
-    narrow ``groups`` show that a doc_id repeats.
+    narrow ``groups`` show that a doc_id repeats. Only the texts of those ids
+    are hashed again, as each is decided on by its own node; ``groups`` without
+    nodes are then made anew with ``n_words`` and ``near``.
     """
     gone = groups.where("component_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     twice = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if not twice.limit(1).count():
-        return kept
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").withColumn("_nth", nth).where("_nth = 1").drop("_nth"))
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    if "node" not in groups.columns:
+        groups = written(grouped(docs, n_words, near), "groups")
+    ids = written(twice.select("doc_id"), "repeated")
+    once = docs.join(ids, "doc_id", "left_anti").join(gone, "doc_id", "left_anti").select(docs.columns)
+    several = noded(docs.join(ids, "doc_id", "left_semi").select(docs.columns), n_words)
+    own = F.coalesce("node", F.lit(0)).alias("node")
+    facts = groups.join(ids, "doc_id").select("doc_id", own, "component_id", "root").distinct()
+    stay = written(facts.where("component_id = doc_id").select("doc_id", "node", "root"), "stay")
+    several = several.join(stay, ["doc_id", "node"])
+    alike = F.coalesce("root", F.xxhash64("text"))
+    order = [F.xxhash64("text"), F.xxhash64(*docs.columns)]
+    nth = F.row_number().over(Window.partitionBy("doc_id", F.col("root").isNull(), alike).orderBy(*order))
+    return once.unionByName(several.withColumn("_nth", nth).where("_nth = 1").select(docs.columns))
 
 
 _SHINGLES = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
