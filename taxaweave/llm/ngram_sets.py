@@ -145,8 +145,8 @@ def bucket_keys(s: np.ndarray, near: int, levels: np.ndarray) -> np.ndarray:
     each set by its first ``k + 1`` contents in any common order. The order is
     by the count of the content's rarest shingle in the corpus (``levels`` by
     slot), so that what many documents share comes last, then by falling size.
-    A set is keyed in its own class and, where a smaller partner may be in the
-    class below, in that one too.
+    A set is keyed in its own class and in all below that a smaller partner
+    may be in.
     """
     n = len(s)
     least = -(-near // (100 - near))  # smaller sets link with equal ones only
@@ -154,8 +154,9 @@ def bucket_keys(s: np.ndarray, near: int, levels: np.ndarray) -> np.ndarray:
         return np.zeros(0, U)
     lo, hi = size_class(n, least)
     classes = [(lo, hi)]
-    if lo > least and near * n <= 100 * (lo - 1):
-        classes.append(size_class(lo - 1, least))
+    while lo > least and near * n <= 100 * (lo - 1):
+        lo, hi = size_class(lo - 1, least)
+        classes.append((lo, hi))
     upto = np.concatenate([np.zeros(1, U), np.cumsum(mix(s), dtype=U)])
     rare = np.append(levels[slots(s)], np.uint8(255))
     out = []

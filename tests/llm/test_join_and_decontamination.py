@@ -68,6 +68,16 @@ def test_linked_sets_share_a_key():
                 assert len(np.intersect1d(ngram_sets.bucket_keys(a, near, levels), ngram_sets.bucket_keys(b, near, levels)))
 
 
+def test_linked_sets_of_low_thresholds_share_a_key():
+    r = np.random.default_rng(6)
+    levels = r.integers(0, 40, ngram_sets.SLOTS).astype(np.uint8)
+    for near in (30, 50, 60, 66):
+        for n in [*range(4, 60), 100, 313]:
+            a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+            b = np.sort(r.permutation(a)[: -(-near * len(a) // 100)])
+            assert len(np.intersect1d(ngram_sets.bucket_keys(a, near, levels), ngram_sets.bucket_keys(b, near, levels))), (near, n)
+
+
 def test_rtree_finds_all_pairs_within_the_bound():
     r = np.random.default_rng(1)
     base = r.poisson(3, (12, ngram_sets.GROUPS))
