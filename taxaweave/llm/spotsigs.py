@@ -105,14 +105,17 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, text), key and text without nulls. The key is the doc_id, or
-    where rows repeat one (doc_id, text hash), which equal rows share."""
+    """(key, text), both without nulls. The key is the doc_id, or where rows
+    repeat one (has an id, doc_id, text hash), which equal rows share. It alone
+    tells the doc_id, so that all who read the texts by key share one exchange."""
     doc = F.col("doc_id").cast("long")
-    rows = docs.select(F.coalesce(doc, F.lit(NO_ID)).alias("key"), doc.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    twice = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    if not twice.limit(1).count():
+    rows = docs.select(F.coalesce(doc, F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    least = docs.where(doc == NO_ID).limit(1)  # a real id that stands for no id
+    twice = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").limit(1)
+    if not twice.select("key").union(least.select(doc.alias("key"))).limit(1).count():
         return rows
-    return rows.withColumn("key", F.struct(F.col("doc_id").isNotNull().alias("named"), F.col("key").alias("id"), F.xxhash64("text").alias("hash")))
+    named = docs.select(doc.isNotNull().alias("named"), F.coalesce(doc, F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    return named.select(F.struct("named", "id", F.xxhash64("text").alias("hash")).alias("key"), "text")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -129,9 +132,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         given = written(first.select(F.col("before").alias("key"), "start", fingerprint(F.col("text")).alias("next_print")), "given")
     else:
         given = own.select(F.col("before").alias("key"), start.alias("start"), fingerprint(F.col("text")).alias("next_print"))
+    doc = F.when(F.col("key.named"), F.col("key.id")) if repeated else F.nullif("key", F.lit(NO_ID))
     keep = (F.col("n") - F.floor(F.col("n") / 4)).cast("int")
-    both = own.select("key", "doc_id", "n", "text").join(given, "key").withColumn("edited", F.concat(F.substring("text", F.lit(1), keep), "start"))
-    return both.select("doc_id", F.col("n").alias("n_chars"), "edited", fingerprint(F.col("text")).alias("print"), fingerprint(F.col("edited")).alias("edited_print"), "next_print")
+    both = own.select("key", "n", "text").join(given, "key").withColumn("edited", F.concat(F.substring("text", F.lit(1), keep), "start"))
+    return both.select(doc.alias("doc_id"), F.col("n").alias("n_chars"), "edited", fingerprint(F.col("text")).alias("print"), fingerprint(F.col("edited")).alias("edited_print"), "next_print")
 
 
 def op7_columns(f: DataFrame) -> DataFrame:

@@ -151,6 +151,38 @@ def test_fingerprints_against_brute_force(spark):
     assert len(one) == 1 and one[0]["print"] == one[0]["next_print"]
 
 
+def test_fingerprints_without_repeated_ids(spark):
+    """The path of tables in which an id occurs once, and its one exchange of the texts."""
+    seen, rows = set(), []
+    for d, t, *_ in documents(120, seed=9):
+        if d not in seen:
+            seen.add(d)
+            rows.append((d, t, None, None, 0))
+    docs = frame(spark, rows)
+    assert [f.name for f in spotsigs.keyed(docs).schema] == ["key", "text"] and spotsigs.keyed(docs).schema["key"].dataType.typeName() == "long"
+    out = {r["doc_id"]: r for r in spotsigs.op7_columns(spotsigs.fingerprints(docs)).collect()}
+    texts = {d: t or "" for d, t, *_ in rows}
+    order = sorted(texts, key=lambda d: (d is not None, d))
+    assert len(out) == len(rows) > 100 and None in out
+    like = lambda a, b: 1.0 if not a and not b else len(a & b) / len(a | b)
+    for k, d in enumerate(order):
+        text, after = texts[d], texts[order[(k + 1) % len(order)]]
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        r = out[d]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert r["near_edited"] == pytest.approx(like(spots(text), spots(edited))) and r["near_next"] == pytest.approx(like(spots(text), spots(after)))
+    at = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spotsigs.fingerprints(docs)
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", at)
+    assert "ReusedExchange" in plan
+
+
 def test_fingerprints_of_every_row(spark):
     texts = [(None, f"the row {k} has no id of its own and is one of many") for k in range(9)] + [(4, f"one id for the text {k}") for k in range(5)]
     texts += [(4, "one id for the text 0"), (None, None), (spotsigs.NO_ID, "the least id there is"), (5, "the last")]
