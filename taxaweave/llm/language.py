@@ -37,8 +37,8 @@ from taxaweave.llm.toxicity import held_out
 
 ROUNDS = 2
 UNKNOWN = "und"
-#: Distinct tokens that a task keeps, and tokens it looks up, at a time; characters of a text taken at a time.
-KEPT = 300_000
+#: Distinct tokens that a task keeps at a time (it looks up half as many); characters of a text taken at a time.
+KEPT = 600_000
 PART = 1 << 20
 _LETTERS = regex.compile(r"\p{L}+")
 _BLANK = regex.compile(r"\s")
@@ -172,7 +172,7 @@ def identify(docs: DataFrame, model: Languages | None) -> DataFrame:
                 for part in text_parts(texts[k].as_py() or ""):
                     parts.append((k, part.split()))
                     size += len(parts[-1][1])
-                    if size > KEPT:
+                    if size > KEPT // 2:
                         add(sums, parts)
                         parts, size = [], 0
             add(sums, parts)
@@ -181,8 +181,9 @@ def identify(docs: DataFrame, model: Languages | None) -> DataFrame:
     return docs.mapInArrow(predict, schema)
 
 
-def _with_tokens(tokens: list[str], known: dict[str, int], rows: np.ndarray, own: dict[bytes, int], p: np.ndarray) -> np.ndarray:
+def _with_tokens(tokens: list[str], known: dict[str, int], rows: np.ndarray, own: pieces.Vocabulary, p: np.ndarray) -> np.ndarray:
     """``rows`` with the log likelihoods and word numbers of new tokens, noted in ``known``."""
+    distinct: dict[bytes, int] = {}
     data, of = [], []
     more = np.zeros((len(tokens), p.shape[1] + 1))
     for k, token in enumerate(tokens):
@@ -191,10 +192,10 @@ def _with_tokens(tokens: list[str], known: dict[str, int], rows: np.ndarray, own
         known[token] = len(rows) + k if words else 0
         for word in words:
             for part in pieces.parts(word):
-                data.append(part)
+                data.append(distinct.setdefault(part, len(distinct)))
                 of.append(k)
     if data:
-        np.add.at(more[:, :-1], of, pieces.log_likelihoods(data, own, p))
+        np.add.at(more[:, :-1], of, pieces.log_likelihoods(list(distinct), own, p)[data])
     return np.concatenate([rows, more])
 
 

@@ -27,14 +27,58 @@ def public_pieces(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
-_VOCABULARIES: dict[str, dict[bytes, int]] = {}
-
-
-def vocabulary(path: str) -> dict[bytes, int]:
-    """piece -> number; read once per worker."""
+_PRIME, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(32)
+_BITS = 18
+_DROPPED = np.uint64(64 - _BITS)
+
+
+def _next_hash(h: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """64-bit hashes of strings one byte longer."""
+    h = (h ^ (byte.astype(np.uint64) + np.uint64(1))) * _PRIME
+    return h ^ (h >> _SHIFT)
+
+
+class Vocabulary(dict):
+    """piece -> number. ``by_length`` has, for looking up many strings at once,
+    the sorted hashes of the pieces of one length, their numbers, and by leading
+    bits of a hash whether there is one at all."""
+
+    def __init__(self, pieces: list[bytes]):
+        super().__init__((piece, n) for n, piece in enumerate(pieces))
+        by: dict[int, list[bytes]] = {}
+        for piece in self:
+            by.setdefault(len(piece), []).append(piece)
+        self.by_length = {}
+        for length, own in by.items():
+            table, h = np.frombuffer(b"".join(own), np.uint8).reshape(-1, length), np.zeros(len(own), np.uint64)
+            for k in range(length):
+                h = _next_hash(h, table[:, k])
+            order = np.argsort(h)
+            if len(np.unique(h)) < len(h):
+                raise ValueError("two pieces have one hash")
+            some = np.zeros(1 << _BITS, bool)
+            some[h >> _DROPPED] = True
+            self.by_length[length] = h[order], np.array([self[p] for p in own], np.int32)[order], some
+
+    def find(self, length: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of ``h`` that are the hash of a piece, the pieces' numbers)."""
+        if length not in self.by_length:
+            return np.empty(0, np.int64), np.empty(0, np.int32)
+        known, numbers, some = self.by_length[length]
+        rows = np.flatnonzero(some[h >> _DROPPED])
+        place = np.minimum(np.searchsorted(known, h[rows]), len(known) - 1)
+        same = known[place] == h[rows]
+        return rows[same], numbers[place[same]]
+
+
+_VOCABULARIES: dict[str, Vocabulary] = {}
+
+
+def vocabulary(path: str) -> Vocabulary:
+    """Read once per worker."""
     if path not in _VOCABULARIES:
         with open(path, "rb") as lines:
-            _VOCABULARIES[path] = {base64.b64decode(line.split()[0]): n for n, line in enumerate(lines)}
+            _VOCABULARIES[path] = Vocabulary([base64.b64decode(line.split()[0]) for line in lines])
     return _VOCABULARIES[path]
 
 
@@ -56,17 +100,18 @@ def parts(word: str) -> list[bytes]:
 class Cuts:
     """All pieces of words of one length: (start, end) -> (rows, piece numbers)."""
 
-    def __init__(self, words: list[bytes], pieces: dict[bytes, int]):
+    def __init__(self, words: list[bytes], pieces: Vocabulary):
         self.length = m = len(words[0])
         self.n = len(words)
-        self.at: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        get = pieces.get
-        for end in range(1, m + 1):
-            for start in range(end):
-                ids = np.fromiter((get(w[start:end], -1) for w in words), np.int32, self.n)
-                rows = np.flatnonzero(ids >= 0)
+        self.at: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}  # by start, then end
+        letters = np.frombuffer(b"".join(words), np.uint8).reshape(self.n, m).T.copy()
+        for start in range(m):
+            h = np.zeros(self.n, np.uint64)
+            for end in range(start + 1, m + 1):
+                h = _next_hash(h, letters[end - 1])
+                rows, ids = pieces.find(end - start, h)
                 if len(rows):
-                    self.at[start, end] = rows, ids[rows]
+                    self.at[start, end] = rows, ids
 
     def forward(self, p: np.ndarray) -> list[np.ndarray]:
         """Sums of all cuts of every prefix, a column for each model. ``p``: piece x model."""
@@ -104,7 +149,7 @@ def _by_length(words: list[bytes]):
             yield np.array(own), [words[k] for k in own]
 
 
-def log_likelihoods(words: list[bytes], pieces: dict[bytes, int], p: np.ndarray) -> np.ndarray:
+def log_likelihoods(words: list[bytes], pieces: Vocabulary, p: np.ndarray) -> np.ndarray:
     """log of the summed probability of every word under every model."""
     out = np.zeros((len(words), p.shape[1]))
     for places, own in _by_length(words):
@@ -112,7 +157,7 @@ def log_likelihoods(words: list[bytes], pieces: dict[bytes, int], p: np.ndarray)
     return out
 
 
-def expected_counts(words: list[bytes], model: np.ndarray, times: np.ndarray, pieces: dict[bytes, int], p: np.ndarray) -> np.ndarray:
+def expected_counts(words: list[bytes], model: np.ndarray, times: np.ndarray, pieces: Vocabulary, p: np.ndarray) -> np.ndarray:
     """Expected piece counts, piece x model."""
     total = np.zeros(p.size)
     for places, own in _by_length(words):
