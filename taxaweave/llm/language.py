@@ -20,6 +20,7 @@ columns ``lang_pred`` and ``score`` are replaced, all others are kept.
 
 from __future__ import annotations
 
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,7 +38,7 @@ from taxaweave.llm.toxicity import held_out
 
 ROUNDS = 2
 UNKNOWN = "und"
-#: Distinct tokens that a task keeps at a time (it looks up half as many); characters of a text taken at a time.
+#: Distinct tokens that a task keeps, and twice the tokens it looks up, at a time; characters of a text taken at a time.
 KEPT = 600_000
 PART = 1 << 20
 _LETTERS = regex.compile(r"\p{L}+")
@@ -52,17 +53,19 @@ class Languages:
     path: str  # of the vocabulary
 
 
-def text_parts(text: str) -> Iterator[str]:
-    """The text, a very long one cut at blanks."""
+def tokens_of(text: str) -> Iterator[list[str]]:
+    """The text in lower case, split at white space; a very long one in parts."""
     lo = 0
     while len(text) - lo > PART and (blank := _BLANK.search(text, lo + PART)):
-        yield text[lo : blank.start()]
+        yield text[lo : blank.start()].lower().split()
         lo = blank.start()
-    yield text[lo:]
+    yield text[lo:].lower().split()
 
 
 def words_of(token: str) -> list[str]:
-    return _LETTERS.findall(token.lower())
+    """Runs of letters of a token without white space, in lower case already."""
+    core = token.strip(string.punctuation)
+    return [core] if core.isalpha() else _LETTERS.findall(core)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -87,8 +90,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for k, lang in enumerate(b.column(0).to_pylist()):
                 own = counts.setdefault(lang, Counter())
                 n_docs[lang] += 1
-                for part in text_parts(texts[k].as_py() or ""):
-                    own.update(part.split())
+                for tokens in tokens_of(texts[k].as_py() or ""):
+                    own.update(tokens)
                 if len(own) > KEPT:
                     yield from flush(counts, n_docs)
                     counts, n_docs = {}, Counter()
@@ -152,51 +155,62 @@ def identify(docs: DataFrame, model: Languages | None) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        own = pieces.vocabulary(m.path)
-        known: dict[str, int] = {}  # token -> its row; row 0: no letter
-        rows = np.zeros((1, len(m.names) + 1))
-
-        def add(sums: np.ndarray, parts: list[tuple[int, list[str]]]) -> None:
-            nonlocal known, rows
-            if len(known) > KEPT:
-                known, rows = {}, rows[:1]
-            new = {t: None for _, tokens in parts for t in tokens if t not in known}
-            rows = _with_tokens(list(new), known, rows, own, m.p)
-            for k, tokens in parts:
-                sums[k] += rows[np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))].sum(axis=0)
-
+        known = Tokens(m)
         for b in batches:
-            sums = np.zeros((b.num_rows, len(m.names) + 1))  # the last column counts words
-            texts, parts, size = b.column(at), [], 0
+            sums = np.zeros((b.num_rows, len(m.names) + 1))
+            texts, of, places, size = b.column(at), [], [], 0
             for k in range(b.num_rows):
-                for part in text_parts(texts[k].as_py() or ""):
-                    parts.append((k, part.split()))
-                    size += len(parts[-1][1])
+                for tokens in tokens_of(texts[k].as_py() or ""):
+                    of.append(k)
+                    places.append(known.places(tokens))
+                    size += len(tokens)
                     if size > KEPT // 2:
-                        add(sums, parts)
-                        parts, size = [], 0
-            add(sums, parts)
+                        known.add(sums, of, places)
+                        of, places, size = [], [], 0
+            known.add(sums, of, places)
             yield _chosen(b, names, sums, m)
 
     return docs.mapInArrow(predict, schema)
 
 
-def _with_tokens(tokens: list[str], known: dict[str, int], rows: np.ndarray, own: pieces.Vocabulary, p: np.ndarray) -> np.ndarray:
-    """``rows`` with the log likelihoods and word numbers of new tokens, noted in ``known``."""
-    distinct: dict[bytes, int] = {}
-    data, of = [], []
-    more = np.zeros((len(tokens), p.shape[1] + 1))
-    for k, token in enumerate(tokens):
-        words = words_of(token)
-        more[k, -1] = len(words)
-        known[token] = len(rows) + k if words else 0
-        for word in words:
-            for part in pieces.parts(word):
-                data.append(distinct.setdefault(part, len(distinct)))
-                of.append(k)
-    if data:
-        np.add.at(more[:, :-1], of, pieces.log_likelihoods(list(distinct), own, p)[data])
-    return np.concatenate([rows, more])
+class Tokens(dict):
+    """token -> its row: the log likelihoods of its words, and their number."""
+
+    def __init__(self, model: Languages):
+        super().__init__()
+        self.model, self.own = model, pieces.vocabulary(model.path)
+        self.rows, self.new = np.zeros((0, len(model.names) + 1)), []
+
+    def __missing__(self, token: str) -> int:
+        self.new.append(token)
+        self[token] = place = len(self)
+        return place
+
+    def places(self, tokens: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+
+    def add(self, sums: np.ndarray, of: list[int], places: list[np.ndarray]) -> None:
+        """Adds to the rows ``of`` of ``sums`` those of the tokens at ``places``."""
+        self.rows = np.concatenate([self.rows, self._scored(self.new)])
+        for k, own in zip(of, places, strict=True):
+            sums[k] += self.rows[own].sum(axis=0)
+        self.new = []
+        if len(self) > KEPT:
+            self.clear()
+            self.rows = self.rows[:0]
+
+    def _scored(self, tokens: list[str]) -> np.ndarray:
+        words = list(map(words_of, tokens))
+        distinct: dict[bytes, int] = {}
+        parts = [[distinct.setdefault(p, len(distinct)) for word in own for p in pieces.parts(word)] for own in words]
+        out = np.zeros((len(tokens), len(self.model.names) + 1))
+        out[:, -1] = sizes = np.array(list(map(len, words)), np.int64)
+        if distinct:
+            logs = pieces.log_likelihoods(list(distinct), self.own, self.model.p)
+            some = np.flatnonzero(sizes)
+            starts = np.cumsum([0, *map(len, parts)])[:-1][some]
+            out[some, :-1] = np.add.reduceat(logs[[p for own in parts for p in own]], starts)
+        return out
 
 
 def _chosen(b: pa.RecordBatch, names: list[str], sums: np.ndarray, m: Languages) -> pa.RecordBatch:
