@@ -81,11 +81,6 @@ def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def ensure_parent(path: str) -> None:
-    if "://" not in path:
-        os.makedirs(os.path.dirname(local_fs_path(path)), exist_ok=True)
-
-
 # Scratch tables written inside a plan. Callers that run a whole chain delete
 # them when the chain's outputs are written; the others leave them to the
 # shared folder's own clean-up, as their lazy result still reads them.

@@ -16,6 +16,7 @@ from taxaweave.plans.proxies import T as table
 from taxaweave.plans.proxies import query
 from taxaweave.session import scratch_path
 from taxaweave.sources import ingest as I
+from taxaweave.sources.tables import Table
 
 c = F.col
 
@@ -221,8 +222,7 @@ def q_write_raw(spark, sf):
 @query("post_load_count", "SELECT count(*) AS n_rows FROM part")
 def q_post_load(spark, sf):
     path = scratch_path(spark, "raw-part")
-    I.write_raw(table(spark, sf, "part"), path)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
+    return I.write_raw(table(spark, sf, "part"), path).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("write_raw_append", _PART_TEXT_SQL)
@@ -230,8 +230,7 @@ def q_write_append(spark, sf):
     path = scratch_path(spark, "raw-append")
     p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     I.write_raw(p.where(c("p_size") <= 25), path, mode="overwrite")
-    I.write_raw(p.where(c("p_size") > 25), path, mode="append")
-    return spark.read.parquet(path)
+    return I.write_raw(p.where(c("p_size") > 25), path, mode="append")
 
 
 def _family_tree(spark, sf) -> str:
@@ -279,6 +278,22 @@ def q_materialize(spark, sf):
     return I.materialize(table(spark, sf, "part").select("p_partkey", "p_name"), scratch_path(spark, "model"))
 
 
+@query(
+    "refresh_from_itself",
+    "SELECT p_partkey, upper(p_name) AS p_name, p_size * 2 AS p_size FROM part UNION ALL SELECT o_orderkey, o_orderpriority, NULL FROM orders",
+)
+def q_refresh_from_itself(spark, sf):
+    """A table refreshed from its own rows, then appended to by rows that lack a column."""
+    path = scratch_path(spark, "model")
+    own = I.materialize(table(spark, sf, "part").select("p_partkey", "p_name", "p_size"), path)
+    I.materialize(own.select("p_partkey", F.upper("p_name").alias("p_name"), (c("p_size") * 2).alias("p_size")), path)
+    more = table(spark, sf, "orders").select(c("o_orderpriority").alias("p_name"), c("o_orderkey").alias("p_partkey"))
+    t = Table(spark, path)
+    t.append(more, key="orders")
+    t.append(more, key="orders")  # committed already: adds nothing
+    return t.read()
+
+
 @query("decode_lines", "SELECT CAST(c_custkey AS VARCHAR) || ';é' || c_name AS value FROM customer")
 def q_decode_lines(spark, sf):
     root = scratch_path(spark, "latin-lines")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from taxaweave.session import scratch_table
+from taxaweave.sources.tables import Table
 
 CORRUPT_COL = "_corrupt_record"
 
@@ -77,6 +78,24 @@ def list_files(spark: SparkSession, path: str, suffixes: Sequence[str] = DELIMIT
     )
 
 
+def delimited_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The files that ``paths`` (files, folders, patterns) stand for, each once:
+    one job for all folders, none for files."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    found, folders = [], []
+    for path in [paths] if isinstance(paths, str) else paths:
+        status = _status(spark, path)
+        if status == "file":
+            p = hadoop.Path(path)
+            found.append(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString())
+        elif status == "folder":
+            folders.append(path)
+    if folders:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", _glob_for(DELIMITED_SUFFIXES))
+        found += [r["path"] for r in reader.load(folders).select("path").collect()]  # file names
+    return sorted(set(found))
+
+
 def clean_key(name: Column | str) -> Column:
     """Table-name rule: lower-case, ``-`` and space become ``_`` (A2)."""
     c = F.col(name) if isinstance(name, str) else name
@@ -201,7 +220,7 @@ def read_delimited(
     go by position; with ``keep_corrupt=True`` malformed rows are flagged in
     ``_corrupt_record`` instead of being dropped silently (A7).
     """
-    files = [r["path"] for p in ([paths] if isinstance(paths, str) else paths) for r in list_files(spark, p).select("path").collect()]
+    files = delimited_files(spark, paths)
     if not files:
         raise FileNotFoundError(f"no delimited files under {paths}")
     groups: dict[tuple[str, str], list[str]] = {}
@@ -219,7 +238,10 @@ def read_delimited(
     parts = []
     for (own, _line), group in sorted(groups.items()):
         reader = spark.read.options(**reader_options(own, header, encoding, multiline, keep_corrupt))
-        df = (reader.schema(schema) if schema is not None else reader).csv(group)
+        own_schema = schema
+        if schema is None and keep_corrupt:  # the reader flags rows only where the schema has the column
+            own_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in (*reader.csv(group[0]).columns, CORRUPT_COL)])
+        df = (reader.schema(own_schema) if own_schema is not None else reader).csv(group)
         parts.append(df.withColumn("source_file", plain_path(F.col("_metadata.file_path"))) if with_path else df)
     return _stacked(parts)
 
@@ -246,18 +268,6 @@ def apply_filter(df: DataFrame, condition: str | Column | None) -> DataFrame:
     return df.where(F.expr(condition) if isinstance(condition, str) else condition)
 
 
-def with_metrics(df: DataFrame, condition: str | Column | None, name: str = "ingest") -> tuple[DataFrame, Observation]:
-    """Filter with an attached observation of original and kept rows (A10).
-
-    The numbers are collected as a by-product of the write/action that runs
-    the plan: no second pass over the data.
-    """
-    obs = Observation(name)
-    cond = F.lit(True) if condition is None else (F.expr(condition) if isinstance(condition, str) else condition)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("original_rows"), F.count_if(F.coalesce(cond, F.lit(False))).alias("kept_rows"))
-    return observed.where(cond), obs
-
-
 def metrics_frame(df: DataFrame, condition: str | Column) -> DataFrame:
     """Original rows, kept rows and kept share as one aggregate row (A10)."""
     cond = F.expr(condition) if isinstance(condition, str) else condition
@@ -401,24 +411,27 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
-def write_raw(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    """Write an all-text raw table as Parquet (A11 overwrite, A12 append, A19)."""
-    w = as_text(df).write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def write_raw(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> DataFrame:
+    """Store rows as the all-text raw table at ``path`` (A11 overwrite, A12
+    append, A19) and return a reader of it. Readers see the old table until the
+    new rows are whole (:class:`taxaweave.sources.tables.Table`)."""
+    table = Table(df.sparkSession, path)
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode {mode}")
+    (table.refresh if mode == "overwrite" else table.append)(as_text(df), partition_by=partition_by)
+    return table.read()
 
 
 def write_and_count(df: DataFrame, path: str, mode: str = "overwrite") -> tuple[int, int]:
-    """Write and verify: (rows written, rows found after load).
+    """Write and verify: (rows written by this load, rows found after it).
 
-    The written count is observed during the write itself.
+    The written count is observed during the write itself and compared with the
+    load's stored files before it is committed; a difference raises.
     """
-    obs = Observation("written")
-    as_text(df).observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
-    written = obs.get["n"]
-    found = df.sparkSession.read.parquet(path).count()
-    return written, found
+    table = Table(df.sparkSession, path)
+    before = sum(table.commit().rows.values()) if mode == "append" else 0
+    state = (table.append if mode == "append" else table.refresh)(as_text(df))
+    return sum(state.rows.values()) - before, table.read().count()
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True, encoding: str | None = None, mode: str = "overwrite") -> None:
@@ -431,6 +444,9 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True, enc
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Full-refresh a model table and return a reader of it."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Full-refresh a model table and return a reader of it (A19): the new rows
+    are written beside the old ones, counted, and then published in one step, so
+    ``df`` may read the table itself."""
+    table = Table(df.sparkSession, path)
+    table.refresh(df)
+    return table.read()
