@@ -118,7 +118,9 @@ def build_taxa(merged: DataFrame, ranks=RANKS_SPECIFIC, num_partitions: int | No
 
     The rank filter is on a grouping key, so Catalyst applies it before the
     aggregate (partial aggregation map-side). Numbering is the distributed
-    dense id (no single-task window). The links are a projection.
+    dense id (no single-task window); whole rows are numbered, as the sort keys
+    are 16 of their 17 columns and a join by key would aggregate twice (2.7 s
+    against 2.0 s at sf0.1). The links are a projection.
     """
     c = F.col
     m = merged.where(c("rank").isin(list(ranks)))

@@ -511,8 +511,8 @@ def q_dedupe_preferred(spark, sf):
     "SELECT o_orderkey, o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS seq FROM orders",
 )
 def q_sequence_in_group(spark, sf):
-    o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return R.sequence_in_group(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], out="seq").select("o_orderkey", "o_custkey", "seq")
+    o = T(spark, sf, "orders")
+    return R.sequence_in_group(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], out="seq", key=["o_orderkey"]).select("o_orderkey", "o_custkey", "seq")
 
 
 @query(
@@ -538,7 +538,7 @@ def q_rank_duplicates(spark, sf):
     "SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS id FROM orders",
 )
 def q_dense_id(spark, sf):
-    return R.dense_id(T(spark, sf, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"]).select("o_orderkey", "id")
+    return R.dense_id(T(spark, sf, "orders"), ["o_orderdate", "o_orderkey"], key=["o_orderkey"]).select("o_orderkey", "id")
 
 
 @query(
@@ -547,8 +547,8 @@ def q_dense_id(spark, sf):
     "FROM (SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS pr FROM orders) x",
 )
 def q_sort_multi_key(spark, sf):
-    o = T(spark, sf, "orders").select("o_orderkey", "o_orderdate", nulled("o_orderpriority", "o_orderkey", 7).alias("pr"))
-    return R.dense_id(o, ["pr", "o_orderdate", "o_orderkey"]).select("o_orderkey", "id")
+    o = T(spark, sf, "orders").withColumn("pr", nulled("o_orderpriority", "o_orderkey", 7))
+    return R.dense_id(o, ["pr", "o_orderdate", "o_orderkey"], key=["o_orderkey"]).select("o_orderkey", "id")
 
 
 @query("sort_output", "SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name, p_partkey) AS nth FROM part")

@@ -11,6 +11,7 @@ from taxaweave.operators import dedupe as D
 from taxaweave.operators import fill as FL
 from taxaweave.operators import numbering as R
 from taxaweave.plans import conform, pipeline
+from taxaweave.session import local_fs_path
 
 
 def _plan(df, mode: str | None = None) -> str:
@@ -74,6 +75,52 @@ def test_dense_id_with_hot_prefix_is_gap_free(spark):
     assert sorted(ids) == list(range(1, 12001))
 
 
+def _scratch_bytes(path) -> int:
+    import os
+
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(local_fs_path(path)) for f in names if f.endswith(".parquet"))
+
+
+def test_numbering_writes_keys_and_positions_only(spark):
+    from taxaweave import session
+
+    narrow = _hot(spark, 12000).select("id", "v")
+    wide = narrow.select("*", *[F.sha2(F.concat_ws("-", "id", F.lit(i)), 512).alias(f"w{i}") for i in range(10)])
+    sizes, ids = [], []
+    for df in (narrow, wide):
+        mark = session.scratch_mark()
+        out = R.dense_id(df, ["v", "id"], out="rid", num_partitions=6, key=["id"])
+        sizes.append(sum(map(_scratch_bytes, session._SCRATCH[mark:])))
+        assert out.columns == [*df.columns, "rid"]
+        ids.append(sorted((r["v"], r["id"], r["rid"]) for r in out.select("v", "id", "rid").collect()))
+    assert ids[0] == ids[1] and [r[2] for r in ids[0]] == list(range(1, 12001))
+    assert sizes[1] <= 1.01 * sizes[0] < 12000 * 20
+
+
+def test_sequence_of_a_hot_group_meets_no_group_key(spark):
+    # a third of the rows in one group, groups of NULL, more partitions than small groups fill
+    df = _hot(spark, 9000).withColumn("g", F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("k")))
+    for n, key in ((1, None), (13, ["id"]), (64, None)):
+        out = R.sequence_in_group(df, ["g"], [F.col("v").desc(), "id"], out="seq", num_partitions=n, key=key)
+        plan = _plan(out)
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        assert "k#" not in "".join(joins) and "g#" not in "".join(j for j in joins if "__p" not in j), joins
+        groups = {}
+        for r in df.collect():
+            groups.setdefault(r["g"], []).append((-r["v"], r["id"]))
+        want = {i: s for rows in groups.values() for s, (_, i) in enumerate(sorted(rows), 1)}
+        assert {r["id"]: r["seq"] for r in out.collect()} == want
+    stored = spark.read.parquet(session_scratch()[-1])
+    parts = [r["n"] for r in stored.where("__g0 = 'hot'").groupBy("__pid").agg(F.count("*").alias("n")).collect()]
+    assert len(parts) > 10 and max(parts) < 1500  # the hot group is numbered in many partitions
+
+
+def session_scratch():
+    from taxaweave import session
+
+    return session._SCRATCH
+
+
 def test_raw_filters_reach_the_scan(spark):
     d = tempfile.mkdtemp(prefix="tw-scan-")
     cols = ["taxonID", "parentNameUsageID", "acceptedNameUsageID", "originalNameUsageID", "taxonRank", "genericName",
