@@ -19,6 +19,7 @@ from taxaweave.sources import ingest as I
 from taxaweave.sources.tables import Table
 
 c = F.col
+_ABC = T.StructType([T.StructField(n, T.StringType(), True) for n in ("a", "b", "c")])
 
 _PART_TEXT_SQL = (
     "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size FROM part"
@@ -123,6 +124,21 @@ def q_delimiter(spark, sf):
     return I.read_delimited(spark, path)
 
 
+_NOTED_NAME_SQL = "CASE WHEN p_partkey % 4 = 0 THEN p_name || ', or; so' WHEN p_partkey % 4 = 1 THEN 'say \"it\"' ELSE p_name END"
+
+
+@query("delimiter_from_lines", f"SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, {_NOTED_NAME_SQL} AS p_name, p_brand FROM part")
+def q_delimiter_from_lines(spark, sf):
+    """Delimiters that differ from the suffix's: tabs in a .txt, semicolons in a
+    .csv, commas (some quoted) in a .tsv."""
+    root = scratch_path(spark, "delimiters")
+    noted = F.when(c("p_partkey") % 4 == 0, F.concat("p_name", F.lit(", or; so"))).when(c("p_partkey") % 4 == 1, F.lit('say "it"')).otherwise(c("p_name"))
+    p = table(spark, sf, "part").select("p_partkey", noted.alias("p_name"), "p_brand", "p_size")
+    for k, (name, sep) in enumerate((("tabs.txt", "\t"), ("semicolons.csv", ";"), ("commas.tsv", ","))):
+        _write_one(spark, p.where(c("p_size") % 3 == k).drop("p_size"), f"{root}/{name}", sep=sep)
+    return I.read_delimited(spark, root)
+
+
 @query("decode_with_fallback", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents")
 def q_decode(spark, sf):
     root = scratch_path(spark, "encodings")
@@ -138,6 +154,65 @@ def q_decode(spark, sf):
     return I.read_with_fallback(spark, paths).select("doc_id", "text")
 
 
+_ENCODED = ("UTF-8", "ISO-8859-1", I.WINDOWS, "UTF-16", "UTF-16LE", "UTF-16BE")
+_ENCODED_NAME_SQL = (
+    "CASE c_custkey % 6 WHEN 0 THEN 'é„日本”' WHEN 1 THEN 'é¿' WHEN 2 THEN '„Œuvre” €' WHEN 3 THEN 'é日' WHEN 4 THEN 'ÿ' ELSE 'Ж' END || c_name"
+)
+
+
+def _encoded_customers(spark, sf) -> tuple[str, list[str]]:
+    """A file set per encoding, with characters that only it has."""
+    root = scratch_path(spark, "encodings")
+    cu = table(spark, sf, "customer").withColumn("name", F.expr(_ENCODED_NAME_SQL))
+    paths = []
+    for k, encoding in enumerate(_ENCODED):
+        own = cu.where(c("c_custkey") % 6 == k).select(c("c_custkey").cast("string").alias("id"), "name")
+        if encoding == I.WINDOWS:  # its bytes by way of Latin-1, as the writer knows no code pages
+            own = own.withColumn("name", F.translate("name", I._C1_AS_WINDOWS, I._C1_AS_LATIN))
+        paths.append(f"{root}/{k}")
+        I.write_csv(own, paths[-1], encoding="ISO-8859-1" if encoding == I.WINDOWS else encoding)
+    return root, paths
+
+
+@query("encodings_by_bytes", f"SELECT CAST(c_custkey AS VARCHAR) AS id, {_ENCODED_NAME_SQL} AS name FROM customer")
+def q_encodings(spark, sf):
+    """UTF-8, Latin-1, windows-1252, and UTF-16 with a mark and without in both byte orders."""
+    return I.read_with_fallback(spark, _encoded_customers(spark, sf)[1])
+
+
+@query("encoded_lines", f"SELECT CAST(c_custkey AS VARCHAR) || ',' || {_ENCODED_NAME_SQL} AS value FROM customer")
+def q_encoded_lines(spark, sf):
+    lines = I.decode_lines(spark, _encoded_customers(spark, sf)[1])
+    return lines.where("value <> 'id,name'").select("value")
+
+
+def _lines_to_repair(spark, sf) -> str:
+    """Lines that are malformed by characters before a quote, and short ones."""
+    path = scratch_path(spark, "to-repair")
+    quoted = F.concat(F.lit('"'), "p_name", F.lit(', quoted",'), "p_brand", F.lit(","), c("p_partkey").cast("string"))
+    line = (
+        F.when(c("p_size") % 11 == 0, F.concat("p_brand", F.lit(","), c("p_partkey").cast("string")))
+        .when(c("p_size") % 5 == 0, F.concat(F.lit("\u0000"), quoted))
+        .when(c("p_size") % 7 == 0, F.concat(F.lit(" \t"), quoted, F.lit("\u0000  ")))
+        .otherwise(quoted)
+    )
+    table(spark, sf, "part").select(line.alias("value")).write.text(path)
+    return path
+
+
+@query("repair_and_reread", "SELECT p_name || ', quoted' AS a, p_brand AS b, CAST(p_partkey AS VARCHAR) AS c FROM part WHERE p_size % 11 <> 0")
+def q_repair_reread(spark, sf):
+    """Rescued rows equal the clean ones."""
+    df = I.read_delimited(spark, _lines_to_repair(spark, sf), sep=",", header=False, schema=_ABC, repair=True)
+    return I.split_quarantine(df)[0]
+
+
+@query("repair_still_malformed", "SELECT p_brand || ',' || CAST(p_partkey AS VARCHAR) AS raw_line FROM part WHERE p_size % 11 = 0")
+def q_repair_failed(spark, sf):
+    df = I.read_delimited(spark, _lines_to_repair(spark, sf), sep=",", header=False, schema=_ABC, repair=True)
+    return I.split_quarantine(df)[1]
+
+
 _LINES_SQL = (
     "SELECT v AS value FROM (SELECT regexp_replace(regexp_replace(line, '^[ \\t\\r\\n\\f\\x0B]+', ''), '[ \\t\\r\\n\\f\\x0B]+$', '') AS v "
     "FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) a) b WHERE length(v) > 0"
@@ -166,9 +241,6 @@ def _malformed_lines(spark, sf) -> str:
     return path
 
 
-_ABC = T.StructType([T.StructField(n, T.StringType(), True) for n in ("a", "b", "c")])
-
-
 @query(
     "drop_malformed",
     "SELECT CAST(p_partkey AS VARCHAR) AS a, p_name AS b, p_brand AS c FROM part WHERE p_size % 9 <> 0 AND p_size % 11 <> 0",

@@ -161,9 +161,13 @@ class SourceRegistry:
 # ---------------------------------------------------------------------------
 
 
+def _text_options(sep: str) -> dict:
+    return {"sep": sep, "mode": "PERMISSIVE", "quote": '"', "escape": '"'}
+
+
 def reader_options(sep: str = ",", header: bool = True, encoding: str | None = None, multiline: bool = False, corrupt: bool = False) -> dict:
     """The options of every delimited read, batch or stream."""
-    options = {"header": header, "sep": sep, "mode": "PERMISSIVE", "inferSchema": False, "multiLine": multiline, "quote": '"', "escape": '"'}
+    options = {**_text_options(sep), "header": header, "inferSchema": False, "multiLine": multiline}
     if encoding:
         options["encoding"] = encoding
     if corrupt:
@@ -176,13 +180,49 @@ def plain_path(encoded: Column) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def _header_lines(spark: SparkSession, paths: Sequence[str], encoded: bool = False) -> list[tuple[str, str]]:
-    """(path, first line) per file, one small row each; only first blocks are
-    read. Of ``encoded`` files the line's bytes are compared, in hex."""
+#: Delimiters looked for (A5); a file's suffix breaks ties.
+DELIMITERS = (",", "\t", ";", "|")
+
+
+def _suffix_delimiter(path: str) -> str:
+    return "\t" if path.lower().endswith(".tsv") else ","
+
+
+def file_forms(spark: SparkSession, paths: Sequence[str], delimiters: Sequence[str] = DELIMITERS, encoded: bool = False) -> DataFrame:
+    """(path, line, delimiter) per file: its first line, and the delimiter that
+    cuts its lines most evenly (A5). One distributed pass; lines of a file's
+    first block are looked at.
+
+    For each candidate the fields of every line are counted, outside of quotes,
+    into a histogram per file. The share of lines with the most frequent number of
+    two or more fields says how even a cut is; the greatest share wins if it is
+    over a half, of equal shares the suffix's delimiter, then the one with more
+    fields. Otherwise the suffix decides. Of ``encoded`` files ``line`` is the
+    line's bytes in hex.
+    """
     lines = spark.read.text(list(paths)).select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    cuts = F.array(*[(F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(d), F.lit("")))).alias(f"d{i}") for i, d in enumerate(delimiters)])
     line = F.hex(F.col("value").cast("binary")) if encoded else F.col("value")
-    first = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by(line, "n").alias("line"))
-    return [(r["path"], (r["line"] or "").strip("\ufeff\r")) for r in first.collect()]
+    seen = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path", F.when(F.trim("value") != "", cuts).alias("cuts")).agg(
+        F.count(F.lit(1)).alias("lines"), F.min(F.struct("n", line.alias("line"))).alias("first")
+    )
+    by_file = seen.groupBy("path").agg(F.min("first")["line"].alias("line"))
+    histogram = seen.where("cuts is not null").select("path", "lines", F.posexplode("cuts").alias("delimiter", "cut"))
+    histogram = histogram.groupBy("path", "delimiter", "cut").agg(F.sum("lines").alias("lines"))
+    most = F.max(F.when(F.col("cut") > 0, F.struct("lines", "cut")))
+    even = histogram.groupBy("path", "delimiter").agg((F.coalesce(most["lines"], F.lit(0)) / F.sum("lines")).alias("share"), most["cut"].alias("cut"))
+    usual = F.when(F.lower("path").endswith(".tsv"), F.lit("\t")).otherwise(F.lit(","))
+    named = F.array(*[F.lit(d) for d in delimiters])[F.col("delimiter")]
+    best = even.where("share > 0.5").groupBy("path").agg(F.max(F.struct("share", (named == usual).alias("usual"), "cut", (-F.col("delimiter")).alias("order"), named.alias("own")))["own"].alias("own"))
+    joined = by_file.join(best, "path", "left")
+    return joined.select("path", "line", F.coalesce("own", usual).alias("delimiter"))
+
+
+def _file_forms(spark: SparkSession, paths: Sequence[str], sep: str | None, encoded: bool) -> list[tuple[str, str, str]]:
+    """(path, first line, delimiter) per file, one small row each."""
+    forms = file_forms(spark, paths, (sep,) if sep else DELIMITERS, encoded)
+    return [(r["path"], (r["line"] or "").strip("\ufeff\r"), sep or r["delimiter"]) for r in forms.collect()]
 
 
 def _own_header(spark: SparkSession, path: str, options: dict) -> tuple[str, str]:
@@ -208,17 +248,21 @@ def read_delimited(
     schema: T.StructType | None = None,
     keep_corrupt: bool = False,
     with_path: bool = False,
+    repair: bool = False,
 ) -> DataFrame:
     """Read delimited text with every column as text (A3).
 
-    Folders are expanded to their delimited files. ``sep=None`` picks the
-    delimiter by each file's suffix: tab for ``.tsv``, comma otherwise (A5).
+    Folders are expanded to their delimited files. ``sep=None`` picks each file's
+    delimiter by its lines (:func:`file_forms`, A5), where they do not tell by
+    its suffix: tab for ``.tsv``, comma otherwise.
     Files are read together with those of the same delimiter and header line,
     and the groups stacked by column name (a column that a file lacks is NULL
     there). ``with_path`` adds the source file as ``source_file``. Short rows
     are padded with NULL and blank lines skipped (A6). With a ``schema`` columns
     go by position; with ``keep_corrupt=True`` malformed rows are flagged in
-    ``_corrupt_record`` instead of being dropped silently (A7).
+    ``_corrupt_record`` instead of being dropped silently (A7). ``repair`` parses
+    the malformed lines once more, repaired (A8), under their own file's header:
+    those that fit become rows, the others stay malformed.
     """
     files = delimited_files(spark, paths)
     if not files:
@@ -226,13 +270,14 @@ def read_delimited(
     groups: dict[tuple[str, str], list[str]] = {}
     # a header is compared only where it names the columns and there are several files
     named = header and schema is None and len(files) > 1
-    delimiter = lambda path: sep or ("\t" if path.lower().endswith(".tsv") else ",")
+    forms = _file_forms(spark, files, sep, bool(encoding)) if named or not sep else [(p, "", sep) for p in files]
+    met = {path for path, _, _ in forms}
+    forms += [(p, "", sep or _suffix_delimiter(p)) for p in files if p not in met]  # empty files
     if named and encoding and multiline:
-        lines = [_own_header(spark, p, reader_options(delimiter(p), header, encoding, multiline)) for p in files]
-    else:
-        lines = _header_lines(spark, files, bool(encoding)) if named else [(p, "") for p in files]
-    for path, line in lines:
-        groups.setdefault((delimiter(path), line), []).append(path)
+        forms = [(*_own_header(spark, p, reader_options(d, header, encoding, multiline)), d) for p, _, d in forms]
+    for path, line, own in forms:
+        groups.setdefault((own, line if named else ""), []).append(path)
+    keep_corrupt = keep_corrupt or repair
     if schema is not None and keep_corrupt and CORRUPT_COL not in schema.fieldNames():
         schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
     parts = []
@@ -242,10 +287,24 @@ def read_delimited(
         if schema is None and keep_corrupt:  # the reader flags rows only where the schema has the column
             own_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in (*reader.csv(group[0]).columns, CORRUPT_COL)])
         df = (reader.schema(own_schema) if own_schema is not None else reader).csv(group)
+        if repair:
+            df = _parsed_again(df, own, own_schema)
         parts.append(df.withColumn("source_file", plain_path(F.col("_metadata.file_path"))) if with_path else df)
     return _stacked(parts)
 
 
+def _parsed_again(df: DataFrame, sep: str, schema: T.StructType) -> DataFrame:
+    """Rows flagged as corrupt, repaired and parsed again; only those are (a
+    conditional expression in the same scan). Lines without content go."""
+    bad = F.col(CORRUPT_COL).isNotNull()
+    line = repaired_line(F.col(CORRUPT_COL))
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+    parsed = F.when(bad, F.from_csv(line, ddl, {**_text_options(sep), "columnNameOfCorruptRecord": CORRUPT_COL}))
+    tried = df.withColumn("__again", parsed).where(~bad | (F.length(line) > 0))
+    fits = F.col("__again").isNotNull() & F.col("__again")[CORRUPT_COL].isNull()
+    return tried.select(*[F.when(fits, F.col("__again")[c]).otherwise(F.col(f"`{c}`")).alias(c) for c in df.columns])
+
+
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined raw lines) from a read with ``keep_corrupt``.
 
@@ -283,31 +342,87 @@ def metrics_frame(df: DataFrame, condition: str | Column) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+# Windows code page 1252 differs from Latin-1 in these characters only (Python's
+# own codec is the rule); five of its bytes are not assigned.
+WINDOWS = "windows-1252"
+_C1 = {b: bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+_C1_ALL = "".join(map(chr, _C1))
+_C1_UNASSIGNED = "".join(chr(b) for b, ch in _C1.items() if not ch)
+_C1_AS_LATIN, _C1_AS_WINDOWS = "".join(chr(b) for b, ch in _C1.items() if ch), "".join(_C1.values())
+
+
+def from_latin(text: Column, encoding: str) -> Column:
+    """Text that was decoded as Latin-1, in the ``encoding`` it has (Spark's
+    readers know no code pages)."""
+    return F.translate(text, _C1_AS_LATIN, _C1_AS_WINDOWS) if encoding == WINDOWS else text
+
+
 def file_encodings(spark: SparkSession, paths: str | Sequence[str], fallback: str = FALLBACK_ENCODING) -> DataFrame:
-    """(path, encoding, multiline) per file (A4): UTF-16 by its byte-order mark,
-    UTF-8 when every line is valid UTF-8, else ``fallback``; ``multiline`` when
-    a line's quotes do not balance (a quoted line break) or the file is UTF-16.
-    One distributed pass; the text source keeps raw bytes, so marks and invalid
-    sequences are visible."""
+    """(path, encoding, multiline) per file (A4), from counts of bytes by class in
+    one distributed pass (the text source keeps raw bytes):
+
+    * UTF-16 by its byte-order mark; without one, where every tenth byte or more
+      is zero, by the parity of the zeros' places in the file's first line: odd
+      ones (of low bytes first) are UTF-16LE, even ones UTF-16BE;
+    * UTF-8 when every line is valid UTF-8;
+    * windows-1252 when there are bytes 0x80-0x9F, all of them assigned there;
+    * else ``fallback``.
+
+    ``multiline`` when a line's quotes do not balance (a quoted line break) or
+    the file is UTF-16.
+    """
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
     raw = F.col("value").cast("binary")
-    mark = F.when(F.col("_metadata.file_block_start") == 0, F.hex(F.substring(raw, 1, 2)))
-    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    start = F.col("_metadata.file_block_start") == 0
+    mark = F.when(start, F.hex(F.substring(raw, 1, 2)))
+    without = lambda ch: F.octet_length("value") - F.octet_length(F.replace("value", F.lit(ch), F.lit("")))
+    latin = F.when(~F.is_valid_utf8("value"), F.decode(raw, "ISO-8859-1"))
+    held = lambda chars: F.coalesce(F.length(latin) - F.length(F.translate(latin, chars, "")), F.lit(0))
     per_line = lines.select(
         plain_path(F.col("_metadata.file_path")).alias("path"),
         F.is_valid_utf8("value").alias("ok"),
-        F.coalesce(mark.isin("FFFE", "FEFF"), F.lit(False)).alias("utf16"),
-        (quotes % 2 == 1).alias("open"),
+        F.coalesce(mark.isin("FFFE", "FEFF"), F.lit(False)).alias("marked"),
+        (without('"') % 2 == 1).alias("open"),
+        F.octet_length("value").alias("bytes"),
+        without("\u0000").alias("zeros"),
+        F.when(start, F.struct(F.monotonically_increasing_id().alias("n"), F.substring(raw, 1, 1000).alias("head"))).alias("first"),
+        held(_C1_ALL).alias("c1"),
+        held(_C1_UNASSIGNED).alias("unassigned"),
+    )
+    by = per_line.groupBy("path").agg(
+        *[F.bool_and("ok").alias("utf8"), F.bool_or("marked").alias("marked"), F.bool_or("open").alias("open")],
+        *[F.sum(c).alias(c) for c in ("bytes", "zeros", "c1", "unassigned")],
+        F.min("first")["head"].alias("head"),
+    )
+    places = F.sequence(F.lit(0), F.octet_length("head") - 1)
+    zeros_at = lambda odd: F.size(F.filter(places, lambda i: (i % 2 == odd) & (F.hex(F.substring("head", i + 1, F.lit(1))) == "00")))
+    many_zeros = (F.col("zeros") > 0) & (F.col("zeros") * 10 >= F.col("bytes"))
+    encoding = (
+        F.when(F.col("marked"), "UTF-16")
+        .when(many_zeros & (F.octet_length("head") > 1) & (zeros_at(1) >= zeros_at(0)), "UTF-16LE")
+        .when(many_zeros, "UTF-16BE")
+        .when(F.col("utf8"), "UTF-8")
+        .when((F.col("c1") > 0) & (F.col("unassigned") == 0), WINDOWS)
+        .otherwise(fallback)
     )
-    by = per_line.groupBy("path").agg(F.bool_and("ok").alias("utf8"), F.bool_or("utf16").alias("utf16"), F.bool_or("open").alias("open"))
-    encoding = F.when(F.col("utf16"), "UTF-16").when(F.col("utf8"), "UTF-8").otherwise(fallback)
-    return by.select("path", encoding.alias("encoding"), (F.col("open") | F.col("utf16")).alias("multiline"))
+    found = by.select("path", encoding.alias("encoding"), "open")
+    return found.select("path", "encoding", (F.col("open") | F.col("encoding").startswith("UTF-16")).alias("multiline"))
+
+
+def _by_encoding(spark: SparkSession, paths: str | Sequence[str], fallback: str) -> dict[tuple[str, bool], list[str]]:
+    """Files by (encoding, multiline); a row per file reaches the driver."""
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for row in file_encodings(spark, paths, fallback).toLocalIterator():
+        groups.setdefault((row["encoding"], row["multiline"]), []).append(row["path"])
+    if not groups:
+        raise FileNotFoundError(f"no files under {paths}")
+    return dict(sorted(groups.items()))
 
 
 def read_with_fallback(
     spark: SparkSession,
     paths: str | Sequence[str],
-    sep: str = ",",
+    sep: str | None = None,
     header: bool = True,
     fallback: str = FALLBACK_ENCODING,
 ) -> DataFrame:
@@ -318,33 +433,53 @@ def read_with_fallback(
     a row per file reaches the driver. Unlike a first-success loop, no file
     loses its non-UTF-8 rows.
     """
-    groups: dict[tuple[str, bool], list[str]] = {}
-    for row in file_encodings(spark, paths, fallback).toLocalIterator():
-        groups.setdefault((row["encoding"], row["multiline"]), []).append(row["path"])
-    if not groups:
-        raise FileNotFoundError(f"no files under {paths}")
-    return _stacked([read_delimited(spark, files, sep=sep, header=header, encoding=e, multiline=m) for (e, m), files in sorted(groups.items())])
+    parts = []
+    for (encoding, multiline), files in _by_encoding(spark, paths, fallback).items():
+        df = read_delimited(spark, files, sep=sep, header=header, encoding=FALLBACK_ENCODING if encoding == WINDOWS else encoding, multiline=multiline)
+        if encoding == WINDOWS:
+            names = [c.translate(dict(zip(map(ord, _C1_AS_LATIN), _C1_AS_WINDOWS))) for c in df.columns]
+            df = df.select(*[from_latin(F.col(f"`{c}`"), WINDOWS).alias(n) for c, n in zip(df.columns, names)])
+        parts.append(df)
+    return _stacked(parts)
 
 
 def decode_lines(spark: SparkSession, paths: str | Sequence[str], fallback: str = FALLBACK_ENCODING) -> DataFrame:
-    """Lines of text files as (path, value) with per-file decoding (A4, line form)."""
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
-        plain_path(F.col("_metadata.file_path")).alias("path"), "value"
-    )
-    enc = file_encodings(spark, paths, fallback).select(F.col("path").alias("__p"), "encoding")
-    joined = lines.join(enc, lines["path"] == enc["__p"])
-    decoded = F.when(F.col("encoding") == "UTF-8", F.col("value")).otherwise(
-        F.decode(F.col("value").cast("binary"), fallback)
-    )
-    return joined.select("path", decoded.alias("value"))
+    """Lines of text files as (path, value) with per-file decoding (A4, line
+    form), by the same detection as :func:`read_with_fallback`. UTF-16 files are
+    split at their own line feeds."""
+    parts = []
+    for (encoding, _), files in _by_encoding(spark, paths, fallback).items():
+        wide = encoding.startswith("UTF-16")
+        # a marked file's byte order shows in its first line only, so it is read both ways
+        orders = ("UTF-16LE", "UTF-16BE") if encoding == "UTF-16" else (encoding,)
+        for order in orders:
+            reader = spark.read.option("encoding", order).option("lineSep", "\n") if wide else spark.read
+            own = files if encoding != "UTF-16" else _with_mark(spark, files, "FFFE" if order == "UTF-16LE" else "FEFF")
+            if not own:
+                continue
+            lines = reader.text(own).select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").cast("binary").alias("raw"))
+            text = F.col("raw").cast("string") if encoding == "UTF-8" else F.decode("raw", FALLBACK_ENCODING if encoding == WINDOWS else order)
+            text = from_latin(text, encoding)
+            parts.append(lines.select("path", (F.regexp_replace(text, "^\ufeff|\r$", "") if wide else text).alias("value")))
+    return _stacked(parts)
+
+
+def _with_mark(spark: SparkSession, files: Sequence[str], mark: str) -> list[str]:
+    """The files whose first two bytes are ``mark``."""
+    first = spark.read.text(list(files)).where("_metadata.file_block_start = 0").where(F.startswith(F.hex(F.col("value").cast("binary")), F.lit(mark)))
+    return [r["path"] for r in first.select(plain_path(F.col("_metadata.file_path")).alias("path")).distinct().collect()]
+
+
+def repaired_line(line: Column) -> Column:
+    """Without NUL and CR characters and white space at the ends."""
+    line = F.translate(line, "\u0000\r", "")
+    return F.regexp_replace(F.regexp_replace(line, f"^{_WS}+", ""), f"{_WS}+$", "")
 
 
 def repair_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Strip NUL and CR characters, trim surrounding whitespace, drop empty
     lines (A8)."""
-    v = F.translate(F.col(col), "\u0000\r", "")
-    v = F.regexp_replace(F.regexp_replace(v, f"^{_WS}+", ""), f"{_WS}+$", "")
-    return lines.withColumn(col, v).where(F.length(col) > 0)
+    return lines.withColumn(col, repaired_line(F.col(col))).where(F.length(col) > 0)
 
 
 # ---------------------------------------------------------------------------

@@ -125,3 +125,64 @@ def test_ledger_counts_files_without_rows_and_filtered_rows(spark, tmp_path):
     _put(tmp_path / "more", "b.csv", "id\n9\n")  # lacks the filter's column: nothing is kept
     L.load_files(spark, str(tmp_path / "more"), raw, condition="kind = 'x'")
     assert L.kept_rows(spark, raw).count() == 1 and L.ledger(spark, raw).count() == 3
+
+
+def test_delimiters_by_their_histogram(spark, tmp_path):
+    files = {
+        "tabs.txt": "id\tname\n1\ta, b, c\n2\td\n",
+        "semi.csv": 'id;name\n1;"a; b"\n2;"c, d"\n',
+        "pipes.txt": "a|b|c\n1|2|3\n",
+        "quoted.csv": '"x, y, z"\n"only one, column"\n',
+        "prose.txt": "one line, of text\nanother\nand; a third\nfourth\n",
+        "tie.tsv": "a,b\tc\n1,2\t3\n",  # two fields either way: the suffix decides
+        "tie.csv": "a,b\tc\n1,2\t3\n",
+        "more.txt": "a;b|c|d\n",  # alike even, neither usual: more fields
+        "blank.csv": "\n\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    got = {r["path"].rsplit("/")[-1]: r["delimiter"] for r in I.file_forms(spark, [str(tmp_path / n) for n in files]).collect()}
+    assert got == {"tabs.txt": "\t", "semi.csv": ";", "pipes.txt": "|", "quoted.csv": ",", "prose.txt": ",", "tie.tsv": "\t", "tie.csv": ",", "more.txt": "|", "blank.csv": ","}
+    (tmp_path / "blank.csv").write_text("")
+    rows = I.read_delimited(spark, [str(tmp_path / n) for n in ("tabs.txt", "semi.csv")])
+    assert _values(rows) == [("1", "a, b, c"), ("1", "a; b"), ("2", "c, d"), ("2", "d")]
+
+
+def test_encodings_by_byte_counts(spark, tmp_path):
+    texts = {
+        "utf8.csv": ("k,v\n1,„é”\n", "utf-8"),
+        "ascii.csv": ("k,v\n2,plain\n", "ascii"),
+        "latin.csv": ("k,v\n3,Größe\n", "latin-1"),
+        "windows.csv": ("k,€\n4,“Œuvre” Größe\n", "cp1252"),
+        "marked.csv": ("k,v\n5,é日\n", "utf-16"),
+        "le.csv": ("k,v\n6,é日\n7,b\n", "utf-16-le"),
+        "be.csv": ("k,v\r\n8,é日\r\n9,b\r\n", "utf-16-be"),
+        "le_without_end.csv": ("k,v\n10,c", "utf-16-le"),
+    }
+    for name, (text, encoding) in texts.items():
+        (tmp_path / name).write_bytes(text.encode(encoding))
+    kinds = {r["path"].rsplit("/")[-1]: r["encoding"] for r in I.file_encodings(spark, str(tmp_path)).collect()}
+    assert kinds == {
+        "utf8.csv": "UTF-8", "ascii.csv": "UTF-8", "latin.csv": "ISO-8859-1", "windows.csv": I.WINDOWS,
+        "marked.csv": "UTF-16", "le.csv": "UTF-16LE", "be.csv": "UTF-16BE", "le_without_end.csv": "UTF-16LE",
+    }
+    lines = {}
+    for r in I.decode_lines(spark, str(tmp_path)).collect():
+        lines.setdefault(r["path"].rsplit("/")[-1], []).append(r["value"])
+    assert {k: sorted(v) for k, v in lines.items()} == {k: sorted(t.split()) if k != "windows.csv" else ["4,“Œuvre” Größe", "k,€"] for k, (t, _) in texts.items()}
+    rows = I.read_with_fallback(spark, [str(tmp_path / n) for n in texts if n != "windows.csv"])
+    assert _values(rows) == sorted([("1", "„é”"), ("2", "plain"), ("3", "Größe"), ("5", "é日"), ("6", "é日"), ("7", "b"), ("8", "é日"), ("9", "b"), ("10", "c")], key=str)
+    assert I.read_with_fallback(spark, str(tmp_path / "windows.csv")).first().asDict() == {"k": "4", "€": "“Œuvre” Größe"}
+
+
+def test_repair_reads_malformed_lines_under_their_own_header(spark, tmp_path):
+    src = tmp_path / "in"
+    _put(src, "a.csv", 'id,name\n1,plain\n  2,"b, c"\n\0"3, x","d"\n4,too,many\n  \n\0\n')
+    _put(src, "b.csv", 'more,name,id\nx,"f",5\n \t"y, z","g",6\nshort,line\n')
+    df = I.read_delimited(spark, str(src), repair=True)
+    good, bad = I.split_quarantine(df)
+    assert _values(good.select("id", "name", "more")) == [("  2", "b, c", None), ("1", "plain", None), ("3, x", "d", None), ("5", "f", "x"), ("6", "g", "y, z")]
+    assert _values(bad) == [("4,too,many",), ("short,line",)]
+    raw = str(tmp_path / "raw")
+    L.load_files(spark, str(src), raw, repair=True)
+    assert L.kept_rows(spark, raw).count() == 5 and sorted(r["quarantined_rows"] for r in L.ledger(spark, raw).collect()) == [1, 1]
