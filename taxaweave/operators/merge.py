@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from taxaweave.operators.numbering import sequence_in_group
+
 
 def union_conform(frames: Sequence[DataFrame], columns: Sequence[str], cast: str | None = "string") -> DataFrame:
     """Stack frames by column name onto one column list.
@@ -57,6 +59,34 @@ def merge_records(
     )
 
 
+def collect_segments(
+    df: DataFrame,
+    keys: Sequence[str],
+    values: Mapping[str, str],
+    order: Sequence[Column | str],
+    size: int = 1000,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """The values of one key as aligned arrays of at most ``size`` elements (D2,
+    C6 for keys of any number of records): (keys, ``segment`` from 0, an array per
+    entry ``out name -> column`` of ``values``), in ``order`` within and over
+    segments. NULL elements are kept.
+
+    Positions come from the distributed numbering, so a key that holds a third of
+    all records is numbered in many tasks and collected in many groups; only the
+    keys, values and sort columns are exchanged. The order must be total, or
+    tied records fall into either segment.
+    """
+    named = [F.col(f"`{v}`").alias(f"__v{i}") for i, v in enumerate(values.values())]
+    by = [*keys, *[o for o in order if isinstance(o, str) and o not in keys]]
+    # sort expressions may read any column, so none is pruned for them
+    base = df.select(*([F.col(f"`{c}`") for c in by] if all(isinstance(o, str) for o in order) else df.columns), *named)
+    placed = sequence_in_group(base, keys, order, out="__n", num_partitions=num_partitions)
+    row = F.struct("__n", *[f"__v{i}" for i in range(len(values))])
+    grouped = placed.groupBy(*keys, F.floor((F.col("__n") - 1) / size).cast("long").alias("segment")).agg(F.array_sort(F.collect_list(row)).alias("__rows"))
+    return grouped.select(*keys, "segment", *[F.col("__rows")[f"__v{i}"].alias(out) for i, out in enumerate(values)])
+
+
 def group_max(df: DataFrame, keys: Sequence[str], attributes: Sequence[str], where: Column | None = None) -> DataFrame:
     """Filter then MAX per key (D9, and D1 without the id arrays)."""
     if where is not None:

@@ -1,15 +1,19 @@
 """Data-quality checks (L1-L23). Each returns the FAILING rows as a DataFrame:
 zero rows means the check passes. Table-level checks return one row per
-failure with the measured numbers.
+failure with the measured numbers. Row-level ones are predicates of
+``rowchecks``, which also runs many of them in one scan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from taxaweave.operators import rowchecks as R
+from taxaweave.session import scratch_table
+
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
@@ -27,7 +31,7 @@ def unique(df: DataFrame, col: str) -> DataFrame:
 
 def not_null(df: DataFrame, col: str) -> DataFrame:
     """L2: rows where the column is NULL."""
-    return df.where(_q(col).isNull())
+    return df.where(R.is_null(col))
 
 
 def unique_combination(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -39,7 +43,7 @@ def unique_combination(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """L4: non-NULL values outside the list."""
-    return df.where(_q(col).isNotNull() & ~_q(col).isin(list(values)))
+    return df.where(R.outside_values(col, values))
 
 
 def relationships(df: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
@@ -50,13 +54,12 @@ def relationships(df: DataFrame, col: str, parent: DataFrame, parent_col: str) -
 
 def not_empty_string(df: DataFrame, col: str) -> DataFrame:
     """NULL or blank values."""
-    return df.where(_q(col).isNull() | (F.trim(_q(col)) == ""))
+    return df.where(R.is_blank(col))
 
 
 def expression_is_true(df: DataFrame, expr: str | Column, null_fails: bool = True) -> DataFrame:
     """Rows where the predicate is false (and, by default, NULL)."""
-    e = F.expr(expr) if isinstance(expr, str) else expr
-    return df.where(~F.coalesce(e, F.lit(not null_fails)))
+    return df.where(R.not_true(expr, null_fails))
 
 
 def _count_pair(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -79,18 +82,12 @@ def fewer_rows_than(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def accepted_range(df: DataFrame, col: str, min_value=None, max_value=None, inclusive: bool = True) -> DataFrame:
     """Non-NULL values outside [min, max] (or the open interval)."""
-    c = _q(col)
-    ok = F.lit(True)
-    if min_value is not None:
-        ok = ok & ((c >= min_value) if inclusive else (c > min_value))
-    if max_value is not None:
-        ok = ok & ((c <= max_value) if inclusive else (c < max_value))
-    return df.where(c.isNotNull() & ~ok)
+    return df.where(R.outside_range(col, min_value, max_value, inclusive))
 
 
 def not_accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """Rows whose value is in the forbidden list."""
-    return df.where(_q(col).isin(list(values)))
+    return df.where(R.among_values(col, values))
 
 
 def not_null_proportion(df: DataFrame, col: str, at_least: float, at_most: float = 1.0) -> DataFrame:
@@ -119,8 +116,6 @@ def _with_neighbour(
     without putting a partition into one task: one range exchange on
     (partition, order), the neighbour inside each range, and across its end
     only the first or last row of the next range (a row per range)."""
-    from taxaweave.session import scratch_table
-
     keys = [_q(k) for k in (*partition_by, *order)]
     ranged = df.repartitionByRange(*[k.asc_nulls_first() for k in keys]).withColumn("__range", F.spark_partition_id())
     laid = scratch_table(ranged, "ranges")
@@ -179,10 +174,7 @@ def equality(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None) -> D
 
 def single_word(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows where any of the name-part columns contains a space."""
-    cond = F.lit(False)
-    for c in cols:
-        cond = cond | F.coalesce(_q(c).contains(" "), F.lit(False))
-    return df.where(cond)
+    return df.where(R.several_words(cols))
 
 
 def unknown_abbreviations(df: DataFrame, col: str, known: Sequence[str], pattern: str = r"(\b[A-Za-z]+\.)") -> DataFrame:
@@ -197,30 +189,14 @@ def unknown_abbreviations(df: DataFrame, col: str, known: Sequence[str], pattern
 
 def period_only_below_species(df: DataFrame, name_col: str, rank_col: str, allowed_ranks: Sequence[str]) -> DataFrame:
     """Names containing a period whose rank is not in ``allowed_ranks``."""
-    return df.where(_q(name_col).contains(".") & (_q(rank_col).isNull() | ~_q(rank_col).isin(list(allowed_ranks))))
+    return df.where(R.period_above(name_col, rank_col, allowed_ranks))
 
 
 def no_digits(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows with a digit in any of the columns."""
-    cond = F.lit(False)
-    for c in cols:
-        cond = cond | F.coalesce(_q(c).rlike("[0-9]"), F.lit(False))
-    return df.where(cond)
+    return df.where(R.has_digit(cols))
 
 
 def no_value(df: DataFrame, col: str, value: str = "unranked") -> DataFrame:
     """Rows carrying a forbidden marker value (e.g. ``unranked``)."""
-    return df.where(_q(col) == value)
-
-
-CheckFn = Callable[[], DataFrame]
-
-
-def run_checks(checks: Mapping[str, CheckFn]) -> DataFrame:
-    """Union of (check, n_failures) over named checks; each check's failures
-    are counted with one aggregate, nothing is collected."""
-    out = None
-    for name, fn in checks.items():
-        part = fn().agg(F.count(F.lit(1)).alias("n_failures")).select(F.lit(name).alias("check"), "n_failures")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return df.where(R.among_values(col, [value]))

@@ -22,6 +22,7 @@ from taxaweave.operators import joins as J
 from taxaweave.operators import merge as M
 from taxaweave.operators import numbering as R
 from taxaweave.operators import quality as QC
+from taxaweave.operators import rowchecks as RC
 from taxaweave.plans import conform, derived, pipeline
 from taxaweave.plans import oracle_taxonomy as OT
 from taxaweave.schemas import INFRASPECIFIC_ABBREVIATIONS, RANKS_INFRASPECIFIC, TAXA_COLUMNS
@@ -444,6 +445,18 @@ def q_mode_wide(spark, sf):
     return FL.mode_by_key(p, "p_name", ["p_brand", "p_type", "size_text"])
 
 
+@query(
+    "collect_ids_in_segments",
+    "SELECT o_custkey, CAST((n - 1) // 4 AS BIGINT) AS segment, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY n) AS orderkeys, "
+    "string_agg(o_orderstatus, ',' ORDER BY n) AS statuses FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders) x "
+    "GROUP BY o_custkey, (n - 1) // 4",
+)
+def q_collect_segments(spark, sf):
+    """Ids of one key in arrays of at most four, in order over the segments."""
+    out = M.collect_segments(T(spark, sf, "orders"), ["o_custkey"], {"orderkeys": "o_orderkey", "statuses": "o_orderstatus"}, ["o_orderdate", "o_orderkey"], size=4)
+    return render_arrays(out)
+
+
 @query("select_distinct", "SELECT DISTINCT p_name, p_type FROM part")
 def q_select_distinct(spark, sf):
     return T(spark, sf, "part").select("p_name", "p_type").distinct()
@@ -796,10 +809,15 @@ def q_dq_accepted(spark, sf):
     return QC.accepted_values(T(spark, sf, "orders"), "o_orderstatus", ["F", "O"]).select("o_orderkey", "o_orderstatus")
 
 
-@query("dq_relationships", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)")
+@query(
+    "dq_relationships",
+    "SELECT o_orderkey, custkey FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN -1 - o_custkey ELSE o_custkey END AS custkey FROM orders) x "
+    "WHERE custkey IS NOT NULL AND custkey NOT IN (SELECT c_custkey FROM customer)",
+)
 def q_dq_relationships(spark, sf):
-    # customers without a tenth of them, so that their orders are orphans
-    return QC.relationships(T(spark, sf, "orders"), "o_custkey", T(spark, sf, "customer").where("c_custkey % 10 <> 0"), "c_custkey").select("o_orderkey", "o_custkey")
+    # the key of every tenth order is changed, so that they are orphans
+    o = T(spark, sf, "orders").select("o_orderkey", F.when(c("o_orderkey") % 10 == 0, -1 - c("o_custkey")).otherwise(c("o_custkey")).alias("custkey"))
+    return QC.relationships(o, "custkey", T(spark, sf, "customer"), "c_custkey").select("o_orderkey", "custkey")
 
 
 @query("dq_not_empty_string", f"SELECT c_custkey, name_v FROM (SELECT c_custkey, {_BLANKED_NAME} AS name_v FROM customer) x WHERE name_v IS NULL OR trim(name_v) = ''")
@@ -859,12 +877,68 @@ def q_dq_recency(spark, sf):
 
 @query(
     "dq_sequential_values",
-    "SELECT conv_id, turn, previous_value FROM (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS previous_value "
-    "FROM conversations WHERE (conv_id + turn) % 5 <> 0) x WHERE previous_value IS NOT NULL AND turn <> previous_value + 1",
+    "SELECT conv_id, place, previous_value FROM (SELECT conv_id, place, lag(place) OVER (PARTITION BY conv_id ORDER BY place) AS previous_value "
+    "FROM (SELECT conv_id, turn + CASE WHEN turn > conv_id % 5 THEN 1 ELSE 0 END AS place FROM conversations) c) x "
+    "WHERE previous_value IS NOT NULL AND place <> previous_value + 1",
 )
 def q_dq_sequential(spark, sf):
-    # without some turns, so that there are gaps
-    return QC.sequential_values(T(spark, sf, "conversations").where("(conv_id + turn) % 5 <> 0"), "turn", ["conv_id"]).select("conv_id", "turn", "previous_value")
+    # turns behind some place are moved on by one, so that there are gaps
+    moved = T(spark, sf, "conversations").select("conv_id", (c("turn") + F.when(c("turn") > c("conv_id") % 5, 1).otherwise(0)).alias("place"))
+    return QC.sequential_values(moved, "place", ["conv_id"]).select("conv_id", "place", "previous_value")
+
+
+_CHECKED = (
+    "(SELECT p_partkey, CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 17 = 0 THEN '  ' ELSE p_name END AS name, p_brand, p_type, p_size, "
+    "CASE WHEN p_partkey % 5 = 0 THEN 'unranked' WHEN p_partkey % 3 = 0 THEN 'species' ELSE 'variety' END AS rank, "
+    "split_part(p_name, ' ', 1) || CASE WHEN p_size % 4 = 0 THEN ' var.' ELSE '' END AS epithet FROM part)"
+)
+#: The ten checks as SQL, by name.
+_TEN = {
+    "not_null": "name IS NULL",
+    "accepted_values": "p_type IS NOT NULL AND p_type NOT IN ('SMALL', 'MEDIUM', 'ECONOMY')",
+    "not_empty": "name IS NULL OR trim(name) = ''",
+    "expression": "NOT coalesce(p_size > length(name), false)",
+    "range": "p_size < 5 OR p_size > 40",
+    "not_accepted_values": "p_brand IN ('Brand#1', 'Brand#2')",
+    "single_word": "coalesce(epithet LIKE '% %', false)",
+    "period": "coalesce(epithet LIKE '%.%', false) AND (rank IS NULL OR rank NOT IN ('subspecies', 'variety', 'form'))",
+    "no_digits": "coalesce(regexp_matches(p_brand, '[0-9]'), false)",
+    "no_unranked": "rank = 'unranked'",
+}
+
+
+def _checked(spark, sf):
+    name = F.when(c("p_partkey") % 13 == 0, F.lit(None)).when(c("p_partkey") % 17 == 0, F.lit("  ")).otherwise(c("p_name"))
+    rank = F.when(c("p_partkey") % 5 == 0, "unranked").when(c("p_partkey") % 3 == 0, "species").otherwise("variety")
+    epithet = F.concat(F.split_part("p_name", F.lit(" "), F.lit(1)), F.when(c("p_size") % 4 == 0, " var.").otherwise(""))
+    return T(spark, sf, "part").select("p_partkey", name.alias("name"), "p_brand", "p_type", "p_size", rank.alias("rank"), epithet.alias("epithet"))
+
+
+def ten_checks():
+    return {
+        "not_null": RC.is_null("name"),
+        "accepted_values": RC.outside_values("p_type", ["SMALL", "MEDIUM", "ECONOMY"]),
+        "not_empty": RC.is_blank("name"),
+        "expression": RC.not_true("p_size > length(name)"),
+        "range": RC.outside_range("p_size", 5, 40),
+        "not_accepted_values": RC.among_values("p_brand", ["Brand#1", "Brand#2"]),
+        "single_word": RC.several_words(["epithet"]),
+        "period": RC.period_above("epithet", "rank", RANKS_INFRASPECIFIC),
+        "no_digits": RC.has_digit(["p_brand"]),
+        "no_unranked": RC.among_values("rank", ["unranked"]),
+    }
+
+
+@query("dq_fused_counts", " UNION ALL ".join(f"SELECT '{n}' AS \"check\", count(*) FILTER (WHERE {sql}) AS n_failures FROM {_CHECKED} x" for n, sql in _TEN.items()))
+def q_dq_fused_counts(spark, sf):
+    """Ten checks in one scan: failures by check."""
+    return RC.run_checks(_checked(spark, sf), ten_checks(), keep=["p_partkey"]).counts
+
+
+@query("dq_fused_rows", " UNION ALL ".join(f"SELECT '{n}' AS \"check\", p_partkey FROM {_CHECKED} x WHERE {sql}" for n, sql in _TEN.items()))
+def q_dq_fused_rows(spark, sf):
+    """Ten checks in one scan: the failing rows of each."""
+    return RC.run_checks(_checked(spark, sf), ten_checks(), keep=["p_partkey"]).labelled().select("check", "p_partkey")
 
 
 @query(

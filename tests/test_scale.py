@@ -115,6 +115,71 @@ def test_sequence_of_a_hot_group_meets_no_group_key(spark):
     assert len(parts) > 10 and max(parts) < 1500  # the hot group is numbered in many partitions
 
 
+def test_segments_spread_a_hot_key_and_keep_its_order(spark):
+    from taxaweave.operators.merge import collect_segments
+
+    df = _hot(spark, 6000).withColumn("v", F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("v")))
+    out = collect_segments(df, ["k"], {"ids": "id", "vs": "v"}, [F.col("id").desc()], size=100, num_partitions=9)
+    rows = out.where("k = 'hot'").orderBy("segment").collect()
+    assert [r["segment"] for r in rows] == list(range(20)) and all(len(r["ids"]) == 100 for r in rows)
+    want = [(i, None if i % 5 == 0 else i * 7 % 101) for i in range(0, 6000, 3)][::-1]
+    assert [p for r in rows for p in zip(r["ids"], r["vs"])] == want
+    assert out.agg(F.sum(F.size("ids")).alias("n")).first()["n"] == 6000 and out.agg(F.max(F.size("ids")).alias("n")).first()["n"] == 100
+    plan = _plan(out)
+    assert "hashpartitioning(k" in plan and "segment" in plan.split("hashpartitioning(k")[1].split(")")[0] or "_groupingexpression" in plan
+
+
+def test_ten_checks_take_one_scan(spark, tmp_path):
+    from taxaweave.operators import quality as QC
+    from taxaweave.operators import rowchecks as RC
+    from taxaweave.plans import proxies
+    from taxaweave.schemas import RANKS_INFRASPECIFIC
+
+    path = str(tmp_path / "parts")
+    proxies._checked(spark, "/root/testdata/sf0.001").write.parquet(path)
+    df = spark.read.parquet(path)
+    plans = []
+    writer = RC.scratch_table
+
+    def noted(rows, name):
+        plans.append(_plan(rows))
+        return writer(rows, name)
+
+    RC.scratch_table = noted
+    try:
+        done = RC.run_checks(df, proxies.ten_checks(), keep=["p_partkey"])
+    finally:
+        RC.scratch_table = writer
+    assert len(plans) == 1 and plans[0].count("FileScan") == 1
+    assert path not in _plan(done.counts) and path not in _plan(done.rows("range"))  # later reads are of the failing rows
+    single = {
+        "not_null": QC.not_null(df, "name"),
+        "accepted_values": QC.accepted_values(df, "p_type", ["SMALL", "MEDIUM", "ECONOMY"]),
+        "not_empty": QC.not_empty_string(df, "name"),
+        "expression": QC.expression_is_true(df, "p_size > length(name)"),
+        "range": QC.accepted_range(df, "p_size", 5, 40),
+        "not_accepted_values": QC.not_accepted_values(df, "p_brand", ["Brand#1", "Brand#2"]),
+        "single_word": QC.single_word(df, ["epithet"]),
+        "period": QC.period_only_below_species(df, "epithet", "rank", RANKS_INFRASPECIFIC),
+        "no_digits": QC.no_digits(df, ["p_brand"]),
+        "no_unranked": QC.no_value(df, "rank"),
+    }
+    counts = {r["check"]: r["n_failures"] for r in done.counts.collect()}
+    assert list(counts) == list(single)
+    for name, rows in single.items():
+        keys = sorted(r["p_partkey"] for r in rows.collect())
+        assert sorted(r["p_partkey"] for r in done.rows(name).collect()) == keys and counts[name] == len(keys) > 0
+
+
+def test_more_checks_than_bits_of_a_long(spark):
+    from taxaweave.operators import rowchecks as RC
+
+    done = RC.run_checks(spark.range(200), {f"c{i}": F.col("id") == i for i in range(150)} | {"none": F.lit(None) == 1, "all": F.lit(True)})
+    counts = {r["check"]: r["n_failures"] for r in done.counts.collect()}
+    assert len(counts) == 152 and counts["none"] == 0 and counts["all"] == 200 and all(counts[f"c{i}"] == 1 for i in range(150))
+    assert [r["id"] for r in done.rows("c149").collect()] == [149] and done.labelled().count() == 350
+
+
 def session_scratch():
     from taxaweave import session
 
