@@ -20,7 +20,7 @@ from taxaweave.functions.names import extract_rank, normalize_names
 from taxaweave.operators.crosswalk import crosswalk_join
 from taxaweave.operators.dedupe import asc, desc, duplicate_members, rank_preference
 from taxaweave.operators.fill import hierarchical_fill
-from taxaweave.operators.merge import union_conform
+from taxaweave.operators.merge import collect_segments, union_conform
 from taxaweave.operators.numbering import dense_id
 from taxaweave.schemas import (
     CONFORMED_COLUMNS,
@@ -31,6 +31,7 @@ from taxaweave.schemas import (
     TAXA_COLUMNS,
     TAXA_ID_ORDER,
 )
+from taxaweave.sources.tables import Table
 
 # Column order of the merged table: section moves next to subgenus.
 MERGED_COLUMNS = [
@@ -110,6 +111,11 @@ class LinkedTaxa:
         out = out.join(srcs, _null_safe_on(out, srcs, [("name", "__sn"), ("rank", "__sr")]), "left")
         return out.select(*[c(f"`{x}`") for x in TAXA_COLUMNS])
 
+    def id_segments(self, size: int = 1000) -> DataFrame:
+        """(taxon_id, segment, external_ids): the taxon's ids in order, in arrays
+        of at most ``size``. Equal ids of one taxon follow each other."""
+        return collect_segments(self._keyed(self.ids, ["external_id"]), ["taxon_id"], {"external_ids": "external_id"}, ["external_id"], size)
+
 
 def build_taxa(merged: DataFrame, ranks=RANKS_SPECIFIC, num_partitions: int | None = None) -> LinkedTaxa:
     """One row per (name, rank) of the listed ranks with MAX attributes and a
@@ -272,6 +278,7 @@ def write_outputs(
     out_dir: str,
     num_partitions: int | None = None,
     reference_arrays: bool = False,
+    id_segments: int | None = None,
 ) -> dict[str, str]:
     """Run the chain and publish its tables under ``out_dir``.
 
@@ -280,7 +287,10 @@ def write_outputs(
     with its id links ``taxa_external_ids``, ``taxa_filled``,
     ``crosswalk_wfo`` and ``missing_records`` (all three sources' coverage
     failures, labelled); with ``reference_arrays`` also ``taxa_filled_arrays``
-    (array format). A taxon's own source records are the merged records of
+    (array format), with ``id_segments`` also ``taxa_id_segments``, the external
+    ids in arrays of at most so many. Each is a published table
+    (:class:`taxaweave.sources.tables.Table`): it keeps its last state until the
+    new one is whole, and that one until the next run. A taxon's own source records are the merged records of
     the surviving taxa (a semi join), derived only when needed.
 
     Every table that feeds more than one later step is written once and read
@@ -295,8 +305,10 @@ def write_outputs(
 
     def publish(df: DataFrame, name: str) -> DataFrame:
         paths[name] = f"{out_dir}/{name}"
-        df.write.mode("overwrite").parquet(paths[name])
-        return spark.read.parquet(paths[name])
+        table = Table(spark, paths[name])
+        table.refresh(df)
+        table.vacuum(keep=2)
+        return table.read()
 
     conformed = {k: publish(v, k) for k, v in (("wfo", wfo), ("gbif", gbif), ("wiz", wiz))}
     merged = publish(merge_sources(conformed["wfo"], conformed["gbif"], conformed["wiz"]), "taxonomy_merged")
@@ -326,5 +338,7 @@ def write_outputs(
     )
     if reference_arrays:
         publish(final.arrays(), "taxa_filled_arrays")
+    if id_segments:
+        publish(final.id_segments(id_segments), "taxa_id_segments")
     delete_scratch(spark, mark)  # everything is written
     return paths

@@ -3,6 +3,7 @@ derived by hand from the source semantics)."""
 
 from pyspark.sql import functions as F
 
+from taxaweave.sources.tables import Table
 from taxaweave.plans import conform, pipeline
 from tests.fixtures import raw_frames
 
@@ -93,13 +94,18 @@ def test_write_outputs(spark):
 
     wfo, gbif, wiz = _build(spark)
     out = tempfile.mkdtemp(prefix="tw-out-")
-    paths = pipeline.write_outputs(spark, wfo, gbif, wiz, out, reference_arrays=True)
-    assert spark.read.parquet(paths["taxa_filled"]).count() == 8
-    missing = {(r["source_id"], r["error_message"].split(" ")[0]) for r in spark.read.parquet(paths["missing_records"]).collect()}
+    pipeline.write_outputs(spark, wfo.limit(0), gbif, wiz, out)
+    paths = pipeline.write_outputs(spark, wfo, gbif, wiz, out, reference_arrays=True, id_segments=2)
+    read = lambda name: Table(spark, paths[name]).read()
+    assert Table(spark, paths["taxa_filled"]).read(1).count() < 8  # the state before, still there
+    assert read("taxa_filled").count() == 8
+    missing = {(r["source_id"], r["error_message"].split(" ")[0]) for r in read("missing_records").collect()}
     assert missing == {("wfo-0000000007", "WFO"), ("wfo-0000000009", "WFO"), ("gbif-6", "GBIF")}
-    assert {r["external_id"] for r in spark.read.parquet(paths["crosswalk_wfo"]).collect()} == {
+    assert {r["external_id"] for r in read("crosswalk_wfo").collect()} == {
         "wfo-0000000001", "wfo-0000000004", "wfo-0000000008"}
-    arrays = {r["name"]: r for r in spark.read.parquet(paths["taxa_filled_arrays"]).collect()}
+    arrays = {r["name"]: r for r in read("taxa_filled_arrays").collect()}
     alba = arrays["Cattleya labiata ssp. alba"]
     assert alba["external_ids"] == ["gbif-2", "gbif-3", "wfo-0000000008", "wiz-101", "wiz-infra-10-3"]
+    segments = read("taxa_id_segments").where(f"taxon_id = {alba['id']}").orderBy("segment").collect()
+    assert [r["external_ids"] for r in segments] == [alba["external_ids"][:2], alba["external_ids"][2:4], alba["external_ids"][4:]]
     assert sorted(alba["data_sources"]) == ["GBIF", "OrchidWiz", "WFO"]
