@@ -31,6 +31,7 @@ from taxaweave.schemas import (
     TAXA_COLUMNS,
     TAXA_ID_ORDER,
 )
+from taxaweave.session import delete_scratch, scratch_mark, scratch_table
 from taxaweave.sources.tables import Table
 
 # Column order of the merged table: section moves next to subgenus.
@@ -174,6 +175,7 @@ def deduplicate_taxa(taxa: LinkedTaxa) -> LinkedTaxa:
         c("id").alias("member_id"), c("name").alias("m_name"), c("rank").alias("m_rank"),
         c("best.id").alias("winner_id"), c("best.name").alias("w_name"), c("best.rank").alias("w_rank"),
     )
+    mapping = scratch_table(mapping, "dedupe-members")  # narrow, and read by four joins
     losers = mapping.where(c("member_id") != c("winner_id"))
     new_attrs = attrs.join(losers, attrs["id"] == losers["member_id"], "left_anti")
 
@@ -297,8 +299,6 @@ def write_outputs(
     back, so no part of the chain runs twice; each later read prunes to the
     columns it needs.
     """
-    from taxaweave.session import delete_scratch, scratch_mark
-
     out_dir = out_dir.rstrip("/")
     paths: dict[str, str] = {}
     mark = scratch_mark()
