@@ -5,7 +5,8 @@ one several of at most ``FRAME_IDS`` ids), so a reader decompresses only what it
 was asked for. Behind the frames stand two skippable frames:
 
 * documents: per document its id, its first frame, its number of ids (``<qIQ``),
-  preceded by the number of documents and the bytes an id takes (``<IB``);
+  preceded by the number of documents, the bytes an id takes and how many of the
+  documents, the first ones, have no id (``<IBI``);
 * seek table, in the public seekable layout: per frame the compressed size, the
   decompressed size and the low half of the content's xxh64 (``<III``), then the
   number of frames, a descriptor byte and the closing magic (``<IBI``).
@@ -13,8 +14,10 @@ was asked for. Behind the frames stand two skippable frames:
 Every frame also carries zstandard's own checksum.
 
 Nulls: a null text is an empty document (end id alone); a null doc_id sorts
-first and is kept as null. Equal rows are written each. Other columns are
-ignored. An empty table gives no files and no rows.
+first and is kept as null. Equal rows are written each. The rows of one doc_id,
+or of none, that are more than a file is planned for are dealt to several files
+by the hash of their text; equal rows stay together. Other columns are ignored.
+An empty table gives no files and no rows.
 """
 
 from __future__ import annotations
@@ -36,9 +39,9 @@ from taxaweave.llm.tokens import encoder, public_path
 
 END_ID = 2
 FRAME_IDS = 1 << 16
-#: Documents a file is planned for.
+#: Documents and bytes of text that a file is planned for.
 FILE_DOCS = 8_192
-NO_ID = -(1 << 63)  # stands for a null doc_id inside a file
+FILE_BYTES = 64 << 20
 
 # Fixed values of the zstandard formats.
 SKIPPABLE = 0x184D2A5E
@@ -62,18 +65,19 @@ def frames(ids: bytes, width: int, level: int = 3) -> tuple[bytes, list[tuple[in
 
 
 class Writer:
-    """Writes one file; rows come in ascending doc_id order."""
+    """Writes one file; rows come in ascending doc_id order, those without an id first."""
 
     def __init__(self, sink, width: int):
-        self.sink, self.width, self.entries, self.docs = sink, width, [], []
+        self.sink, self.width, self.entries, self.docs, self.without = sink, width, [], [], 0
 
     def put(self, doc_id: int | None, n_ids: int, body: bytes, entries: Iterable[tuple[int, int, int]]) -> None:
-        self.docs.append(struct.pack("<qIQ", NO_ID if doc_id is None else doc_id, len(self.entries), n_ids))
+        self.without += doc_id is None
+        self.docs.append(struct.pack("<qIQ", doc_id or 0, len(self.entries), n_ids))
         self.entries.extend(entries)
         self.sink.write(body)
 
     def close(self) -> None:
-        docs = struct.pack("<IB", len(self.docs), self.width) + b"".join(self.docs)
+        docs = struct.pack("<IBI", len(self.docs), self.width, self.without) + b"".join(self.docs)
         table_ = b"".join(struct.pack("<III", *e) for e in self.entries) + struct.pack("<IBI", len(self.entries), HAS_CHECKSUMS, SEEKABLE)
         self.sink.write(struct.pack("<II", SKIPPABLE_DOCS, len(docs)) + docs)
         self.sink.write(struct.pack("<II", SKIPPABLE, len(table_)) + table_)
@@ -96,8 +100,8 @@ class Reader:
         docs = self._at(head, tail - 8 - head)
         if struct.unpack_from("<I", docs)[0] != SKIPPABLE_DOCS:
             raise ValueError("no document table")
-        count, self.width = struct.unpack_from("<IB", docs, 8)
-        rows = np.frombuffer(docs, np.dtype([("doc", "<i8"), ("frame", "<u4"), ("n", "<u8")]), count, 13)
+        count, self.width, self.without = struct.unpack_from("<IBI", docs, 8)
+        rows = np.frombuffer(docs, np.dtype([("doc", "<i8"), ("frame", "<u4"), ("n", "<u8")]), count, 17)
         self.docs, self.first, self.n_ids = rows["doc"], rows["frame"].astype(np.int64), rows["n"].astype(np.int64)
 
     def _at(self, offset: int, size: int) -> bytes:
@@ -122,9 +126,12 @@ class Reader:
         return np.frombuffer(b"".join(out), "<u2" if self.width == 2 else "<u4").astype("<u4")
 
     def find(self, doc_id: int) -> range:
-        lo, hi = np.searchsorted(self.docs, doc_id, "left"), np.searchsorted(self.docs, doc_id, "right")
+        lo, hi = (np.searchsorted(self.docs[self.without :], doc_id, side) + self.without for side in ("left", "right"))
         return range(int(lo), int(hi))
 
+    def doc_id(self, k: int) -> int | None:
+        return None if k < self.without else int(self.docs[k])
+
 
 def open_store(path: str):
     """File system and path of a URI: the shared folder may be a mounted
@@ -134,22 +141,59 @@ def open_store(path: str):
     return fs.FileSystem.from_uri(path if ":" in path.split("/")[0] else f"file://{path}")
 
 
-def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, file_docs: int = FILE_DOCS) -> DataFrame:
+class Plan:
+    """Which file a row goes to: ranges of doc_ids in ascending order, and inside
+    the range of a doc_id (or of none) of too many rows the hash of the text."""
+
+    def __init__(self, cuts: list[int], several: dict[int | None, int]):
+        ends = set(cuts)
+        for doc, parts in several.items():
+            if doc is not None and parts > 1:
+                ends |= {doc, doc - 1} if doc > -(1 << 63) else {doc}
+        self.cuts = np.array(sorted(ends), np.int64)  # a range reaches from behind a cut to the next
+        self.parts = np.ones(len(self.cuts) + 2, np.int64)  # range 0: no id
+        for doc, parts in several.items():
+            self.parts[self._range(doc)] = parts
+        self.first = np.concatenate([[0], np.cumsum(self.parts)])
+        self.files = int(self.first[-1])
+
+    def _range(self, doc: int | None) -> int:
+        return 0 if doc is None else 1 + int(np.searchsorted(self.cuts, doc, "left"))
+
+    def file(self, doc: int | None, text_hash: int) -> int:
+        at = self._range(doc)
+        return int(self.first[at] + text_hash % self.parts[at])
+
+
+def planned(narrow: DataFrame, file_docs: int, file_bytes: int) -> Plan:
+    """From counts, bytes and quantiles; as many rows as files reach the driver."""
+    size = F.octet_length("text").cast("long")
+    seen = narrow.agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).first()
+    files = max(1, -(-seen["n"] // file_docs), -(-(seen["bytes"] or 0) // file_bytes))
+    if files == 1:
+        return Plan([], {})
+    quantiles = F.percentile_approx("doc_id", [k / files for k in range(1, files)], 10 * files).alias("c")
+    per_file = max(1, seen["n"] // files)
+    often = narrow.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > per_file)
+    return Plan(narrow.agg(quantiles).first()["c"] or [], {r["doc_id"]: -(-r["n"] // per_file) for r in often.collect()})
+
+
+def write_files(
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, file_docs: int = FILE_DOCS, file_bytes: int = FILE_BYTES
+) -> DataFrame:
     """Encodes every document and writes files in ascending doc_id order under
     ``folder``; returns the manifest (file_no, path, docs, ids, start): one row
     per file, ``start`` being the ids of all files before it.
 
-    Ranges of doc_ids come from the id column alone, so texts are encoded once
-    and only compressed frames are shuffled. A file gets a fresh name in each
-    attempt and counts only when its attempt's manifest row does; a retried or
-    doubled task leaves a stray file, never a broken one.
+    Ranges of doc_ids are planned from the id column and the texts' lengths, so
+    texts are encoded once and only compressed frames are shuffled, to one
+    partition per file. A file gets a fresh name in each attempt and counts only
+    when its attempt's manifest row does; a retried or doubled task leaves a
+    stray file, never a broken one.
     """
     spark = docs.sparkSession
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    n = narrow.count()
-    files = max(1, -(-n // file_docs))
-    cuts = narrow.agg(F.percentile_approx("doc_id", [k / files for k in range(1, files)], 10 * files).alias("c")).first()["c"] if files > 1 else []
-    cuts = np.array(sorted(set(cuts or [])), np.int64)
+    plan = planned(narrow, file_docs, file_bytes)
     from tokenizers import Tokenizer
 
     width = 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
@@ -165,7 +209,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
                 for doc, text in zip(ids, part.column(1).to_pylist(), strict=True):
                     own = enc.ids(text) + end
                     body, entries = frames(own, width)
-                    out.append((0 if doc is None else int(np.searchsorted(cuts, doc, "left")), doc, len(own) // 4, body, np.array(entries, "<u4").tobytes()))
+                    out.append((plan.file(doc, crc32(text or b"")), doc, len(own) // 4, body, np.array(entries, "<u4").tobytes()))
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["file_no", "doc_id", "n", "body", "entries"])
 
@@ -191,7 +235,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
             yield done()
 
     encoded = narrow.mapInArrow(encode, "file_no int, doc_id long, n long, body binary, entries binary")
-    dealt = encoded.repartition("file_no").sortWithinPartitions("file_no", F.col("doc_id").asc_nulls_first())
+    dealt = encoded.repartition(plan.files, "file_no").sortWithinPartitions("file_no", F.col("doc_id").asc_nulls_first())
     manifest = dealt.mapInArrow(write, "file_no int, path string, docs long, ids long").collect()  # one small row per file
     rows, start = [], 0
     for r in sorted(manifest, key=lambda r: r["file_no"]):
@@ -215,7 +259,7 @@ def read_files(manifest: DataFrame, with_ids: bool = False, only: list[int] | No
                     out = []
                     for at, k in enumerate(rows):
                         ids = r.ids(k)
-                        out.append((None if r.docs[k] == NO_ID else int(r.docs[k]), int(first[k]), len(ids), crc32(ids.tobytes()), ids if with_ids else None))
+                        out.append((r.doc_id(k), int(first[k]), len(ids), crc32(ids.tobytes()), ids if with_ids else None))
                         if len(out) == 512 or at == len(rows) - 1:
                             cols = list(zip(*out, strict=True))
                             arrays = [pa.array(c, pa.int64()) for c in cols[:4]] + ([pa.array(cols[4], pa.list_(pa.int32()))] if with_ids else [])

@@ -110,6 +110,23 @@ def test_token_files_round_trip(spark, library):
     assert {r["doc_id"] for r in some} == {3, 1006}
 
 
+def test_rows_of_one_or_no_id_are_cut_into_files(spark, library):
+    rows = [(None, f"text {k} of no id") for k in range(1000)] + [(7, f"one id {k}") for k in range(500)]
+    rows += [(k, f"own id {k}") for k in range(-150, 150) if k != 7] + [(-(1 << 63), "the least id"), (9, None), (9, "")]
+    docs = frame(spark, [(d, t, None, None, 0) for d, t in rows])
+    manifest = token_files.write_files(docs, scratch(spark, "files"), public_path(), file_docs=100)
+    files = manifest.collect()
+    assert sum(r["docs"] for r in files) == len(rows) and max(r["docs"] for r in files) < 200
+    out = token_files.read_files(manifest, with_ids=True).collect()
+    assert sorted(str((r["doc_id"], list(r["ids"]))) for r in out) == sorted(str((d, library(t) + [2])) for d, t in rows)
+    ids = [r["doc_id"] for r in sorted(out, key=lambda r: r["start"])]
+    assert ids[:1000] == [None] * 1000 and ids[1000] == -(1 << 63) and ids[1000:] == sorted(ids[1000:])
+    some = token_files.read_files(manifest, only=[7, -(1 << 63), 0]).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in some} == {7: 500, -(1 << 63): 1, 0: 1}
+    small = token_files.write_files(docs, scratch(spark, "files"), public_path(), file_bytes=2000)
+    assert small.count() > 8  # cut by bytes
+
+
 def test_token_files_of_nothing(spark):
     assert token_files.read_files(token_files.write_files(empty(spark), scratch(spark, "files"), public_path())).count() == 0
 
