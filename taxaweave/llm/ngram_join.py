@@ -52,35 +52,35 @@ SEEN = 200_000
 CHUNK_BYTES, CHUNK_ROWS = 1 << 19, 512
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes | None]]]:
-    """(doc_ids, texts) of a few rows at a time, few enough to be hashed at once."""
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """(rows, their texts) of a few rows at a time, few enough to be hashed at once."""
     for b in batches:
         size = pc.cumulative_sum(pc.fill_null(pc.binary_length(b.column(1)), 0).cast(pa.int64())).to_numpy() // CHUNK_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), b.num_rows]
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             for at in range(lo, hi, CHUNK_ROWS):
                 own = b.slice(at, min(CHUNK_ROWS, hi - at))
-                yield own.column(0), own.column(1).to_pylist()
+                yield own, own.column(1).to_pylist()
 
 
 def shingled(docs: DataFrame, n_words: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, node): size and id of each document's set, 0 for the empty
-    one; and how many shingles of the corpus fall into each hash slot, on a
+    """(doc_id, hash, n, node): the text's hash, size and id of each document's
+    set, 0 for the empty one; and how many shingles of the corpus fall into each hash slot, on a
     logarithmic scale. A task leaves its counts in ``PARTS`` rows."""
     width = SLOTS // PARTS
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
-        for ids, texts in _parts(batches):
+        for own, texts in _parts(batches):
             sets = shingle_sets(texts, n_words)
             counts += np.bincount(slots(np.concatenate(sets)), minlength=SLOTS)
             n = pa.array([len(s) for s in sets], pa.int64())
             node = pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())
             none = [pa.nulls(len(texts), t) for t in (pa.int32(), pa.binary())]
-            yield pa.RecordBatch.from_arrays([ids, n, node, *none], names=["doc_id", "n", "node", "part", "counts"])
+            yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), n, node, *none], names=["doc_id", "hash", "n", "node", "part", "counts"])
         if counts.any():
-            arrays = [pa.nulls(PARTS, pa.int64())] * 3 + [pa.array(range(PARTS), pa.int32()), pa.array([counts[k * width : (k + 1) * width].tobytes() for k in range(PARTS)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "node", "part", "counts"])
+            arrays = [pa.nulls(PARTS, pa.int64())] * 4 + [pa.array(range(PARTS), pa.int32()), pa.array([counts[k * width : (k + 1) * width].tobytes() for k in range(PARTS)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "hash", "n", "node", "part", "counts"])
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -90,16 +90,16 @@ def shingled(docs: DataFrame, n_words: int) -> tuple[DataFrame, np.ndarray]:
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["part", "counts"])
 
-    done = written(_narrow(docs).mapInArrow(hashed, "doc_id long, n long, node long, part int, counts binary"), "shingles")
+    done = written(_narrow(docs).mapInArrow(hashed, "doc_id long, hash long, n long, node long, part int, counts binary"), "shingles")
     parts = done.where("part is not null").select("part", "counts").repartition("part").mapInArrow(summed, "part int, counts binary").collect()  # PARTS rows of fixed size
     counts = np.zeros(SLOTS, np.int64)
     for r in parts:
         counts[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["counts"], np.int64)
-    return done.where("part is null").select("doc_id", "n", "node"), level(counts)
+    return done.where("part is null").select("doc_id", "hash", "n", "node"), level(counts)
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("hash"))
 
 
 def keyed(docs: DataFrame, n_words: int, near: int, levels: np.ndarray) -> DataFrame:
@@ -178,7 +178,7 @@ def linked(met: DataFrame, n_words: int, near: int) -> DataFrame:
             sides: dict[int, list] = {left: [], right: []}
             for _, _, _, own, node, copies, text in group:
                 s = shingle_sets([text], n_words)[0]
-                if set_id(s) == node:  # a repeated doc_id may bring another text
+                if set_id(s) == node:  # not a text of equal hash
                     sides[own].append((node, copies, s))
             sides = {k: list({r[0]: r for r in v}.values()) for k, v in sides.items()}
             a, b = sides[left], sides[right]
@@ -212,6 +212,13 @@ def _edges(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b", "links"])
 
 
+def with_texts(met: DataFrame, docs: DataFrame) -> DataFrame:
+    """The nodes' rows with a text of each: that of its smallest (doc_id, text
+    hash), so that a doc_id of many texts brings each of them once."""
+    texts = _narrow(docs).withColumnRenamed("doc_id", "rep")
+    return met.join(texts, ["rep", "hash"]).select("root", "left", "right", "own", "node", "copies", "text")
+
+
 def ngram_join(docs: DataFrame, n_words: int = N_WORDS, near: int = NEAR, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (other documents linked)."""
     return grouped(docs, n_words, near, tile).select("doc_id", "n_shingles", "component_id", "n_links")
@@ -222,11 +229,11 @@ def grouped(docs: DataFrame, n_words: int = N_WORDS, near: int = NEAR, tile: int
     both null where it links with nothing."""
     sets, levels = shingled(docs, n_words)
     known = sets.where("doc_id is not null and n > 0")
-    node = written(known.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies")), "nodes")
+    node = written(known.groupBy("node").agg(F.min(F.struct("doc_id", "hash")).alias("first"), F.min("n").alias("n"), F.count("*").alias("copies")), "nodes")
+    node = node.select("node", F.col("first.doc_id").alias("rep"), F.col("first.hash").alias("hash"), "n", "copies")
     near_by = clusters(keyed(docs, n_words, near, levels))
-    met = tiles(written(near_by.join(node, "node").select("root", "node", "n", "rep", "copies"), "clusters"), tile, near)
-    tasks = met.join(_narrow(docs).withColumnRenamed("doc_id", "rep"), "rep").select("root", "left", "right", "own", "node", "copies", "text")
-    dealt = tasks.repartition("root", "left", "right").sortWithinPartitions("root", "left", "right", "node")
+    met = tiles(written(near_by.join(node, "node").select("root", "node", "n", "rep", "hash", "copies"), "clusters"), tile, near)
+    dealt = with_texts(met, docs).repartition("root", "left", "right").sortWithinPartitions("root", "left", "right", "node")
     links = written(linked(dealt, n_words, near), "links")
     # the smallest doc_id of the component: of its nodes' smallest ones
     joined_ = components(links.where("b is not null"))

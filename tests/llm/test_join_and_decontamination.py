@@ -55,6 +55,23 @@ def test_one_of_each_keeps_columns_and_null_ids(spark):
     assert 1008 not in ids and 0 in ids
 
 
+def test_texts_of_one_id_are_dealt_once_each(spark, monkeypatch):
+    words = [f"w{k}" for k in range(200)]
+    rows = [(5, " ".join([*words[:k], "changed", *words[k + 1 :]]), None, None, 0) for k in range(0, 180, 3)]
+    rows += [(6, "other words than those " * 3, None, None, 0), (5, "other words than those " * 3, None, None, 0)]
+    dealt, plain = [], ngram_join.with_texts
+
+    def counted(met, docs):
+        out = plain(met, docs)
+        dealt.append((met.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "with_texts", counted)
+    got = sorted(map(tuple, ngram_join.ngram_join(frame(spark, rows)).collect()), key=str)
+    assert dealt[0][0] == dealt[0][1] >= 60
+    assert got == brute([(d, t) for d, t, *_ in rows], 5, 80)
+
+
 def test_linked_sets_share_a_key():
     r = np.random.default_rng(5)
     levels = r.integers(0, 40, ngram_sets.SLOTS).astype(np.uint8)
