@@ -8,6 +8,7 @@ misplaced in a table moved before it); ``render`` walks it without recursion.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html import unescape
 from unicodedata import east_asian_width
 
@@ -24,6 +25,8 @@ HIDDEN = frozenset("head script style template noscript iframe noembed noframes
 TABLE_PARTS = frozenset("caption colgroup col tbody thead tfoot tr td th".split())
 SECTIONS = frozenset("tbody thead tfoot".split())
 CELLS = frozenset(("td", "th"))
+#: Levels of lists, quotes and cells that are indented, so that output stays in proportion to the page.
+DEEPEST = 40
 FRAMES = frozenset("table td th caption html template".split())  # ends that implied closing does not cross
 
 TOKEN = re.compile(
@@ -250,8 +253,10 @@ class _Flow:
         self.lines.append(line.rstrip(" "))
 
     def add(self, lines: list[str], first: str = "", rest: str = "") -> None:
-        for k, line in enumerate(lines):
-            self._out((rest if k else first) + line)
+        """Lines that are done already, the first and the others behind a prefix."""
+        if lines:
+            self._out(first + lines[0])
+            self.lines.extend([(rest + x).rstrip(" ") for x in lines[1:]] if rest else lines[1:])
 
     def done(self) -> list[str]:
         self.block()
@@ -292,11 +297,12 @@ class _Grid:
                 if span == 1:
                     wide[c] = max(wide.get(c, 0), *(width(x) for x in lines), 0)
         out = list(self.caption)
+        started = sorted({c for row in self.rows for c in row})  # columns that spans alone cover take no room
         for row in self.rows:
             for k in range(max((len(lines) for lines, _ in row.values()), default=0)):
                 line, edge, col = "", 0, 0
                 for c, (lines, _) in sorted(row.items()):
-                    edge += sum(wide.get(x, 0) + 2 for x in range(col, c))
+                    edge += sum(wide.get(x, 0) + 2 for x in started[bisect_left(started, col) : bisect_left(started, c)])
                     col = c
                     line += " " * max(edge - width(line), 2 if line else 0)
                     line += lines[k] if k < len(lines) else ""
@@ -325,7 +331,8 @@ def shown(node: Node) -> bool:
 def render(root: Node) -> str:
     """All visible text: blocks on lines of their own, blank lines where blocks
     have margins, list marks and indents, quotes behind ``> ``, table cells in
-    aligned columns two spaces apart."""
+    aligned columns two spaces apart. Lists and quotes nested over ``DEEPEST``
+    deep keep their text and marks but are indented no further."""
     flows, grids, lists = [_Flow()], [], []
     work: list = [root]
     kept = 0  # open pre-formatted elements
@@ -395,10 +402,10 @@ def render(root: Node) -> str:
                 mark = f"{lists[-1]}. "
                 lists[-1] += 1
             flows[-1].block()
-            flows[-1].add(own or [""], mark, " " * len(mark))
+            flows[-1].add(own or [""], mark, " " * len(mark) if len(flows) <= DEEPEST else "")
         elif tag in ("blockquote", "dd"):
             own = flows.pop().done()
-            sign = "> " if tag == "blockquote" else "  "
+            sign = ("> " if tag == "blockquote" else "  ") if len(flows) <= DEEPEST else ""
             flows[-1].block(tag == "blockquote")
             flows[-1].add(own, sign, sign)
             flows[-1].block(tag == "blockquote")

@@ -305,6 +305,19 @@ def test_html_loses_no_word_of_the_pages(spark):
         assert r["n_chars"] == len(r["text"])
 
 
+def test_deep_lists_and_wide_spans_stay_in_proportion():
+    import time
+
+    for page in ("".join(f"<ul><li>item{k}" for k in range(20_000)), "".join(f"<blockquote>item{k}" for k in range(5_000))):
+        began = time.process_time()
+        text = render(parse(page))
+        assert len(text) < 10 * len(page) and time.process_time() - began < 5
+        assert re.findall(r"item\d+", text) == re.findall(r"item\d+", page)
+    wide = "<table>" + "<tr><td colspan=1000>a<td>b" * 500 + "</table>"
+    assert set(render(parse(wide)).split("\n")) == {"a  b"}
+    assert render(parse("<table><tr><td colspan=2>x<td>y<tr><td>long one<td>z<td>w</table>")) == "x            y\nlong one  z  w"
+
+
 def test_html_of_odd_rows(spark):
     pages = spark.createDataFrame([(1, None, "mine"), (2, "", "mine"), (3, "<p>x", "mine"), (3, "<p>x", "mine")], "page_id long, html string, text string")
     assert sorted((r["page_id"], r["text"]) for r in html_text.rendered(pages).collect()) == [(1, ""), (2, ""), (3, "x"), (3, "x")]
