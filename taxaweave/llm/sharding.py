@@ -27,9 +27,6 @@ from taxaweave.llm.common import query, ranked, table, written
 SHARDS = 8
 #: A group of over this part of a shard is placed before the propagation.
 GIANT = 4
-#: A round that may move at most this share of the linked documents is the last,
-#: unless it closes a shard.
-WORTH = 0.0005
 
 
 def quotas(wished: np.ndarray, held: np.ndarray, capacity: np.ndarray) -> np.ndarray:
@@ -49,7 +46,7 @@ def quotas(wished: np.ndarray, held: np.ndarray, capacity: np.ndarray) -> np.nda
 
 
 def propagated(state: DataFrame, capacity: list[int]) -> DataFrame:
-    """Moves documents of (group, shard, n) rows until no round is worth it.
+    """Moves documents of (group, shard, n) rows until none may move.
     Rows of a group: at most one per shard, before and after.
 
     Each round every part of a group wishes to move to the shard of the group's
@@ -64,15 +61,14 @@ def propagated(state: DataFrame, capacity: list[int]) -> DataFrame:
         is_open = ~F.col("shard").isin(closed) if closed else F.lit(True)
         best = F.max(F.when(is_open, F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard"))).over(of_group)["shard"]
         wishes = written(state.withColumn("to", best).withColumn("move", is_open & (F.col("to") != F.col("shard"))), "wishes")
-        held, wished, total = np.zeros(shards, np.int64), np.zeros((shards, shards), np.int64), 0
+        held, wished = np.zeros(shards, np.int64), np.zeros((shards, shards), np.int64)
         for r in wishes.groupBy("shard", "to", "move").agg(F.sum("n").alias("n")).collect():  # a row per pair of shards
             held[r["shard"]] += r["n"]
-            total += r["n"]
             if r["move"]:
                 wished[r["shard"], r["to"]] += r["n"]
         grant = quotas(wished, held, np.array(capacity, np.int64))
         shut = [k for k in range(shards) if wished[:, k].sum() and not grant[:, k].sum()]
-        if grant.sum() <= WORTH * total and not shut:
+        if not grant.any() and not shut:
             return state
         closed += shut
         if not grant.any():
