@@ -25,7 +25,7 @@ from taxaweave.functions.names import (
     unguarded_prefix,
 )
 from taxaweave.operators.dedupe import asc, desc, top1_per_key
-from taxaweave.operators.joins import lookup_join
+from taxaweave.operators.joins import first_match, lookup_join
 from taxaweave.operators.numbering import sequence_in_group
 from taxaweave.schemas import (
     CONFORMED_COLUMNS,
@@ -210,19 +210,8 @@ def conform_wiz(
         c("Subgenus").alias("c_subgenus"),
         c("Section").alias("c_section"),
     )
-    species_rows = main.where(c("determined_rank") == "species").select(
-        "species_id", "genus_abbrev", "species_epithet", "spname_id", F.lit(1).alias("__hit")
-    )
-    parents = species_rows.groupBy("species_id", "genus_abbrev", "species_epithet").agg(
-        F.min("spname_id").alias("__parent_spname"), F.max("__hit").alias("__parent_hit")
-    ).select(
-        c("species_id").alias("__p_sid"),
-        c("genus_abbrev").alias("__p_genus"),
-        c("species_epithet").alias("__p_epithet"),
-        c("__parent_spname").alias("__parent_id"),
-        c("__parent_hit").alias("__has_parent"),
-    )
-    # the three lookup sides are size-checked together (one job)
+    # the smallest id there is; a parent without an id is still a parent
+    parents = main.where(c("determined_rank") == "species").withColumn("__id", F.struct(c("spname_id").isNull().alias("none"), c("spname_id").alias("id")))
     joined = lookup_join(all_taxa, g, "genus_abbrev", "__g_abbrev")
     joined = lookup_join(joined, cl, c("species_id").cast("string"), "__c_species")
 
@@ -243,12 +232,7 @@ def conform_wiz(
         out="__seq",
     )
 
-    with_parent = lookup_join(
-        numbered,
-        parents,
-        ["species_id", "genus_abbrev", "species_epithet"],
-        ["__p_sid", "__p_genus", "__p_epithet"],
-    )
+    with_parent = first_match(numbered, parents, ["species_id", "genus_abbrev", "species_epithet"], "__id", "__parent")
 
     genus = F.coalesce(c("g_name"), c("genus_abbrev"))
     is_infra_rank = c("determined_rank").isin("subspecies", "variety", "form")
@@ -257,8 +241,8 @@ def conform_wiz(
             concat_skip_null(F.lit("wiz-infra-"), c("species_id").cast("string"), F.lit("-"), c("__seq").cast("string"))
         ),
         "parent_id": F.when(
-            is_infra_rank & c("__has_parent").isNotNull(),
-            concat_skip_null(F.lit("wiz-"), c("__parent_id").cast("string")),
+            is_infra_rank & c("__parent").isNotNull(),
+            concat_skip_null(F.lit("wiz-"), c("__parent.id").cast("string")),
         ),
         "name": concat_skip_null(genus, F.lit(" "), replace_first_marker("full_name", WIZ_NAME_REWRITES)),
         "specific_name": c("species_epithet"),

@@ -190,8 +190,8 @@ def _suffix_delimiter(path: str) -> str:
 
 def file_forms(spark: SparkSession, paths: Sequence[str], delimiters: Sequence[str] = DELIMITERS, encoded: bool = False) -> DataFrame:
     """(path, line, delimiter) per file: its first line, and the delimiter that
-    cuts its lines most evenly (A5). One distributed pass; lines of a file's
-    first block are looked at.
+    cuts its lines most evenly (A5). One distributed scan of the text; lines of a
+    file's first block are looked at.
 
     For each candidate the fields of every line are counted, outside of quotes,
     into a histogram per file. The share of lines with the most frequent number of
@@ -201,10 +201,26 @@ def file_forms(spark: SparkSession, paths: Sequence[str], delimiters: Sequence[s
     line's bytes in hex.
     """
     lines = spark.read.text(list(paths)).select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+    return _forms(lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()), delimiters, encoded)
+
+
+#: Lines that show the form of files that are known to have one form.
+HEAD_LINES = 1000
+
+
+def _one_form(spark: SparkSession, path: str) -> str:
+    """The delimiter of one file by its first lines; nothing else is read."""
+    head = spark.createDataFrame([(path, r["value"], n) for n, r in enumerate(spark.read.text(path).head(HEAD_LINES))], "path string, value string, n long")
+    found = _forms(head, DELIMITERS, False).first()
+    return found["delimiter"] if found else _suffix_delimiter(path)
+
+
+def _forms(lines: DataFrame, delimiters: Sequence[str], encoded: bool) -> DataFrame:
+    """:func:`file_forms` of lines (path, value, n: their order)."""
     bare = F.regexp_replace("value", '"[^"]*"', "")
     cuts = F.array(*[(F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(d), F.lit("")))).alias(f"d{i}") for i, d in enumerate(delimiters)])
     line = F.hex(F.col("value").cast("binary")) if encoded else F.col("value")
-    seen = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path", F.when(F.trim("value") != "", cuts).alias("cuts")).agg(
+    seen = lines.groupBy("path", F.when(F.trim("value") != "", cuts).alias("cuts")).agg(
         F.count(F.lit(1)).alias("lines"), F.min(F.struct("n", line.alias("line"))).alias("first")
     )
     by_file = seen.groupBy("path").agg(F.min("first")["line"].alias("line"))
@@ -249,6 +265,7 @@ def read_delimited(
     keep_corrupt: bool = False,
     with_path: bool = False,
     repair: bool = False,
+    uniform: bool = False,
 ) -> DataFrame:
     """Read delimited text with every column as text (A3).
 
@@ -262,14 +279,19 @@ def read_delimited(
     go by position; with ``keep_corrupt=True`` malformed rows are flagged in
     ``_corrupt_record`` instead of being dropped silently (A7). ``repair`` parses
     the malformed lines once more, repaired (A8), under their own file's header:
-    those that fit become rows, the others stay malformed.
+    those that fit become rows, the others stay malformed. Comparing header lines
+    and delimiters scans the text once before it is read; ``uniform`` vouches that
+    all files have one of each, and then only the first file's first lines are
+    looked at.
     """
     files = delimited_files(spark, paths)
     if not files:
         raise FileNotFoundError(f"no delimited files under {paths}")
     groups: dict[tuple[str, str], list[str]] = {}
     # a header is compared only where it names the columns and there are several files
-    named = header and schema is None and len(files) > 1
+    named = header and schema is None and len(files) > 1 and not uniform
+    if uniform and not sep:
+        sep = _one_form(spark, files[0])
     forms = _file_forms(spark, files, sep, bool(encoding)) if named or not sep else [(p, "", sep) for p in files]
     met = {path for path, _, _ in forms}
     forms += [(p, "", sep or _suffix_delimiter(p)) for p in files if p not in met]  # empty files

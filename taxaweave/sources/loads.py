@@ -52,16 +52,18 @@ def load_files(
     schema: T.StructType | None = None,
     condition: str | None = None,
     repair: bool = False,
+    uniform: bool = False,
 ) -> Commit:
     """Appends files to the table at ``target`` as one load; a ``key`` that is
     committed already loads nothing. Columns go by each file's header line (by
     position with a ``schema``); columns new to the table are added to it. The
     condition may name any column of the table or of the files. ``repair`` parses
-    malformed lines once more before they are quarantined."""
+    malformed lines once more before they are quarantined; ``uniform`` files have
+    one delimiter and header line, which then are not compared."""
     table = Table(spark, target)
     listed = I.delimited_files(spark, paths)
     key = key or uuid.uuid4().hex
-    rows = I.read_delimited(spark, listed, sep=sep, header=header, schema=schema, keep_corrupt=True, with_path=True, repair=repair)
+    rows = I.read_delimited(spark, listed, sep=sep, header=header, schema=schema, keep_corrupt=True, with_path=True, repair=repair, uniform=uniform)
     present = {c.lower() for c in rows.columns}
     known = [n for n in table.commit().schema.names if n.lower() not in present and n not in (STATE, SOURCE)]
     rows = rows.select("*", *[F.lit(None).cast("string").alias(n) for n in known])

@@ -186,3 +186,12 @@ def test_repair_reads_malformed_lines_under_their_own_header(spark, tmp_path):
     raw = str(tmp_path / "raw")
     L.load_files(spark, str(src), raw, repair=True)
     assert L.kept_rows(spark, raw).count() == 5 and sorted(r["quarantined_rows"] for r in L.ledger(spark, raw).collect()) == [1, 1]
+
+
+def test_uniform_files_are_not_compared(spark, tmp_path, monkeypatch):
+    for k in range(3):
+        (tmp_path / f"{k}.txt").write_text(f"id;name\n{k};a, b\n")
+    monkeypatch.setattr(I, "file_forms", None)  # no scan of all files
+    assert _values(I.read_delimited(spark, str(tmp_path), uniform=True)) == [(str(k), "a, b") for k in range(3)]
+    L.load_files(spark, str(tmp_path), str(tmp_path / "raw"), uniform=True)
+    assert L.ledger(spark, str(tmp_path / "raw")).count() == 3
