@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from taxaweave.llm import chat_format, gru, html_text, licences, sharding, spotsigs, toxicity
+from taxaweave.llm import chat_format, gru, html_text, licences, sharding, spot_join, spotsigs, toxicity
 from taxaweave.llm.html_render import parse, render
 from tests.llm.cases import documents, empty, frame
 
@@ -202,6 +202,95 @@ def test_likeness_prunes_by_length(spark):
     assert plain == [0.5, 1.0, 0.0] and pruned == [0.0, 1.0, 0.0]
 
 
+@pytest.mark.parametrize("least", [0.8, 0.5, 1.0])
+def test_near_duplicates_are_brute_force(spark, least):
+    import random
+
+    r = random.Random(4)
+    prints = []
+    for k in range(150):
+        base = sorted(r.sample(range(-400, 400), r.choice([1, 2, 5, 20, 60])))
+        prints.append((k * 10, base))
+        for j in range(r.randint(0, 3)):  # near and exact copies
+            drop, add = r.choice([(0, 0), (1, 0), (1, 1), (len(base) // 5, 0), (len(base) // 4, 1)])
+            prints.append((k * 10 + 1 + j, sorted(set(r.sample(base, max(1, len(base) - drop)) + r.sample(range(1000, 1100), add)))))
+    prints += [(5000, []), (5001, None), (None, prints[0][1]), (5002, prints[0][1])]
+    df = spark.createDataFrame(prints, "key long, print array<int>").repartition(5)
+    sets = {k: frozenset(p or []) for k, p in prints if k is not None}
+    like = lambda a, b: 1.0 if not a and not b else len(a & b) / len(a | b)
+    want = {frozenset((a, b)) for a in set(sets.values()) for b in set(sets.values()) if a != b and like(a, b) >= least}
+    pairs, members = spot_join.alike(df, least)
+    of = {row["set"]: sets[row["key"]] for row in members.where("key is not null").collect()}
+    got = [frozenset((of[x["a"]], of[x["b"]])) for x in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and (least == 1.0 or len(want) > 20)
+    assert "Python" not in pairs._jdf.queryExecution().executedPlan().toString() and "Arrow" not in pairs._jdf.queryExecution().executedPlan().toString()
+    above = {k: k for k in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if like(sets[a], sets[b]) >= least and above[b] < above[a]:
+                    above[a], changed = above[b], True
+    classes = spot_join.near_classes(df, least).collect()
+    assert sorted(map(str, map(tuple, classes))) == sorted(map(str, [*above.items(), (None, None)]))
+
+
+def test_near_duplicates_of_nothing(spark):
+    none = spark.createDataFrame([], "key long, print array<int>")
+    assert spot_join.near_classes(none).count() == 0
+    with pytest.raises(ValueError):
+        spot_join.alike(none, 0)
+
+
+def test_forward_pass_and_pooling_against_plain_loops(monkeypatch):
+    monkeypatch.setattr(gru, "F32", np.float64)
+    p = {k: v if k == "row" else v.astype(float) for k, v in gru.start(3).items()}
+    x = gru.Windows([b"some plain words to score, and some more of them " * 12, b"two words", b"one"])
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    h_, size = gru.HIDDEN, x.size
+    first = x.ends - size
+    want = []
+    for row, mask in zip(x.idx, x.mask, strict=True):
+        states = []
+        for way, places in ((0, row[mask]), (1, row[mask][::-1])):
+            h, own = np.zeros(h_), []
+            for i in places:
+                chars = p["char"][x.trigram[first[i] : x.ends[i]]].mean(axis=0)
+                a = np.concatenate([p["word"][p["row"][x.word[i]]], chars]) @ p["w"][way] + p["b"][way][0]
+                g = h @ p["u"][way]
+                z, r = sig(a[:h_] + g[:h_]), sig(a[h_ : 2 * h_] + g[h_ : 2 * h_])
+                c = np.tanh(a[2 * h_ :] + r * g[2 * h_ :])
+                h = z * h + (1 - z) * c
+                own.append(h)
+            states.append(own if way == 0 else own[::-1])
+        both = np.array([np.concatenate(s) for s in zip(*states, strict=True)])
+        e = np.exp(np.tanh(both @ p["a"] + p["ab"]) @ p["v"])
+        want.append((e / e.sum()) @ both @ p["o"] + p["ob"][0])
+    got = gru.forward(p, x)
+    assert len(got) > 3 and np.allclose(got, want)
+    doc, _ = gru.pooled(got, x.doc, 4)
+    for d in range(3):
+        mine = got[x.doc == d]
+        assert doc[d] == pytest.approx((np.exp(mine) / np.exp(mine).sum() * mine).sum())
+    assert doc[3] == -30
+
+
+def test_cut_groups_against_the_fewest_possible(spark):
+    """Groups of copies that fit whole shards: none is cut where none need be."""
+    rows, k = [], 0
+    for size in (3, 3, 2, 2, 2, 2, 2):
+        rows += [(k + j, f"group of {size} at {k}", None, None, 0) for j in range(size)]
+        k += size
+    rows += [(k + j, f"single {j}", None, None, 0) for j in range(24)]
+    out = sharding.balanced_shards(frame(spark, rows), 4).collect()
+    shards = defaultdict(set)
+    for r in out:
+        shards[r["text_crc32"]].add(r["shard"])
+    held = Counter(r["shard"] for r in out)
+    assert max(held.values()) - min(held.values()) <= 1 and sum(len(s) - 1 for s in shards.values()) == 0
+
+
 def test_licences_of_planted_lines(spark):
     lines = [f"Some plain prose number {k}, of and in the text, with no meaning at all." for k in range(300)]
     rows = [(k, f"{line}\nmore of it {k} for this work") for k, line in enumerate(lines)]

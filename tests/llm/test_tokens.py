@@ -89,6 +89,24 @@ def test_bin_plan_against_lower_bound_and_capacity():
             assert len(load) <= -(-sizes.sum() // 2048) * 1.01 + 1
 
 
+def test_fullest_bins_against_all_subsets():
+    r = np.random.default_rng(2)
+    for _ in range(150):
+        capacity = int(r.integers(5, 60))
+        pieces = r.integers(1, capacity + 1, int(r.integers(1, 11)))
+        counts = np.bincount(pieces, minlength=capacity + 1)
+        chosen = packing.fullest(counts, capacity)
+        longest = int(pieces.max())
+        rest = list(pieces)
+        rest.remove(longest)
+        sums = {0}
+        for p in rest:  # every subset
+            sums |= {s + int(p) for s in sums}
+        best = longest + max(s for s in sums if s <= capacity - longest)
+        assert sum(length * n for length, n in chosen.items()) == best
+        assert chosen[longest] >= 1 and all(0 < n <= counts[length] for length, n in chosen.items())
+
+
 def test_packing_of_nothing(spark):
     assert packing.best_fit(empty(spark), public_path()).count() == 0
 
