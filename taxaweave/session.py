@@ -37,7 +37,7 @@ def local_session(
         # the chain has more stages than the 100 generated classes kept by default:
         # every run compiled them anew, and started with cold code
         .config("spark.sql.codegen.cache.maxEntries", "2000")
-        .config("spark.driver.extraJavaOptions", "-XX:ReservedCodeCacheSize=512m")
+        .config("spark.driver.extraJavaOptions", "-XX:ReservedCodeCacheSize=512m -XX:-DontCompileHugeMethods")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     event_log = os.environ.get("TAXAWEAVE_EVENT_LOG")
