@@ -1,8 +1,8 @@
 """Toxicity by a bidirectional GRU with attention over words and characters.
 
 The network (``gru``) is trained in numpy on the driver from a bounded sample of
-labelled documents (``TRAIN_DOCS``, those of the smallest hashes of doc_id, held
-out ones never); tasks score all overlapping windows of every whole text.
+labelled documents (``TRAIN_DOCS`` of at most ``TRAIN_BYTES``, those of the smallest
+hashes of doc_id, of a repeated one the text of the smallest hash, held out ones never); tasks score all overlapping windows of every whole text.
 
 Nulls: a null or empty text, or one without words, has score 0; a null doc_id is
 scored and counts as not held out; labels of a null doc_id or null label teach
@@ -26,6 +26,8 @@ from taxaweave.llm.common import query, table
 
 #: Labelled documents that the network learns from, at most; Adam steps.
 TRAIN_DOCS = 2_500
+#: Bytes of such a document that it learns from, at most.
+TRAIN_BYTES = 1 << 20
 STEPS = 300
 THRESHOLD = 0.3
 #: Bytes of text scored at a time.
@@ -40,7 +42,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_docs: in
     """The network's parameters; None where there is nothing to learn from."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("_y")).where(~held_out())
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(some), "doc_id").collect()  # <= train_docs rows, but for repeated doc_ids
+    own = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(some), "doc_id")
+    # one text of a repeated doc_id: train_docs rows at most, of bounded length
+    one = own.groupBy("doc_id", "_y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = one.select("doc_id", "_y", F.substring("text", 1, TRAIN_BYTES).alias("text")).collect()
     rows = sorted((r["doc_id"], bytes(r["text"] or b""), r["_y"]) for r in rows)
     if not rows:
         return None

@@ -67,6 +67,21 @@ def test_toxicity_on_held_out_documents(spark):
     assert out.score.between(0, 1).all()
 
 
+def test_training_takes_one_bounded_text_of_a_repeated_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(gru, "train", lambda texts, labels, steps: seen.append((texts, labels.tolist())))
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 20)
+    free = [d for d in range(60) if crc32(str(d).encode()) % 4 != 2][:3]
+    rows = [(free[0], f"text {k} of one id") for k in range(40)] + [(free[1], "x" * 500), (free[2], None)]
+    docs = frame(spark, [(d, t, None, None, 0) for d, t in rows])
+    labels = spark.createDataFrame([(d, 0, k % 2) for k, d in enumerate(free)], "doc_id long, quality int, toxic int")
+    for parts in (1, 7):
+        toxicity.fit(docs.repartition(parts), labels)
+    texts, y = seen[0]
+    assert seen[0] == seen[1] and len(texts) == 3 and y == [0, 1, 0]
+    assert texts[0].startswith(b"text ") and texts[1] == b"x" * 20 and texts[2] == b""
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = frame(spark).withColumn("score", F.lit("mine"))
     model = gru.start()
