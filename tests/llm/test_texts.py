@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
 from zlib import crc32
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from taxaweave.llm import chat_format, gru, html_text, licences, sharding, spot_join, spotsigs, toxicity
+from taxaweave.llm import chat_format, gru, html_text, licence_texts, licences, sharding, spot_join, spotsigs, toxicity
 from taxaweave.llm.html_render import parse, render
 from tests.llm.cases import documents, empty, frame
 
@@ -344,6 +345,75 @@ def test_licences_over_line_ends(spark):
     assert [found[d].get(k) for d, k in ((500, 0), (501, 0), (502, 0), (502, 2), (503, 1), (504, 0))] == ["gpl", "bsd", "mit", "mit", "bsd", "gpl"]
 
 
+def wrapped(text, width):
+    return "\n".join(line for part in text.split("\n") for line in (textwrap.wrap(part, width) or [""]))
+
+
+# Whole notices as projects bear them; each must be found under its own family and no other of the GNU ones.
+GNU = """This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {name} for more details.
+
+You should have received a copy of the GNU {name} along with this {what}.  If not, see <https://www.gnu.org/licenses/>."""
+NOTICES = [
+    ("mit", 'Copyright (c) 2020 A. Person\n\nThe above copyright notice and this permission notice (including the next paragraph) shall be included in all copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'),
+    ("bsd", '3. Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\nTHIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.'),
+    ("isc", "Copyright 2019 B. Person\n\nPermission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("gpl", GNU.format(what="program", name="General Public License")),
+    ("lgpl", GNU.format(what="library", name="Lesser General Public License")),
+    ("lgpl", GNU.format(what="program", name="Lesser General Public License")),
+    ("agpl", GNU.format(what="program", name="Affero General Public License")),
+    ("apache", "Copyright 2021 C. Person\n\nLicensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nd", "This work is licensed under the Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0"),
+    ("unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("mit", "# SPDX-License-Identifier: MIT"),
+    ("lgpl", "// SPDX-License-Identifier: LGPL-2.1-or-later"),
+]
+
+
+def test_whole_notices_at_any_width(spark):
+    widths = (40, 60, 74, 10_000)
+    rows = [(k, f"Some plain prose number {k}, of and in the text,\nwith no meaning at all.\nmore of it for this work") for k in range(300)]
+    planted = {1000 + k: (family, wrapped(text, w)) for k, (w, (family, text)) in enumerate((w, n) for w in widths for n in NOTICES)}
+    rows += [(d, "words before it\n\n" + text + "\n\nwords behind it") for d, (_, text) in planted.items()] + [(None, "MIT License"), (None, "MIT License")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found, versions, nameless = defaultdict(set), defaultdict(set), []
+    for r in licences.scan(docs, *licences.fit(docs)).collect():
+        if r["doc_id"] is None:
+            nameless.append(r["family"])
+        elif r["family"] != "unknown":
+            found[r["doc_id"]].add(r["family"])
+            versions[r["doc_id"]].add(r["version"])
+    assert nameless == ["mit", "mit"] and not any(d < 1000 for d in found)
+    missed = {(d, family, tuple(found[d])) for d, (family, _) in planted.items() if family not in found[d]}
+    wrong = {(d, family, tuple(found[d])) for d, (family, _) in planted.items() if found[d] - {family}}
+    assert len(missed) <= len(planted) // 10 and len(wrong) <= len(planted) // 20, (missed, wrong)
+    assert not [d for d, (family, _) in planted.items() if family in ("lgpl", "agpl") and "gpl" in found[d]], (missed, wrong)
+    named = {"mpl": "2.0", "cc-by-sa": "4.0", "apache": "2.0"}
+    assert all(named[f] in versions[d] for d, (f, _) in planted.items() if f in named and f in found[d])
+
+
+def held_by(own, text):
+    """The shares by plain loops."""
+    pairs = lambda w: {f"{a} {b}" for a, b in zip(w, [*w[1:], "$"])}
+    split = lambda x: [w for w in re.split(r"[^a-z0-9]+", x.lower()) if w]
+    a, b = pairs(split(own)), pairs(split(text))
+    k = len(a & b)
+    return (k / min(len(a), len(b)) if k >= 4 else k / len(b) if k >= 2 else 0.0), k
+
+
+def test_template_comparison_by_plain_loops(spark):
+    texts = [t for own in licence_texts.templates().values() for t in own]
+    owns = [texts[3], texts[20][:60], " ".join(texts[30].split()[5:20]), "of the above copyright notice", "plain words"]
+    lists = [licences.bigrams(licences.words(F.lit(t))) for t in texts]
+    rows = spark.createDataFrame([(t,) for t in owns], "line string").select("line", licences.contained(F.array_distinct(licences.bigrams(licences.words(F.col("line")))), F.array(*map(F.array_distinct, lists))).alias("like"))
+    for r in rows.collect():
+        assert tuple(r["like"]) == max(held_by(r["line"], t) for t in texts)
+
+
 PAGE = """<title>t</title><p>Hello <b>big</b>   world<p>two<br>lines &amp; more&nbsp;x<ul><li>a<li>b<ol start=3><li>c<li>d</ol></ul>
 <table><tr><th>Name<th>N<tr><td>long name<td>1<tr><td rowspan=2>r<td>x<tr><td>y</table>after<blockquote><p>q1<p>q2</blockquote><pre>
  a  b
