@@ -208,3 +208,51 @@ def test_taxa_links_are_projections(spark):
     lt = pipeline.build_taxa(full)
     assert "Exchange" not in _plan(lt.ids)
     assert sorted(r["source_count"] for r in lt.attrs.collect()) == [1, 2]
+
+
+def _star(spark, path):
+    """A few line items and parts, with nulls."""
+    from datetime import datetime
+
+    day = datetime(1995, 3, 1)
+    lines = [(o, p, p % 7, n, 0.01, t, f, s, day) for o in range(40) for n, p, t, f, s in ((1 + o % 7, o % 9, 0.07, "N", "O"), (1 + o % 4, o % 5, 0.02, "AR"[o % 2], "F"))]
+    lines += [(None, 3, None, 1, 0.01, 0.0, "N", "O", None), (7, None, 2, None, None, None, None, None, None)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(lines, schema).write.parquet(f"{path}/lineitem.parquet")
+    parts = [(k, k % 11, ["SMALL", "MEDIUM", "LARGE", None][k % 4], f"Brand#{k % 3}") for k in range(30)]
+    spark.createDataFrame(parts, "p_partkey long, p_size int, p_type string, p_brand string").write.parquet(f"{path}/part.parquet")
+    return str(path)
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sources_are_conformed_once_for_taxa_and_fill(spark, tmp_path):
+    """What reads the merged records reads their scratch table: no plan after
+    the merge scans the line items again, with the rows of the lazy chain."""
+    from taxaweave.plans import pipeline, proxies
+
+    sf = _star(spark, tmp_path / "in")
+    for name in ("pipe_taxa", "pipe_crosswalk", "fill_taxonomy_gaps", "pipe_coverage_check"):
+        assert "l_partkey" not in _optimized(proxies.REGISTRY[name][0](spark, sf)), name
+    lazy = pipeline.run_pipeline(*proxies._conformed(spark, sf)).filled.arrays()
+    stored = proxies._stage(spark, sf, "filled").arrays()
+    assert stored.count() > 0
+    assert stored.columns == lazy.columns
+    assert sorted(map(str, stored.collect())) == sorted(map(str, lazy.collect()))
+
+
+def test_derived_words_are_spelled_once_a_row(spark, tmp_path):
+    """Every word of the derived sources stands once in the plan, however many
+    rules, filters and sort keys read it; the words are the digit rule's."""
+    from taxaweave.plans import conform, derived, proxies
+
+    sf = _star(spark, tmp_path / "in")
+    li = derived.load(spark, sf, "lineitem")
+    for plan in (conform.conform_wfo(derived.wfo_raw(li)), conform.conform_gbif(derived.gbif_raw(li)), proxies._stage(spark, sf, "merged")):
+        assert 1 <= _optimized(plan).count("translate(cast(l_suppkey") <= 2  # a word of WFO's, of GBIF's
+    keys = spark.createDataFrame([(0,), (7,), (1234567890,), (-15,), (None,)], "k long")
+    both = keys.select(derived.cap_word(F.col("k")), derived.cap(derived.word(F.col("k")))).collect()
+    assert all(a == b for a, b in both)
+    assert [r[0] for r in both] == ["A", "N", "Eioulmnrsa", "-el", None]
