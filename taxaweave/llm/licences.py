@@ -4,10 +4,11 @@ Spark's JVM machine learning only.
 Paragraphs (lines) are sparse sets of word uni- and bigrams, of those that occur
 in the templates. A multinomial logistic regression with an L1 penalty learns
 the licence families from their templates, each in many variants with words
-left out, and the class ``unknown`` from a bounded sample of the input's
-paragraphs. On another sample the least probability of any licence is
-calibrated: of paragraphs unlike any template at most ``FALSE_SHARE`` may pass
-it. The two most probable families are compared with the paragraph by their
+left out, and the class ``unknown`` from one half of all the input's paragraphs
+that are unlike any template (by a hash). On the other half the least
+probability of any licence is calibrated: at most ``FALSE_SHARE`` of it may pass.
+Paragraphs of the same terms are one row with their number; together those of
+``unknown`` weigh as much as so many templates, however large the input. The two most probable families are compared with the paragraph by their
 templates, as shares of either one's bigrams, and the more alike is predicted.
 It is confirmed if it is alike enough and more so than all other families;
 otherwise (a sentence that several licences share word for word, say) the
@@ -35,13 +36,15 @@ from pyspark.sql import functions as F
 from taxaweave.llm.common import query, table, written
 from taxaweave.llm.licence_texts import templates as templates_of
 
-#: Variants per template; paragraphs sampled for ``unknown`` (as many again
-#: calibrate); share of words left out of a variant, in tenths.
+#: Variants per template; what all paragraphs for ``unknown`` weigh at most, in
+#: variants; share of words left out of a variant, in tenths.
 VARIANTS = 24
-SAMPLE = 3_000
+UNKNOWN_WEIGHT = 4_500
 LEFT_OUT = 2
 FALSE_SHARE = 0.001
 LEAST_PROBABILITY = 0.5
+#: Steps of the calibrated probability.
+STEPS = 100_000
 #: Share of a template's bigrams of which a paragraph for ``unknown`` holds less.
 UNLIKE = 0.3
 #: Share of a template's bigrams that a paragraph must hold, or of its own that
@@ -87,11 +90,6 @@ def vocabulary(spark: SparkSession) -> list[str]:
     return [r["t"] for r in templates(spark).select(own.alias("t")).distinct().orderBy("t").collect()]
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, paragraph (from 0), line."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-
-
 def templates(spark: SparkSession) -> DataFrame:
     """family, label, words; fixed rows."""
     rows = [(f, float(FAMILIES.index(f)), t) for f, ts in TEMPLATES.items() for t in ts]
@@ -103,41 +101,62 @@ def known_bigrams(spark: SparkSession) -> DataFrame:
     return templates(spark).groupBy("family").agg(F.collect_list(F.array_distinct(bigrams(F.col("words")))).alias("held"))  # fixed rows
 
 
-def sampled(docs: DataFrame, spark: SparkSession) -> DataFrame:
-    """Two bounded samples of paragraphs (part 0 and 1) unlike all templates,
-    the first ones by a hash of doc_id and paragraph number. The hash is cut
-    so that a few samples' worth of paragraphs meet to be ordered."""
-    lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    total = docs.agg(F.sum(lines.cast("long"))).first()[0] or 0
-    place = F.xxhash64("doc_id", "paragraph")
-    low = F.pmod(place, F.lit(max(1, total // (9 * SAMPLE)))) == 0
-    some = paragraphs(docs).where(low).select("line", place.alias("h")).orderBy("h", "line").limit(3 * SAMPLE).withColumn("words", words(F.col("line")))
-    some = some.where(F.size("words") > 0).dropDuplicates(["h", "line"]).select("h", "words")
-    some = written(some, "sample")
-    own = F.array_distinct(bigrams(F.col("words")))
-    held = templates(spark).select("line", F.size(own).alias("n"), F.explode(own).alias("pair"))
-    shared = some.select("h", "words", F.explode(own).alias("pair")).join(F.broadcast(held), "pair")  # the templates' bigrams
-    like = shared.groupBy("h", "words", "line", "n").agg(F.count("*").alias("k")).where(F.col("k") / F.col("n") >= UNLIKE)
-    far = some.join(like.select("h", "words"), ["h", "words"], "left_anti")
-    return far.select("words", F.pmod(F.xxhash64("h"), F.lit(2)).alias("part"))
+def unlike(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """terms, learn, calibrate: how many paragraphs unlike all templates have these
+    terms, in either half by a hash of doc_id and paragraph number. Every
+    paragraph with words is counted."""
+    spark = docs.sparkSession
+    own = templates(spark).select("line", F.array_distinct(bigrams(F.col("words"))).alias("own"))
+    held = own.select("line", F.size("own").alias("n"), F.explode("own").alias("pair"))
+    half = F.pmod(F.xxhash64("doc_id", "paragraph"), F.lit(2))
+    # built inside the generator, so that no filter or grouping repeats it
+    parts = lambda w: F.struct(F.array_sort(terms(w, vocabulary)).alias("terms"), F.concat(F.element_at(w, -1), F.lit(" $")).alias("end"))
+    ended = lambda p: F.struct(p["terms"].alias("terms"), F.when(F.array_contains(p["terms"], p["end"]), p["end"]).alias("end"))
+    split = F.transform(F.split("text", "\n"), lambda line: let(words(line), lambda w: F.when(F.size(w) > 0, let(parts(w), ended))))
+    each = docs.select("doc_id", F.posexplode(split).alias("paragraph", "p")).where("p is not null")
+    sets = each.groupBy("p.terms", "p.end").agg(F.sum(1 - half).alias("learn"), F.sum(half).alias("calibrate"))
+    # a term ``word $`` also stands before unknown words: of these only the paragraph's end is a bigram
+    pairs = F.filter("terms", lambda t: t.contains(" ") & (~t.endswith(" $") | t.eqNullSafe(F.col("end"))))
+    sets = written(sets, "paragraphs").withColumn("pairs", pairs)
+    # only templates of which so many bigrams can hold the share
+    of = sets.select("pairs").distinct().select("pairs", F.size("pairs").alias("size"), F.explode("pairs").alias("pair"))
+    shared = of.join(F.broadcast(held), (of["pair"] == held["pair"]) & (F.col("size") / F.col("n") >= UNLIKE))  # the templates' bigrams
+    like = shared.groupBy("pairs", "line", "n").agg(F.count("*").alias("k")).where(F.col("k") / F.col("n") >= UNLIKE)
+    far = sets.join(like.select("pairs"), "pairs", "left_anti")
+    return far.groupBy("terms").agg(F.sum("learn").alias("learn"), F.sum("calibrate").alias("calibrate"))
+
+
+def exceeded(scored: DataFrame, share: float) -> float:
+    """The least ``p`` (0 to 1, rounded up to ``STEPS``) that at most ``share`` of
+    the rows, each ``n`` times, exceed."""
+    steps = scored.groupBy(F.ceil(F.col("p") * STEPS).alias("step")).agg(F.sum("n").alias("n")).orderBy(F.desc("step")).collect()  # a row per step
+    total, above = sum(r["n"] for r in steps), 0
+    for r in steps:
+        above += r["n"]
+        if above > share * total:
+            return r["step"] / STEPS
+    return 0.0
 
 
 def fit(docs: DataFrame) -> tuple[PipelineModel, float]:
     """The classifier and its calibrated least probability."""
     spark = docs.sparkSession
     terms_ = vocabulary(spark)
-    other = written(sampled(docs, spark).select(terms(F.col("words"), terms_).alias("terms"), "part"), "unlike")
+    other = written(unlike(docs, terms_), "unlike")
+    total = other.agg(F.sum("learn")).first()[0] or 0
     stays = lambda w, i: F.pmod(F.xxhash64(F.concat_ws(" ", "line", i, "seed")), F.lit(10)) >= F.when(F.col("seed") == 0, 0).otherwise(LEFT_OUT)
     variants = templates(spark).join(spark.range(VARIANTS).withColumnRenamed("id", "seed")).select("label", F.filter("words", stays).alias("words"))
-    rows = variants.select("label", terms(F.col("words"), terms_).alias("terms")).unionByName(other.where("part = 0").select(F.lit(0.0).alias("label"), "terms"))
-    rows = written(rows.repartition(2), "lessons")
+    known = variants.select("label", terms(F.col("words"), terms_).alias("terms"), F.lit(1.0).alias("weight"))
+    weight = F.col("learn") * min(1.0, UNKNOWN_WEIGHT / max(1, total))
+    rows = known.unionByName(other.where("learn > 0").select(F.lit(0.0).alias("label"), "terms", weight.alias("weight")))
+    rows = written(rows.repartition("terms").sortWithinPartitions("label", "terms"), "lessons")
     counts = CountVectorizerModel.from_vocabulary(terms_, "terms", "features")
     counts = counts.setBinary(True)
-    learn = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=40, standardization=False)
+    learn = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=40, standardization=False, weightCol="weight")
     model = Pipeline(stages=[counts, learn]).fit(rows)
     best = 1 - vector_to_array("probability")[0]
-    most = model.transform(other.where("part = 1")).agg(F.percentile_approx(best, 1 - FALSE_SHARE, 100_000).alias("p")).first()["p"]
-    return model, max(LEAST_PROBABILITY, most or 0.0)
+    scored = model.transform(other.where("calibrate > 0")).select(best.alias("p"), F.col("calibrate").alias("n"))
+    return model, max(LEAST_PROBABILITY, exceeded(scored, FALSE_SHARE))
 
 
 def shares(pairs: Column, held: Column) -> Column:

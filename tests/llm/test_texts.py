@@ -318,6 +318,18 @@ def test_licences_of_planted_lines(spark):
     assert licences.scan(nothing, *licences.fit(nothing)).count() == 0
 
 
+def test_licences_learn_from_every_paragraph(spark):
+    """``unknown`` is learnt and calibrated on all paragraphs: none is left to a sample."""
+    prose = [f"word{k} of and in the text, plain {j}" for k in range(7) for j in range(5)]
+    rows = [(k, "\n".join([*prose, "", " . "])) for k in range(1000)] + [(None, prose[0]), (1, prose[0]), (5, None), (2000, BSD), (2001, "MIT License")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    far = licences.unlike(docs, licences.vocabulary(spark)).collect()
+    assert sum(r["learn"] + r["calibrate"] for r in far) == 1000 * len(prose) + 2  # no blank line, none of a licence
+    assert len({tuple(r["terms"]) for r in far}) == len(far) < 10 and all(min(r["learn"], r["calibrate"]) > 10_000 for r in far if r["learn"] > 20_000)
+    halves = spark.createDataFrame([(0.9, 1), (0.25, 9), (0.1, 990)], "p double, n long")
+    assert [licences.exceeded(halves, share) for share in (0.0, 0.0005, 0.001, 0.01, 1.0)] == [0.9, 0.9, 0.25, 0.1, 0.0]
+
+
 GPL = """This program is free software: you can redistribute it and/or modify
 it under the terms of the GNU General Public License as published by
 the Free Software Foundation, either version 3 of the License, or
