@@ -256,3 +256,25 @@ def test_derived_words_are_spelled_once_a_row(spark, tmp_path):
     both = keys.select(derived.cap_word(F.col("k")), derived.cap(derived.word(F.col("k")))).collect()
     assert all(a == b for a, b in both)
     assert [r[0] for r in both] == ["A", "N", "Eioulmnrsa", "-el", None]
+
+
+def test_arrays_shuffle_the_links_once_and_slice_first(spark):
+    """Ids and sources are collected in one exchange that the join with the taxa
+    reuses; a rank slice collects no links of other ranks."""
+    rows = [("a", "species", "2", "WFO"), ("a", "species", "1", "GBIF"), ("b", "form", None, "WFO"), (None, "form", "4", "WFO"), ("", "form", "5", None)]
+    merged = spark.createDataFrame(rows, "name string, rank string, id string, data_source string")
+    for a in pipeline.MERGED_ATTRIBUTES:
+        merged = merged.withColumn(a, F.lit(None).cast("string"))
+    taxa = pipeline.build_taxa(merged)
+    out = taxa.arrays()
+    plan = _plan(out)
+    assert plan.count("Exchange hashpartitioning(__n") == 2 and "hashpartitioning(coalesce" not in plan  # the links' and the taxa's
+    assert plan.count("ObjectHashAggregate") == 2
+    found = {(r["name"], r["rank"]): (r["external_ids"], r["data_sources"]) for r in out.collect()}
+    assert found == {("a", "species"): (["1", "2"], ["GBIF", "WFO"]), ("b", "form"): ([None], ["WFO"]), (None, "form"): (["4"], ["WFO"]), ("", "form"): (["5"], [None])}
+    part = taxa.of_ranks(["species"])
+    assert part.ids.count() == part.sources.count() == 2
+    assert [(r["name"], r["external_ids"]) for r in part.arrays().collect()] == [("a", ["1", "2"])]
+    moved = pipeline.LinkedTaxa(taxa.attrs, taxa.ids.withColumn("merged", F.lit(True)).where("external_id = '4'"), taxa.sources.where("name = 'a'"))
+    found = {(r["name"], r["rank"]): (r["external_ids"], r["data_sources"]) for r in moved.arrays().collect()}
+    assert found == {("a", "species"): (None, ["GBIF", "WFO"]), ("b", "form"): (None, None), (None, "form"): (["4"], None), ("", "form"): (None, None)}
