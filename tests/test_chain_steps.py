@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from taxaweave.plans import derived
+from taxaweave.plans import derived, pipeline
 
 
 def _plan(df):
@@ -28,3 +28,25 @@ def test_remainders_are_looked_up_and_spelled_as_before(spark):
     raw = derived.wfo_raw(spark.createDataFrame([], schema)).select("family", "tribe")
     # the genus (its first letter and the rest) and the epithet are spelled, nothing else
     assert _plan(raw).count("translate(") <= 3
+
+
+def test_coverage_exchanges_the_records_once_and_keeps_its_rows(spark):
+    gbif = spark.createDataFrame(
+        [("gbif-1", "a"), ("gbif-2", "b"), ("gbif-2", "b"), ("gbif-2", "c"), ("gbif-3", None), ("gbif-3", None), (None, "x"), ("other", "y")],
+        "id string, name string",
+    )
+    wiz = spark.createDataFrame([("wiz-1", "a"), ("wiz-9", "z"), ("wiz-9", "z"), ("gbif-2", "b")], "id string, name string")
+    links = spark.createDataFrame(
+        [("n", "species", "gbif-1", False), ("n", "species", "gbif-1", True), ("n", "species", "wiz-1", False), ("n", "species", None, False)],
+        "name string, rank string, external_id string, merged boolean",
+    )
+    final = pipeline.LinkedTaxa(None, links, None)
+    out = pipeline.coverage_all({"gbif": (gbif, "gbif-", "GBIF"), "wiz": (wiz, "wiz-", "OrchidWiz")}, final)
+    end = " source record missing from final dataset"
+    key = lambda r: tuple(str(v) for v in r)
+    want = [("gbif-2", "b", "GBIF" + end), ("gbif-2", "c", "GBIF" + end), ("gbif-3", None, "GBIF" + end), ("wiz-9", "z", "OrchidWiz" + end)]
+    assert sorted(map(tuple, out.collect()), key=key) == want
+    one = pipeline.coverage(gbif, final, "gbif-", "GBIF")
+    assert sorted(map(tuple, one.collect()), key=key) == want[:3]
+    for df in (out, one):
+        assert _plan(df).index("Aggregate") < _plan(df).index("LeftAnti")  # what is missing is made distinct
