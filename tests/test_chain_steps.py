@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from taxaweave.operators.fill import fill_from_mode
 from taxaweave.plans import derived, pipeline
 
 
@@ -50,3 +51,11 @@ def test_coverage_exchanges_the_records_once_and_keeps_its_rows(spark):
     assert sorted(map(tuple, one.collect()), key=key) == want[:3]
     for df in (out, one):
         assert _plan(df).index("Aggregate") < _plan(df).index("LeftAnti")  # what is missing is made distinct
+
+
+def test_fill_from_mode_does_not_sort_the_rows(spark):
+    rows = [(1, "g", "f"), (2, "g", None), (3, "g", "f"), (4, "g", "e"), (5, None, None), (6, "h", None), (7, "", None), (8, "", "x")]
+    out = fill_from_mode(spark.createDataFrame(rows, "id int, genus string, family string"), "genus", ["family"])
+    assert {r.id: r.filled_family for r in out.collect()} == {1: "f", 2: "f", 3: "f", 4: "e", 5: None, 6: None, 7: "x", 8: "x"}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
