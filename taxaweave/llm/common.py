@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from taxaweave.session import shared_dir
+from taxaweave.session import scratch_made, shared_dir, shuffles_freed
 
 #: Registered queries of this subpackage: name -> (function, DuckDB SQL or None).
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -59,9 +59,12 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage, is computed
-    once, and survives the loss of executors."""
+    once, and survives the loss of executors. The shuffles behind it are deleted
+    as soon as it is whole."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    scratch_made(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
